@@ -1,0 +1,77 @@
+"""Hot-key splitting for operators that must see a key's rows together in one task.
+
+Built-in aggregates and joins need none of this (partial aggregation and AQE's skew-join split
+cover them). Grouped pandas functions do: Spark hands each group to one Python call, so a key
+holding a third of all rows would land whole in one task. ``salt_grid`` splits every hot key
+into cells of about ``target_rows`` rows per side:
+
+* a key with ``n`` rows on a side gets ``ceil(n / target_rows)`` buckets on that side;
+* each row takes its own bucket from a hash of (input partition, row content) -- deterministic,
+  so a recomputed task after an executor loss puts every row in the same bucket again;
+* each row is copied to every bucket of the *other* side, so each pair of rows meets in exactly
+  one cell (a grid), and each cell holds at most ~``target_rows`` rows of either side.
+
+Only hot keys (more than ``target_rows`` rows) are listed in the side tables, so those tables
+hold at most ``total_rows / target_rows`` rows; Catalyst/AQE joins them to the inputs (after
+measuring them, normally as a broadcast).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+TARGET_ROWS = 500_000
+OWN, OTHER = "_salt_own", "_salt_other"
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], target_rows: int, alias: str) -> DataFrame:
+    """Keys with more than ``target_rows`` rows and their bucket count ``alias``."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > target_rows)
+            .select(*keys, F.ceil(F.col("_n") / F.lit(target_rows)).cast("int").alias(alias)))
+
+
+def _attach(df: DataFrame, keys: Sequence[str], table: DataFrame, table_keys: Sequence[str],
+            alias: str) -> DataFrame:
+    renamed = table.select(*[F.col(tk).alias(k) for tk, k in zip(table_keys, keys)], alias)
+    return (df.join(renamed, list(keys), "left")
+            .withColumn(alias, F.coalesce(F.col(alias), F.lit(1))))
+
+
+def _own_bucket(df: DataFrame, count_col: str) -> F.Column:
+    content = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns
+                                                  if not c.startswith("_salt")])
+    return F.pmod(content, F.col(count_col)).cast("int")
+
+
+def salt_grid(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+              right_keys: Sequence[str], target_rows: int = TARGET_ROWS
+              ) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Return (left, right, cell_columns): both sides carry the two cell columns ``_a``/``_b``.
+
+    Group/cogroup on ``keys + cell_columns`` to get bounded groups."""
+    hl = hot_keys(left, left_keys, target_rows, "_nl")
+    hr = hot_keys(right, right_keys, target_rows, "_nr")
+
+    lft = _attach(_attach(left, left_keys, hl, left_keys, "_nl"), left_keys, hr, right_keys, "_nr")
+    lft = (lft.withColumn("_a", _own_bucket(left, "_nl"))
+           .withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_nr") - 1)))
+           .drop("_nl", "_nr"))
+
+    rgt = _attach(_attach(right, right_keys, hr, right_keys, "_nr"), right_keys, hl, left_keys,
+                  "_nl")
+    rgt = (rgt.withColumn("_b", _own_bucket(right, "_nr"))
+           .withColumn("_a", F.explode(F.sequence(F.lit(0), F.col("_nl") - 1)))
+           .drop("_nl", "_nr"))
+    return lft, rgt, ["_a", "_b"]
+
+
+def salt_groups(df: DataFrame, keys: Sequence[str], target_rows: int = TARGET_ROWS
+                ) -> tuple[DataFrame, str]:
+    """One-sided split: each hot key's rows spread over ``ceil(n / target_rows)`` buckets."""
+    hot = hot_keys(df, keys, target_rows, "_nb")
+    out = _attach(df, keys, hot, keys, "_nb")
+    return out.withColumn("_bucket", _own_bucket(df, "_nb")).drop("_nb"), "_bucket"

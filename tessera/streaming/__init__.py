@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+Every job this library re-expresses is a batch job (no watermark, window, state or late-data
+handling appears anywhere in scope), so no streaming operator is offered. The batch operators
+take DataFrames and would accept a streaming DataFrame wherever Spark itself allows the same
+operation.
+"""
