@@ -1,0 +1,41 @@
+"""Scan parallelism guard.
+
+A table stored as a few huge row groups (or a few unsplittable files) is scanned by a few tasks,
+however many cores the cluster has; every per-row step fused into that scan (tokenising,
+parsing, decimal arithmetic, partial aggregation, writing) then runs on those few cores.
+``spread`` re-distributes such an input over the cluster's default parallelism.
+
+It is a no-op for a normally laid-out large table: a table has fewer partitions than the cluster
+has cores only when it is smaller than ``cores x split size``, so the extra shuffle it adds is
+bounded by that size.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+
+def partition_count(df: DataFrame) -> int | None:
+    """Input partitions of a scan (planning only, no job); None where not available."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect has no RDD view
+        return None
+
+
+def spread(df: DataFrame, by: Sequence[str] = (), target: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` on ``by`` (a unique key spreads evenly and deterministically, so a
+    retried task gets the same rows) over ``target`` partitions (default: the cluster's cores),
+    but only when it currently has fewer partitions than that."""
+    spark = df.sparkSession
+    if target is None:
+        try:
+            target = spark.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001
+            return df
+    n = partition_count(df)
+    if n is None or n >= target:
+        return df
+    return df.repartition(target, *by) if by else df.repartition(target)

@@ -8,6 +8,7 @@ rounding uses the plain-IEEE half-up form so that both engines produce the same
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import (TEXT_TIMESTAMP_PATTERN, fixed_text, hhmm_to_hour,
                                money_to_double, parse_timestamp, safe_long)
-from tessera.operators import grouped, relational, setops
+from tessera.operators import grouped, partitioning, relational, setops
 from tessera.plans import city, payroll, workbook
 from tessera.session import scratch_path
 from tessera.sources import (flatten_properties, join_lines, read_csv, read_csv_checked,
@@ -37,8 +38,19 @@ def query(name: str, sql: str | None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+# unique key of each table: hash-partitioning on it spreads rows evenly and deterministically
+TABLE_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"],
+              "documents": ["doc_id"], "events": ["event_id"], "part": ["p_partkey"],
+              "customer": ["c_custkey"], "supplier": ["s_suppkey"], "embeddings": ["vec_id"]}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A test table; ``spread`` raises scan parallelism when the file yields fewer partitions
+    than the cluster has cores (see ``operators.partitioning``)."""
+    df = read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread or os.environ.get("TESSERA_SPREAD_ALL") == "1":
+        df = partitioning.spread(df, TABLE_KEYS.get(name, ()))
+    return df
 
 
 # ---- QP1 / QP2 / QP3 / QP4 / QP5 ----------------------------------------------------------------
@@ -83,7 +95,7 @@ def q_top_k_in_dim_sql(spark, sf_dir):
 
 @query("yearly_income", "SELECT o_orderkey, o_totalprice * 14 AS yearly_income FROM orders")
 def q_yearly_income(spark, sf_dir):
-    return payroll.yearly_income(table(spark, sf_dir, "orders"), "o_totalprice", "o_orderkey")
+    return payroll.yearly_income(table(spark, sf_dir, "orders", spread=True), "o_totalprice", "o_orderkey")
 
 
 YEARLY_INT_SQL = """SELECT p_partkey, p_name, CAST(p_size AS BIGINT) * 14 AS yearly_income
@@ -126,7 +138,7 @@ WHERE w <> '' GROUP BY w"""
 
 @query("word_count", WORD_COUNT_SQL)
 def q_word_count(spark, sf_dir):
-    return workbook.word_count(table(spark, sf_dir, "documents"), "text")
+    return workbook.word_count(table(spark, sf_dir, "documents", spread=True), "text")
 
 
 @query("word_count_text_file", WORD_COUNT_SQL)
@@ -190,7 +202,7 @@ def q_sorted_list_per_group(spark, sf_dir):
 @query("high_value", """SELECT l_orderkey, l_linenumber, l_quantity * l_extendedprice AS value
 FROM lineitem WHERE l_quantity * l_extendedprice >= 2000000""")
 def q_high_value(spark, sf_dir):
-    return workbook.high_value(table(spark, sf_dir, "lineitem"), "l_quantity",
+    return workbook.high_value(table(spark, sf_dir, "lineitem", spread=True), "l_quantity",
                                "l_extendedprice", 2000000.0, ["l_orderkey", "l_linenumber"])
 
 
@@ -198,7 +210,7 @@ def q_high_value(spark, sf_dir):
 CAST(SUM(CAST(l_quantity AS DECIMAL(12,2)) * CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE)
 AS revenue FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type""")
 def q_revenue_by_category(spark, sf_dir):
-    return workbook.revenue_by_category(table(spark, sf_dir, "lineitem"),
+    return workbook.revenue_by_category(table(spark, sf_dir, "lineitem", spread=True),
                                         table(spark, sf_dir, "part"), "l_partkey", "p_partkey",
                                         "l_quantity", "l_extendedprice", "p_type")
 
@@ -306,7 +318,7 @@ def q_top_months_per_year(spark, sf_dir):
 @query("sql_cte_view", TOP_MONTHS_SQL)
 def q_sql_cte_view(spark, sf_dir):
     """QP15 as SQL text over a view whose date column is text named ``DATE OCC``."""
-    crime = table(spark, sf_dir, "orders").select(
+    crime = table(spark, sf_dir, "orders", spread=True).select(
         F.date_format("o_orderdate", TEXT_TIMESTAMP_PATTERN).alias("DATE OCC"))
     return city.top_months_per_year_sql(spark, crime, "DATE OCC", TEXT_TIMESTAMP_PATTERN, 3)
 
@@ -362,7 +374,7 @@ def q_regex_number(spark, sf_dir):
 try_strptime(strftime(o_orderdate, '%Y %b %d %I:%M:%S %p'), '%Y %b %d %I:%M:%S %p') AS ts
 FROM orders""")
 def q_parse_timestamp(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)
     text = F.date_format("o_orderdate", TEXT_TIMESTAMP_PATTERN)
     return (o.select("o_orderkey", parse_timestamp(text).alias("ts"))
             .where(F.col("ts").isNotNull()))
@@ -401,7 +413,7 @@ def q_safe_int(spark, sf_dir):
 FROM orders WHERE o_orderstatus <> 'P'""")
 def q_money_text(spark, sf_dir):
     """Money text such as `` $112,946`` (orders in status P carry ``---``) cleaned to double."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)
     text = F.when(F.col("o_orderstatus") == "P", F.lit("---")).otherwise(
         F.concat(F.lit(" $"), F.format_number(F.floor("o_totalprice"), 0)))
     return (o.select("o_orderkey", money_to_double(text).alias("income"))
@@ -439,7 +451,7 @@ def q_header_csv_union(spark, sf_dir):
 @query("delimited_csv", "SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders")
 def q_delimited_csv(spark, sf_dir):
     path = scratch_path(spark, "orders_semicolon")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority",
+    o = table(spark, sf_dir, "orders", spread=True).select("o_orderkey", "o_custkey", "o_orderpriority",
                                              "o_totalprice")
     write_csv(o, path, header=True, sep=";")
     raw = read_csv_strings(spark, path, sep=";")
@@ -473,7 +485,7 @@ def q_drop_malformed(spark, sf_dir):
     """Quoted CSV whose text field holds a comma; orders in status P are written as broken
     lines (a non-numeric key, a missing field) and must be dropped."""
     path = scratch_path(spark, "orders_quoted")
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)
     good = F.concat(F.col("o_orderkey").cast("string"), F.lit(',"'), F.col("o_orderpriority"),
                     F.lit(", "), F.col("o_orderstatus"), F.lit('",'),
                     F.col("o_totalprice").cast("string"))
@@ -518,14 +530,14 @@ LINEITEM_SCHEMA = ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_lin
 def q_csv_round_trip(spark, sf_dir):
     """Headerless CSV written by Spark, read back with the fixed schema (K2 + S1)."""
     path = scratch_path(spark, "lineitem_csv")
-    write_csv(table(spark, sf_dir, "lineitem"), path)
+    write_csv(table(spark, sf_dir, "lineitem", spread=True), path)
     return read_csv(spark, path, LINEITEM_SCHEMA)
 
 
 @query("parquet_round_trip", "SELECT * FROM lineitem")
 def q_parquet_round_trip(spark, sf_dir):
     path = scratch_path(spark, "lineitem_parquet")
-    write_parquet(table(spark, sf_dir, "lineitem"), path)
+    write_parquet(table(spark, sf_dir, "lineitem", spread=True), path)
     return read_parquet(spark, path)
 
 
@@ -534,7 +546,7 @@ def q_csv_to_parquet(spark, sf_dir):
     """QP17: header CSV (all strings) -> names trimmed -> union by name -> Parquet, read back and
     typed. The read-back count is checked against the source in the tests."""
     src, out = scratch_path(spark, "lineitem_header_csv"), scratch_path(spark, "lineitem_pq")
-    write_csv(table(spark, sf_dir, "lineitem"), src, header=True)
+    write_csv(table(spark, sf_dir, "lineitem", spread=True), src, header=True)
     city.convert_to_parquet(spark, [src], out)
     typed = spark.createDataFrame([], LINEITEM_SCHEMA).schema
     back = read_parquet(spark, out)
