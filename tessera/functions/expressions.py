@@ -32,7 +32,7 @@ def tokens(text: str | Column) -> Column:
 def field(text: str | Column, sep: str, index: int) -> Column:
     """1-based field of a delimited string (X2); null when the line is too short."""
     import re
-    return F.element_at(F.split(_c(text), re.escape(sep)), index)
+    return F.try_element_at(F.split(_c(text), re.escape(sep)), F.lit(index))
 
 
 def money_to_double(text: str | Column) -> Column:

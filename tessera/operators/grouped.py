@@ -34,21 +34,27 @@ def aggregate_by_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     keys = list(keys)
     how = {c: v for c, v in comb.items()}
 
-    def merge(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    def merge(parts: list[pd.DataFrame], key_dtypes) -> pd.DataFrame:
         cat = pd.concat(parts, ignore_index=True)
-        return cat.groupby(keys, as_index=False, dropna=False, sort=False).agg(how)
+        out = cat.groupby(keys, as_index=False, dropna=False, sort=False).agg(how)
+        for k in keys:  # an all-null key group comes back as float NaN; restore nulls/dtype
+            if out[k].dtype != key_dtypes[k]:
+                col = out[k].astype(object)
+                out[k] = col.where(col.notna(), None)
+        return out
 
     def per_task(chunks):
-        held, n = [], 0
+        held, n, key_dtypes = [], 0, None
         for chunk in chunks:
+            key_dtypes = chunk.dtypes[keys].to_dict()
             part = seq(chunk)
             held.append(part)
             n += len(part)
             if n >= FLUSH_ROWS:
-                yield merge(held)
+                yield merge(held, key_dtypes)
                 held, n = [], 0
         if held:
-            yield merge(held)
+            yield merge(held, key_dtypes)
 
     partial = df.select(*keys, *columns).mapInPandas(per_task, state_schema)
     merged = partial.groupBy(*keys).agg(*[COMBINERS[v](c).alias(c) for c, v in comb.items()])

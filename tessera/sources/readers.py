@@ -68,25 +68,28 @@ def read_header_csv_union(spark: SparkSession, paths: Sequence[str], sep: str =
 
 def read_csv_checked(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
                      columns: Sequence[str] | None = None, sep: str = ",", header: bool = True,
-                     quarantine_path: str | None = None) -> DataFrame:
+                     quarantine_path: str | None = None, observation=None) -> DataFrame:
     """Read a quoted CSV, dropping rows that do not fit the schema, then pick columns by name.
 
-    Without ``quarantine_path`` the reader runs in DROPMALFORMED mode. With it, bad rows are
-    kept in a corrupt-record column, written whole (all columns, so Spark's rule against
-    corrupt-column-only queries never fires) to ``quarantine_path``, and excluded from the result.
-    Columns are selected only after the bad-row filter so that pruning cannot change what counts
-    as malformed.
+    Rows that do not fit (wrong field count, a value not of its column's type) land in a
+    corrupt-record column and are filtered out. The CSV parser only converts the columns a query
+    needs, so selecting fewer ``columns`` would make fewer rows look malformed; an observed
+    metric over every column (the malformed-row count, readable from the ``Observation``
+    ``observation`` if passed) keeps all columns required, so the verdict is always whole-row.
+    With ``quarantine_path`` the bad rows are also written there (whole lines, Parquet).
     """
     schema = _as_schema(schema)
-    if quarantine_path is None:
-        df = read_csv(spark, path, schema, sep=sep, header=header, mode="DROPMALFORMED",
-                      **{"columnPruning": False})
-        return df.select(*(columns or schema.fieldNames()))
     with_bad = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
     raw = read_csv(spark, path, with_bad, sep=sep, header=header, mode="PERMISSIVE",
                    columnNameOfCorruptRecord=CORRUPT_COL)
-    raw.where(F.col(CORRUPT_COL).isNotNull()).write.mode("overwrite").parquet(quarantine_path)
-    good = raw.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
+    raw = raw.observe(observation or f"csv_checked_{id(raw)}",
+                      F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("malformed"),
+                      F.max(F.xxhash64(*[F.col(f.name) for f in schema.fields]))
+                      .alias("_whole_row"))
+    if quarantine_path is not None:
+        (raw.where(F.col(CORRUPT_COL).isNotNull()).write.mode("overwrite")
+         .parquet(quarantine_path))
+    good = raw.where(F.col(CORRUPT_COL).isNull())
     return good.select(*(columns or schema.fieldNames()))
 
 
@@ -113,7 +116,7 @@ def parse_lines(lines: DataFrame, sep: str, fields: Sequence[tuple[str, str]],
     parts = F.col("_parts")
     return (lines.select(F.split(F.col(col), re.escape(sep)).alias("_parts"))
             .where(F.size(parts) >= need)
-            .select(*[F.element_at(parts, i + 1).try_cast(t).alias(name)
+            .select(*[F.try_element_at(parts, F.lit(i + 1)).try_cast(t).alias(name)
                       for i, (name, t) in enumerate(fields)]))
 
 
