@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 2_000_000   # replicated side bound for an explicit broadcast
-MAX_NESTED_LOOP_ROWS = 10_000    # replicated side bound for a shuffle-replicate nested loop
+MAX_NESTED_LOOP_ROWS = 1_000     # replicated side bound for a nested loop (cost: rows x bound)
 MONEY = "decimal(18,2)"          # exact type for summing two-decimal amounts stored as double
 
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")

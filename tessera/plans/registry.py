@@ -145,7 +145,7 @@ def q_word_count(spark, sf_dir):
 def q_word_count_text_file(spark, sf_dir):
     """The same count from a plain text file (S11): the texts are written as lines first."""
     path = scratch_path(spark, "documents_text")
-    write_text(table(spark, sf_dir, "documents").select("text"), path)
+    write_text(table(spark, sf_dir, "documents", spread=True).select("text"), path)
     return workbook.word_count(read_lines(spark, path), "value")
 
 

@@ -1,9 +1,8 @@
 """GeoJSON FeatureCollection source and sink.
 
 A FeatureCollection document must be parsed whole, so a multi-line document is read by one task
-per file. To stay parallel at scale the writer emits one document per input partition (bounded
-size), and the reader takes an explicit schema (no eager inference pass, only the wanted fields
-are materialised). ``layout="feature_per_line"`` reads the common one-feature-per-line layout as
+per file. To stay parallel at scale the writer emits many bounded documents, and the reader
+takes an explicit schema (no eager inference pass, only the wanted fields are materialised). ``layout="feature_per_line"`` reads the common one-feature-per-line layout as
 splittable text instead.
 """
 
@@ -60,16 +59,18 @@ def flatten_properties(features: DataFrame, keep_geometry: bool = True) -> DataF
 
 
 def write_collections(df: DataFrame, path: str, properties: Sequence[str],
-                      geometry: Column) -> None:
-    """Write ``df`` as GeoJSON FeatureCollection documents, one per input partition.
+                      geometry: Column, features_per_doc: int = 50_000) -> None:
+    """Write ``df`` as GeoJSON FeatureCollection documents of at most ``features_per_doc``
+    features each, every document in its own file (what a multi-line JSON reader needs).
 
-    Each document gathers only the rows of one input partition (bounded by the scan split size),
-    and each lands in its own file, which is what a multi-line JSON reader needs.
+    A document holds consecutive rows of one input partition (the row id is partition-major),
+    so building it never gathers rows from more than one task and its size is bounded.
     """
     feature = F.struct(F.lit("Feature").alias("type"),
                        F.struct(*[F.col(p) for p in properties]).alias("properties"),
                        geometry.alias("geometry"))
-    docs = (df.select(F.spark_partition_id().alias("doc"), feature.alias("f"))
+    doc = F.floor(F.monotonically_increasing_id() / F.lit(features_per_doc))
+    docs = (df.select(doc.alias("doc"), feature.alias("f"))
             .groupBy("doc").agg(F.collect_list("f").alias("features"))
             .select("doc", F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
                                               F.col("features"))).alias("value")))

@@ -95,16 +95,17 @@ def test_single_file_opt_in(spark, scratch):
     assert len(parts) == 1
 
 
-def test_geojson_writer_one_document_per_partition(spark, scratch):
+def test_geojson_writer_bounded_documents(spark, scratch):
     from pyspark.sql import types as T
     df = spark.range(0, 50, numPartitions=5).select(
         F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     out = scratch("gj")
     write_collections(df, out, ["k", "v"],
                       F.struct(F.lit("Point").alias("type"),
-                               F.array(F.col("k").cast("double"), F.lit(0.0)).alias("coordinates")))
+                               F.array(F.col("k").cast("double"), F.lit(0.0)).alias("coordinates")),
+                      features_per_doc=4)
     docs = [d for d in os.listdir(out) if d.startswith("doc=")]
-    assert len(docs) == 5
+    assert len(docs) == 15  # 10 rows per partition -> 3 documents of <= 4 features each
     props = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType())])
     feats = read_features(spark, out, props)
     assert feats.count() == 50
