@@ -45,9 +45,16 @@ def parse_timestamp(text: str | Column, pattern: str = TEXT_TIMESTAMP_PATTERN,
                     ntz: bool = True) -> Column:
     """Text -> timestamp with a pattern; unparsable text -> null.
 
-    ``ntz`` returns a zone-less wall-clock value, independent of the session time zone."""
-    ts = F.try_to_timestamp(_c(text), F.lit(pattern))
-    return ts.cast("timestamp_ntz") if ntz else ts
+    ``ntz`` returns the zone-less wall-clock value exactly as written, whatever the session time
+    zone: ``to_timestamp_ntz`` parses it (casting a session-zone timestamp instead would move
+    wall-clock times inside a daylight-saving gap), and ``try_to_timestamp`` first decides
+    whether the text parses at all, since the NTZ parser fails the job on bad text in ANSI mode.
+    """
+    fmt = F.lit(pattern)
+    ts = F.try_to_timestamp(_c(text), fmt)
+    if not ntz:
+        return ts
+    return F.when(ts.isNotNull(), F.to_timestamp_ntz(_c(text), fmt))
 
 
 def hhmm_to_hour(text: str | Column) -> Column:

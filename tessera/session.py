@@ -47,12 +47,16 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d.rstrip("/")
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local context
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
     d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    sc.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
 
 

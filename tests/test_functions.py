@@ -68,3 +68,15 @@ def test_rounding_forms(spark):
     got = [r[0] for r in rows(df.select(round_half_up("x", 2)))]
     assert got == [2.68, 1.0, 8.33, 7.67]
     assert rows(df.select(fixed_text("%.2f", "x")).limit(1)) == [("2.68",)]
+
+
+def test_parse_timestamp_ignores_session_zone(spark):
+    import datetime as dt
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2010 Mar 14 02:30:00 AM",), ("junk",)], "d STRING")
+        got = [r[0] for r in rows(df.select(parse_timestamp("d")))]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [dt.datetime(2010, 3, 14, 2, 30), None]
