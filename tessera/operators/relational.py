@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import sorted_values
+
 MAX_BROADCAST_ROWS = 2_000_000   # replicated side bound for an explicit broadcast
 MAX_NESTED_LOOP_ROWS = 1_000     # replicated side bound for a nested loop (cost: rows x bound)
 MONEY = "decimal(18,2)"          # exact type for summing two-decimal amounts stored as double
@@ -27,11 +29,6 @@ def _c(x: str | Column) -> Column:
 
 # -- projections ---------------------------------------------------------------------------------
 
-def project(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
-    """P1/P3."""
-    return df.select(*cols)
-
-
 def with_product(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """P5: a derived ``a * b`` column."""
     return df.withColumn(name, F.col(a) * F.col(b))
@@ -87,16 +84,14 @@ def join_filtered_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: s
 
 # -- aggregates -----------------------------------------------------------------------------------
 
-def money_sum(col: str | Column) -> Column:
-    """Sum of two-decimal amounts, exact and order-independent, returned as double."""
-    return F.sum(_c(col).cast(MONEY)).cast("double")
-
-
 def sum_by(df: DataFrame, keys: Sequence[str | Column], col: str | Column, alias: str,
            money: bool = False) -> DataFrame:
-    """A1: one sum per group (partial sums per task before the shuffle)."""
-    agg = money_sum(col) if money else F.sum(_c(col))
-    return df.groupBy(*keys).agg(agg.alias(alias))
+    """A1: one sum per group (partial sums per task before the shuffle).
+
+    ``money`` sums two-decimal amounts stored as double exactly, as ``decimal(18,2)``: the
+    result no longer depends on the order rows reach the sum (cast to double at the end)."""
+    value = _c(col).cast(MONEY) if money else _c(col)
+    return df.groupBy(*keys).agg(F.sum(value).alias(alias))
 
 
 def sums_by(df: DataFrame, keys: Sequence[str | Column],
@@ -133,6 +128,6 @@ def sorted_list_by(df: DataFrame, key: str, value: str, alias: str = "values",
 
     The list is the result, so each group's list is built in the task that owns the group;
     values are gathered with partial lists per task (map-side) before the shuffle."""
-    lst = F.sort_array(F.collect_list(F.col(value)))
+    lst = sorted_values(F.collect_list(F.col(value)))
     out = lst if sep is None else F.array_join(lst, sep)
     return df.groupBy(key).agg(out.alias(alias))

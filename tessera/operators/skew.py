@@ -68,10 +68,3 @@ def salt_grid(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
            .drop("_nl", "_nr"))
     return lft, rgt, ["_a", "_b"]
 
-
-def salt_groups(df: DataFrame, keys: Sequence[str], target_rows: int = TARGET_ROWS
-                ) -> tuple[DataFrame, str]:
-    """One-sided split: each hot key's rows spread over ``ceil(n / target_rows)`` buckets."""
-    hot = hot_keys(df, keys, target_rows, "_nb")
-    out = _attach(df, keys, hot, keys, "_nb")
-    return out.withColumn("_bucket", _own_bucket(df, "_nb")).drop("_nb"), "_bucket"

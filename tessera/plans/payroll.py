@@ -90,8 +90,7 @@ def sum_per_dimension(facts: DataFrame, dims: DataFrame, fact_key: str, dim_key:
     Aggregated to one row per key *before* the join (partial sums per task, so a hot key is
     one row per task), then joined to the dimension and re-summed per name (names need not be
     unique)."""
-    value = F.col(amount).cast(relational.MONEY) if money else F.col(amount)
-    per_key = facts.groupBy(fact_key).agg(F.sum(value).alias("_part"))  # exact decimal if money
+    per_key = relational.sum_by(facts, [fact_key], amount, "_part", money=money)
     named = per_key.join(dims.select(dim_key, dim_name),
                          F.col(fact_key) == F.col(dim_key), "inner")
     total = F.sum("_part").cast("double") if money else F.sum("_part")
@@ -105,7 +104,7 @@ def count_per_dimension(facts: DataFrame, dims: DataFrame, fact_key: str, dim_ke
 
     Facts are counted per key first (partial counts per task), so the requested strategy joins
     one row per key; broadcast and nested loop are honoured only behind a bounded row count."""
-    per_key = facts.groupBy(fact_key).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = relational.count_by(facts, [fact_key], "_n")
     joined = relational.join(per_key, dims.select(dim_key, dim_name),
                              F.col(fact_key) == F.col(dim_key), "inner", strategy)
     return joined.groupBy(dim_name).agg(F.sum("_n").alias(alias))

@@ -391,8 +391,8 @@ def q_nested_field(spark, sf_dir):
 FROM (SELECT label, unnest(embedding) AS x FROM embeddings) t GROUP BY label""")
 def q_explode_count(spark, sf_dir):
     em = table(spark, sf_dir, "embeddings")
-    return (em.select("label", F.explode("embedding").alias("x"))
-            .groupBy("label").agg(F.count(F.lit(1)).alias("n")))
+    return relational.count_by(em.select("label", F.explode("embedding").alias("x")),
+                               ["label"], "n")
 
 
 @query("hhmm_hour", "SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour FROM events")

@@ -17,7 +17,7 @@ def word_count(lines: DataFrame, text: str = "value") -> DataFrame:
     Tokens are exploded and counted with partial counts per task, so a very common word is one
     row per task before the shuffle. The final sort is a range shuffle over distinct words."""
     words = lines.select(F.explode(tokens(text)).alias("word"))
-    return (words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return (relational.count_by(words, ["word"], "n")
             .orderBy(F.col("n").desc(), F.col("word").asc()))
 
 
@@ -49,8 +49,7 @@ def sorted_names_per_group(df: DataFrame, group: str, name: str, alias: str = "n
 def high_value(df: DataFrame, qty: str, price: str, threshold: float,
                cols: Sequence[str], alias: str = "value") -> DataFrame:
     """QP10: rows whose ``qty * price`` reaches ``threshold``, largest first (P5, F2, O2)."""
-    value = F.col(qty) * F.col(price)
-    return (df.select(*cols, value.alias(alias))
+    return (relational.with_product(df, qty, price, alias).select(*cols, alias)
             .where(F.col(alias) >= F.lit(threshold))
             .orderBy(F.col(alias).desc(), *[F.col(c).asc() for c in cols]))
 
@@ -91,9 +90,10 @@ def mean_per_key_accumulated(df: DataFrame, key: str, value: str, alias: str = "
         g = chunk.groupby(key, as_index=False, dropna=False, sort=False)[value]
         return g.agg(s="sum", n="count")
 
+    sum_type = "double" if vt in ("float", "double") else "bigint"
     mean = F.col("s") / F.col("n")
     return grouped.aggregate_by_key(
-        df, [key], [value], seq, f"{key} {kt}, s {'double' if vt in ('float', 'double') else 'bigint'}, n bigint",
+        df, [key], [value], seq, f"`{key}` {kt}, s {sum_type}, n bigint",
         {"s": "sum", "n": "sum"}, [round_half_up(mean, scale).alias(alias)])
 
 

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tessera.functions import (field, fixed_text, hhmm_to_hour, money_to_double,
-                               parse_timestamp, part_of_day, part_of_day_udf, round_half_up,
-                               safe_long, tokens)
+                               parse_timestamp, part_of_day, part_of_day_udf, round_decimal,
+                               round_half_up, safe_long, tokens)
 
 
 def test_hhmm_to_hour(spark):
@@ -67,6 +67,8 @@ def test_rounding_forms(spark):
     df = spark.createDataFrame([(2.675,), (1.005,), (8.333333,), (7.665,)], "x DOUBLE")
     got = [r[0] for r in rows(df.select(round_half_up("x", 2)))]
     assert got == [2.68, 1.0, 8.33, 7.67]
+    # Spark's round works on the shortest decimal text of the double: 1.005 -> 1.01
+    assert [r[0] for r in rows(df.select(round_decimal("x", 2)))] == [2.68, 1.01, 8.33, 7.67]
     assert rows(df.select(fixed_text("%.2f", "x")).limit(1)) == [("2.68",)]
 
 
