@@ -4,7 +4,7 @@ since ANSI mode turns a bad cast into an error)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- fixed values: part-of-day bands (inclusive hour ranges) and their labels ----------------
@@ -24,9 +24,21 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+WHITESPACE = r"\s+"
+
+
 def tokens(text: str | Column) -> Column:
-    """Whitespace tokenisation (X1): split on runs of blanks, drop empty pieces."""
-    return F.filter(F.split(_c(text), r"\s+"), lambda t: t != F.lit(""))
+    """Whitespace tokenisation (X1): split on runs of blanks, drop empty pieces (an array)."""
+    return F.filter(F.split(_c(text), WHITESPACE), lambda t: t != F.lit(""))
+
+
+def explode_tokens(df: DataFrame, text: str | Column, alias: str = "word") -> DataFrame:
+    """One row per whitespace-separated token of ``text`` (X1 + P11).
+
+    Explode first, then drop the empty pieces (a leading blank gives one) with a plain filter:
+    both stay in generated code, unlike a lambda filter over the array."""
+    words = df.select(F.explode(F.split(_c(text), WHITESPACE)).alias(alias))
+    return words.where(F.col(alias) != F.lit(""))
 
 
 def field(text: str | Column, sep: str, index: int) -> Column:

@@ -288,16 +288,21 @@ SELECT part, CAST(count_if(flag) AS BIGINT) AS flag_count, count(*) AS part_tota
 FROM t GROUP BY part"""
 
 
+def _event_hour():
+    """The hour as the city pipeline gets it: from ``HHMM`` clock text."""
+    return hhmm_to_hour(F.date_format("ts", "HHmm"))
+
+
 @query("share_by_part_of_day", SHARE_SQL)
 def q_share_by_part_of_day(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    return city.share_by_part_of_day(ev, F.hour("ts"), F.col("event_type") == "error")
+    return city.share_by_part_of_day(ev, _event_hour(), F.col("event_type") == "error")
 
 
 @query("share_by_part_of_day_udf", SHARE_SQL)
 def q_share_by_part_of_day_udf(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    return city.share_by_part_of_day(ev, F.hour("ts"), F.col("event_type") == "error",
+    return city.share_by_part_of_day(ev, _event_hour(), F.col("event_type") == "error",
                                      use_udf=True)
 
 

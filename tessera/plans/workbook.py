@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import round_half_up, tokens
+from tessera.functions import explode_tokens, round_half_up
 from tessera.operators import grouped, relational, setops
 
 
@@ -16,7 +16,7 @@ def word_count(lines: DataFrame, text: str = "value") -> DataFrame:
 
     Tokens are exploded and counted with partial counts per task, so a very common word is one
     row per task before the shuffle. The final sort is a range shuffle over distinct words."""
-    words = lines.select(F.explode(tokens(text)).alias("word"))
+    words = explode_tokens(lines, text, "word")
     return (relational.count_by(words, ["word"], "n")
             .orderBy(F.col("n").desc(), F.col("word").asc()))
 

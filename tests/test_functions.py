@@ -82,3 +82,30 @@ def test_parse_timestamp_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [dt.datetime(2010, 3, 14, 2, 30), None]
+
+
+def test_percent_and_rounding_exact_on_random_inputs(spark):
+    import random
+    from fractions import Fraction
+    from tessera.functions import percent_of
+    rnd = random.Random(7)
+    pairs = [(0, 1), (1, 1), (1, 8), (1, 16), (5, 40)]
+    for _ in range(400):
+        w = rnd.randint(1, 10 ** rnd.randint(1, 9))
+        pairs.append((rnd.randint(0, w), w))
+    df = spark.createDataFrame(pairs, "p LONG, w LONG")
+    got = [r[0] for r in df.select(percent_of("p", "w")).collect()]
+    for (p, w), g in zip(pairs, got):
+        exact = Fraction(100 * p, w)
+        want = (exact * 100 + Fraction(1, 2)).__floor__() / 100
+        assert g == float(want), (p, w, g, float(want))
+
+
+def test_money_text_random_amounts(spark):
+    import random
+    rnd = random.Random(3)
+    amounts = [rnd.randint(0, 10 ** rnd.randint(1, 12)) for _ in range(300)]
+    texts = [(f"{' ' * (a % 3)}${a:,}{' ' * (a % 2)}", float(a)) for a in amounts]
+    df = spark.createDataFrame(texts, "t STRING, want DOUBLE")
+    bad = df.where(money_to_double("t") != df.want).count()
+    assert bad == 0 and df.where(money_to_double("t").isNull()).count() == 0
