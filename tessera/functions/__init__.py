@@ -1,7 +1,8 @@
 """Scalar functions (X1-X15) and their Arrow UDF twins (D-1, D-2)."""
 
 from tessera.functions.expressions import (PART_OF_DAY_BANDS, PART_OF_DAY_REST,  # noqa: F401
-                                           TEXT_TIMESTAMP_PATTERN, explode_tokens, field,
+                                           TEXT_TIMESTAMP_PATTERN, clock_text, explode_tokens,
+                                           field,
                                            fixed_text,
                                            hhmm_to_hour, money_to_double, parse_timestamp,
                                            part_of_day, percent_of, round_decimal,

@@ -20,6 +20,10 @@ MONEY_PATTERN = r"^\$([\d,]+)$"
 # ------------------------------------------------------------------------------------------------
 
 
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -55,18 +59,24 @@ def money_to_double(text: str | Column) -> Column:
 
 def parse_timestamp(text: str | Column, pattern: str = TEXT_TIMESTAMP_PATTERN,
                     ntz: bool = True) -> Column:
-    """Text -> timestamp with a pattern; unparsable text -> null.
+    """Text -> timestamp with a zone-less pattern; unparsable text -> null.
 
-    ``ntz`` returns the zone-less wall-clock value exactly as written, whatever the session time
-    zone: ``to_timestamp_ntz`` parses it (casting a session-zone timestamp instead would move
-    wall-clock times inside a daylight-saving gap), and ``try_to_timestamp`` first decides
-    whether the text parses at all, since the NTZ parser fails the job on bad text in ANSI mode.
+    ``ntz`` returns the wall-clock value exactly as written, whatever the session time zone.
+    The text is parsed once, as UTC (an explicit ``+0000`` offset is appended), and the instant's
+    microseconds since the epoch are laid onto the zone-less epoch. Casting a session-zone
+    timestamp instead would move wall-clock times that fall in a daylight-saving gap, and the
+    NTZ parser itself fails the job on bad text in ANSI mode.
     """
-    fmt = F.lit(pattern)
-    ts = F.try_to_timestamp(_c(text), fmt)
     if not ntz:
-        return ts
-    return F.when(ts.isNotNull(), F.to_timestamp_ntz(_c(text), fmt))
+        return F.try_to_timestamp(_c(text), F.lit(pattern))
+    as_utc = F.try_to_timestamp(F.concat(_c(text), F.lit(" +0000")), F.lit(pattern + " Z"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(as_utc), _epoch_ntz())
+
+
+def clock_text(ts: str | Column) -> Column:
+    """A timestamp's time of day as ``HHMM`` text (``'0045'``), by arithmetic (no formatter)."""
+    t = _c(ts)
+    return F.lpad((F.hour(t) * 100 + F.minute(t)).cast("string"), 4, "0")
 
 
 def hhmm_to_hour(text: str | Column) -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import (TEXT_TIMESTAMP_PATTERN, fixed_text, hhmm_to_hour,
+from tessera.functions import (TEXT_TIMESTAMP_PATTERN, clock_text, fixed_text, hhmm_to_hour,
                                money_to_double, parse_timestamp, safe_long)
 from tessera.operators import grouped, partitioning, relational, setops
 from tessera.plans import city, payroll, workbook
@@ -290,7 +290,7 @@ FROM t GROUP BY part"""
 
 def _event_hour():
     """The hour as the city pipeline gets it: from ``HHMM`` clock text."""
-    return hhmm_to_hour(F.date_format("ts", "HHmm"))
+    return hhmm_to_hour(clock_text("ts"))
 
 
 @query("share_by_part_of_day", SHARE_SQL)
@@ -403,7 +403,7 @@ def q_explode_count(spark, sf_dir):
 @query("hhmm_hour", "SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour FROM events")
 def q_hhmm_hour(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    return ev.select("event_id", hhmm_to_hour(F.date_format("ts", "HHmm")).alias("hour"))
+    return ev.select("event_id", hhmm_to_hour(clock_text("ts")).alias("hour"))
 
 
 @query("safe_int", """SELECT p_partkey,
