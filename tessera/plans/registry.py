@@ -155,6 +155,16 @@ def q_even_squares(spark, sf_dir):
     return workbook.even_squares(table(spark, sf_dir, "part"), "p_partkey")
 
 
+@query("range_squares", """SELECT range AS n, range * range AS sq
+FROM range((SELECT count(*) FROM part)) WHERE range % 2 = 0""")
+def q_range_squares(spark, sf_dir):
+    """Even squares over ``spark.range`` (S13) sized by a table's row count (one scalar action);
+    the ids are generated on the executors, nothing but the count passes through the driver."""
+    from tessera.sources import int_range
+    n = table(spark, sf_dir, "part").count()
+    return workbook.even_squares(int_range(spark, n), "id")
+
+
 @query("global_sum", "SELECT CAST(SUM(p_partkey) AS BIGINT) AS total FROM part")
 def q_global_sum(spark, sf_dir):
     from tessera.sources import global_sum
