@@ -54,13 +54,15 @@ def top_in_dimension_sql(spark: SparkSession, facts: DataFrame, dims: DataFrame,
 def yearly_income(staff: DataFrame, amount: str = "salary", label: str = "name",
                   factor: int | float = 14, alias: str = "yearly_income",
                   extra: Sequence[str] = ()) -> DataFrame:
-    """QP3: ``amount * factor`` per row, sorted descending, ties by ``label``.
+    """QP3: ``amount * factor`` per row, sorted descending, ties by ``label`` then ``extra``.
 
-    Integral amounts are widened to bigint first (ANSI mode fails on int overflow)."""
+    Integral amounts are widened to bigint first (ANSI mode fails on int overflow). Pass a unique
+    key in ``extra``: as the last sort key it lets the range shuffle split even a value shared by
+    a third of all rows over many tasks."""
     integral = dict(staff.dtypes)[amount] in ("tinyint", "smallint", "int", "bigint")
     value = times(amount, factor, widen=integral)
     return (staff.select(*extra, label, value.alias(alias))
-            .orderBy(F.col(alias).desc(), F.col(label).asc()))
+            .orderBy(F.col(alias).desc(), F.col(label).asc(), *[F.col(c).asc() for c in extra]))
 
 
 def yearly_income_udf(staff: DataFrame, amount: str = "salary", label: str = "name",
@@ -68,7 +70,7 @@ def yearly_income_udf(staff: DataFrame, amount: str = "salary", label: str = "na
                       extra: Sequence[str] = ()) -> DataFrame:
     """QP4: the same with an Arrow UDF (D-1), for the built-in vs UDF comparison."""
     return (staff.select(*extra, label, apply_times_udf(amount, factor).alias(alias))
-            .orderBy(F.col(alias).desc(), F.col(label).asc()))
+            .orderBy(F.col(alias).desc(), F.col(label).asc(), *[F.col(c).asc() for c in extra]))
 
 
 def yearly_income_sql(spark: SparkSession, staff: DataFrame, amount: str = "salary",
@@ -78,8 +80,9 @@ def yearly_income_sql(spark: SparkSession, staff: DataFrame, amount: str = "sala
     integral = dict(staff.dtypes)[amount] in ("tinyint", "smallint", "int", "bigint")
     value = f"CAST(`{amount}` AS BIGINT) * {factor}" if integral else f"`{amount}` * {factor}"
     pre = "".join(f"`{c}`, " for c in extra)
+    post = "".join(f", `{c}`" for c in extra)
     return spark.sql(f"SELECT {pre}`{label}`, {value} AS `{alias}` FROM {view} "
-                     f"ORDER BY `{alias}` DESC, `{label}`")
+                     f"ORDER BY `{alias}` DESC, `{label}`{post}")
 
 
 def sum_per_dimension(facts: DataFrame, dims: DataFrame, fact_key: str, dim_key: str,

@@ -95,7 +95,8 @@ def q_top_k_in_dim_sql(spark, sf_dir):
 
 @query("yearly_income", "SELECT o_orderkey, o_totalprice * 14 AS yearly_income FROM orders")
 def q_yearly_income(spark, sf_dir):
-    return payroll.yearly_income(table(spark, sf_dir, "orders", spread=True), "o_totalprice", "o_orderkey")
+    return payroll.yearly_income(table(spark, sf_dir, "orders", spread=True), "o_totalprice",
+                                 "o_orderkey")
 
 
 YEARLY_INT_SQL = """SELECT p_partkey, p_name, CAST(p_size AS BIGINT) * 14 AS yearly_income
