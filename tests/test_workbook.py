@@ -133,3 +133,18 @@ def test_custom_aggregate_contract(spark):
                                    {"lo": "min", "hi": "max"},
                                    [(F.col("hi") - F.col("lo")).alias("spread")])
     assert sorted(rows(got)) == [("x", 6), ("y", 0)]
+
+
+def test_cogroup_join_on_test_tables_with_every_key_hot(spark):
+    from conftest import TESTDATA
+    sf = f"{TESTDATA}/sf0.01"
+    c = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", "c_name", "c_nationkey")
+    n = spark.read.parquet(f"{sf}/nation.parquet").select("n_nationkey", "n_name")
+    cols = ["c_custkey", "c_name", "c_nationkey", "n_name"]
+    got = grouped.cogroup_apply(c, n, ["c_nationkey"], ["n_nationkey"],
+                                grouped.pandas_inner_join("c_nationkey", "n_nationkey", cols),
+                                "c_custkey bigint, c_name string, c_nationkey int, n_name string",
+                                target_rows=20)  # ~60 customers per nation -> 3-4 cells each
+    want = c.join(n, c.c_nationkey == n.n_nationkey).select(*cols)
+    assert got.count() == want.count() == 1500
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
