@@ -66,11 +66,24 @@ def read_header_csv_union(spark: SparkSession, paths: Sequence[str], sep: str =
 
 # -- S6: quote-aware CSV with bad-row handling -------------------------------------------------
 
-def read_csv_checked(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
+def header_schema(spark: SparkSession, path: str | Sequence[str], types: dict[str, str],
+                  sep: str = ",") -> T.StructType:
+    """The positional schema of a header CSV, built by looking each header name up in
+    ``types`` (names are trimmed; unknown names are strings). Reads only the header line."""
+    names = [c.strip() for c in read_csv_strings(spark, path, sep=sep).columns]
+    ddl = ", ".join(f"`{n}` {types.get(n, 'string')}" for n in names)
+    return _as_schema(ddl)
+
+
+def read_csv_checked(spark: SparkSession, path: str | Sequence[str],
+                     schema: T.StructType | str | dict[str, str],
                      columns: Sequence[str] | None = None, sep: str = ",", header: bool = True,
                      quarantine_path: str | None = None, observation=None) -> DataFrame:
     """Read a quoted CSV, dropping rows that do not fit the schema, then pick columns by name.
 
+    ``schema`` is positional (a StructType or DDL), or a ``{name: type}`` mapping looked up by
+    the file's header names, so the wanted columns are found by name whatever their order.
+
     Rows that do not fit (wrong field count, a value not of its column's type) land in a
     corrupt-record column and are filtered out. The CSV parser only converts the columns a query
     needs, so selecting fewer ``columns`` would make fewer rows look malformed; an observed
@@ -78,6 +91,8 @@ def read_csv_checked(spark: SparkSession, path: str | Sequence[str], schema: T.S
     ``observation`` if passed) keeps all columns required, so the verdict is always whole-row.
     With ``quarantine_path`` the bad rows are also written there (whole lines, Parquet).
     """
+    if isinstance(schema, dict):
+        schema = header_schema(spark, path, schema, sep)
     schema = _as_schema(schema)
     with_bad = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
     raw = read_csv(spark, path, with_bad, sep=sep, header=header, mode="PERMISSIVE",

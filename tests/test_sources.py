@@ -110,3 +110,13 @@ def test_geojson_writer_bounded_documents(spark, scratch):
     feats = read_features(spark, out, props)
     assert feats.count() == 50
     assert rows(feats.agg(F.sum("properties.v"))) == [(2450,)]
+
+
+def test_checked_csv_columns_by_header_name(spark, tmp_path):
+    text = ('DR_NO,Premis Desc,TIME OCC\n1,"STREET, MAIN",1350\n2,ALLEY,0045\n'
+            'x,broken\n3,PARK,abc\n')
+    p = _write(str(tmp_path / "crime" / "c.csv"), text)
+    got = read_csv_checked(spark, p, {"TIME OCC": "int", "DR_NO": "int"},
+                           columns=["TIME OCC", "Premis Desc"])
+    # 'x,broken' has too few fields and a bad DR_NO; 'abc' is not an int -> both rows dropped
+    assert sorted(rows(got)) == [(45, "ALLEY"), (1350, "STREET, MAIN")]
