@@ -87,3 +87,23 @@ def test_spread_only_when_input_is_narrow(spark):
         spark.sparkContext.defaultParallelism
     wide = spark.range(0, 100, numPartitions=spark.sparkContext.defaultParallelism)
     assert "Exchange" not in plan(spread(wide, ["id"]))
+
+
+PYTHON_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapCoGroupsInPandas",
+                "AggregateInPandas", "FlatMapGroupsInPandas", "WindowInPandas")
+UDF_TWINS = {"yearly_income_udf", "share_by_part_of_day_udf", "grouped_udf_mean",
+             "cogroup_udf_join"}
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+def test_plan_lint(spark, name):
+    p = plan(registry.QUERIES[name](spark, SF))
+    # no row-at-a-time Python, and no Python call that receives a whole group
+    assert "BatchEvalPython" not in p
+    assert "AggregateInPandas" not in p and "FlatMapGroupsInPandas" not in p
+    if name not in UDF_TWINS:
+        assert not any(node in p for node in PYTHON_NODES), name
+    # nested loops only where a bounded nested loop was requested explicitly
+    assert "BroadcastNestedLoopJoin" not in p
+    if name != "join_shuffle_nl":
+        assert "CartesianProduct" not in p
