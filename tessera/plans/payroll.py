@@ -111,3 +111,27 @@ def count_per_dimension(facts: DataFrame, dims: DataFrame, fact_key: str, dim_ke
     joined = relational.join(per_key, dims.select(dim_key, dim_name),
                              F.col(fact_key) == F.col(dim_key), "inner", strategy)
     return joined.groupBy(dim_name).agg(F.sum("_n").alias(alias))
+
+
+SQL_HINTS = {"broadcast": "BROADCAST", "merge": "MERGE", "shuffle_hash": "SHUFFLE_HASH",
+             "shuffle_replicate_nl": "SHUFFLE_REPLICATE_NL"}
+
+
+def count_per_dimension_sql(spark: SparkSession, facts: DataFrame, dims: DataFrame,
+                            fact_key: str, dim_key: str, dim_name: str, strategy: str = "auto",
+                            alias: str = "n") -> DataFrame:
+    """The SQL form of ``count_per_dimension``: the strategy becomes a ``/*+ HINT(..) */``
+    comment. Broadcast and nested-loop hints are emitted only behind the same bounded row
+    count as the DataFrame form; beyond it the MERGE hint is used."""
+    fv, dv = temp_view(facts, "facts"), temp_view(dims, "dims")
+    if strategy == "broadcast" and not relational.fits(dims, relational.MAX_BROADCAST_ROWS):
+        strategy = "merge"
+    if strategy == "shuffle_replicate_nl" and \
+            not relational.fits(dims, relational.MAX_NESTED_LOOP_ROWS):
+        strategy = "merge"
+    hint = f"/*+ {SQL_HINTS[strategy]}(d) */ " if strategy in SQL_HINTS else ""
+    return spark.sql(f"""
+        WITH per_key AS (SELECT `{fact_key}` AS k, count(*) AS c FROM {fv} GROUP BY `{fact_key}`)
+        SELECT {hint}d.`{dim_name}`, sum(p.c) AS `{alias}`
+        FROM per_key p JOIN {dv} d ON p.k = d.`{dim_key}`
+        GROUP BY d.`{dim_name}`""")

@@ -277,6 +277,14 @@ def _customers_per_nation(strategy: str):
     return run
 
 
+@query("join_hint_sql", JOIN_COUNT_SQL)
+def q_join_hint_sql(spark, sf_dir):
+    """J8 in SQL text: ``/*+ BROADCAST(d) */`` behind the bounded row count."""
+    return payroll.count_per_dimension_sql(spark, table(spark, sf_dir, "customer"),
+                                           table(spark, sf_dir, "nation"), "c_nationkey",
+                                           "n_nationkey", "n_name", "broadcast")
+
+
 for _name, _strategy in [("join_broadcast", "broadcast"), ("join_merge", "merge"),
                          ("join_shuffle_hash", "shuffle_hash"),
                          ("join_shuffle_nl", "shuffle_replicate_nl"), ("join_auto", "auto")]:

@@ -107,3 +107,19 @@ def test_plan_lint(spark, name):
     assert "BroadcastNestedLoopJoin" not in p
     if name != "join_shuffle_nl":
         assert "CartesianProduct" not in p
+
+
+@pytest.mark.parametrize("strategy,node", [("broadcast", "BroadcastHashJoin"),
+                                           ("merge", "SortMergeJoin"),
+                                           ("shuffle_hash", "ShuffledHashJoin"),
+                                           ("shuffle_replicate_nl", "CartesianProduct")])
+def test_sql_join_hints(spark, strategy, node):
+    from tessera.plans import payroll
+    c = spark.read.parquet(f"{SF}/customer.parquet")
+    n = spark.read.parquet(f"{SF}/nation.parquet")
+    df = payroll.count_per_dimension_sql(spark, c, n, "c_nationkey", "n_nationkey", "n_name",
+                                         strategy)
+    assert node in plan(df)
+    assert sorted(r[1] for r in df.collect()) == sorted(
+        r[1] for r in payroll.count_per_dimension(c, n, "c_nationkey", "n_nationkey",
+                                                  "n_name").collect())
