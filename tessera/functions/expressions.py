@@ -14,6 +14,10 @@ PART_OF_DAY_BANDS = [
     ("Evening", 17, 20),
 ]
 PART_OF_DAY_REST = "Night"  # every other hour: 21..23 and 0..4
+# ---- fixed values: the whitespace set of Python's str.split() (code points)
+# 0x09-0x0d, 0x1c-0x20, 0x85, 0xa0, 0x1680, 0x2000-0x200a, 0x2028, 0x2029, 0x202f, 0x205f, 0x3000
+# = Unicode White_Space (Java's \s under the (?U) flag) plus the separators 0x1c-0x1f
+WHITESPACE = r"(?U)[\s\x{1c}-\x{1f}]+"
 # ---- fixed values: text timestamp pattern and money pattern ------------------------------------
 TEXT_TIMESTAMP_PATTERN = "yyyy MMM dd hh:mm:ss a"
 MONEY_PATTERN = r"^\$([\d,]+)$"
@@ -28,11 +32,11 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-WHITESPACE = r"\s+"
-
-
 def tokens(text: str | Column) -> Column:
-    """Whitespace tokenisation (X1): split on runs of blanks, drop empty pieces (an array)."""
+    """Whitespace tokenisation (X1): split on runs of whitespace, drop empty pieces (an array).
+
+    Whitespace is the set Python's ``str.split()`` uses (ASCII blanks plus the Unicode spaces),
+    not Java's ASCII-only ``\\s``."""
     return F.filter(F.split(_c(text), WHITESPACE), lambda t: t != F.lit(""))
 
 

@@ -133,7 +133,9 @@ def q_sum_per_dim(spark, sf_dir):
 # ---- QP6 - QP13 ---------------------------------------------------------------------------------
 
 WORD_COUNT_SQL = r"""SELECT w AS word, count(*) AS n
-FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS w FROM documents) t
+FROM (SELECT unnest(regexp_split_to_array(text,
+  '[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'))
+  AS w FROM documents) t
 WHERE w <> '' GROUP BY w"""
 
 

@@ -148,3 +148,13 @@ def test_cogroup_join_on_test_tables_with_every_key_hot(spark):
     want = c.join(n, c.c_nationkey == n.n_nationkey).select(*cols)
     assert got.count() == want.count() == 1500
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_word_count_splits_like_python(spark):
+    texts = ["a b　c", "d\x0be\x1cf", "g h  i\n", " j"]
+    df = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    want = {}
+    for t in texts:
+        for w in t.split():
+            want[w] = want.get(w, 0) + 1
+    assert dict(rows(workbook.word_count(df))) == want
