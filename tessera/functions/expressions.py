@@ -32,6 +32,13 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def strip(text: str | Column) -> Column:
+    """Remove leading and trailing whitespace (X3), the same set as Python's ``str.strip()``
+    (Spark's ``trim`` removes only the blank character)."""
+    ws = WHITESPACE.removeprefix("(?U)")
+    return F.regexp_replace(_c(text), f"(?U)^{ws}|{ws}$", "")
+
+
 def tokens(text: str | Column) -> Column:
     """Whitespace tokenisation (X1): split on runs of whitespace, drop empty pieces (an array).
 
@@ -57,7 +64,7 @@ def field(text: str | Column, sep: str, index: int) -> Column:
 
 def money_to_double(text: str | Column) -> Column:
     """``'$52,806'`` -> 52806.0; surrounding blanks are ignored; anything else -> null."""
-    digits = F.regexp_extract(F.trim(_c(text)), MONEY_PATTERN, 1)
+    digits = F.regexp_extract(strip(text), MONEY_PATTERN, 1)
     return F.regexp_replace(digits, ",", "").try_cast("double")
 
 
@@ -85,7 +92,7 @@ def clock_text(ts: str | Column) -> Column:
 
 def hhmm_to_hour(text: str | Column) -> Column:
     """``'1350'`` -> 13, ``'0045'`` -> 0, ``'1345.0'`` -> 13; blank or junk -> null."""
-    t = F.trim(_c(text))
+    t = strip(text)
     as_int = F.coalesce(t.try_cast("int"), t.try_cast("double").try_cast("int"))
     return (as_int / F.lit(100)).cast("int")
 
@@ -137,7 +144,7 @@ def percent_of(part: str | Column, whole: str | Column, scale: int = 2) -> Colum
 
 def safe_long(text: str | Column) -> Column:
     """Integer text -> bigint; null or junk -> 0."""
-    return F.coalesce(F.trim(_c(text).cast("string")).try_cast("long"), F.lit(0).cast("long"))
+    return F.coalesce(strip(_c(text).cast("string")).try_cast("long"), F.lit(0).cast("long"))
 
 
 def sorted_values(arr: str | Column) -> Column:

@@ -10,7 +10,7 @@ from tessera.functions import (field, fixed_text, hhmm_to_hour, money_to_double,
 
 
 def test_hhmm_to_hour(spark):
-    vals = ["1350", "0045", "0001", " 2359 ", "1345.0", "", "abc", None, "---"]
+    vals = ["1350", "0045", "0001", "\u00a02359 \n", "1345.0", "", "abc", None, "---"]
     df = spark.createDataFrame([(v,) for v in vals], "t STRING")
     assert [r[0] for r in rows(df.select(hhmm_to_hour("t")))] == [
         13, 0, 0, 23, 13, None, None, None, None]
@@ -38,7 +38,7 @@ def test_builtin_path_has_no_python_node(spark):
 
 
 def test_money_text(spark):
-    vals = ["$52,806", " $46,159 ", "$1,234,567", "No 2021 estimate ($90,546 in 2020)", "---",
+    vals = ["$52,806", " $46,159\t", "$1,234,567", "No 2021 estimate ($90,546 in 2020)", "---",
             "", None, "$12.50", "52806"]
     df = spark.createDataFrame([(v,) for v in vals], "m STRING")
     assert [r[0] for r in rows(df.select(money_to_double("m")))] == [
@@ -109,3 +109,10 @@ def test_money_text_random_amounts(spark):
     df = spark.createDataFrame(texts, "t STRING, want DOUBLE")
     bad = df.where(money_to_double("t") != df.want).count()
     assert bad == 0 and df.where(money_to_double("t").isNull()).count() == 0
+
+
+def test_strip_matches_python(spark):
+    from tessera.functions import strip
+    vals = ["  a b  ", "\t　x \n", "\x1cy\x1f", "", "   ", "z"]
+    df = spark.createDataFrame([(v,) for v in vals], "s STRING")
+    assert [r[0] for r in rows(df.select(strip("s")))] == [v.strip() for v in vals]
