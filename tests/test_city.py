@@ -65,6 +65,15 @@ def test_share_by_part_of_day(crime, use_udf):
         ("Night", 1, 2, 50.0)]
 
 
+def test_share_reports_unknown_hours(crime):
+    from pyspark.sql import Observation
+    seen = Observation("hours")
+    out = city.share_by_part_of_day(crime, hhmm_to_hour("TIME OCC"),
+                                    F.col("Premis Desc") == "STREET", observation=seen)
+    out.collect()
+    assert seen.get == {"rows": 10, "unknown_hour": 2}
+
+
 @pytest.mark.parametrize("use_udf", [False, True])
 def test_share_unknown_hour_policies(crime, use_udf):
     night = dict((r[0], r[1:]) for r in _share(crime, "Night", use_udf))
@@ -133,8 +142,11 @@ def test_per_capita_income(spark, tmp_path, layout):
                                                 layout=layout))
     assert features.columns == ["HOUSING20", "POP20", "ZCTA20", "geometry"]
     people = city.population_by_zip(features)
-    income = city.income_by_zip(read_csv_strings(spark, inc, sep=";"))
+    from pyspark.sql import Observation
+    seen = Observation(f"income_{layout}")
+    income = city.income_by_zip(read_csv_strings(spark, inc, sep=";"), observation=seen)
     assert income.count() == 3
+    assert seen.get == {"rows": 5, "unparsable": 2}
     got = rows(city.per_capita(people, income))
     assert got == [("90001", 150, 50, 52806.0, 17602.0), ("90003", 40, 3, 47733.0, 3579.98)]
 
