@@ -18,6 +18,12 @@ PART_OF_DAY_REST = "Night"  # every other hour: 21..23 and 0..4
 # 0x09-0x0d, 0x1c-0x20, 0x85, 0xa0, 0x1680, 0x2000-0x200a, 0x2028, 0x2029, 0x202f, 0x205f, 0x3000
 # = Unicode White_Space (Java's \s under the (?U) flag) plus the separators 0x1c-0x1f
 WHITESPACE = r"(?U)[\s\x{1c}-\x{1f}]+"
+WHITESPACE_CHARS = "".join(chr(c) for lo, hi in [(0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85),
+                                                 (0xA0, 0xA0), (0x1680, 0x1680),
+                                                 (0x2000, 0x200A), (0x2028, 0x2029),
+                                                 (0x202F, 0x202F), (0x205F, 0x205F),
+                                                 (0x3000, 0x3000)]
+                           for c in range(lo, hi + 1))
 # ---- fixed values: text timestamp pattern and money pattern ------------------------------------
 TEXT_TIMESTAMP_PATTERN = "yyyy MMM dd hh:mm:ss a"
 MONEY_PATTERN = r"^\$([\d,]+)$"
@@ -34,9 +40,8 @@ def _c(x: str | Column) -> Column:
 
 def strip(text: str | Column) -> Column:
     """Remove leading and trailing whitespace (X3), the same set as Python's ``str.strip()``
-    (Spark's ``trim`` removes only the blank character)."""
-    ws = WHITESPACE.removeprefix("(?U)")
-    return F.regexp_replace(_c(text), f"(?U)^{ws}|{ws}$", "")
+    (Spark's plain ``trim`` removes only the blank character). A character-set trim: no regex."""
+    return F.btrim(_c(text), F.lit(WHITESPACE_CHARS))
 
 
 def tokens(text: str | Column) -> Column:

@@ -9,6 +9,7 @@ join beyond the bound.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -44,6 +45,21 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+# -- filters ---------------------------------------------------------------------------------------
+
+def drop_unparsed(df: DataFrame, col: str, observation=None) -> DataFrame:
+    """drop rows whose cleaned/parsed ``col`` is null, and count them.
+
+    The ``rows`` / ``dropped`` counts go to ``observation`` (an ``Observation`` or a name). The
+    observed metric also sits between the projection that computes ``col`` and the filter, so
+    Catalyst does not push the filter -- and with it a second evaluation of the whole parsing
+    expression -- down into the scan: each row is parsed once."""
+    name = observation or f"unparsed_{col}_{uuid.uuid4().hex[:8]}"
+    observed = df.observe(name, F.count(F.lit(1)).alias("rows"),
+                          F.count_if(F.col(col).isNull()).alias("dropped"))
+    return observed.where(F.col(col).isNotNull())
+
+
 # -- joins -----------------------------------------------------------------------------------------
 
 def join(left: DataFrame, right: DataFrame, on, how: str = "inner", strategy: str = "auto",
@@ -106,11 +122,14 @@ def count_by(df: DataFrame, keys: Sequence[str | Column], alias: str = "n") -> D
 
 
 def flagged_and_total(df: DataFrame, keys: Sequence[str | Column], flag: Column,
-                      flagged_alias: str = "flag_count",
-                      total_alias: str = "total") -> DataFrame:
-    """A5 + A4 in one pass (A7): rows matching ``flag`` and all rows, per group."""
+                      flagged_alias: str = "flag_count", total_alias: str = "total",
+                      counted: Column | None = None) -> DataFrame:
+    """A5 + A4 in one pass (A7): rows matching ``flag`` and all rows, per group.
+
+    With ``counted`` the total counts only rows where that column is not null."""
+    total = F.count(counted) if counted is not None else F.count(F.lit(1))
     return df.groupBy(*keys).agg(F.count_if(F.coalesce(flag, F.lit(False))).alias(flagged_alias),
-                                 F.count(F.lit(1)).alias(total_alias))
+                                 total.alias(total_alias))
 
 
 def mean_by(df: DataFrame, keys: Sequence[str | Column], col: str | Column,

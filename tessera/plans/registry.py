@@ -8,6 +8,7 @@ rounding uses the plain-IEEE half-up form so that both engines produce the same
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,13 +45,23 @@ TABLE_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey
               "customer": ["c_custkey"], "supplier": ["s_suppkey"], "embeddings": ["vec_id"]}
 
 
+_TABLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A test table; ``spread`` raises scan parallelism when the file yields fewer partitions
-    than the cluster has cores (see ``operators.partitioning``)."""
-    df = read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        df = partitioning.spread(df, TABLE_KEYS.get(name, ()))
-    return df
+    than the cluster has cores (see ``operators.partitioning``).
+
+    Table handles (lazy plans, no data) are kept per session, as a catalog would: the file
+    listing and footer read happen once per table, not once per query."""
+    per_session = _TABLES.setdefault(spark, {})
+    key = (sf_dir.rstrip("/"), name, spread)
+    if key not in per_session:
+        df = read_parquet(spark, f"{key[0]}/{name}.parquet")
+        if spread:
+            df = partitioning.spread(df, TABLE_KEYS.get(name, ()))
+        per_session[key] = df
+    return per_session[key]
 
 
 # ---- QP1 / QP2 / QP3 / QP4 / QP5 ----------------------------------------------------------------
@@ -400,8 +411,8 @@ FROM orders""")
 def q_parse_timestamp(spark, sf_dir):
     o = table(spark, sf_dir, "orders", spread=True)
     text = F.date_format("o_orderdate", TEXT_TIMESTAMP_PATTERN)
-    return (o.select("o_orderkey", parse_timestamp(text).alias("ts"))
-            .where(F.col("ts").isNotNull()))
+    return relational.drop_unparsed(o.select("o_orderkey", parse_timestamp(text).alias("ts")),
+                                    "ts")
 
 
 @query("nested_field", """SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k
@@ -440,8 +451,8 @@ def q_money_text(spark, sf_dir):
     o = table(spark, sf_dir, "orders", spread=True)
     text = F.when(F.col("o_orderstatus") == "P", F.lit("---")).otherwise(
         F.concat(F.lit(" $"), F.format_number(F.floor("o_totalprice"), 0)))
-    return (o.select("o_orderkey", money_to_double(text).alias("income"))
-            .where(F.col("income").isNotNull()))
+    return relational.drop_unparsed(o.select("o_orderkey", money_to_double(text).alias("income")),
+                                    "income")
 
 
 @query("fixed_text", "SELECT printf('%d,%.2f', o_orderkey, o_totalprice) AS line FROM orders")

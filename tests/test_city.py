@@ -146,7 +146,7 @@ def test_per_capita_income(spark, tmp_path, layout):
     seen = Observation(f"income_{layout}")
     income = city.income_by_zip(read_csv_strings(spark, inc, sep=";"), observation=seen)
     assert income.count() == 3
-    assert seen.get == {"rows": 5, "unparsable": 2}
+    assert seen.get == {"rows": 5, "dropped": 2}
     got = rows(city.per_capita(people, income))
     assert got == [("90001", 150, 50, 52806.0, 17602.0), ("90003", 40, 3, 47733.0, 3579.98)]
 
