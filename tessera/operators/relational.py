@@ -40,9 +40,10 @@ def with_product(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    A bounded action: every task stops after ``max_rows + 1`` rows, so the answer costs at most
-    that much reading per task however large the input is."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    A bounded, incremental action: is there a row after the first ``max_rows``? Spark answers it
+    like ``take``, scanning one partition first and more only while rows are missing, and hands
+    back at most one row. A huge input is refused after reading about ``max_rows`` rows."""
+    return df.offset(max_rows).isEmpty()
 
 
 # -- filters ---------------------------------------------------------------------------------------
