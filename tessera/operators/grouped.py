@@ -64,12 +64,14 @@ def aggregate_by_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
 def cogroup_apply(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                   right_keys: Sequence[str],
                   fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
-                  target_rows: int = skew.TARGET_ROWS) -> DataFrame:
+                  target_rows: int = skew.TARGET_ROWS,
+                  sample_fraction: float = skew.SAMPLE_FRACTION) -> DataFrame:
     """Run ``fn(left_rows, right_rows)`` per key (D-4), on bounded cells of hot keys.
 
     ``fn`` must be correct on any split of a key's rows into cells where every (left, right)
     pair meets exactly once -- true for joins and any per-pair logic."""
-    lft, rgt, cell = skew.salt_grid(left, right, left_keys, right_keys, target_rows)
+    lft, rgt, cell = skew.salt_grid(left, right, left_keys, right_keys, target_rows,
+                                    sample_fraction)
 
     def call(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         return fn(a.drop(columns=cell), b.drop(columns=cell))

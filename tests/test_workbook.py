@@ -105,7 +105,7 @@ def test_cogroup_join_matches_plain_join_with_forced_hot_keys(spark):
     right = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "z")], "k INT, tag STRING")
     fn = grouped.pandas_inner_join("k", "k", ["id", "k", "tag"])
     got = grouped.cogroup_apply(left, right, ["k"], ["k"], fn, "id int, k int, tag string",
-                                target_rows=7)
+                                target_rows=7, sample_fraction=1.0)
     want = left.join(right, "k").select("id", "k", "tag")
     assert sorted(rows(got)) == sorted(rows(want))
 
@@ -114,7 +114,8 @@ def test_salt_grid_cells_are_bounded(spark):
     from tessera.operators import skew
     left = spark.createDataFrame([(i, 1) for i in range(100)], "id INT, k INT")
     right = spark.createDataFrame([(j, 1) for j in range(30)], "rid INT, k INT")
-    lft, rgt, cell = skew.salt_grid(left, right, ["k"], ["k"], target_rows=10)
+    lft, rgt, cell = skew.salt_grid(left, right, ["k"], ["k"], target_rows=10,
+                                    sample_fraction=1.0)
     lsz = lft.groupBy("k", *cell).count().agg(F.max("count")).first()[0]
     rsz = rgt.groupBy("k", *cell).count().agg(F.max("count")).first()[0]
     assert lsz <= 40 and rsz <= 20  # ~target per cell (hash buckets are not exact)
@@ -144,7 +145,8 @@ def test_cogroup_join_on_test_tables_with_every_key_hot(spark):
     got = grouped.cogroup_apply(c, n, ["c_nationkey"], ["n_nationkey"],
                                 grouped.pandas_inner_join("c_nationkey", "n_nationkey", cols),
                                 "c_custkey bigint, c_name string, c_nationkey int, n_name string",
-                                target_rows=20)  # ~60 customers per nation -> 3-4 cells each
+                                target_rows=20,  # ~60 customers per nation -> 3-4 cells each
+                                sample_fraction=1.0)
     want = c.join(n, c.c_nationkey == n.n_nationkey).select(*cols)
     assert got.count() == want.count() == 1500
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -158,3 +160,11 @@ def test_word_count_splits_like_python(spark):
         for w in t.split():
             want[w] = want.get(w, 0) + 1
     assert dict(rows(workbook.word_count(df))) == want
+
+
+def test_sampled_hot_key_estimate(spark):
+    from tessera.operators import skew
+    df = spark.range(0, 200_000).select((F.col("id") % 4 == 0).cast("int").alias("k"))
+    hot = dict(rows(skew.hot_keys(df, ["k"], 40_000, "b", sample_fraction=0.05)))
+    # true counts: k=0 -> 150,000 (4 buckets), k=1 -> 50,000 (2 buckets)
+    assert hot.get(0) in (3, 4, 5) and hot.get(1) in (1, 2, 3)
