@@ -163,13 +163,15 @@ def q_word_count_text_file(spark, sf_dir):
     return workbook.word_count(read_lines(spark, path), "value")
 
 
-@query("even_squares", """SELECT p_partkey AS n, p_partkey * p_partkey AS sq FROM part
-WHERE p_partkey % 2 = 0""")
+@query("even_squares", """SELECT p_partkey AS n,
+CAST(p_partkey AS DECIMAL(38,0)) * CAST(p_partkey AS DECIMAL(38,0)) AS sq
+FROM part WHERE p_partkey % 2 = 0""")
 def q_even_squares(spark, sf_dir):
     return workbook.even_squares(table(spark, sf_dir, "part"), "p_partkey")
 
 
-@query("range_squares", """SELECT range AS n, range * range AS sq
+@query("range_squares", """SELECT range AS n,
+CAST(range AS DECIMAL(38,0)) * CAST(range AS DECIMAL(38,0)) AS sq
 FROM range((SELECT count(*) FROM part)) WHERE range % 2 = 0""")
 def q_range_squares(spark, sf_dir):
     """Even squares over ``spark.range`` (S13) sized by a table's row count (one scalar action);
@@ -178,9 +180,9 @@ def q_range_squares(spark, sf_dir):
     return workbook.even_squares(int_range(spark, n), "id")
 
 
-@query("global_sum", "SELECT CAST(SUM(p_partkey) AS BIGINT) AS total FROM part")
+@query("global_sum", "SELECT SUM(CAST(p_partkey AS DECIMAL(38,0))) AS total FROM part")
 def q_global_sum(spark, sf_dir):
-    return global_sum(table(spark, sf_dir, "part"), "p_partkey", "total")
+    return global_sum(table(spark, sf_dir, "part"), "p_partkey", "total", exact=True)
 
 
 def _returned_and_finished(spark, sf_dir):

@@ -21,10 +21,17 @@ def word_count(lines: DataFrame, text: str = "value") -> DataFrame:
             .orderBy(F.col("n").desc(), F.col("word").asc()))
 
 
+WIDE_INT = "decimal(38,0)"  # exact integers up to 38 digits
+
+
 def even_squares(df: DataFrame, col: str, alias: str = "n", sq_alias: str = "sq") -> DataFrame:
-    """QP7: even values with their squares, largest first."""
+    """QP7: even values with their squares, largest first.
+
+    Squares are exact ``decimal(38,0)``: a bigint square overflows (and fails the job in ANSI
+    mode) once values pass about 3e9, well inside the key range of a large table."""
+    wide = F.col(col).cast(WIDE_INT)
     return (df.where(F.col(col) % 2 == 0)
-            .select(F.col(col).alias(alias), (F.col(col) * F.col(col)).alias(sq_alias))
+            .select(F.col(col).alias(alias), (wide * wide).alias(sq_alias))
             .orderBy(F.col(alias).desc()))
 
 

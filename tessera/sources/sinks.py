@@ -61,6 +61,10 @@ def read_back_count(spark: SparkSession, path: str, fmt: str = "parquet") -> int
     return spark.read.format(fmt).load(path).count()
 
 
-def global_sum(df: DataFrame, col: str, alias: str = "total") -> DataFrame:
-    """Reduce a column to one scalar row (map-side partial sums, one tiny final task)."""
-    return df.agg(F.sum(col).alias(alias))
+def global_sum(df: DataFrame, col: str, alias: str = "total", exact: bool = False) -> DataFrame:
+    """Reduce a column to one scalar row (map-side partial sums, one tiny final task).
+
+    ``exact`` sums integers as ``decimal(38,0)``, which cannot overflow where a bigint sum of a
+    large table's keys would (ANSI mode fails the job on bigint overflow)."""
+    value = F.col(col).cast("decimal(38,0)") if exact else F.col(col)
+    return df.agg(F.sum(value).alias(alias))

@@ -48,7 +48,7 @@ def test_query_matches_oracle(spark, duck, name):
     d_types = dict(zip(d_cols, [str(d[1]) for d in res.description]))
     want = res.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
-    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == d_types
+    assert {c: SPARK_TO_DUCK.get(t, t.upper()) for c, t in df.dtypes} == d_types
     so = sorted(range(len(df.columns)), key=lambda i: df.columns[i])
     do = sorted(range(len(d_cols)), key=lambda i: d_cols[i])
     assert sorted(tuple(_norm(r[i]) for i in so) for r in got) == \
