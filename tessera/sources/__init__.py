@@ -5,7 +5,7 @@ from tessera.sources.geojson import (flatten_properties, read_features,  # noqa:
 from tessera.sources.readers import (drop_header_line, from_rows, header_schema,  # noqa: F401
                                      int_range, load, normalise_headers, parse_lines, read_csv,
                                      read_csv_checked, read_csv_strings, read_header_csv_union,
-                                     read_lines, read_parquet)
+                                     read_lines, read_parquet, unmatched_headers)
 from tessera.sources.sinks import (format_lines, global_sum, join_lines,  # noqa: F401
                                    read_back_count, row_count, write_csv, write_parquet,
                                    write_text)
