@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import apply_times_udf, times
 from tessera.operators import ranking, relational
-from tessera.plans.sqlview import temp_view
+from tessera.plans.sqlview import temp_views
 
 
 def lowest_paid(staff: DataFrame, k: int = 5, amount: str = "salary", key: str = "id",
@@ -22,9 +22,10 @@ def lowest_paid(staff: DataFrame, k: int = 5, amount: str = "salary", key: str =
 
 def lowest_paid_sql(spark: SparkSession, staff: DataFrame, k: int = 5, amount: str = "salary",
                     key: str = "id", cols: Sequence[str] | None = None) -> DataFrame:
-    view = temp_view(staff, "staff")
     sel = ", ".join(f"`{c}`" for c in (cols or staff.columns))
-    return spark.sql(f"SELECT {sel} FROM {view} ORDER BY `{amount}`, `{key}` LIMIT {int(k)}")
+    with temp_views(staff=staff) as v:
+        return spark.sql(f"SELECT {sel} FROM {v['staff']} ORDER BY `{amount}`, `{key}` "
+                         f"LIMIT {int(k)}")
 
 
 def top_in_dimension(facts: DataFrame, dims: DataFrame, fact_key: str, dim_key: str,
@@ -43,12 +44,13 @@ def top_in_dimension_sql(spark: SparkSession, facts: DataFrame, dims: DataFrame,
                          dim_key: str, dim_name: str, name: str, k: int = 3,
                          amount: str = "salary", tiebreak: str = "id",
                          cols: Sequence[str] | None = None) -> DataFrame:
-    fv, dv = temp_view(facts, "facts"), temp_view(dims, "dims")
     sel = ", ".join(f"f.`{c}`" for c in (cols or facts.columns))
-    return spark.sql(
-        f"SELECT {sel} FROM {fv} f JOIN {dv} d ON f.`{fact_key}` = d.`{dim_key}` "
-        f"WHERE d.`{dim_name}` = :name ORDER BY f.`{amount}` DESC, f.`{tiebreak}` LIMIT {int(k)}",
-        args={"name": name})
+    with temp_views(facts=facts, dims=dims) as v:
+        return spark.sql(
+            f"SELECT {sel} FROM {v['facts']} f JOIN {v['dims']} d "
+            f"ON f.`{fact_key}` = d.`{dim_key}` WHERE d.`{dim_name}` = :name "
+            f"ORDER BY f.`{amount}` DESC, f.`{tiebreak}` LIMIT {int(k)}",
+            args={"name": name})
 
 
 def yearly_income(staff: DataFrame, amount: str = "salary", label: str = "name",
@@ -76,13 +78,13 @@ def yearly_income_udf(staff: DataFrame, amount: str = "salary", label: str = "na
 def yearly_income_sql(spark: SparkSession, staff: DataFrame, amount: str = "salary",
                       label: str = "name", factor: int = 14, alias: str = "yearly_income",
                       extra: Sequence[str] = ()) -> DataFrame:
-    view = temp_view(staff, "staff")
     integral = dict(staff.dtypes)[amount] in ("tinyint", "smallint", "int", "bigint")
     value = f"CAST(`{amount}` AS BIGINT) * {factor}" if integral else f"`{amount}` * {factor}"
     pre = "".join(f"`{c}`, " for c in extra)
     post = "".join(f", `{c}`" for c in extra)
-    return spark.sql(f"SELECT {pre}`{label}`, {value} AS `{alias}` FROM {view} "
-                     f"ORDER BY `{alias}` DESC, `{label}`{post}")
+    with temp_views(staff=staff) as v:
+        return spark.sql(f"SELECT {pre}`{label}`, {value} AS `{alias}` FROM {v['staff']} "
+                         f"ORDER BY `{alias}` DESC, `{label}`{post}")
 
 
 def sum_per_dimension(facts: DataFrame, dims: DataFrame, fact_key: str, dim_key: str,
@@ -123,15 +125,16 @@ def count_per_dimension_sql(spark: SparkSession, facts: DataFrame, dims: DataFra
     """The SQL form of ``count_per_dimension``: the strategy becomes a ``/*+ HINT(..) */``
     comment. Broadcast and nested-loop hints are emitted only behind the same bounded row
     count as the DataFrame form; beyond it the MERGE hint is used."""
-    fv, dv = temp_view(facts, "facts"), temp_view(dims, "dims")
     if strategy == "broadcast" and not relational.fits(dims, relational.MAX_BROADCAST_ROWS):
         strategy = "merge"
     if strategy == "shuffle_replicate_nl" and \
             not relational.fits(dims, relational.MAX_NESTED_LOOP_ROWS):
         strategy = "merge"
     hint = f"/*+ {SQL_HINTS[strategy]}(d) */ " if strategy in SQL_HINTS else ""
-    return spark.sql(f"""
-        WITH per_key AS (SELECT `{fact_key}` AS k, count(*) AS c FROM {fv} GROUP BY `{fact_key}`)
-        SELECT {hint}d.`{dim_name}`, sum(p.c) AS `{alias}`
-        FROM per_key p JOIN {dv} d ON p.k = d.`{dim_key}`
-        GROUP BY d.`{dim_name}`""")
+    with temp_views(facts=facts, dims=dims) as v:
+        return spark.sql(f"""
+            WITH per_key AS (SELECT `{fact_key}` AS k, count(*) AS c FROM {v['facts']}
+                             GROUP BY `{fact_key}`)
+            SELECT {hint}d.`{dim_name}`, sum(p.c) AS `{alias}`
+            FROM per_key p JOIN {v['dims']} d ON p.k = d.`{dim_key}`
+            GROUP BY d.`{dim_name}`""")

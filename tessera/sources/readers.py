@@ -7,6 +7,7 @@ the header option describes the file, and Catalyst prunes columns / pushes filte
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,7 +106,7 @@ def read_csv_checked(spark: SparkSession, path: str | Sequence[str],
     with_bad = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
     raw = read_csv(spark, path, with_bad, sep=sep, header=header, mode="PERMISSIVE",
                    columnNameOfCorruptRecord=CORRUPT_COL)
-    raw = raw.observe(observation or f"csv_checked_{id(raw)}",
+    raw = raw.observe(observation or f"csv_checked_{uuid.uuid4().hex[:8]}",
                       F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("malformed"),
                       F.max(F.xxhash64(*[F.col(f.name) for f in schema.fields]))
                       .alias("_whole_row"))

@@ -77,3 +77,10 @@ def test_count_per_dimension_strategies(staff, deps, strategy):
 def test_ties_are_deterministic(spark):
     df = spark.createDataFrame([(i, "n", 100, 1) for i in range(50, 0, -1)], EMP)
     assert [r[0] for r in rows(payroll.lowest_paid(df, 3))] == [1, 2, 3]
+
+
+def test_sql_forms_leave_no_views(spark, staff):
+    before = {t.name for t in spark.catalog.listTables()}
+    df = payroll.lowest_paid_sql(spark, staff, 2)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert len(rows(df)) == 2  # still runs after its view is gone
