@@ -83,10 +83,13 @@ def cogroup_apply(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
 
 def pandas_inner_join(left_key: str, right_key: str, columns: Sequence[str]
                       ) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    """A cogroup function performing an inner join of the two row sets of one cell."""
+    """A cogroup function performing an inner join of the two row sets of one cell.
+
+    Null keys never match (SQL semantics; pandas alone would pair nulls with nulls)."""
     cols = list(columns)
 
     def fn(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        a, b = a[a[left_key].notna()], b[b[right_key].notna()]
         if a.empty or b.empty:
             return pd.DataFrame({c: pd.Series(dtype="object") for c in cols})
         m = a.merge(b, left_on=left_key, right_on=right_key, how="inner",

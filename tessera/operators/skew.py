@@ -54,8 +54,8 @@ def _attach(df: DataFrame, keys: Sequence[str], table: DataFrame, table_keys: Se
 
 
 def _own_bucket(df: DataFrame, count_col: str) -> F.Column:
-    content = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns
-                                                  if not c.startswith("_salt")])
+    """A row's bucket among ``count_col`` buckets: hash of (partition, the row's own columns)."""
+    content = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
     return F.pmod(content, F.col(count_col)).cast("int")
 
 

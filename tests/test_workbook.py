@@ -168,3 +168,11 @@ def test_sampled_hot_key_estimate(spark):
     hot = dict(rows(skew.hot_keys(df, ["k"], 40_000, "b", sample_fraction=0.05)))
     # true counts: k=0 -> 150,000 (4 buckets), k=1 -> 50,000 (2 buckets)
     assert hot.get(0) in (3, 4, 5) and hot.get(1) in (1, 2, 3)
+
+
+def test_cogroup_join_null_keys_never_match(spark):
+    left = spark.createDataFrame([(1, 1), (2, None), (3, None)], "id INT, k INT")
+    right = spark.createDataFrame([(1, "a"), (None, "n")], "k INT, tag STRING")
+    fn = grouped.pandas_inner_join("k", "k", ["id", "k", "tag"])
+    got = grouped.cogroup_apply(left, right, ["k"], ["k"], fn, "id int, k int, tag string")
+    assert rows(got) == [(1, 1, "a")]
