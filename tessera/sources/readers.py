@@ -106,14 +106,14 @@ def read_csv_checked(spark: SparkSession, path: str | Sequence[str],
     with_bad = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
     raw = read_csv(spark, path, with_bad, sep=sep, header=header, mode="PERMISSIVE",
                    columnNameOfCorruptRecord=CORRUPT_COL)
-    raw = raw.observe(observation or f"csv_checked_{uuid.uuid4().hex[:8]}",
-                      F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("malformed"),
-                      F.max(F.xxhash64(*[F.col(f.name) for f in schema.fields]))
-                      .alias("_whole_row"))
-    if quarantine_path is not None:
+    if quarantine_path is not None:  # whole rows are written, so every column is parsed here
         (raw.where(F.col(CORRUPT_COL).isNotNull()).write.mode("overwrite")
          .parquet(quarantine_path))
-    good = raw.where(F.col(CORRUPT_COL).isNull())
+    observed = raw.observe(observation or f"csv_checked_{uuid.uuid4().hex[:8]}",
+                           F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("malformed"),
+                           F.max(F.xxhash64(*[F.col(f.name) for f in schema.fields]))
+                           .alias("_whole_row"))
+    good = observed.where(F.col(CORRUPT_COL).isNull())
     return good.select(*(columns or schema.fieldNames()))
 
 

@@ -37,8 +37,11 @@ def test_drop_malformed_and_quarantine(spark, tmp_path, scratch):
     kept = rows(read_csv_checked(spark, p, schema).orderBy("id"))
     assert kept == [(1, "a, b", 1.5), (2, "plain", 2.5), (3, "x, y, z", None)]
     q = scratch("quarantine")
-    kept_q = rows(read_csv_checked(spark, p, schema, quarantine_path=q).orderBy("id"))
-    assert kept_q == kept
+    from pyspark.sql import Observation
+    seen = Observation("malformed_rows")
+    kept_q = rows(read_csv_checked(spark, p, schema, quarantine_path=q, observation=seen)
+                  .orderBy("id"))
+    assert kept_q == kept and seen.get["malformed"] == 2
     bad = [r["_corrupt_record"] for r in spark.read.parquet(q).collect()]
     assert sorted(bad) == ["4,short", "oops,bad,3.5"]
     # picking one column must not change what is dropped
