@@ -99,6 +99,8 @@ def read_csv_checked(spark: SparkSession, path: str | Sequence[str],
     metric over every column (the malformed-row count, readable from the ``Observation``
     ``observation`` if passed) keeps all columns required, so the verdict is always whole-row.
     With ``quarantine_path`` the bad rows are also written there (whole lines, Parquet).
+    Observed counts are exact when the returned rows are consumed by one job (a global sort
+    adds a sampling job that reads them again).
     """
     if isinstance(schema, dict):
         schema = header_schema(spark, path, schema, sep)
