@@ -213,8 +213,9 @@ def q_intersect_parts(spark, sf_dir):
 @query("intersect_keys", """SELECT c_nationkey AS k FROM customer
 INTERSECT SELECT s_nationkey AS k FROM supplier""")
 def q_intersect_keys(spark, sf_dir):
-    return workbook.in_both(table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")),
-                            table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"))
+    return workbook.in_both(customers, suppliers)
 
 
 @query("sorted_list_per_group", """SELECT p_type, string_agg(p_name, ',' ORDER BY p_name) AS names
