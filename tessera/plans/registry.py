@@ -143,11 +143,12 @@ def q_sum_per_dim(spark, sf_dir):
 
 # ---- QP6 - QP13 ---------------------------------------------------------------------------------
 
-WORD_COUNT_SQL = r"""SELECT w AS word, count(*) AS n
-FROM (SELECT unnest(regexp_split_to_array(text,
-  '[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'))
+# the same whitespace set as functions.WHITESPACE, spelled for RE2
+WORD_COUNT_SQL = (r"""SELECT w AS word, count(*) AS n
+FROM (SELECT unnest(regexp_split_to_array(text, '[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}"""
+                  r"""\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'))
   AS w FROM documents) t
-WHERE w <> '' GROUP BY w"""
+WHERE w <> '' GROUP BY w""")
 
 
 @query("word_count", WORD_COUNT_SQL)
@@ -464,7 +465,7 @@ def q_fixed_text(spark, sf_dir):
     return o.select(fixed_text("%d,%.2f", "o_orderkey", "o_totalprice").alias("line"))
 
 
-# ---- sources and sinks (write with Spark, read back) ----------------------------------------------
+# ---- sources and sinks (write with Spark, read back) ---------------------------------------
 
 @query("header_csv_union", UNION_NAMES_SQL)
 def q_header_csv_union(spark, sf_dir):
@@ -489,8 +490,8 @@ def q_header_csv_union(spark, sf_dir):
 @query("delimited_csv", "SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders")
 def q_delimited_csv(spark, sf_dir):
     path = scratch_path(spark, "orders_semicolon")
-    o = table(spark, sf_dir, "orders", spread=True).select("o_orderkey", "o_custkey", "o_orderpriority",
-                                             "o_totalprice")
+    o = table(spark, sf_dir, "orders", spread=True).select(
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
     write_csv(o, path, header=True, sep=";")
     raw = read_csv_strings(spark, path, sep=";")
     return raw.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),

@@ -2,8 +2,8 @@
 
 A FeatureCollection document must be parsed whole, so a multi-line document is read by one task
 per file. To stay parallel at scale the writer emits many bounded documents, and the reader
-takes an explicit schema (no eager inference pass, only the wanted fields are materialised). ``layout="feature_per_line"`` reads the common one-feature-per-line layout as
-splittable text instead.
+takes an explicit schema (no eager inference pass, only the wanted fields are materialised).
+``layout="feature_per_line"`` reads the common one-feature-per-line layout as splittable text.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ def feature_schema(properties: T.StructType, geometry: T.DataType = POINT) -> T.
 
 
 def collection_schema(properties: T.StructType, geometry: T.DataType = POINT) -> T.StructType:
+    features = T.ArrayType(feature_schema(properties, geometry))
     return T.StructType([T.StructField("type", T.StringType()),
-                         T.StructField("features", T.ArrayType(feature_schema(properties, geometry)))])
+                         T.StructField("features", features)])
 
 
 def read_features(spark: SparkSession, path: str, properties: T.StructType,
