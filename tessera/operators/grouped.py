@@ -21,22 +21,32 @@ COMBINERS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 def aggregate_by_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                      seq: Callable[[pd.DataFrame], pd.DataFrame], state_schema: str,
-                     comb: dict[str, str], finish: Sequence[Column] | None = None) -> DataFrame:
+                     comb: dict[str, str] | Callable[[pd.DataFrame], pd.DataFrame],
+                     finish: Sequence[Column] | None = None) -> DataFrame:
     """Aggregate with a zero / seqOp / combOp contract (D-3, A8).
 
     * ``seq(chunk)`` gets a pandas chunk (``keys + columns``) and returns one state row per key
       (columns of ``state_schema``: the keys, then the state fields).
-    * ``comb`` says how two states merge, per state field: ``sum``, ``min`` or ``max``.
-      It is applied inside each task (pandas) and then across tasks with Spark's partial+final
-      aggregation, so no key's rows ever meet in one place -- only its states do.
+    * ``comb`` says how states merge. Either per state field ``sum`` / ``min`` / ``max`` --
+      applied inside each task (pandas) and then across tasks with Spark's partial + final
+      aggregation -- or any pandas function taking several state rows of one key and returning
+      one (run inside each task, then once per key over that key's per-task states).
+      Either way no key's raw rows ever meet in one place, only its states, whose number is
+      bounded by the number of tasks.
     * ``finish`` are output expressions over the keys and merged state fields.
     """
     keys = list(keys)
-    how = {c: v for c, v in comb.items()}
+    custom = callable(comb)
+
+    def combine(frame: pd.DataFrame) -> pd.DataFrame:
+        groups = frame.groupby(keys, as_index=False, dropna=False, sort=False)
+        if custom:
+            return pd.concat([_with_keys(comb(g.drop(columns=keys)), k, keys)
+                              for k, g in groups], ignore_index=True)
+        return groups.agg(comb)
 
     def merge(parts: list[pd.DataFrame], key_dtypes) -> pd.DataFrame:
-        cat = pd.concat(parts, ignore_index=True)
-        out = cat.groupby(keys, as_index=False, dropna=False, sort=False).agg(how)
+        out = combine(pd.concat(parts, ignore_index=True))
         for k in keys:  # an all-null key group comes back as float NaN; restore nulls/dtype
             if out[k].dtype != key_dtypes[k]:
                 col = out[k].astype(object)
@@ -57,10 +67,23 @@ def aggregate_by_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
             yield merge(held, key_dtypes)
 
     partial = df.select(*keys, *columns).mapInPandas(per_task, state_schema)
-    merged = partial.groupBy(*keys).agg(*[COMBINERS[v](c).alias(c) for c, v in comb.items()])
+    if custom:
+        merged = partial.groupBy(*keys).applyInPandas(
+            lambda frame: combine(frame), state_schema)
+    else:
+        merged = partial.groupBy(*keys).agg(*[COMBINERS[v](c).alias(c) for c, v in comb.items()])
     return merged if finish is None else merged.select(*keys, *finish)
 
 
+def _with_keys(state: pd.DataFrame, key, keys: list[str]) -> pd.DataFrame:
+    """Put the group's key values back in front of a combined state row."""
+    values = key if isinstance(key, tuple) else (key,)
+    out = state.reset_index(drop=True).copy()
+    for name, value in reversed(list(zip(keys, values))):
+        out.insert(0, name, value)
+    return out
+
+
 def cogroup_apply(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                   right_keys: Sequence[str],
                   fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,

@@ -176,3 +176,20 @@ def test_cogroup_join_null_keys_never_match(spark):
     fn = grouped.pandas_inner_join("k", "k", ["id", "k", "tag"])
     got = grouped.cogroup_apply(left, right, ["k"], ["k"], fn, "id int, k int, tag string")
     assert rows(got) == [(1, 1, "a")]
+
+
+def test_custom_aggregate_with_pandas_comb(spark):
+    # combOp that is not a plain sum/min/max: keep the two largest values seen per key
+    df = spark.range(0, 1000, numPartitions=6).select((F.col("id") % 3).alias("k"),
+                                                      F.col("id").alias("v"))
+
+    def seq(chunk: pd.DataFrame) -> pd.DataFrame:
+        top = chunk.sort_values("v").groupby("k").tail(2)
+        return top.groupby("k", as_index=False).agg(a=("v", "max"), b=("v", "min"))
+
+    def comb(states: pd.DataFrame) -> pd.DataFrame:
+        best = sorted(list(states["a"]) + list(states["b"]))[-2:]
+        return pd.DataFrame({"a": [best[1]], "b": [best[0]]})
+
+    got = grouped.aggregate_by_key(df, ["k"], ["v"], seq, "k long, a long, b long", comb)
+    assert sorted(rows(got)) == [(0, 999, 996), (1, 997, 994), (2, 998, 995)]
