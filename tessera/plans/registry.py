@@ -354,12 +354,24 @@ def q_top_months_per_year(spark, sf_dir):
     return city.top_months_per_year(table(spark, sf_dir, "orders"), F.col("o_orderdate"), 3)
 
 
+def _dates_as_text(spark, sf_dir):
+    """Order dates as the city data carries them: text like ``2010 Feb 20 12:00:00 AM``."""
+    return table(spark, sf_dir, "orders", spread=True).select(
+        F.date_format("o_orderdate", TEXT_TIMESTAMP_PATTERN).alias("DATE OCC"))
+
+
 @query("sql_cte_view", TOP_MONTHS_SQL)
 def q_sql_cte_view(spark, sf_dir):
     """QP15 as SQL text over a view whose date column is text named ``DATE OCC``."""
-    crime = table(spark, sf_dir, "orders", spread=True).select(
-        F.date_format("o_orderdate", TEXT_TIMESTAMP_PATTERN).alias("DATE OCC"))
-    return city.top_months_per_year_sql(spark, crime, "DATE OCC", TEXT_TIMESTAMP_PATTERN, 3)
+    return city.top_months_per_year_sql(spark, _dates_as_text(spark, sf_dir), "DATE OCC",
+                                        TEXT_TIMESTAMP_PATTERN, 3)
+
+
+@query("top_months_text", TOP_MONTHS_SQL)
+def q_top_months_text(spark, sf_dir):
+    """QP15 in DataFrame form over the same text dates (the DataFrame twin of sql_cte_view)."""
+    return city.top_months_per_year(_dates_as_text(spark, sf_dir),
+                                     parse_timestamp(F.col("DATE OCC")), 3)
 
 
 @query("per_capita_ratio", """WITH p AS (
