@@ -193,3 +193,24 @@ def test_custom_aggregate_with_pandas_comb(spark):
 
     got = grouped.aggregate_by_key(df, ["k"], ["v"], seq, "k long, a long, b long", comb)
     assert sorted(rows(got)) == [(0, 999, 996), (1, 997, 994), (2, 998, 995)]
+
+
+def test_cogroup_calls_stay_bounded_with_a_third_of_rows_on_one_key(spark):
+    import pandas as pd
+    n, target = 300_000, 10_000
+    left = spark.range(0, n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000 + 1).alias("k"),
+        F.col("id"))
+    right = spark.range(0, 1001).select(F.col("id").cast("long").alias("k"),
+                                        (F.col("id") * 10).alias("w"))
+
+    def sizes(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"na": [len(a)], "nb": [len(b)],
+                             "pairs": [len(a) * len(b)]})
+
+    out = grouped.cogroup_apply(left, right, ["k"], ["k"], sizes,
+                                "na long, nb long, pairs long", target_rows=target,
+                                sample_fraction=0.05)
+    stats = out.agg(F.max("na"), F.sum("pairs")).first()
+    assert stats[0] <= 2 * target           # the 100,000-row key was split into ~10 cells
+    assert stats[1] == n                    # every left row met its one right row exactly once
