@@ -214,3 +214,31 @@ def test_cogroup_calls_stay_bounded_with_a_third_of_rows_on_one_key(spark):
     stats = out.agg(F.max("na"), F.sum("pairs")).first()
     assert stats[0] <= 2 * target           # the 100,000-row key was split into ~10 cells
     assert stats[1] == n                    # every left row met its one right row exactly once
+
+
+def test_reduce_side_join_hot_key_is_split_by_aqe(spark):
+    # a key holding a third of the rows: AQE's skew-join split divides its partition
+    confs = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 30_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("k"),
+            F.col("id"))
+        right = spark.range(0, 51).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        out = workbook.reduce_side_join(left, right, "k", "k", "key", nest=False)
+        assert out.count() == 30_000
+        out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "isSkewJoin=true" in final or "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
