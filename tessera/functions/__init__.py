@@ -6,6 +6,6 @@ from tessera.functions.expressions import (PART_OF_DAY_BANDS, PART_OF_DAY_REST,
                                            fixed_text,
                                            hhmm_to_hour, money_to_double, parse_timestamp,
                                            part_of_day, percent_of, round_decimal,
-                                           round_half_up, safe_long, sorted_values, strip,
+                                           round_half_up, rounded, safe_long, sorted_values, strip,
                                            times, tokens)
 from tessera.functions.udfs import apply_times_udf, part_of_day_udf, times_udf  # noqa: F401

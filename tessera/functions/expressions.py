@@ -132,6 +132,15 @@ def round_decimal(x: str | Column, scale: int = 2) -> Column:
     return F.round(_c(x), scale)
 
 
+ROUNDINGS = {"ieee_half_up": round_half_up, "spark": round_decimal}
+
+
+def rounded(x: str | Column, scale: int = 2, rounding: str = "ieee_half_up") -> Column:
+    """Round with the named rule: ``ieee_half_up`` (same bits in any engine, the default) or
+    ``spark`` (Spark's ``round``; 1.005 -> 1.01 where the IEEE form gives 1.0)."""
+    return ROUNDINGS[rounding](x, scale)
+
+
 def percent_of(part: str | Column, whole: str | Column, scale: int = 2) -> Column:
     """``100 * part / whole`` rounded half up to ``scale`` places, exactly.
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import explode_tokens, round_half_up
+from tessera.functions import explode_tokens, round_half_up, rounded
 from tessera.operators import grouped, relational, setops
 
 
@@ -79,10 +79,10 @@ def revenue_by_category(sales: DataFrame, products: DataFrame, sale_key: str, pr
 
 
 def mean_per_key(df: DataFrame, key: str, value: str, alias: str = "mean",
-                 scale: int = 2) -> DataFrame:
+                 scale: int = 2, rounding: str = "ieee_half_up") -> DataFrame:
     """QP12: mean per key rounded half up, largest first."""
     means = relational.mean_by(df, [key], value, "_mean")
-    return (means.select(key, round_half_up("_mean", scale).alias(alias))
+    return (means.select(key, rounded("_mean", scale, rounding).alias(alias))
             .orderBy(F.col(alias).desc(), F.col(key).asc()))
 
 

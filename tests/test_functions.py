@@ -116,3 +116,10 @@ def test_strip_matches_python(spark):
     vals = ["  a b  ", "\t　x \n", "\x1cy\x1f", "", "   ", "z"]
     df = spark.createDataFrame([(v,) for v in vals], "s STRING")
     assert [r[0] for r in rows(df.select(strip("s")))] == [v.strip() for v in vals]
+
+
+def test_named_rounding_rules(spark):
+    from tessera.functions import rounded
+    df = spark.createDataFrame([(1.005,), (2.5,)], "x DOUBLE")
+    assert [r[0] for r in rows(df.select(rounded("x", 2)))] == [1.0, 2.5]
+    assert [r[0] for r in rows(df.select(rounded("x", 2, "spark")))] == [1.01, 2.5]
