@@ -340,6 +340,19 @@ def q_share_by_part_of_day_udf(spark, sf_dir):
                                      use_udf=True)
 
 
+@query("share_by_part_of_day_csv", SHARE_SQL)
+def q_share_by_part_of_day_csv(spark, sf_dir):
+    """QP14 through the CSV path (S2/S3/S14): events written as a header CSV whose columns are
+    all text (`TIME OCC` as HHMM, `Premis Desc`), read back as strings and cleaned."""
+    path = scratch_path(spark, "events_csv")
+    ev = table(spark, sf_dir, "events", spread=True)
+    write_csv(ev.select(F.col("event_id").alias("DR_NO"), clock_text("ts").alias("TIME OCC"),
+                        F.col("event_type").alias("Premis Desc")), path, header=True)
+    crime = read_header_csv_union(spark, [path])
+    return city.share_by_part_of_day(crime, hhmm_to_hour("TIME OCC"),
+                                     F.col("Premis Desc") == "error")
+
+
 TOP_MONTHS_SQL = """SELECT year, month, n, rank FROM (
   SELECT year, month, n,
          CAST(row_number() OVER (PARTITION BY year ORDER BY n DESC, month) AS INTEGER) AS rank
