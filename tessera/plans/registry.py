@@ -406,6 +406,49 @@ def q_per_capita_ratio(spark, sf_dir):
     return city.per_capita(people, income)
 
 
+@query("per_capita_geojson", """WITH p AS (
+  SELECT CAST(c_nationkey AS VARCHAR) AS zip, count(*) AS population,
+         CAST(SUM(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 ELSE 0 END) AS BIGINT) AS households
+  FROM customer GROUP BY c_nationkey),
+i AS (SELECT CAST(s_nationkey AS VARCHAR) AS zip,
+             CAST(floor(max(s_acctbal)) AS DOUBLE) AS median_income
+      FROM supplier GROUP BY s_nationkey HAVING floor(max(s_acctbal)) >= 0)
+SELECT zip, population, households, median_income,
+       floor(median_income * households / population * 100.0::DOUBLE + 0.5::DOUBLE)
+         / 100.0::DOUBLE AS per_capita_income
+FROM p JOIN i USING (zip) WHERE population > 0""")
+def q_per_capita_geojson(spark, sf_dir):
+    """QP16 end to end on files derived from the tables: customers as GeoJSON census features
+    (ZIP = nation, one person each, a household when in the HOUSEHOLD segment), and the top
+    supplier balance per nation as `;`-separated money text (``$52,806``; negative amounts do
+    not fit the money pattern and are dropped), joined per ZIP."""
+    blocks_path = scratch_path(spark, "blocks_geojson")
+    c = table(spark, sf_dir, "customer")
+    blocks = c.select(
+        F.col("c_nationkey").cast("string").alias("ZCTA20"), F.lit(1).cast("long").alias("POP20"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", 1).otherwise(0).cast("long")
+        .alias("HOUSING20"), "c_acctbal", "c_nationkey")
+    point = F.struct(F.lit("Point").alias("type"),
+                     F.array(F.col("c_acctbal"), F.col("c_nationkey").cast("double"))
+                     .alias("coordinates"))
+    write_collections(blocks, blocks_path, ["ZCTA20", "POP20", "HOUSING20"], point)
+    props = T.StructType([T.StructField("HOUSING20", T.LongType()),
+                          T.StructField("POP20", T.LongType()),
+                          T.StructField("ZCTA20", T.StringType())])
+    people = city.population_by_zip(flatten_properties(read_features(spark, blocks_path, props)))
+
+    income_path = scratch_path(spark, "income_csv")
+    top = (table(spark, sf_dir, "supplier").groupBy("s_nationkey")
+           .agg(F.max("s_acctbal").alias("m")))
+    write_csv(top.select(F.col("s_nationkey").cast("string").alias("Zip Code"),
+                         F.lit("n/a").alias("Community"),
+                         F.concat(F.lit("$"), F.format_number(F.floor("m"), 0))
+                         .alias("Estimated Median Income")),
+              income_path, header=True, sep=";")
+    income = city.income_by_zip(read_csv_strings(spark, income_path, sep=";"))
+    return city.per_capita(people, income)
+
+
 # ---- scalar functions -----------------------------------------------------------------------
 
 UNION_NAMES_SQL = """SELECT c_custkey AS id, c_name AS name, c_nationkey AS nk, c_acctbal AS bal,
