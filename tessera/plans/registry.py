@@ -557,6 +557,7 @@ def q_header_csv_union(spark, sf_dir):
 
 @query("delimited_csv", "SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders")
 def q_delimited_csv(spark, sf_dir):
+    """A `;`-separated header CSV (S4) read as strings and typed with ``try_cast``."""
     path = scratch_path(spark, "orders_semicolon")
     o = table(spark, sf_dir, "orders", spread=True).select(
         "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
@@ -642,6 +643,7 @@ def q_csv_round_trip(spark, sf_dir):
 
 @query("parquet_round_trip", "SELECT * FROM lineitem")
 def q_parquet_round_trip(spark, sf_dir):
+    """Parquet written by Spark and read back (K1 + S10): schema and rows come back intact."""
     path = scratch_path(spark, "lineitem_parquet")
     write_parquet(table(spark, sf_dir, "lineitem", spread=True), path)
     return read_parquet(spark, path)
