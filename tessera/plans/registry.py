@@ -19,7 +19,7 @@ from tessera.functions import (TEXT_TIMESTAMP_PATTERN, clock_text, fixed_text, h
                                money_to_double, parse_timestamp, safe_long)
 from tessera.operators import grouped, partitioning, relational, setops
 from tessera.plans import city, payroll, workbook
-from tessera.session import scratch_path
+from tessera.session import scratch_path, ship_package
 from tessera.sources import (flatten_properties, global_sum, int_range, join_lines, read_csv,
                              read_csv_checked, read_csv_strings, read_features,
                              read_header_csv_union, read_lines, read_parquet, write_collections,
@@ -54,6 +54,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
 
     Table handles (lazy plans, no data) are kept per session, as a catalog would: the file
     listing and footer read happen once per table, not once per query."""
+    if spark not in _TABLES:
+        ship_package(spark)  # workers must import the package for the pandas functions
     per_session = _TABLES.setdefault(spark, {})
     key = (sf_dir.rstrip("/"), name, spread)
     if key not in per_session:

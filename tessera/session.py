@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -65,3 +66,39 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused, never cleared in place)."""
     return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the session's Python workers, as ``--py-files`` would.
+
+    Pandas UDFs and grouped pandas functions refer to package functions, so a worker must be
+    able to import ``tessera`` even when the driver was started from another directory. Done
+    once per application: the package is zipped into the shared folder and added with
+    ``addPyFile``. On a cluster whose shared folder is not a local path, deploy the package with
+    ``--py-files`` (or install it on the executors) instead; this then does nothing."""
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - remote session: the server side owns its dependencies
+        return
+    if app in _SHIPPED:
+        return
+    base = shared_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        _SHIPPED.add(app)
+        return
+    folder = base.removeprefix("file:")
+    package = os.path.dirname(os.path.abspath(__file__))
+    os.makedirs(folder, exist_ok=True)
+    target = os.path.join(folder, f"tessera-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w") as zf:
+        for root, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(root, name)
+                    zf.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
