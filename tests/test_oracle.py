@@ -53,3 +53,22 @@ def test_query_matches_oracle(spark, duck, name):
     do = sorted(range(len(d_cols)), key=lambda i: d_cols[i])
     assert sorted(tuple(_norm(r[i]) for i in so) for r in got) == \
         sorted(tuple(_norm(r[i]) for i in do) for r in want)
+
+
+def test_udf_queries_run_from_another_directory(tmp_path):
+    """Python workers must import the package even when the driver starts elsewhere."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".getOrCreate()\n"
+        "import __spark_entry__ as e\n"
+        "print('ROWS', len(e.queries()['grouped_udf_mean'](spark, %r).collect()))\n"
+    ) % (repo, SF)
+    out = subprocess.run([sys.executable, "-c", script], cwd=str(tmp_path), capture_output=True,
+                         text=True, timeout=600)
+    assert "ROWS 3" in out.stdout, out.stderr[-2000:]
