@@ -40,27 +40,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and tasks run in one process (so that they share every local folder)."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables.
-
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir) from the session. Only when
-    neither is set -- local tests and the local bench -- a fresh scratch folder is created and
-    registered as the checkpoint dir.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        return d.rstrip("/")
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local context
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
-    if current:
-        return current.rstrip("/")
-    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    if sc is not None:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session, or the
+    checkpoint folder its context was given.
+
+    Where neither is set, a local session (tests, the local bench) gets a scratch folder of its
+    own, registered as its checkpoint folder; on a cluster that is an error, because executors
+    would each write to their own disk."""
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not d:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share; intermediate tables are written there")
+        d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
-    return d
+    return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -74,26 +75,15 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable by the session's Python workers, as ``--py-files`` would.
 
-    Pandas UDFs and grouped pandas functions refer to package functions, so a worker must be
-    able to import ``tessera`` even when the driver was started from another directory. Done
-    once per application: the package is zipped into the shared folder and added with
-    ``addPyFile``. On a cluster whose shared folder is not a local path, deploy the package with
-    ``--py-files`` (or install it on the executors) instead; this then does nothing."""
-    try:
-        sc = spark.sparkContext
-        app = sc.applicationId
-    except Exception:  # noqa: BLE001 - remote session: the server side owns its dependencies
-        return
-    if app in _SHIPPED:
-        return
-    base = shared_dir(spark)
-    if "://" in base and not base.startswith("file:"):
-        _SHIPPED.add(app)
+    Functions that run in Python workers refer to package functions, so a worker must be able to
+    import ``tessera`` even when the driver was started from another directory. Done once per
+    application: a zip in a driver-side temporary folder, which ``addPyFile`` sends to every
+    executor (Spark's own file transfer; no shared folder is involved)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
         return
-    folder = base.removeprefix("file:")
     package = os.path.dirname(os.path.abspath(__file__))
-    os.makedirs(folder, exist_ok=True)
-    target = os.path.join(folder, f"tessera-{uuid.uuid4().hex[:8]}.zip")
+    target = os.path.join(tempfile.mkdtemp(prefix="ship-"), f"tessera-{uuid.uuid4().hex[:8]}.zip")
     with zipfile.ZipFile(target, "w") as zf:
         for root, _, files in os.walk(package):
             for name in files:
@@ -101,4 +91,4 @@ def ship_package(spark: SparkSession) -> None:
                     path = os.path.join(root, name)
                     zf.write(path, os.path.relpath(path, os.path.dirname(package)))
     sc.addPyFile(target)
-    _SHIPPED.add(app)
+    _SHIPPED.add(sc.applicationId)
