@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import simhash
+from tessera.llm import decontaminate, mixing, quality, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
+    "op6_quality_rules": quality.op6_quality_rules,
+    "op7_benchmark_tiling": decontaminate.op7_benchmark_tiling,
+    "op9_token_records": tokens.op9_token_records,
+    "op10_source_mix": mixing.op10_source_mix,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_quality_rules": quality.OP6_SQL,
+    "op10_source_mix": mixing.OP10_SQL,
+}
