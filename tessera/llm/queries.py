@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, mixing, quality, simhash, tokens
+from tessera.llm import decontaminate, mixing, pii, quality, secrets, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
+    "op4_pii_anchors": pii.op4_pii_anchors,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_benchmark_tiling": decontaminate.op7_benchmark_tiling,
+    "op8_secret_scan": secrets.op8_secret_scan,
     "op9_token_records": tokens.op9_token_records,
     "op10_source_mix": mixing.op10_source_mix,
 }
