@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def place(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path within it, for a path in a folder that driver and executors share."""
+    if "://" in path or path.startswith("file:"):
+        return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    return fs.LocalFileSystem(), path
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str,
            max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to at most ``max_bytes`` of ``column`` (one row at least), so that a

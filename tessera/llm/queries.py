@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, mixing, pii, quality, secrets, simhash, tokens
+from tessera.llm import decontaminate, langid, mixing, pii, quality, secrets, simhash, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
+    "op2_warc_fixity": warc.op2_warc_fixity,
+    "op3_language_id": langid.op3_language_id,
     "op4_pii_anchors": pii.op4_pii_anchors,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_benchmark_tiling": decontaminate.op7_benchmark_tiling,
@@ -19,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_warc_fixity": warc.OP2_SQL,
     "op6_quality_rules": quality.OP6_SQL,
     "op10_source_mix": mixing.OP10_SQL,
 }

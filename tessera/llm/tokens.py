@@ -24,12 +24,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, prepare, slices, stored, utf8
+from tessera.llm.common import documents, place, prepare, slices, stored, utf8
 from tessera.session import scratch_path
 
 END_ID = 2
@@ -166,13 +165,6 @@ def unframe(read) -> tuple[int | None, bytes] | None:
     return (doc_id if known else None), ids
 
 
-def _place(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder that driver and executors share."""
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
-    return fs.LocalFileSystem(), path
-
-
 def write_records(docs: DataFrame, tokenizer_file: str, folder: str | None = None, end_id: int = END_ID,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes every document's ids plus ``end_id`` and returns the manifest (shard, path, n_docs,
@@ -191,7 +183,7 @@ def write_records(docs: DataFrame, tokenizer_file: str, folder: str | None = Non
             if not batch.num_rows:
                 continue
             if out is None:
-                store, base = _place(folder)
+                store, base = place(folder)
                 store.create_dir(base, recursive=True)
                 name = f"shard-{shard:06d}-{uuid.uuid4().hex}"
                 out = store.open_output_stream(f"{base}/{name}.rec", buffer_size=1 << 20)
@@ -225,7 +217,7 @@ def read_records(manifest: DataFrame) -> DataFrame:
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                store, path = _place(row["path"])
+                store, path = place(row["path"])
                 with store.open_input_stream(f"{path}.idx") as f:
                     index = np.frombuffer(f.read(), INDEX)
                 ids, starts, sizes, crcs = [], [], [], []
@@ -252,7 +244,7 @@ def read_records(manifest: DataFrame) -> DataFrame:
 
 def read_record(path: str, record: int) -> tuple[int | None, np.ndarray]:
     """One record by its place, through the index: for shuffled reads."""
-    store, base = _place(path)
+    store, base = place(path)
     with store.open_input_file(f"{base}.idx") as f:
         offset = int(np.frombuffer(f.read_at(INDEX.itemsize, record * INDEX.itemsize), INDEX)["offset"][0])
     with store.open_input_file(f"{base}.rec") as f:
