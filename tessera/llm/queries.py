@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, mixing, pii, quality, secrets, simhash, tokens, warc
+from tessera.llm import decontaminate, langid, mixing, pii, quality, repeats, secrets, simhash, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
     "op2_warc_fixity": warc.op2_warc_fixity,
     "op3_language_id": langid.op3_language_id,
     "op4_pii_anchors": pii.op4_pii_anchors,
+    "op5_repeat_index": repeats.op5_repeat_index,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_benchmark_tiling": decontaminate.op7_benchmark_tiling,
     "op8_secret_scan": secrets.op8_secret_scan,
