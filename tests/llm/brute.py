@@ -1,0 +1,226 @@
+"""Plain single-threaded versions of the operators: what their results must equal."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import xxhash
+
+BLANK = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text):
+    return BLANK.findall(text or "")
+
+
+def components(links, nodes):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def fingerprint(text, k=3):
+    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(w[i:i + k]) for i in range(len(w) - k + 1)] or ([" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def near_duplicates(docs, bits=2):
+    """docs: (doc_id, text) -> sorted (doc_id, fingerprint, component)"""
+    prints = [fingerprint(t) for _, t in docs]
+    links = [(i, j) for i in range(len(docs)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= bits]
+    group = components(links, range(len(docs)))
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        least[group[i]] = min(d, least.get(group[i], d))
+    return sorted((d, f"{prints[i]:016x}", least[group[i]]) for i, (d, _) in enumerate(docs))
+
+
+def quality(text):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept)"""
+    text = text or ""
+    w = words(text)
+    lines = [x for x in text.split("\n") if BLANK.search(x)]
+    grams = Counter(zip(w, w[1:], w[2:]))
+    repeat = {i + k for i, g in enumerate(zip(w, w[1:], w[2:])) if grams[g] > 1 for k in range(3)}
+    n, chars = len(w), sum(map(len, w))
+    symbols, dup = len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines))
+    failed = n < 50 or 100 * len(repeat) > 50 * n
+    m = max(n, 1)
+    kept = not (failed or 10 * symbols > m or 2 * dup > len(lines) or 2 * chars < 5 * m or chars > 12 * m)
+    return n, chars, symbols, dup, len(repeat), failed, kept
+
+
+def tiles(item, doc, least):
+    """Greedy string tiling by trying all places: (item start, doc start, length)."""
+    used_a, used_b, out = set(), set(), []
+    while True:
+        best = (least - 1, 0, 0)
+        for a in range(len(item)):
+            for b in range(len(doc)):
+                n = 0
+                while (a + n < len(item) and b + n < len(doc) and item[a + n] == doc[b + n] and item[a + n] >= 0
+                       and a + n not in used_a and b + n not in used_b):
+                    n += 1
+                if n > best[0]:
+                    best = (n, a, b)
+        n, a, b = best
+        if n < least:
+            return out
+        used_a.update(range(a, a + n))
+        used_b.update(range(b, b + n))
+        out.append((a, b, n))
+
+
+def contaminated(text, items, least=5, threshold=0.5):
+    doc = re.findall(r"\w+", (text or "").lower())
+    runs = {tuple(doc[i:i + least]) for i in range(len(doc) - least + 1)}
+    hits = []
+    for item_id, item in items:
+        w = re.findall(r"\w+", (item or "").lower())
+        if not w:
+            continue
+        if len(w) >= least and not any(tuple(w[i:i + least]) in runs for i in range(len(w) - least + 1)):
+            continue
+        code = {x: i for i, x in enumerate(dict.fromkeys(w))}
+        short = len(w) < least
+        found = tiles([code[x] for x in w], [code.get(x, -1) for x in doc], len(w) if short else least)
+        if found[:1 if short else None] and sum(t[2] for t in found) >= threshold * len(w):
+            hits.append(item_id)
+    return hits
+
+
+def uniform(doc_id, seed="mix-1"):
+    return (int(hashlib.md5(f"{seed}:{doc_id}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+
+
+def targets(sizes, weights, cap=3):
+    """sizes, weights by source -> target by source, sharing again until none is above its cap."""
+    total, out, open_ = float(sum(sizes.values())), {}, set(sizes)
+    while open_:
+        share = {s: total * weights[s] / sum(weights[x] for x in open_) for s in open_}
+        over = {s for s in open_ if share[s] > cap * sizes[s]}
+        if not over:
+            return out | share
+        for s in over:
+            out[s] = cap * sizes[s]
+            total -= out[s]
+        open_ -= over
+    return out
+
+
+def mix(docs):
+    """docs: (doc_id, text, source) -> [(doc_id, size, source_size, target, copies)] in order of docs."""
+    sizes = defaultdict(int)
+    for _, t, s in docs:
+        sizes[s] += len(words(t))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    goal = targets(dict(sizes), {s: i % 3 + 1.0 for i, s in enumerate(order)})
+    copies = [0] * len(docs)
+    for s in order:
+        ratio = goal[s] / sizes[s] if sizes[s] else 0.0
+        whole = math.floor(ratio + 1e-12)
+        chance = max(ratio - whole, 0.0)
+        rows = [(uniform(d), d, len(words(t)), i) for i, (d, t, x) in enumerate(docs) if x == s and words(t)]
+        for r in rows:
+            copies[r[3]] = whole
+        if chance <= 1e-12:
+            continue
+        left, rest = goal[s] - whole * sizes[s], []
+        upto = 0
+        for u, d, n, i in sorted(rows):
+            upto += n
+            if upto <= left:
+                copies[i] += 1
+            else:
+                rest.append((n, u, d, i))
+        gap = left - sum(n for u, d, n, i in rows if copies[i] > whole)
+        near = [(abs(n - gap), u, d, i) for n, u, d, i in rest if n < 2 * gap]
+        if near:
+            copies[min(near)[3]] += 1
+    return [(d, len(words(t)), sizes[s], goal[s], c) for (d, t, s), c in zip(docs, copies)]
+
+
+def encode(docs, tokenizer):
+    """docs: (doc_id, text) in order -> (doc_id, start, n_tokens, crc)"""
+    at, out = 0, []
+    for d, t in docs:
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
+        out.append((d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    return out
+
+
+def removed(texts, width):
+    """texts -> (n_bytes, n_removed, n_spans, sha256 of what is left)"""
+    data = [(t or "").encode() for t in texts]
+    key = xxhash.xxh3_128_digest
+    count = Counter(key(b[i:i + width]) for b in data for i in range(len(b) - width + 1))
+    out = []
+    for b in data:
+        mark = bytearray(len(b))
+        for i in range(len(b) - width + 1):
+            if count[key(b[i:i + width])] > 1:
+                mark[i:i + width] = b"\1" * width
+        left = bytes(x for x, m in zip(b, mark) if not m)
+        spans = sum(m and not (i and mark[i - 1]) for i, m in enumerate(mark))
+        out.append((len(b), len(b) - len(left), spans, hashlib.sha256(left).hexdigest()))
+    return out
+
+
+def luhn(digits):
+    return sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def personal(text):
+    """base spans: (kind, start, end) by kind and start"""
+    text, out = text or "", []
+    for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+                          ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"),
+                          ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if (kind == "email" or kind == "ip" and all(int(p) <= 255 for p in m[0].split("."))
+                    or kind == "card" and 13 <= len(digits) <= 19 and luhn(digits)
+                    or kind == "phone" and 9 <= len(digits) <= 15):
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def secrets(text):
+    """base spans: (kind, start, end) by start, then kind"""
+    text = text or ""
+    out = [(m.start(), 0, m.end()) for m in re.finditer(
+        r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text)
+        if len(m[1]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(("assign", "access", "hex")[k], s, e) for s, k, e in sorted(out)]
+
+
+def entropy_windows(text, window, bits):
+    """(first, end) of the windows of ``text`` whose entropy reaches ``bits``, each counted anew."""
+    def h(part):
+        return -sum(c / window * math.log2(c / window) for c in Counter(part).values())
+
+    starts = [i for i in range(len(text) - window + 1) if h(text[i:i + window]) >= bits - 1e-6]
+    return (starts[0], starts[-1] + window) if starts else None
+
+
+def joined(spans):
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
