@@ -16,8 +16,7 @@ PART_OF_DAY_BANDS = [
 PART_OF_DAY_REST = "Night"  # every other hour: 21..23 and 0..4
 # ---- fixed values: the whitespace set of Python's str.split() (code points)
 # 0x09-0x0d, 0x1c-0x20, 0x85, 0xa0, 0x1680, 0x2000-0x200a, 0x2028, 0x2029, 0x202f, 0x205f, 0x3000
-# = Unicode White_Space (Java's \s under the (?U) flag) plus the separators 0x1c-0x1f
-WHITESPACE = r"(?U)[\s\x{1c}-\x{1f}]+"
+# = Unicode White_Space plus the separators 0x1c-0x1f
 WHITESPACE_CHARS = "".join(chr(c) for lo, hi in [(0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85),
                                                  (0xA0, 0xA0), (0x1680, 0x1680),
                                                  (0x2000, 0x200A), (0x2028, 0x2029),
@@ -44,29 +43,17 @@ def strip(text: str | Column) -> Column:
     return F.btrim(_c(text), F.lit(WHITESPACE_CHARS))
 
 
-def tokens(text: str | Column) -> Column:
-    """Whitespace tokenisation (X1): split on runs of whitespace, drop empty pieces (an array).
-
-    Whitespace is the set Python's ``str.split()`` uses (ASCII blanks plus the Unicode spaces),
-    not Java's ASCII-only ``\\s``."""
-    return F.filter(F.split(_c(text), WHITESPACE), lambda t: t != F.lit(""))
-
-
 def explode_tokens(df: DataFrame, text: str | Column, alias: str = "word") -> DataFrame:
     """One row per whitespace-separated token of ``text`` (X1 + P11).
 
-    Explode first, then drop the empty pieces (a leading blank gives one) with a plain filter:
-    both stay in generated code, unlike a lambda filter over the array."""
-    words = df.select(F.explode(F.split(_c(text), WHITESPACE)).alias(alias))
+    Whitespace is the set Python's ``str.split()`` uses (ASCII blanks plus the Unicode spaces). It is
+    mapped to the blank character first, so that the split needs no regular expression; the empty
+    pieces between neighbouring blanks go in a plain filter, in generated code."""
+    blanks = F.translate(_c(text), WHITESPACE_CHARS, " " * len(WHITESPACE_CHARS))
+    words = df.select(F.explode(F.split(blanks, " ")).alias(alias))
     return words.where(F.col(alias) != F.lit(""))
 
 
-def field(text: str | Column, sep: str, index: int) -> Column:
-    """1-based field of a delimited string (X2); null when the line is too short."""
-    import re
-    return F.try_element_at(F.split(_c(text), re.escape(sep)), F.lit(index))
-
-
 def money_to_double(text: str | Column) -> Column:
     """``'$52,806'`` -> 52806.0; surrounding blanks are ignored; anything else -> null."""
     digits = F.regexp_extract(strip(text), MONEY_PATTERN, 1)
@@ -118,29 +105,11 @@ def part_of_day(hour: str | Column, unknown: str = "drop") -> Column:
     return expr.when(h.isNotNull(), PART_OF_DAY_REST)
 
 
-def round_half_up(x: str | Column, scale: int = 2) -> Column:
-    """Round half up in plain IEEE steps: ``floor(x*10^s + 0.5) / 10^s`` (X11, for x >= 0).
-
-    Unlike ``round`` on a double (which rounds the shortest decimal text), every step here is a
-    single IEEE operation, so any engine computing the same steps gets the same bits."""
-    p = float(10 ** scale)
-    return F.floor(_c(x) * F.lit(p) + F.lit(0.5)).cast("double") / F.lit(p)
-
-
-def round_decimal(x: str | Column, scale: int = 2) -> Column:
-    """Spark's ``round`` (HALF_UP on the decimal value)."""
+def rounded(x: str | Column, scale: int = 2) -> Column:
+    """Spark's ``round``: half up (away from zero) on the decimal text of the value (X11)."""
     return F.round(_c(x), scale)
 
 
-ROUNDINGS = {"ieee_half_up": round_half_up, "spark": round_decimal}
-
-
-def rounded(x: str | Column, scale: int = 2, rounding: str = "ieee_half_up") -> Column:
-    """Round with the named rule: ``ieee_half_up`` (same bits in any engine, the default) or
-    ``spark`` (Spark's ``round``; 1.005 -> 1.01 where the IEEE form gives 1.0)."""
-    return ROUNDINGS[rounding](x, scale)
-
-
 def percent_of(part: str | Column, whole: str | Column, scale: int = 2) -> Column:
     """``100 * part / whole`` rounded half up to ``scale`` places, exactly.
 

@@ -2,7 +2,7 @@
 
 Both keep every Python call bounded: the custom aggregate runs its ``seq`` step inside each task
 (``mapInPandas``, no shuffle of raw rows) and merges partial states with built-in aggregates;
-the cogroup join splits hot keys into grid cells first (see ``skew``).
+the cogroup splits keys with too many pairs into cells first (see ``skew``).
 """
 
 from __future__ import annotations
@@ -87,20 +87,20 @@ def _with_keys(state: pd.DataFrame, key, keys: list[str]) -> pd.DataFrame:
 def cogroup_apply(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                   right_keys: Sequence[str],
                   fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
-                  target_rows: int = skew.TARGET_ROWS,
-                  sample_fraction: float = skew.SAMPLE_FRACTION) -> DataFrame:
-    """Run ``fn(left_rows, right_rows)`` per key (D-4), on bounded cells of hot keys.
+                  max_pairs: int = skew.MAX_PAIRS) -> DataFrame:
+    """Run ``fn(left_rows, right_rows)`` per key (D-4), on cells of at most about ``max_pairs`` pairs.
 
     ``fn`` must be correct on any split of a key's rows into cells where every (left, right)
-    pair meets exactly once -- true for joins and any per-pair logic."""
-    lft, rgt, cell = skew.salt_grid(left, right, left_keys, right_keys, target_rows,
-                                    sample_fraction)
+    pair meets exactly once -- true for joins and any per-pair logic -- and sees only keys that both
+    sides hold."""
+    hot = skew.hot_keys(left, right, left_keys, right_keys, max_pairs)
+    cells = skew.cells(left, right, left_keys, right_keys, hot)
 
     def call(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return fn(a.drop(columns=cell), b.drop(columns=cell))
+        return fn(a.drop(columns=skew.CELL), b.drop(columns=skew.CELL))
 
-    return (lft.groupBy(*left_keys, *cell)
-            .cogroup(rgt.groupBy(*right_keys, *cell))
+    return (cells[0].groupBy(*left_keys, *skew.CELL)
+            .cogroup(cells[1].groupBy(*right_keys, *skew.CELL))
             .applyInPandas(call, schema))
 
 

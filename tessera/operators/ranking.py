@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def order(df: DataFrame, by: Sequence[str | Column]) -> DataFrame:
-    """A global sort (range shuffle); use it as the last step of a report."""
-    return df.orderBy(*by)
-
-
 def top_k(df: DataFrame, k: int, by: Sequence[str | Column],
           cols: Sequence[str | Column] | None = None) -> DataFrame:
     """The first ``k`` rows in ``by`` order.

@@ -1,10 +1,9 @@
 """Projection, filter, join and aggregation operators (P*, F*, J*, A*).
 
 Joins leave the strategy to Catalyst + AQE by default: AQE re-plans a sort-merge join into a
-broadcast join only after it has *measured* the materialised side, so the default is safe at
-any scale. An explicit strategy is a request; an explicit broadcast or nested-loop join is only
-honoured behind a bounded row count of the side that would be replicated, with a sort-merge
-join beyond the bound.
+broadcast join only after it has *measured* the materialised side. An explicit strategy is a
+request and is honoured as given or refused with an error; it is never replaced. Sizes come from
+the optimizer's statistics, in bytes, while the plan is built: no job runs for a join to be made.
 """
 
 from __future__ import annotations
@@ -12,18 +11,23 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import sorted_values
 
-MAX_BROADCAST_ROWS = 2_000_000   # replicated side bound for an explicit broadcast
-MAX_NESTED_LOOP_ROWS = 1_000     # replicated side bound for a nested loop (cost: rows x bound)
-MONEY = "decimal(18,2)"          # exact type for summing two-decimal amounts stored as double
+MAX_BROADCAST_BYTES = 512 << 20    # estimated size up to which an explicit broadcast is made
+MAX_NESTED_LOOP_BYTES = 16 << 20   # the same for the replicated side of a nested loop
+EXACT = "decimal(28,6)"            # exact type for summing amounts stored as double
 
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
 
 
+class SideTooLarge(ValueError):
+    """A side that a strategy would copy to every task is larger than its bound."""
+
+
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -35,15 +39,23 @@ def with_product(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     return df.withColumn(name, F.col(a) * F.col(b))
 
 
-# -- bounded row count (the size proof for replicated sides) --------------------------------------
+# -- size estimates ------------------------------------------------------------------------------
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (from file sizes and plan statistics; planning only,
+    no job). An unknown size is estimated as very large."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    A bounded, incremental action: is there a row after the first ``max_rows``? Spark answers it
-    like ``take``, scanning one partition first and more only while rows are missing, and hands
-    back at most one row. A huge input is refused after reading about ``max_rows`` rows."""
-    return df.offset(max_rows).isEmpty()
+
+def check_strategy(copied: DataFrame, strategy: str, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                   max_nested_loop_bytes: int = MAX_NESTED_LOOP_BYTES) -> None:
+    """Refuses a copying strategy for a side that is estimated above its bound."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown join strategy {strategy!r}")
+    bound = {"broadcast": max_broadcast_bytes, "shuffle_replicate_nl": max_nested_loop_bytes}.get(strategy)
+    if bound is not None and (size := estimated_bytes(copied)) > bound:
+        raise SideTooLarge(f"{strategy} join: the copied side is estimated at {size} bytes, the bound is "
+                           f"{bound}; ask for 'merge', 'shuffle_hash' or 'auto' instead")
 
 
 # -- filters ---------------------------------------------------------------------------------------
@@ -64,50 +76,60 @@ def drop_unparsed(df: DataFrame, col: str, observation=None) -> DataFrame:
 # -- joins -----------------------------------------------------------------------------------------
 
 def join(left: DataFrame, right: DataFrame, on, how: str = "inner", strategy: str = "auto",
-         max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-         max_nested_loop_rows: int = MAX_NESTED_LOOP_ROWS) -> DataFrame:
-    """Equi join with an optional strategy request.
+         max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+         max_nested_loop_bytes: int = MAX_NESTED_LOOP_BYTES) -> DataFrame:
+    """Join with an optional strategy request (J1-J11); ``right`` is the smaller side.
 
     ``on`` is a column name, a list of names, or a join condition. ``strategy``:
 
     * ``auto`` -- Catalyst/AQE decide (broadcast only under the measured-size threshold)
-    * ``broadcast`` -- replicate ``right`` if it has at most ``max_broadcast_rows`` rows
-    * ``merge`` / ``shuffle_hash`` -- shuffle both sides on the key
-    * ``shuffle_replicate_nl`` -- nested loop over replicated partitions, only when the smaller
-      side has at most ``max_nested_loop_rows`` rows (cost stays linear in the other side)
+    * ``broadcast`` -- copy ``right`` to every executor
+    * ``merge`` -- shuffle and sort both sides on the key
+    * ``shuffle_hash`` -- shuffle both sides on the key, hash ``right``
+    * ``shuffle_replicate_nl`` -- nested loop over all pairs of partitions: a cross join with a
+      condition, made only because it was asked for
+
+    ``SideTooLarge`` is raised when ``right`` is estimated above the bound of a copying strategy."""
+    check_strategy(right, strategy, max_broadcast_bytes, max_nested_loop_bytes)
+    return left.join(right if strategy == "auto" else right.hint(strategy), on, how)
 
-    A refused broadcast or nested loop falls back to a sort-merge join.
-    """
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown join strategy {strategy!r}")
-    if strategy == "broadcast":
-        if fits(right, max_broadcast_rows):
-            return left.join(F.broadcast(right), on, how)
-        strategy = "merge"
-    if strategy == "shuffle_replicate_nl":
-        if fits(right, max_nested_loop_rows):
-            return left.join(right.hint("shuffle_replicate_nl"), on, how)
-        strategy = "merge"
-    if strategy in ("merge", "shuffle_hash"):
-        return left.hint(strategy).join(right, on, how)
-    return left.join(right, on, how)
+
+def join_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
+              strategy: str = "auto", **bounds) -> DataFrame:
+    """Equi join of two tables whose columns may share names (J1, J4, P2): the sides are aliased
+    ``l`` and ``r``, so every column stays reachable as ``l.name`` or ``r.name``."""
+    on = F.col(f"l.`{left_key}`") == F.col(f"r.`{right_key}`")
+    return join(left.alias("l"), right.alias("r"), on, how, strategy, **bounds)
+
+
+def qualified(side: str, cols: Sequence[str]) -> list[Column]:
+    """Columns of one side of ``join_keys`` under their plain names."""
+    return [F.col(f"{side}.`{c}`").alias(c) for c in cols]
 
 
 def join_filtered_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                       dim_filter: Column, how: str = "inner") -> DataFrame:
-    """Filter the dimension, then join (Catalyst also infers ``isnotnull`` on both keys)."""
-    return fact.join(dim.where(dim_filter), F.col(fact_key) == F.col(dim_key), how)
+    """Filter the dimension, then join (sides ``l`` and ``r``, see ``join_keys``)."""
+    return join_keys(fact, dim.where(dim_filter), fact_key, dim_key, how)
 
 
 # -- aggregates -----------------------------------------------------------------------------------
 
+def exact(df: DataFrame, col: str | Column) -> Column:
+    """A column in a type whose sums are exact: integers as ``decimal(38,0)`` (a bigint sum overflows,
+    which stops the job in ANSI mode), decimals as they are, doubles as they are."""
+    column = _c(col)
+    kind = df.select(column.alias("c")).schema["c"].dataType
+    return column.cast("decimal(38,0)") if isinstance(kind, T.IntegralType) else column
+
+
 def sum_by(df: DataFrame, keys: Sequence[str | Column], col: str | Column, alias: str,
            money: bool = False) -> DataFrame:
     """A1: one sum per group (partial sums per task before the shuffle).
 
-    ``money`` sums two-decimal amounts stored as double exactly, as ``decimal(18,2)``: the
-    result no longer depends on the order rows reach the sum (cast to double at the end)."""
-    value = _c(col).cast(MONEY) if money else _c(col)
+    ``money`` sums amounts stored as double exactly, with six decimals: the result does not depend
+    on the order in which rows reach the sum."""
+    value = _c(col).cast(EXACT) if money else _c(col)
     return df.groupBy(*keys).agg(F.sum(value).alias(alias))
 
 
@@ -135,19 +157,40 @@ def flagged_and_total(df: DataFrame, keys: Sequence[str | Column], flag: Column,
 
 def mean_by(df: DataFrame, keys: Sequence[str | Column], col: str | Column,
             alias: str = "mean") -> DataFrame:
-    """Accumulator mean as ``sum / count`` with partial (sum, count) per task."""
+    """Accumulator mean as ``sum / count`` with partial (sum, count) per task; integers are
+    summed without overflow."""
     return (df.groupBy(*keys)
-            .agg(F.sum(_c(col)).alias("_s"), F.count(_c(col)).alias("_n"))
+            .agg(F.sum(exact(df, col)).alias("_s"), F.count(_c(col)).alias("_n"))
             .select(*[k for k in keys if isinstance(k, str)],
                     (F.col("_s") / F.col("_n")).alias(alias)))
 
 
+def sorted_rows_by(df: DataFrame, group: str, value: str, position: str = "position") -> DataFrame:
+    """The values of each group in order, as rows (group, position, value), positions from 1.
+
+    Rows are range-partitioned on (group, value), so a group of any size is spread over many tasks.
+    A row's position is its place within its partition plus the group's rows in the partitions before;
+    only counts per (partition, group) meet. The sorted rows are checkpointed: both steps see the
+    same ones. Equal values follow each other in any order; nulls come first."""
+    ordered = (df.select(F.col(group), F.col(value)).repartitionByRange(group, value)
+               .sortWithinPartitions(group, value)
+               .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at"))
+               .checkpoint())
+    counts = ordered.groupBy(group, "_part").agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), "_first",
+                           F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    same = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p"))
+    return ordered.join(counts, same).select(
+        group, (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias(position), value)
+
+
 def sorted_list_by(df: DataFrame, key: str, value: str, alias: str = "values",
                    sep: str | None = None) -> DataFrame:
     """The sorted values of each group, as an array or (with ``sep``) joined text.
 
-    The list is the result, so each group's list is built in the task that owns the group;
-    values are gathered with partial lists per task (map-side) before the shuffle."""
+    The list is one row, so this is for groups that are bounded by their meaning (the lines of an
+    order); ``sorted_rows_by`` gives the same order for groups of any size."""
     lst = sorted_values(F.collect_list(F.col(value)))
     out = lst if sep is None else F.array_join(lst, sep)
     return df.groupBy(key).agg(out.alias(alias))

@@ -6,7 +6,6 @@ repeated a billion times crosses the network once per task, not once per row."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +27,6 @@ def union_by_name(frames: Sequence[DataFrame], allow_missing: bool = True) -> Da
     return out
 
 
-def distinct(df: DataFrame) -> DataFrame:
-    """U3."""
-    return df.distinct()
-
-
 def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
     """UNION (one aggregate over the union; partial distinct per task first)."""
     return union_all(frames).distinct()
@@ -41,15 +35,8 @@ def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
 def intersect(a: DataFrame, b: DataFrame) -> DataFrame:
     """U4: distinct rows present in both inputs (nulls compare equal, as in INTERSECT).
 
-    Written as distinct-then-semi-join rather than ``a.intersect(b)``: Catalyst rewrites the
-    latter as a semi join of the *raw* left rows with one distinct on top, so every copy of a hot
-    value would cross the join's shuffle. Here both sides are de-duplicated first (partial
-    distinct per task), and the semi join of distinct rows is already distinct."""
-    # the join condition also reads the per-value count: that keeps Catalyst from pushing the
-    # semi join below the left aggregate (which would shuffle raw rows instead of values)
-    left = a.groupBy(*a.columns).agg(F.count(F.lit(1)).alias("_copies")).alias("_l")
-    right = b.distinct().alias("_r")
-    cond = reduce(lambda x, y: x & y,
-                  [F.col(f"_l.`{ca}`").eqNullSafe(F.col(f"_r.`{cb}`"))
-                   for ca, cb in zip(a.columns, b.columns)]) & (F.col("_l._copies") > 0)
-    return left.join(right, cond, "left_semi").select(*[F.col(f"_l.`{c}`") for c in a.columns])
+    One aggregate over the union: every row brings a bit for its side, and rows with both bits stay.
+    One shuffle, after the bits of equal rows have been combined in each task."""
+    sides = [f.toDF(*a.columns).withColumn("_side", F.lit(bit)) for bit, f in ((1, a), (2, b))]
+    return (sides[0].union(sides[1]).groupBy(*a.columns).agg(F.bit_or("_side").alias("_side"))
+            .where(F.col("_side") == 3).drop("_side"))

@@ -1,23 +1,16 @@
-"""Hot-key splitting for operators that must see a key's rows together in one task.
+"""Splitting of hot keys for functions that get a key's rows together in one Python call.
 
 Built-in aggregates and joins need none of this (partial aggregation and AQE's skew-join split
-cover them). Grouped pandas functions do: Spark hands each group to one Python call, so a key
-holding a third of all rows would land whole in one task. ``salt_grid`` splits every hot key
-into cells of about ``target_rows`` rows per side:
-
-* a key with ``n`` rows on a side gets ``ceil(n / target_rows)`` buckets on that side;
-* each row takes its own bucket from a hash of (input partition, row content) -- deterministic,
-  so a recomputed task after an executor loss puts every row in the same bucket again;
-* each row is copied to every bucket of the *other* side, so each pair of rows meets in exactly
-  one cell (a grid), and each cell holds at most ~``target_rows`` rows of either side.
-
-Only hot keys (more than ``target_rows`` rows) are listed in the side tables, so those tables
-hold at most ``total_rows / target_rows`` rows; Catalyst/AQE joins them to the inputs (after
-measuring them, normally as a broadcast).
-
-Key counts are estimated from a seeded (deterministic) sample by default: any bucket count
-keeps the grid correct -- each pair still meets exactly once -- so estimation error only moves
-cell sizes a little, while the detection pass shuffles 1% of the keys instead of all of them.
+cover them). A grouped pandas function over two sides does: its work and its output follow the
+number of *pairs* of a key, so that is what is bounded.
+
+* ``hot_keys`` counts both sides once (partial counts per task) and keeps the keys with more than
+  ``max_pairs`` pairs, with a number of buckets per side such that a cell (bucket of one side x
+  bucket of the other) holds at most about ``max_pairs`` pairs. The table is written once and shared.
+* ``cells`` leaves rows of other keys alone. A hot row gets its own bucket by its place in its
+  partition -- copies of one row fall into different buckets -- and a copy for every bucket of the other
+  side, so each pair of rows meets in exactly one cell. Hot rows are checkpointed before they are
+  numbered, so a task that runs again numbers them the same way.
 """
 
 from __future__ import annotations
@@ -27,57 +20,46 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TARGET_ROWS = 500_000
-SAMPLE_FRACTION = 0.01
-SAMPLE_SEED = 17
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], target_rows: int, alias: str,
-             sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
-    """Keys with more than ``target_rows`` rows and their bucket count ``alias``.
-
-    ``sample_fraction < 1`` estimates counts from a seeded sample (``count / fraction``)."""
-    src, scale = df, 1.0
-    if sample_fraction < 1.0:
-        src, scale = df.sample(fraction=sample_fraction, seed=SAMPLE_SEED), 1.0 / sample_fraction
-    est = F.count(F.lit(1)) * F.lit(scale)
-    return (src.groupBy(*keys).agg(est.alias("_n"))
-            .where(F.col("_n") > target_rows)
-            .select(*keys, F.ceil(F.col("_n") / F.lit(target_rows)).cast("int").alias(alias)))
-
-
-def _attach(df: DataFrame, keys: Sequence[str], table: DataFrame, table_keys: Sequence[str],
-            alias: str) -> DataFrame:
-    renamed = table.select(*[F.col(tk).alias(k) for tk, k in zip(table_keys, keys)], alias)
-    return (df.join(renamed, list(keys), "left")
-            .withColumn(alias, F.coalesce(F.col(alias), F.lit(1))))
-
-
-def _own_bucket(df: DataFrame, count_col: str) -> F.Column:
-    """A row's bucket among ``count_col`` buckets: hash of (partition, the row's own columns)."""
-    content = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
-    return F.pmod(content, F.col(count_col)).cast("int")
-
-
-def salt_grid(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-              right_keys: Sequence[str], target_rows: int = TARGET_ROWS,
-              sample_fraction: float = SAMPLE_FRACTION
-              ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Return (left, right, cell_columns): both sides carry the two cell columns ``_a``/``_b``.
-
-    Group/cogroup on ``keys + cell_columns`` to get bounded groups."""
-    hl = hot_keys(left, left_keys, target_rows, "_nl", sample_fraction)
-    hr = hot_keys(right, right_keys, target_rows, "_nr", sample_fraction)
-
-    lft = _attach(_attach(left, left_keys, hl, left_keys, "_nl"), left_keys, hr, right_keys, "_nr")
-    lft = (lft.withColumn("_a", _own_bucket(left, "_nl"))
-           .withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_nr") - 1)))
-           .drop("_nl", "_nr"))
-
-    rgt = _attach(_attach(right, right_keys, hr, right_keys, "_nr"), right_keys, hl, left_keys,
-                  "_nl")
-    rgt = (rgt.withColumn("_b", _own_bucket(right, "_nr"))
-           .withColumn("_a", F.explode(F.sequence(F.lit(0), F.col("_nl") - 1)))
-           .drop("_nl", "_nr"))
-    return lft, rgt, ["_a", "_b"]
-
+from tessera.session import scratch_path
+
+MAX_PAIRS = 4_000_000
+CELL = ["_a", "_b"]
+
+
+def hot_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
+             max_pairs: int = MAX_PAIRS) -> DataFrame:
+    """(k0.., na, nb): keys with more than ``max_pairs`` pairs and the buckets of either side."""
+    names = [f"_k{i}" for i in range(len(left_keys))]
+    a = left.groupBy(*left_keys).agg(F.count("*").alias("_l")).toDF(*names, "_l")
+    b = right.groupBy(*right_keys).agg(F.count("*").alias("_r")).toDF(*names, "_r")
+    # cells as square as the sides allow: a short side stays whole
+    rows = F.lit(max_pairs) ** 0.5
+    short = F.least("_l", "_r", F.floor(rows))
+    most = F.floor(F.lit(max_pairs) / F.greatest(short, F.lit(1)))
+    size_l = F.when(F.col("_l") <= F.floor(rows), F.col("_l")).otherwise(
+        F.when(F.col("_r") <= F.floor(rows), most).otherwise(F.floor(rows)))
+    size_r = F.when(F.col("_r") <= F.floor(rows), F.col("_r")).otherwise(
+        F.when(F.col("_l") <= F.floor(rows), most).otherwise(F.floor(rows)))
+    found = (a.join(b, names).where(F.col("_l").cast("double") * F.col("_r") > max_pairs)
+             .select(*names, F.ceil(F.col("_l") / size_l).cast("int").alias("_na"),
+                     F.ceil(F.col("_r") / size_r).cast("int").alias("_nb")))
+    path = scratch_path(left.sparkSession, "hot-keys")
+    found.write.parquet(path)
+    return left.sparkSession.read.schema(found.schema).parquet(path)
+
+
+def _split(df: DataFrame, keys: Sequence[str], hot: DataFrame, own: str, own_n: str, other: str,
+           other_n: str) -> DataFrame:
+    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    cold = df.join(hot, on, "left_anti").select("*", F.lit(0).alias(own), F.lit(0).alias(other))
+    mine = df.join(hot, on).checkpoint()
+    mine = (mine.withColumn(own, F.pmod(F.monotonically_increasing_id(), F.col(own_n)).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1))))
+    return cold.select(*df.columns, *CELL).union(mine.select(*df.columns, *CELL))
+
+
+def cells(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
+          hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the cell columns; group on keys + ``CELL``."""
+    return (_split(left, left_keys, hot, "_a", "_na", "_b", "_nb"),
+            _split(right, right_keys, hot, "_b", "_nb", "_a", "_na"))

@@ -30,21 +30,23 @@ def lowest_paid_sql(spark: SparkSession, staff: DataFrame, k: int = 5, amount: s
 
 def top_in_dimension(facts: DataFrame, dims: DataFrame, fact_key: str, dim_key: str,
                      dim_name: str, name: str, k: int = 3, amount: str = "salary",
-                     tiebreak: str = "id", cols: Sequence[str] | None = None) -> DataFrame:
-    """QP2: the ``k`` largest ``amount`` rows of the facts whose dimension is called ``name``.
+                     tiebreak: str = "id", cols: Sequence[str] | None = None,
+                     dim_cols: Sequence[str] = ()) -> DataFrame:
+    """QP2: the ``k`` largest ``amount`` rows of the facts whose dimension is called ``name``, with
+    the fact columns ``cols`` (default: all) and the dimension columns ``dim_cols``.
 
-    The dimension filter is pushed below the join by Catalyst; the join then sees one dimension
-    row, and the top-k keeps a k-row heap per task."""
-    joined = relational.join_filtered_dim(facts, dims, fact_key, dim_key,
-                                          F.col(dim_name) == F.lit(name))
-    return ranking.top_k(joined, k, [F.col(amount).desc(), F.col(tiebreak).asc()], cols)
+    The two tables may share column names. The dimension filter is pushed below the join by
+    Catalyst; the join then sees one dimension row, and the top-k keeps a k-row heap per task."""
+    joined = relational.join_filtered_dim(facts, dims, fact_key, dim_key, F.col(dim_name) == F.lit(name))
+    return ranking.top_k(joined, k, [F.col(f"l.`{amount}`").desc(), F.col(f"l.`{tiebreak}`").asc()],
+                         [*relational.qualified("l", cols or facts.columns), *relational.qualified("r", dim_cols)])
 
 
 def top_in_dimension_sql(spark: SparkSession, facts: DataFrame, dims: DataFrame, fact_key: str,
                          dim_key: str, dim_name: str, name: str, k: int = 3,
                          amount: str = "salary", tiebreak: str = "id",
-                         cols: Sequence[str] | None = None) -> DataFrame:
-    sel = ", ".join(f"f.`{c}`" for c in (cols or facts.columns))
+                         cols: Sequence[str] | None = None, dim_cols: Sequence[str] = ()) -> DataFrame:
+    sel = ", ".join([f"f.`{c}`" for c in (cols or facts.columns)] + [f"d.`{c}`" for c in dim_cols])
     with temp_views(facts=facts, dims=dims) as v:
         return spark.sql(
             f"SELECT {sel} FROM {v['facts']} f JOIN {v['dims']} d "
@@ -96,23 +98,18 @@ def sum_per_dimension(facts: DataFrame, dims: DataFrame, fact_key: str, dim_key:
     one row per task), then joined to the dimension and re-summed per name (names need not be
     unique)."""
     per_key = relational.sum_by(facts, [fact_key], amount, "_part", money=money)
-    named = per_key.join(dims.select(dim_key, dim_name),
-                         F.col(fact_key) == F.col(dim_key), "inner")
+    named = relational.join_keys(per_key, dims.select(dim_key, dim_name), fact_key, dim_key)
     total = F.sum("_part").cast("double") if money else F.sum("_part")
-    return (named.groupBy(dim_name).agg(total.alias(alias))
+    return (named.groupBy(F.col(f"r.`{dim_name}`").alias(dim_name)).agg(total.alias(alias))
             .orderBy(F.col(alias).desc(), F.col(dim_name).asc()))
 
 
 def count_per_dimension(facts: DataFrame, dims: DataFrame, fact_key: str, dim_key: str,
-                        dim_name: str, strategy: str = "auto", alias: str = "n") -> DataFrame:
-    """Rows per dimension name under a requested join strategy.
-
-    Facts are counted per key first (partial counts per task), so the requested strategy joins
-    one row per key; broadcast and nested loop are honoured only behind a bounded row count."""
-    per_key = relational.count_by(facts, [fact_key], "_n")
-    joined = relational.join(per_key, dims.select(dim_key, dim_name),
-                             F.col(fact_key) == F.col(dim_key), "inner", strategy)
-    return joined.groupBy(dim_name).agg(F.sum("_n").alias(alias))
+                        dim_name: str, strategy: str = "auto", alias: str = "n", **bounds) -> DataFrame:
+    """Rows per dimension name, the fact rows joined under a requested strategy."""
+    joined = relational.join_keys(facts.select(fact_key), dims.select(dim_key, dim_name), fact_key, dim_key,
+                                  strategy=strategy, **bounds)
+    return joined.groupBy(F.col(f"r.`{dim_name}`").alias(dim_name)).agg(F.count("*").alias(alias))
 
 
 SQL_HINTS = {"broadcast": "BROADCAST", "merge": "MERGE", "shuffle_hash": "SHUFFLE_HASH",
@@ -122,19 +119,12 @@ SQL_HINTS = {"broadcast": "BROADCAST", "merge": "MERGE", "shuffle_hash": "SHUFFL
 def count_per_dimension_sql(spark: SparkSession, facts: DataFrame, dims: DataFrame,
                             fact_key: str, dim_key: str, dim_name: str, strategy: str = "auto",
                             alias: str = "n") -> DataFrame:
-    """The SQL form of ``count_per_dimension``: the strategy becomes a ``/*+ HINT(..) */``
-    comment. Broadcast and nested-loop hints are emitted only behind the same bounded row
-    count as the DataFrame form; beyond it the MERGE hint is used."""
-    if strategy == "broadcast" and not relational.fits(dims, relational.MAX_BROADCAST_ROWS):
-        strategy = "merge"
-    if strategy == "shuffle_replicate_nl" and \
-            not relational.fits(dims, relational.MAX_NESTED_LOOP_ROWS):
-        strategy = "merge"
+    """The SQL form of ``count_per_dimension``: the strategy becomes a ``/*+ HINT(d) */`` comment,
+    under the same bounds."""
+    relational.check_strategy(dims.select(dim_key, dim_name), strategy)
     hint = f"/*+ {SQL_HINTS[strategy]}(d) */ " if strategy in SQL_HINTS else ""
     with temp_views(facts=facts, dims=dims) as v:
         return spark.sql(f"""
-            WITH per_key AS (SELECT `{fact_key}` AS k, count(*) AS c FROM {v['facts']}
-                             GROUP BY `{fact_key}`)
-            SELECT {hint}d.`{dim_name}`, sum(p.c) AS `{alias}`
-            FROM per_key p JOIN {v['dims']} d ON p.k = d.`{dim_key}`
+            SELECT {hint}d.`{dim_name}`, count(*) AS `{alias}`
+            FROM {v['facts']} f JOIN {v['dims']} d ON f.`{fact_key}` = d.`{dim_key}`
             GROUP BY d.`{dim_name}`""")

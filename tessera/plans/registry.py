@@ -2,13 +2,12 @@
 
 Every query reads whole tables from ``sf_dir`` (or files Spark writes from them) and returns a
 DataFrame; computed columns carry the same names as in the SQL. Values that depend on the order
-of floating-point additions are summed exactly (decimal) and converted to double at the end;
-rounding uses the plain-IEEE half-up form so that both engines produce the same bits.
+of floating-point additions are summed exactly (decimal) and converted to double at the end.
+Rounding is Spark's ``round``; the SQL says the same on the decimal text of the value.
 """
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +16,15 @@ from pyspark.sql import types as T
 
 from tessera.functions import (TEXT_TIMESTAMP_PATTERN, clock_text, fixed_text, hhmm_to_hour,
                                money_to_double, parse_timestamp, safe_long)
-from tessera.operators import grouped, partitioning, relational, setops
+from tessera.operators import grouped, relational, setops
 from tessera.plans import city, payroll, workbook
 from tessera.session import scratch_path, ship_package
-from tessera.sources import (flatten_properties, global_sum, int_range, join_lines, read_csv,
+from tessera.sources import (drop_header_line, flatten_properties, format_lines, global_sum,
+                             int_range, join_lines, load, parse_lines, read_csv,
                              read_csv_checked, read_csv_strings, read_features,
-                             read_header_csv_union, read_lines, read_parquet, write_collections,
-                             write_csv, write_parquet, write_text)
-from tessera.sources.readers import drop_header_line, parse_lines
+                             read_header_csv_union, read_lines, read_parquet, row_count,
+                             write_collections, write_csv, write_feature_lines, write_parquet,
+                             write_raw_lines, write_text)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,31 +39,15 @@ def query(name: str, sql: str | None):
     return register
 
 
-# unique key of each table: hash-partitioning on it spreads rows evenly and deterministically
-TABLE_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"],
-              "documents": ["doc_id"], "events": ["event_id"], "part": ["p_partkey"],
-              "customer": ["c_custkey"], "supplier": ["s_suppkey"], "embeddings": ["vec_id"]}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table as it is on disk now."""
+    ship_package(spark)  # workers must import the package for the pandas functions
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_TABLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A test table; ``spread`` raises scan parallelism when the file yields fewer partitions
-    than the cluster has cores (see ``operators.partitioning``).
-
-    Table handles (lazy plans, no data) are kept per session, as a catalog would: the file
-    listing and footer read happen once per table, not once per query."""
-    if spark not in _TABLES:
-        ship_package(spark)  # workers must import the package for the pandas functions
-    per_session = _TABLES.setdefault(spark, {})
-    key = (sf_dir.rstrip("/"), name, spread)
-    if key not in per_session:
-        df = read_parquet(spark, f"{key[0]}/{name}.parquet")
-        if spread:
-            df = partitioning.spread(df, TABLE_KEYS.get(name, ()))
-        per_session[key] = df
-    return per_session[key]
+def _rounded_sql(x: str) -> str:
+    """``round(x, 2)`` on the decimal text of a double, half away from zero, in DuckDB."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)"
 
 
 # ---- QP1 / QP2 / QP3 / QP4 / QP5 ----------------------------------------------------------------
@@ -85,7 +69,7 @@ def q_bottom_k_sql(spark, sf_dir):
                                    ["c_custkey", "c_name", "c_acctbal", "c_nationkey"])
 
 
-TOP_K_IN_DIM_SQL = """SELECT c_custkey, c_name, c_acctbal FROM customer
+TOP_K_IN_DIM_SQL = """SELECT c_custkey, c_name, c_acctbal, n_name FROM customer
 JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'NATION_3'
 ORDER BY c_acctbal DESC, c_custkey LIMIT 3"""
 
@@ -95,7 +79,7 @@ def q_top_k_in_dim(spark, sf_dir):
     return payroll.top_in_dimension(table(spark, sf_dir, "customer"),
                                     table(spark, sf_dir, "nation"), "c_nationkey",
                                     "n_nationkey", "n_name", "NATION_3", 3, "c_acctbal",
-                                    "c_custkey", ["c_custkey", "c_name", "c_acctbal"])
+                                    "c_custkey", ["c_custkey", "c_name", "c_acctbal"], ["n_name"])
 
 
 @query("top_k_in_dim_sql", TOP_K_IN_DIM_SQL)
@@ -103,12 +87,40 @@ def q_top_k_in_dim_sql(spark, sf_dir):
     return payroll.top_in_dimension_sql(spark, table(spark, sf_dir, "customer"),
                                         table(spark, sf_dir, "nation"), "c_nationkey",
                                         "n_nationkey", "n_name", "NATION_3", 3, "c_acctbal",
-                                        "c_custkey", ["c_custkey", "c_name", "c_acctbal"])
+                                        "c_custkey", ["c_custkey", "c_name", "c_acctbal"], ["n_name"])
+
+
+TOP_K_SHARED_SQL = """SELECT c_custkey AS id, c_name AS name, c_acctbal AS salary, n_name AS department
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'NATION_3'
+ORDER BY c_acctbal DESC, c_custkey LIMIT 3"""
+
+
+def _staff_and_departments(spark, sf_dir):
+    """Two tables that share the column names ``id`` and ``name``, as payroll tables do."""
+    staff = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("salary"),
+        F.col("c_nationkey").alias("dep_id"))
+    departments = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("id"), F.col("n_name").alias("department"), F.lit("x").alias("name"))
+    return staff, departments
+
+
+@query("top_k_shared_names", TOP_K_SHARED_SQL)
+def q_top_k_shared_names(spark, sf_dir):
+    return payroll.top_in_dimension(*_staff_and_departments(spark, sf_dir), "dep_id", "id", "department",
+                                    "NATION_3", 3, cols=["id", "name", "salary"], dim_cols=["department"])
+
+
+@query("top_k_shared_names_sql", TOP_K_SHARED_SQL)
+def q_top_k_shared_names_sql(spark, sf_dir):
+    return payroll.top_in_dimension_sql(spark, *_staff_and_departments(spark, sf_dir), "dep_id", "id",
+                                        "department", "NATION_3", 3, cols=["id", "name", "salary"],
+                                        dim_cols=["department"])
 
 
 @query("yearly_income", "SELECT o_orderkey, o_totalprice * 14 AS yearly_income FROM orders")
 def q_yearly_income(spark, sf_dir):
-    return payroll.yearly_income(table(spark, sf_dir, "orders", spread=True), "o_totalprice",
+    return payroll.yearly_income(table(spark, sf_dir, "orders"), "o_totalprice",
                                  "o_orderkey")
 
 
@@ -155,14 +167,14 @@ WHERE w <> '' GROUP BY w""")
 
 @query("word_count", WORD_COUNT_SQL)
 def q_word_count(spark, sf_dir):
-    return workbook.word_count(table(spark, sf_dir, "documents", spread=True), "text")
+    return workbook.word_count(table(spark, sf_dir, "documents"), "text")
 
 
 @query("word_count_text_file", WORD_COUNT_SQL)
 def q_word_count_text_file(spark, sf_dir):
     """The same count from a plain text file (S11): the texts are written as lines first."""
     path = scratch_path(spark, "documents_text")
-    write_text(table(spark, sf_dir, "documents", spread=True).select("text"), path)
+    write_text(table(spark, sf_dir, "documents").select("text"), path)
     return workbook.word_count(read_lines(spark, path), "value")
 
 
@@ -188,29 +200,25 @@ def q_global_sum(spark, sf_dir):
     return global_sum(table(spark, sf_dir, "part"), "p_partkey", "total", exact=True)
 
 
-def _returned_and_finished(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    a = li.where(F.col("l_returnflag") == "R").select(F.col("l_partkey").alias("k"))
-    b = li.where(F.col("l_linestatus") == "F").select(F.col("l_partkey").alias("k"))
-    return a, b
+def _sold_and_listed(spark, sf_dir):
+    """The part keys of all sales (with repeats) and of all parts."""
+    return (table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("k")),
+            table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")))
 
 
-@query("union_all", """SELECT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R'
-UNION ALL SELECT l_partkey AS k FROM lineitem WHERE l_linestatus = 'F'""")
+@query("union_all", "SELECT l_partkey AS k FROM lineitem UNION ALL SELECT p_partkey AS k FROM part")
 def q_union_all(spark, sf_dir):
-    return setops.union_all(list(_returned_and_finished(spark, sf_dir)))
+    return setops.union_all(list(_sold_and_listed(spark, sf_dir)))
 
 
-@query("union_distinct", """SELECT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R'
-UNION SELECT l_partkey AS k FROM lineitem WHERE l_linestatus = 'F'""")
+@query("union_distinct", "SELECT l_partkey AS k FROM lineitem UNION SELECT p_partkey AS k FROM part")
 def q_union_distinct(spark, sf_dir):
-    return workbook.in_either(*_returned_and_finished(spark, sf_dir))
+    return workbook.in_either(*_sold_and_listed(spark, sf_dir))
 
 
-@query("intersect_parts", """SELECT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R'
-INTERSECT SELECT l_partkey AS k FROM lineitem WHERE l_linestatus = 'F'""")
+@query("intersect_parts", "SELECT l_partkey AS k FROM lineitem INTERSECT SELECT p_partkey AS k FROM part")
 def q_intersect_parts(spark, sf_dir):
-    return workbook.in_both(*_returned_and_finished(spark, sf_dir))
+    return workbook.in_both(*_sold_and_listed(spark, sf_dir))
 
 
 @query("intersect_keys", """SELECT c_nationkey AS k FROM customer
@@ -221,30 +229,39 @@ def q_intersect_keys(spark, sf_dir):
     return workbook.in_both(customers, suppliers)
 
 
-@query("sorted_list_per_group", """SELECT p_type, string_agg(p_name, ',' ORDER BY p_name) AS names
-FROM part GROUP BY p_type""")
+@query("sorted_list_per_group", """SELECT l_orderkey, string_agg(printf('%08d', l_partkey), ','
+ORDER BY l_partkey) AS names FROM lineitem GROUP BY l_orderkey""")
 def q_sorted_list_per_group(spark, sf_dir):
-    return workbook.sorted_names_per_group(table(spark, sf_dir, "part"), "p_type", "p_name")
+    """The part numbers of each order, sorted: a group that is bounded by what it is."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("part"))
+    return workbook.sorted_names_per_group(li, "l_orderkey", "part")
+
+
+@query("sorted_rows_per_group", """SELECT p_type, row_number() OVER (PARTITION BY p_type ORDER BY p_name)
+AS position, p_name FROM part""")
+def q_sorted_rows_per_group(spark, sf_dir):
+    """The sorted names of each part type, one row each: types of any size."""
+    return workbook.sorted_name_rows(table(spark, sf_dir, "part"), "p_type", "p_name")
 
 
 @query("high_value", """SELECT l_orderkey, l_linenumber, l_quantity * l_extendedprice AS value
 FROM lineitem WHERE l_quantity * l_extendedprice >= 2000000""")
 def q_high_value(spark, sf_dir):
-    return workbook.high_value(table(spark, sf_dir, "lineitem", spread=True), "l_quantity",
+    return workbook.high_value(table(spark, sf_dir, "lineitem"), "l_quantity",
                                "l_extendedprice", 2000000.0, ["l_orderkey", "l_linenumber"])
 
 
 @query("revenue_by_category", """SELECT p_type,
-CAST(SUM(CAST(l_quantity AS DECIMAL(12,2)) * CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE)
+CAST(round(SUM(CAST(l_quantity AS DECIMAL(12,2)) * CAST(l_extendedprice AS DECIMAL(14,2))), 2) AS DOUBLE)
 AS revenue FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type""")
 def q_revenue_by_category(spark, sf_dir):
-    return workbook.revenue_by_category(table(spark, sf_dir, "lineitem", spread=True),
+    return workbook.revenue_by_category(table(spark, sf_dir, "lineitem"),
                                         table(spark, sf_dir, "part"), "l_partkey", "p_partkey",
                                         "l_quantity", "l_extendedprice", "p_type")
 
 
-MEAN_SQL = """SELECT l_returnflag,
-floor(SUM(l_quantity) / COUNT(l_quantity) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS mean
+MEAN_SQL = f"""SELECT l_returnflag, {_rounded_sql('SUM(l_quantity) / COUNT(l_quantity)')} AS mean
 FROM lineitem GROUP BY l_returnflag"""
 
 
@@ -284,30 +301,52 @@ def q_cogroup_udf_join(spark, sf_dir):
 
 # ---- join strategies (J8-J11) ---------------------------------------------------------------
 
-JOIN_COUNT_SQL = """SELECT n_name, count(*) AS n FROM customer
-JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"""
+JOIN_COUNT_SQL = """SELECT c_mktsegment, count(*) AS n FROM orders
+JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment"""
+STRATEGIES = [("broadcast", "broadcast"), ("merge", "merge"), ("shuffle_hash", "shuffle_hash"),
+              ("shuffle_nl", "shuffle_replicate_nl"), ("auto", "auto")]
 
 
-def _customers_per_nation(strategy: str):
+def _orders_per_segment(count, strategy: str):
+    """All orders joined row by row to all customers under one strategy."""
     def run(spark, sf_dir):
-        return payroll.count_per_dimension(table(spark, sf_dir, "customer"),
-                                           table(spark, sf_dir, "nation"), "c_nationkey",
-                                           "n_nationkey", "n_name", strategy)
+        sides = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+        keys = "o_custkey", "c_custkey", "c_mktsegment", strategy
+        return count(spark, *sides, *keys) if count is payroll.count_per_dimension_sql else count(*sides, *keys)
     return run
 
 
-@query("join_hint_sql", JOIN_COUNT_SQL)
+NATION_COUNT_SQL = """SELECT n_name, count(*) AS n FROM customer
+JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"""
+
+
+@query("join_hint_sql", NATION_COUNT_SQL)
 def q_join_hint_sql(spark, sf_dir):
-    """J8 in SQL text: ``/*+ BROADCAST(d) */`` behind the bounded row count."""
+    """J8 in SQL text: ``/*+ BROADCAST(d) */`` behind the size bound."""
     return payroll.count_per_dimension_sql(spark, table(spark, sf_dir, "customer"),
                                            table(spark, sf_dir, "nation"), "c_nationkey",
                                            "n_nationkey", "n_name", "broadcast")
 
 
-for _name, _strategy in [("join_broadcast", "broadcast"), ("join_merge", "merge"),
-                         ("join_shuffle_hash", "shuffle_hash"),
-                         ("join_shuffle_nl", "shuffle_replicate_nl"), ("join_auto", "auto")]:
-    query(_name, JOIN_COUNT_SQL)(_customers_per_nation(_strategy))
+def _customers_per_nation(spark, sf_dir):
+    """The nested loop takes its cross join over the smallest table."""
+    return payroll.count_per_dimension(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"),
+                                       "c_nationkey", "n_nationkey", "n_name", "shuffle_replicate_nl")
+
+
+def _customers_per_nation_sql(spark, sf_dir):
+    return payroll.count_per_dimension_sql(spark, table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"),
+                                           "c_nationkey", "n_nationkey", "n_name", "shuffle_replicate_nl")
+
+
+for _name, _strategy in STRATEGIES:
+    if _strategy == "shuffle_replicate_nl":
+        query("join_shuffle_nl", NATION_COUNT_SQL)(_customers_per_nation)
+        query("join_shuffle_nl_sql", NATION_COUNT_SQL)(_customers_per_nation_sql)
+        continue
+    query(f"join_{_name}", JOIN_COUNT_SQL)(_orders_per_segment(payroll.count_per_dimension, _strategy))
+    if _strategy != "auto":
+        query(f"join_{_name}_sql", JOIN_COUNT_SQL)(_orders_per_segment(payroll.count_per_dimension_sql, _strategy))
 
 
 # ---- QP14 - QP16 --------------------------------------------------------------------------------
@@ -347,7 +386,7 @@ def q_share_by_part_of_day_csv(spark, sf_dir):
     """QP14 through the CSV path (S2/S3/S14): events written as a header CSV whose columns are
     all text (`TIME OCC` as HHMM, `Premis Desc`), read back as strings and cleaned."""
     path = scratch_path(spark, "events_csv")
-    ev = table(spark, sf_dir, "events", spread=True)
+    ev = table(spark, sf_dir, "events")
     write_csv(ev.select(F.col("event_id").alias("DR_NO"), clock_text("ts").alias("TIME OCC"),
                         F.col("event_type").alias("Premis Desc")), path, header=True)
     crime = read_header_csv_union(spark, [path])
@@ -355,6 +394,39 @@ def q_share_by_part_of_day_csv(spark, sf_dir):
                                      F.col("Premis Desc") == "error")
 
 
+@query("share_by_format_switch", SHARE_SQL)
+def q_share_by_format_switch(spark, sf_dir):
+    """QP14 with the storage format as a switch (S14): the same logical table as CSV and as Parquet
+    through ``load``; both give the same shares."""
+    ev = table(spark, sf_dir, "events").select(clock_text("ts").alias("TIME OCC"), F.col("event_type").alias("Premis Desc"))
+    paths = {fmt: scratch_path(spark, f"events_{fmt}") for fmt in ("csv", "parquet")}
+    write_csv(ev, paths["csv"], header=True)
+    write_parquet(ev, paths["parquet"])
+    shares = [city.share_by_part_of_day(load(spark, path, fmt), hhmm_to_hour("TIME OCC"), F.col("Premis Desc") == "error")
+              for fmt, path in paths.items()]
+    return workbook.in_both(*shares)
+
+
+DIRTY_HOUR_SQL = """WITH t AS (
+  SELECT CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN NULL ELSE hour(ts) END AS h,
+         event_type = 'error' AS flag FROM events),
+p AS (
+  SELECT CASE WHEN h BETWEEN 5 AND 11 THEN 'Morning' WHEN h BETWEEN 12 AND 16 THEN 'Afternoon'
+              WHEN h BETWEEN 17 AND 20 THEN 'Evening' ELSE 'Night' END AS part, flag
+  FROM t WHERE h IS NOT NULL)
+SELECT part, CAST(count_if(flag) AS BIGINT) AS flag_count, count(*) AS part_total,
+       ((20000 * count_if(flag) + count(*)) // (2 * count(*))) / 100.0::DOUBLE AS pct
+FROM p GROUP BY part"""
+
+
+@query("share_dirty_hours", DIRTY_HOUR_SQL)
+def q_share_dirty_hours(spark, sf_dir):
+    """QP14 over clock texts of which some are null and some are junk: those rows are dropped."""
+    text = F.when(F.col("event_id") % 7 == 0, F.lit(None)).when(F.col("event_id") % 11 == 0, "n/a").otherwise(clock_text("ts"))
+    ev = table(spark, sf_dir, "events").select(text.alias("TIME OCC"), "event_type")
+    return city.share_by_part_of_day(ev, hhmm_to_hour("TIME OCC"), F.col("event_type") == "error")
+
+
 TOP_MONTHS_SQL = """SELECT year, month, n, rank FROM (
   SELECT year, month, n,
          CAST(row_number() OVER (PARTITION BY year ORDER BY n DESC, month) AS INTEGER) AS rank
@@ -371,7 +443,7 @@ def q_top_months_per_year(spark, sf_dir):
 
 def _dates_as_text(spark, sf_dir):
     """Order dates as the city data carries them: text like ``2010 Feb 20 12:00:00 AM``."""
-    return table(spark, sf_dir, "orders", spread=True).select(
+    return table(spark, sf_dir, "orders").select(
         F.date_format("o_orderdate", TEXT_TIMESTAMP_PATTERN).alias("DATE OCC"))
 
 
@@ -389,15 +461,17 @@ def q_top_months_text(spark, sf_dir):
                                      parse_timestamp(F.col("DATE OCC")), 3)
 
 
+PER_CAPITA_SQL = _rounded_sql("median_income * households / population")
+
+
 @query("per_capita_ratio", """WITH p AS (
   SELECT c_nationkey AS zip, count(*) AS population,
          CAST(SUM(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 ELSE 0 END) AS BIGINT) AS households
   FROM customer GROUP BY c_nationkey),
 i AS (SELECT s_nationkey AS zip, max(s_acctbal) AS median_income FROM supplier GROUP BY s_nationkey)
 SELECT zip, population, households, median_income,
-       floor(median_income * households / population * 100.0::DOUBLE + 0.5::DOUBLE)
-         / 100.0::DOUBLE AS per_capita_income
-FROM p JOIN i USING (zip) WHERE population > 0""")
+       {per_capita} AS per_capita_income
+FROM p JOIN i USING (zip) WHERE population > 0""".replace("{per_capita}", PER_CAPITA_SQL))
 def q_per_capita_ratio(spark, sf_dir):
     people = relational.sums_by(
         table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "zip"), ["zip"],
@@ -408,6 +482,24 @@ def q_per_capita_ratio(spark, sf_dir):
     return city.per_capita(people, income)
 
 
+@query("per_capita_zero_population", """WITH p AS (
+  SELECT c_nationkey AS zip,
+         CAST(SUM(CASE WHEN c_nationkey % 5 = 0 THEN 0 ELSE 1 END) AS BIGINT) AS population,
+         count(*) AS households
+  FROM customer GROUP BY c_nationkey),
+i AS (SELECT s_nationkey AS zip, min(s_acctbal) AS median_income FROM supplier GROUP BY s_nationkey)
+SELECT zip, population, households, median_income, {per_capita} AS per_capita_income
+FROM p JOIN i USING (zip) WHERE population > 0""".replace("{per_capita}", PER_CAPITA_SQL))
+def q_per_capita_zero_population(spark, sf_dir):
+    """QP16 with keys of no population (F5) and negative amounts."""
+    people = relational.sums_by(
+        table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "zip"), ["zip"],
+        {"population": F.when(F.col("zip") % 5 == 0, 0).otherwise(1), "households": F.lit(1)})
+    income = (table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("zip"))
+              .agg(F.min("s_acctbal").alias("median_income")))
+    return city.per_capita(people, income)
+
+
 @query("per_capita_geojson", """WITH p AS (
   SELECT CAST(c_nationkey AS VARCHAR) AS zip, count(*) AS population,
          CAST(SUM(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 ELSE 0 END) AS BIGINT) AS households
@@ -416,9 +508,8 @@ i AS (SELECT CAST(s_nationkey AS VARCHAR) AS zip,
              CAST(floor(max(s_acctbal)) AS DOUBLE) AS median_income
       FROM supplier GROUP BY s_nationkey HAVING floor(max(s_acctbal)) >= 0)
 SELECT zip, population, households, median_income,
-       floor(median_income * households / population * 100.0::DOUBLE + 0.5::DOUBLE)
-         / 100.0::DOUBLE AS per_capita_income
-FROM p JOIN i USING (zip) WHERE population > 0""")
+       {per_capita} AS per_capita_income
+FROM p JOIN i USING (zip) WHERE population > 0""".replace("{per_capita}", PER_CAPITA_SQL))
 def q_per_capita_geojson(spark, sf_dir):
     """QP16 end to end on files derived from the tables: customers as GeoJSON census features
     (ZIP = nation, one person each, a household when in the HOUSEHOLD segment), and the top
@@ -483,7 +574,7 @@ def q_regex_number(spark, sf_dir):
 try_strptime(strftime(o_orderdate, '%Y %b %d %I:%M:%S %p'), '%Y %b %d %I:%M:%S %p') AS ts
 FROM orders""")
 def q_parse_timestamp(spark, sf_dir):
-    o = table(spark, sf_dir, "orders", spread=True)
+    o = table(spark, sf_dir, "orders")
     text = F.date_format("o_orderdate", TEXT_TIMESTAMP_PATTERN)
     return relational.drop_unparsed(o.select("o_orderkey", parse_timestamp(text).alias("ts")),
                                     "ts")
@@ -522,7 +613,7 @@ def q_safe_int(spark, sf_dir):
 FROM orders WHERE o_orderstatus <> 'P'""")
 def q_money_text(spark, sf_dir):
     """Money text such as `` $112,946`` (orders in status P carry ``---``) cleaned to double."""
-    o = table(spark, sf_dir, "orders", spread=True)
+    o = table(spark, sf_dir, "orders")
     text = F.when(F.col("o_orderstatus") == "P", F.lit("---")).otherwise(
         F.concat(F.lit(" $"), F.format_number(F.floor("o_totalprice"), 0)))
     return relational.drop_unparsed(o.select("o_orderkey", money_to_double(text).alias("income")),
@@ -537,6 +628,37 @@ def q_fixed_text(spark, sf_dir):
 
 # ---- sources and sinks (write with Spark, read back) ---------------------------------------
 
+@query("formatted_lines", "SELECT printf('%d,%.2f', o_orderkey, o_totalprice) AS value FROM orders")
+def q_formatted_lines(spark, sf_dir):
+    """Formatted lines written as text and read back (K4 + S11)."""
+    path = scratch_path(spark, "orders_formatted")
+    write_text(format_lines(table(spark, sf_dir, "orders"), "%d,%.2f", ["o_orderkey", "o_totalprice"]), path)
+    return read_lines(spark, path)
+
+
+@query("row_count", "SELECT count(*) AS n FROM lineitem")
+def q_row_count(spark, sf_dir):
+    return row_count(table(spark, sf_dir, "lineitem"), "n")
+
+
+@query("read_back_count", "SELECT count(*) AS n FROM part")
+def q_read_back_count(spark, sf_dir):
+    """QP17's count (K5): parts written as header CSV, converted to Parquet, counted from there."""
+    src, out = scratch_path(spark, "part_csv"), scratch_path(spark, "part_parquet")
+    write_csv(table(spark, sf_dir, "part"), src, header=True)
+    n = city.convert_to_parquet(spark, [src], out)
+    return row_count(read_parquet(spark, out), "n").where(F.col("n") == n)
+
+
+@query("csv_text_round_trip", "SELECT doc_id, text, lang, CASE WHEN doc_id % 5 = 0 THEN '' ELSE source END AS source FROM documents")
+def q_csv_text_round_trip(spark, sf_dir):
+    """Whole texts -- quotes, commas, blanks at the ends, line breaks, empty texts -- through CSV."""
+    path = scratch_path(spark, "documents_csv")
+    source = F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.col("source"))
+    write_csv(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", source.alias("source")), path)
+    return read_csv(spark, path, "doc_id BIGINT, text STRING, lang STRING, source STRING", multi_line=True)
+
+
 @query("header_csv_union", UNION_NAMES_SQL)
 def q_header_csv_union(spark, sf_dir):
     """Two header CSV files with drifting headers (one name carries a trailing blank, one file
@@ -561,7 +683,7 @@ def q_header_csv_union(spark, sf_dir):
 def q_delimited_csv(spark, sf_dir):
     """A `;`-separated header CSV (S4) read as strings and typed with ``try_cast``."""
     path = scratch_path(spark, "orders_semicolon")
-    o = table(spark, sf_dir, "orders", spread=True).select(
+    o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
     write_csv(o, path, header=True, sep=";")
     raw = read_csv_strings(spark, path, sep=";")
@@ -577,7 +699,7 @@ def q_line_split(spark, sf_dir):
     """Comma lines with a header line; orders in status P are written short (two fields) and
     must be dropped by the short-row guard."""
     path = scratch_path(spark, "orders_lines")
-    o = table(spark, sf_dir, "orders", spread=True)
+    o = table(spark, sf_dir, "orders")
     header = "o_orderkey,o_custkey,o_orderstatus"
     body = join_lines(o, ["o_orderkey", "o_custkey",
                           F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))])
@@ -589,45 +711,46 @@ def q_line_split(spark, sf_dir):
                         ("o_orderstatus", "string")], min_fields=3)
 
 
-@query("drop_malformed", """SELECT o_orderkey, o_orderpriority || ', ' || o_orderstatus
+@query("drop_malformed", """SELECT o_orderkey, o_orderpriority || ', "' || o_orderstatus || '"'
 AS o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus <> 'P'""")
 def q_drop_malformed(spark, sf_dir):
-    """Quoted CSV whose text field holds a comma; orders in status P are written as broken
-    lines (a non-numeric key, a missing field) and must be dropped."""
+    """Quoted CSV whose text field holds a comma and doubled quotes, a header line in every file,
+    columns picked by header name; orders in status P are written as broken lines (a non-numeric
+    key, a missing field) and must be dropped."""
     path = scratch_path(spark, "orders_quoted")
-    o = table(spark, sf_dir, "orders", spread=True)
+    o = table(spark, sf_dir, "orders")
     good = F.concat(F.col("o_orderkey").cast("string"), F.lit(',"'), F.col("o_orderpriority"),
-                    F.lit(", "), F.col("o_orderstatus"), F.lit('",'),
+                    F.lit(', ""'), F.col("o_orderstatus"), F.lit('""",'),
                     F.col("o_totalprice").cast("string"))
     broken = F.concat(F.lit("broken,"), F.col("o_orderkey").cast("string"))
     lines = o.select(F.when(F.col("o_orderstatus") == "P", broken).otherwise(good)
                      .alias("value"))
-    header = spark.range(1).select(F.lit("o_orderkey,o_orderpriority,o_totalprice")
-                                   .alias("value"))
-    write_text(header.union(lines), path)
-    return read_csv_checked(spark, path,
-                            "o_orderkey BIGINT, o_orderpriority STRING, o_totalprice DOUBLE",
-                            header=False)  # the header line itself fails the schema: dropped
-
-
-@query("geojson_flatten", """SELECT c_custkey, c_name, c_nationkey, c_acctbal,
-'Point' AS geometry_type FROM customer""")
-def q_geojson_flatten(spark, sf_dir):
-    """Customers written as GeoJSON FeatureCollection documents (point geometry), read back
-    with an explicit schema, exploded, and flattened by the property names of the schema."""
-    path = scratch_path(spark, "customers_geojson")
-    c = table(spark, sf_dir, "customer")
-    props = ["c_custkey", "c_name", "c_nationkey", "c_acctbal"]
-    point = F.struct(F.lit("Point").alias("type"),
-                     F.array(F.col("c_acctbal"), F.col("c_nationkey").cast("double"))
-                     .alias("coordinates"))
-    write_collections(c, path, props, point)
-    schema = T.StructType([T.StructField("c_custkey", T.LongType()),
-                           T.StructField("c_name", T.StringType()),
-                           T.StructField("c_nationkey", T.IntegerType()),
-                           T.StructField("c_acctbal", T.DoubleType())])
-    flat = flatten_properties(read_features(spark, path, schema))
-    return flat.select(*props, F.col("geometry.type").alias("geometry_type"))
+    write_raw_lines(lines, path, "o_orderkey,o_orderpriority,o_totalprice")
+    return read_csv_checked(spark, path, {"o_orderkey": "BIGINT", "o_totalprice": "DOUBLE"},
+                            columns=["o_totalprice", "o_orderkey", "o_orderpriority"])
+
+
+GEOJSON_SQL = """SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'Point' AS geometry_type FROM customer"""
+GEOJSON_PROPERTIES = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE"
+
+
+def _customers_as_features(write, layout: str):
+    """Customers written as GeoJSON (point geometry), read back with an explicit schema, one row per
+    feature, flattened by the property names of the schema."""
+    def run(spark, sf_dir):
+        path = scratch_path(spark, "customers_geojson")
+        properties = T.StructType.fromDDL(GEOJSON_PROPERTIES)
+        point = F.struct(F.lit("Point").alias("type"),
+                         F.array(F.col("c_acctbal"), F.col("c_nationkey").cast("double")).alias("coordinates"))
+        write(table(spark, sf_dir, "customer"), path, properties.fieldNames(), point)
+        flat = flatten_properties(read_features(spark, path, properties, layout=layout))
+        return flat.select(*properties.fieldNames(), F.col("geometry.type").alias("geometry_type"))
+    return run
+
+
+query("geojson_flatten", GEOJSON_SQL)(_customers_as_features(write_collections, "document_per_line"))
+query("geojson_feature_lines", GEOJSON_SQL)(_customers_as_features(write_feature_lines, "feature_per_line"))
+query("geojson_one_line_documents", GEOJSON_SQL)(_customers_as_features(write_collections, "feature_per_line"))
 
 
 LINEITEM_SCHEMA = ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
@@ -639,7 +762,7 @@ LINEITEM_SCHEMA = ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_lin
 def q_csv_round_trip(spark, sf_dir):
     """Headerless CSV written by Spark, read back with the fixed schema (K2 + S1)."""
     path = scratch_path(spark, "lineitem_csv")
-    write_csv(table(spark, sf_dir, "lineitem", spread=True), path)
+    write_csv(table(spark, sf_dir, "lineitem"), path)
     return read_csv(spark, path, LINEITEM_SCHEMA)
 
 
@@ -647,17 +770,16 @@ def q_csv_round_trip(spark, sf_dir):
 def q_parquet_round_trip(spark, sf_dir):
     """Parquet written by Spark and read back (K1 + S10): schema and rows come back intact."""
     path = scratch_path(spark, "lineitem_parquet")
-    write_parquet(table(spark, sf_dir, "lineitem", spread=True), path)
+    write_parquet(table(spark, sf_dir, "lineitem"), path)
     return read_parquet(spark, path)
 
 
 @query("csv_to_parquet", "SELECT * FROM lineitem")
 def q_csv_to_parquet(spark, sf_dir):
-    """QP17: header CSV (all strings) -> names trimmed -> union by name -> Parquet, read back and
-    typed. The read-back count is checked against the source in the tests."""
+    """QP17: header CSV (all strings) -> names trimmed -> union by name -> typed once -> Parquet, read
+    back. The count comes back in ``read_back_count``."""
     src, out = scratch_path(spark, "lineitem_header_csv"), scratch_path(spark, "lineitem_pq")
-    write_csv(table(spark, sf_dir, "lineitem", spread=True), src, header=True)
-    city.convert_to_parquet(spark, [src], out)
-    typed = spark.createDataFrame([], LINEITEM_SCHEMA).schema
-    back = read_parquet(spark, out)
-    return back.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in typed.fields])
+    write_csv(table(spark, sf_dir, "lineitem"), src, header=True)
+    types = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(LINEITEM_SCHEMA).fields}
+    city.convert_to_parquet(spark, [src], out, types=types)
+    return read_parquet(spark, out)

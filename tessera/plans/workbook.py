@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.functions import explode_tokens, round_half_up, rounded
+from tessera.functions import explode_tokens, rounded
 from tessera.operators import grouped, relational, setops
 
 
@@ -49,10 +52,16 @@ def in_both(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def sorted_names_per_group(df: DataFrame, group: str, name: str, alias: str = "names",
                            sep: str | None = ",") -> DataFrame:
-    """QP9: the sorted names of every group, groups in key order."""
+    """QP9: the sorted names of every group as one row, groups in key order (A9, X14, O4); for groups
+    that are bounded by their meaning."""
     return relational.sorted_list_by(df, group, name, alias, sep).orderBy(group)
 
 
+def sorted_name_rows(df: DataFrame, group: str, name: str, position: str = "position") -> DataFrame:
+    """QP9 for groups of any size: (group, position, name) in that order."""
+    return relational.sorted_rows_by(df, group, name, position).orderBy(group, position)
+
+
 def high_value(df: DataFrame, qty: str, price: str, threshold: float,
                cols: Sequence[str], alias: str = "value") -> DataFrame:
     """QP10: rows whose ``qty * price`` reaches ``threshold``, largest first (P5, F2, O2)."""
@@ -61,47 +70,76 @@ def high_value(df: DataFrame, qty: str, price: str, threshold: float,
             .orderBy(F.col(alias).desc(), *[F.col(c).asc() for c in cols]))
 
 
+def _factor(df: DataFrame, name: str) -> Column:
+    """A column as a decimal whose products and sums are exact: doubles with six decimals, integers
+    with none, decimals as they are."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DecimalType):
+        return F.col(name)
+    return F.col(name).cast("decimal(18,0)" if isinstance(kind, T.IntegralType) else "decimal(18,6)")
+
+
 def revenue_by_category(sales: DataFrame, products: DataFrame, sale_key: str, product_key: str,
                         qty: str, price: str, category: str, alias: str = "revenue",
-                        qty_type: str = "decimal(12,2)", price_type: str = "decimal(14,2)"
-                        ) -> DataFrame:
-    """QP11: revenue (qty * price) per product category, largest first.
+                        scale: int = 2) -> DataFrame:
+    """QP11: revenue (qty * price) per product category, rounded once, largest first.
 
     Revenue is summed exactly (decimal) per product key *before* the join: the join then sees
     one row per product instead of one per sale, and a hot product is one row per task before
     the shuffle. The re-keyed sum per category is a second tiny aggregate."""
-    line = F.col(qty).cast(qty_type) * F.col(price).cast(price_type)
+    line = _factor(sales, qty) * _factor(sales, price)
     per_product = sales.groupBy(sale_key).agg(F.sum(line).alias("_rev"))
-    named = per_product.join(products.select(product_key, category),
-                             F.col(sale_key) == F.col(product_key), "inner")
-    return (named.groupBy(category).agg(F.sum("_rev").cast("double").alias(alias))
+    named = relational.join_keys(per_product, products.select(product_key, category), sale_key, product_key)
+    return (named.groupBy(F.col(f"r.`{category}`").alias(category))
+            .agg(rounded(F.sum("_rev"), scale).cast("double").alias(alias))
             .orderBy(F.col(alias).desc(), F.col(category).asc()))
 
 
-def mean_per_key(df: DataFrame, key: str, value: str, alias: str = "mean",
-                 scale: int = 2, rounding: str = "ieee_half_up") -> DataFrame:
-    """QP12: mean per key rounded half up, largest first."""
+def mean_per_key(df: DataFrame, key: str, value: str, alias: str = "mean", scale: int = 2) -> DataFrame:
+    """QP12: mean per key, rounded, largest first."""
     means = relational.mean_by(df, [key], value, "_mean")
-    return (means.select(key, rounded("_mean", scale, rounding).alias(alias))
+    return (means.select(key, rounded("_mean", scale).cast("double").alias(alias))
             .orderBy(F.col(alias).desc(), F.col(key).asc()))
 
 
 def mean_per_key_accumulated(df: DataFrame, key: str, value: str, alias: str = "mean",
                              scale: int = 2) -> DataFrame:
-    """QP12 through the zero/seqOp/combOp contract (D-3): per-task pandas partial
-    ``(sum, count)``, merged with built-in sums, finished as ``sum / count``."""
-    vt = dict(df.dtypes)[value]
-    kt = dict(df.dtypes)[key]
+    """QP12 through the zero/seqOp/combOp contract (D-3): per-task pandas partial ``(sum, count)``,
+    merged with built-in sums, finished as ``sum / count``.
+
+    The state holds what the input's type needs: integers are summed as exact decimals (two 32-bit
+    halves per chunk, so that nothing wraps), decimals as decimals of their scale, floats as double.
+    Other types are refused."""
+    kind = df.schema[value].dataType
+    key_type = df.schema[key].dataType.simpleString()
+    if isinstance(kind, T.IntegralType):
+        state = "decimal(38,0)"
+
+        def total(column):
+            held = column.dropna().to_numpy("int64")
+            return Decimal((int((held >> 32).sum()) << 32) + int((held & 0xFFFFFFFF).sum()))
+    elif isinstance(kind, T.DecimalType):
+        state = f"decimal(38,{kind.scale})"
+
+        def total(column):
+            return sum(column.dropna(), Decimal(0))
+    elif isinstance(kind, T.FractionalType):
+        state = "double"
+
+        def total(column):
+            return float(column.sum())
+    else:
+        raise TypeError(f"mean of {kind.simpleString()} column {value!r}")
 
     def seq(chunk):
-        g = chunk.groupby(key, as_index=False, dropna=False, sort=False)[value]
-        return g.agg(s="sum", n="count")
+        groups = chunk.groupby(key, dropna=False, sort=False)[value]
+        rows = [(k, total(g), int(g.count())) for k, g in groups]
+        return pd.DataFrame(rows, columns=[key, "s", "n"])
 
-    sum_type = "double" if vt in ("float", "double") else "bigint"
-    mean = F.col("s") / F.col("n")
+    mean = F.when(F.col("n") > 0, F.col("s") / F.col("n"))
     return grouped.aggregate_by_key(
-        df, [key], [value], seq, f"`{key}` {kt}, s {sum_type}, n bigint",
-        {"s": "sum", "n": "sum"}, [round_half_up(mean, scale).alias(alias)])
+        df, [key], [value], seq, f"`{key}` {key_type}, s {state}, n bigint",
+        {"s": "sum", "n": "sum"}, [rounded(mean, scale).cast("double").alias(alias)])
 
 
 def reduce_side_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

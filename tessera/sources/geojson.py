@@ -1,9 +1,9 @@
 """GeoJSON FeatureCollection source and sink.
 
-A FeatureCollection document must be parsed whole, so a multi-line document is read by one task
-per file. To stay parallel at scale the writer emits many bounded documents, and the reader
-takes an explicit schema (no eager inference pass, only the wanted fields are materialised).
-``layout="feature_per_line"`` reads the common one-feature-per-line layout as splittable text.
+A document that spans lines must be parsed whole, so it is read by one task per file. The writer
+therefore puts a whole collection on one line and many collections into a file: line-delimited JSON,
+which is read in parallel. Files with one feature per line are read as splittable text, with an
+error for any line that is neither a feature nor part of the collection's frame.
 """
 
 from __future__ import annotations
@@ -33,19 +33,38 @@ def collection_schema(properties: T.StructType, geometry: T.DataType = POINT) ->
                          T.StructField("features", features)])
 
 
+#: frame of a collection around its features: what may stand before them on a line, and lines
+#: that hold other members of the collection or brackets only
+_BEFORE = r'^\s*(\{.*?)?"features"\s*:\s*\['
+_FRAME = r'^\s*([\[\]{},\s]*|\{?\s*"(?!features")[^"]+"\s*:.*)$'
+
+
+def _line_features(value: Column, schema: T.StructType) -> Column:
+    """The features on one line of a collection, whatever else the line holds; an error if it holds
+    something that is no feature."""
+    inner = F.regexp_replace(F.regexp_replace(value, _BEFORE, ""), r",\s*$", "")
+    parsed = F.from_json(F.concat(F.lit("["), inner, F.lit("]")), T.ArrayType(schema))
+    whole = F.coalesce(F.size(parsed) > 0, F.lit(False)) & F.forall(
+        parsed, lambda f: F.coalesce(f["type"] == "Feature", F.lit(False)))
+    frame = inner.rlike(r"^[\[\]{},\s]*$") | (value.rlike(_FRAME) & ~value.rlike(r'"type"\s*:\s*"Feature"'))
+    return F.when(whole, parsed).when(frame, F.array().cast(T.ArrayType(schema))).otherwise(
+        F.raise_error(F.concat(F.lit("not a GeoJSON feature line: "), F.substring(value, 1, 200))))
+
+
 def read_features(spark: SparkSession, path: str, properties: T.StructType,
-                  geometry: T.DataType = POINT, layout: str = "document") -> DataFrame:
-    """One row per feature with columns ``type, properties, geometry`` (explode of S9/P13)."""
-    if layout == "document":
+                  geometry: T.DataType = POINT, layout: str = "document_per_line") -> DataFrame:
+    """One row per feature with columns ``type, properties, geometry`` (explode of S9/P13).
+
+    ``layout``: ``document_per_line`` (a collection on each line, what the writer makes), ``document``
+    (a file is one collection over any lines) or ``feature_per_line``."""
+    if layout in ("document", "document_per_line"):
         docs = (spark.read.schema(collection_schema(properties, geometry))
-                .option("multiLine", True).option("recursiveFileLookup", True).json(path))
+                .option("multiLine", layout == "document").option("recursiveFileLookup", True).json(path))
         return docs.select(F.explode("features").alias("features")).select("features.*")
     if layout == "feature_per_line":
-        line = F.regexp_replace(F.trim(F.col("value")), ",$", "")
-        feats = (spark.read.option("recursiveFileLookup", True).text(path)
-                 .where(line.startswith("{") & line.contains('"Feature"'))
-                 .select(F.from_json(line, feature_schema(properties, geometry)).alias("f")))
-        return feats.select("f.*")
+        lines = spark.read.option("recursiveFileLookup", True).text(path)
+        found = _line_features(F.col("value"), feature_schema(properties, geometry))
+        return lines.select(F.explode(found).alias("f")).select("f.*")
     raise ValueError(f"unknown layout {layout!r}")
 
 
@@ -60,22 +79,23 @@ def flatten_properties(features: DataFrame, keep_geometry: bool = True) -> DataF
 
 
 def write_collections(df: DataFrame, path: str, properties: Sequence[str],
-                      geometry: Column, features_per_doc: int = 50_000) -> None:
-    """Write ``df`` as GeoJSON FeatureCollection documents of about ``features_per_doc``
-    features each, every document in its own file (what a multi-line JSON reader needs).
-
-    Rows are spread over ``ceil(rows / features_per_doc)`` documents by a hash of (input
-    partition, row content): deterministic, so a task recomputed after an executor loss sends
-    every row to the same document again, and copies of one row in different partitions do not
-    pile up in one document. Costs one row count (metadata only for a Parquet input).
-    """
+                      geometry: Column, features_per_doc: int = 1_000) -> None:
+    """Write ``df`` as GeoJSON FeatureCollections of up to ``features_per_doc`` features, one
+    collection per line. Rows that follow each other in a partition share a collection, so a
+    collection's list is bounded and no row count is needed. An empty table writes no collection."""
+    feature = F.struct(F.lit("Feature").alias("type"),
+                       F.struct(*[F.col(p) for p in properties]).alias("properties"),
+                       geometry.alias("geometry"))
+    rows = df.select(feature.alias("f"), F.floor(F.monotonically_increasing_id() / features_per_doc).alias("doc"))
+    docs = rows.groupBy("doc").agg(F.collect_list("f").alias("features"))
+    docs.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features"))
+                .alias("value")).write.mode("overwrite").text(path)
+
+
+def write_feature_lines(df: DataFrame, path: str, properties: Sequence[str], geometry: Column) -> None:
+    """Write ``df`` with one feature per line, separated by commas; the frame is left to who joins the
+    files (``feature_per_line`` reads them with or without it)."""
     feature = F.struct(F.lit("Feature").alias("type"),
                        F.struct(*[F.col(p) for p in properties]).alias("properties"),
                        geometry.alias("geometry"))
-    n_docs = max(1, -(-df.count() // features_per_doc))
-    doc = F.pmod(F.xxhash64(F.spark_partition_id(), feature), F.lit(n_docs))
-    docs = (df.select(doc.alias("doc"), feature.alias("f"))
-            .groupBy("doc").agg(F.collect_list("f").alias("features"))
-            .select("doc", F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
-                                              F.col("features"))).alias("value")))
-    docs.write.mode("overwrite").partitionBy("doc").text(path)
+    df.select(F.concat(F.to_json(feature), F.lit(",")).alias("value")).write.mode("overwrite").text(path)

@@ -14,31 +14,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.setops import union_all
+
 CORRUPT_COL = "_corrupt_record"
 
 
+#: Options under which text written by ``sinks.write_csv`` comes back as it was: quotes inside a
+#: field are doubled, blanks stay, an empty field is null and a quoted empty field is the empty text.
+#: The null marker is a text that no file holds; with ``''`` empty texts would come back as null.
+CSV_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+            "emptyValue": "", "nullValue": "\x00null\x00"}
+
+
 def _as_schema(schema: T.StructType | str) -> T.StructType:
     """A StructType from a StructType or DDL text such as ``"id INT, name STRING"``."""
-    if isinstance(schema, T.StructType):
-        return schema
-    from pyspark.sql import SparkSession
-    return SparkSession.active().createDataFrame([], schema).schema
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
 # -- S1 / S4: CSV with an explicit schema ---------------------------------------------------
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
-             sep: str = ",", header: bool = False, mode: str = "PERMISSIVE",
+             sep: str = ",", header: bool = False, mode: str = "PERMISSIVE", multi_line: bool = False,
              **options) -> DataFrame:
     """Headerless (S1) or header (S4, any separator) CSV read with a fixed schema.
 
     Bad fields become null in PERMISSIVE mode; ``mode="DROPMALFORMED"`` drops the row instead.
-    """
-    reader = (spark.read.schema(_as_schema(schema))
-              .option("sep", sep).option("header", header).option("mode", mode))
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return reader.csv(path)
+    ``multi_line`` reads fields that hold line breaks; a file is then read by one task."""
+    return (spark.read.schema(_as_schema(schema)).options(**CSV_TEXT).option("sep", sep)
+            .option("header", header).option("mode", mode).option("multiLine", multi_line)
+            .options(**options).csv(path))
 
 
 # -- S2 / S3: header CSV read as all strings, header names normalised ------------------------
@@ -46,31 +50,42 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 def read_csv_strings(spark: SparkSession, path: str | Sequence[str], sep: str = ",",
                      mode: str = "PERMISSIVE") -> DataFrame:
     """Header CSV with every column a string (no inference); names come from the header."""
-    return (spark.read.option("header", True).option("inferSchema", False)
+    return (spark.read.options(**CSV_TEXT).option("header", True).option("inferSchema", False)
             .option("sep", sep).option("mode", mode).csv(path))
 
 
-def normalise_headers(df: DataFrame) -> DataFrame:
-    """Trim stray blanks around column names (S3); a pure rename, no data touched."""
-    return df.toDF(*[c.strip() for c in df.columns])
-
-
-def read_header_csv_union(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> DataFrame:
-    """Several header CSV files whose headers may drift: read each as strings, trim names,
-    union by name, filling missing columns with null (S2 + S3 + U2)."""
-    frames = [normalise_headers(read_csv_strings(spark, p, sep=sep)) for p in paths]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
-
-
-def unmatched_headers(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict:
-    """Header drift report: for each file, the (trimmed) column names that some other file has
-    and it lacks. Reads header lines only; the union fills those columns with null."""
-    names = {p: {c.strip() for c in read_csv_strings(spark, p, sep=sep).columns} for p in paths}
-    every = set().union(*names.values()) if names else set()
-    return {p: sorted(every - have) for p, have in names.items() if every - have}
+class HeaderClash(ValueError):
+    """Two columns of one file have the same name once blanks are trimmed."""
+
+
+def read_trimmed(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """A header CSV as strings with blanks around its column names removed (S3)."""
+    table = read_csv_strings(spark, path, sep=sep)
+    by_name: dict[str, list[str]] = {}
+    for raw in table.columns:
+        by_name.setdefault(raw.strip(), []).append(raw)
+    clashes = [raws for raws in by_name.values() if len(raws) > 1]
+    if clashes:
+        raise HeaderClash(f"{path}: {clashes} are the same column after trimming")
+    return table.toDF(*by_name)
+
+
+def read_header_csv_union(spark: SparkSession, paths: Sequence[str], sep: str = ",",
+                          drift: dict[str, list[str]] | None = None) -> DataFrame:
+    """Header CSV files whose headers differ, as one table of strings (S2 + S3 + U2): columns by
+    trimmed name, in order of first appearance, null where a file lacks one.
+
+    ``drift``, a dict, receives for every such file the names that it lacks."""
+    tables = {p: read_trimmed(spark, p, sep) for p in paths}
+    every = list(dict.fromkeys(name for t in tables.values() for name in t.columns))
+    aligned = []
+    for path, table in tables.items():
+        lacks = [name for name in every if name not in table.columns]
+        if lacks and drift is not None:
+            drift[path] = lacks
+        aligned.append(table.select(*[
+            F.lit(None).cast("string").alias(name) if name in lacks else F.col(f"`{name}`") for name in every]))
+    return union_all(aligned)
 
 
 # -- S6: quote-aware CSV with bad-row handling -------------------------------------------------

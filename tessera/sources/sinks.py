@@ -27,11 +27,22 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = False,
               sep: str = ",", single_file: bool = False) -> None:
-    """K2."""
-    (_maybe_single(df, single_file).write.mode(mode)
+    """K2. Text is written so that ``readers.read_csv`` gives it back unchanged: quotes doubled, blanks
+    kept, the empty text quoted and null left empty. Line breaks inside fields need the reader's
+    ``multi_line``."""
+    (_maybe_single(df, single_file).write.mode(mode).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("emptyValue", '""').option("nullValue", "")
      .option("header", header).option("sep", sep).csv(path))
 
 
+def write_raw_lines(lines: DataFrame, path: str, header: str, mode: str = "overwrite") -> None:
+    """Lines as they are (a single string column), with a header line in every file."""
+    (lines.toDF(header).write.mode(mode).option("header", True).option("sep", "\x01")
+     .option("quote", "\x00").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def format_lines(df: DataFrame, fmt: str, cols: Sequence[str | Column]) -> DataFrame:
     """Rows -> one formatted text column ``value`` (K4, X15), e.g. ``"%s,%.2f"``."""
     return df.select(F.format_string(fmt, *[F.col(c) if isinstance(c, str) else c

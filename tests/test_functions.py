@@ -4,9 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tessera.functions import (field, fixed_text, hhmm_to_hour, money_to_double,
-                               parse_timestamp, part_of_day, part_of_day_udf, round_decimal,
-                               round_half_up, safe_long, tokens)
+from tessera.functions import (explode_tokens, fixed_text, hhmm_to_hour, money_to_double,
+                               parse_timestamp, part_of_day, part_of_day_udf, rounded, safe_long)
 
 
 def test_hhmm_to_hour(spark):
@@ -55,20 +54,18 @@ def test_parse_timestamp(spark):
     assert df.select(parse_timestamp("d")).schema[0].dataType.simpleString() == "timestamp_ntz"
 
 
-def test_safe_long_tokens_field(spark):
-    df = spark.createDataFrame([(" 12 ", "a,b,c"), ("x", "a"), (None, None)], "s STRING, l STRING")
+def test_safe_long_and_tokens(spark):
+    df = spark.createDataFrame([(" 12 ",), ("x",), (None,)], "s STRING")
     assert [r[0] for r in rows(df.select(safe_long("s")))] == [12, 0, 0]
-    assert [r[0] for r in rows(df.select(field("l", ",", 2)))] == ["b", None, None]
-    t = spark.createDataFrame([("  a  b\t\tc ",)], "x STRING")
-    assert rows(t.select(tokens("x"))) == [(["a", "b", "c"],)]
+    t = spark.createDataFrame([("  a  b\t\tc ",), (None,), ("",)], "x STRING")
+    assert rows(explode_tokens(t, "x")) == [("a",), ("b",), ("c",)]
 
 
-def test_rounding_forms(spark):
-    df = spark.createDataFrame([(2.675,), (1.005,), (8.333333,), (7.665,)], "x DOUBLE")
-    got = [r[0] for r in rows(df.select(round_half_up("x", 2)))]
-    assert got == [2.68, 1.0, 8.33, 7.67]
-    # Spark's round works on the shortest decimal text of the double: 1.005 -> 1.01
-    assert [r[0] for r in rows(df.select(round_decimal("x", 2)))] == [2.68, 1.01, 8.33, 7.67]
+def test_rounding_is_half_up_on_the_decimal_text(spark):
+    cases = {2.675: 2.68, 1.005: 1.01, 8.333333: 8.33, 7.665: 7.67, -0.125: -0.13, -2.5e-3: -0.0,
+             1e17: 1e17, 1e300: 1e300, -1.005: -1.01, 0.0: 0.0}
+    df = spark.createDataFrame([(x,) for x in cases], "x DOUBLE")
+    assert [r[0] for r in rows(df.select(rounded("x", 2)))] == list(cases.values())
     assert rows(df.select(fixed_text("%.2f", "x")).limit(1)) == [("2.68",)]
 
 
@@ -116,10 +113,3 @@ def test_strip_matches_python(spark):
     vals = ["  a b  ", "\t　x \n", "\x1cy\x1f", "", "   ", "z"]
     df = spark.createDataFrame([(v,) for v in vals], "s STRING")
     assert [r[0] for r in rows(df.select(strip("s")))] == [v.strip() for v in vals]
-
-
-def test_named_rounding_rules(spark):
-    from tessera.functions import rounded
-    df = spark.createDataFrame([(1.005,), (2.5,)], "x DOUBLE")
-    assert [r[0] for r in rows(df.select(rounded("x", 2)))] == [1.0, 2.5]
-    assert [r[0] for r in rows(df.select(rounded("x", 2, "spark")))] == [1.01, 2.5]

@@ -36,16 +36,53 @@ def test_union_by_name_fills_missing(spark):
 def test_join_on_column_names(spark, strategy):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k INT, l STRING")
     right = spark.createDataFrame([(2, "X"), (3, "Y")], "k INT, r STRING")
-    out = relational.join(left, right, ["k"], "inner", strategy)
+    # the size of rows from the driver is unknown to the optimizer, so the bounds are lifted here
+    out = relational.join(left, right, ["k"], "inner", strategy, max_broadcast_bytes=1 << 64,
+                          max_nested_loop_bytes=1 << 64)
     assert sorted(rows(out)) == [(2, "b", "X"), (2, "c", "X")]
     with pytest.raises(ValueError):
         relational.join(left, right, ["k"], "inner", "teleport")
 
 
-def test_fits_bound(spark):
-    df = spark.range(0, 100, numPartitions=7)
-    assert relational.fits(df, 100) and relational.fits(df, 1000)
-    assert not relational.fits(df, 99)
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle_replicate_nl"])
+def test_copying_strategy_is_refused_with_an_error(spark, strategy):
+    df = spark.range(0, 1000)
+    bounds = {"max_broadcast_bytes": 100, "max_nested_loop_bytes": 100}
+    with pytest.raises(relational.SideTooLarge):
+        relational.join(df, df.toDF("k"), F.col("id") == F.col("k"), strategy=strategy, **bounds)
+
+
+def test_building_joins_runs_no_job(spark):
+    sc = spark.sparkContext
+    left = spark.range(0, 1000, numPartitions=60).withColumn("v", F.col("id") % 7)
+    right = left.groupBy("v").count()
+    sc.setJobGroup("planning", "no job may run here")
+    try:
+        for strategy in relational.STRATEGIES:
+            relational.join(left, right, "v", strategy=strategy, max_nested_loop_bytes=1 << 60)
+        assert list(sc.statusTracker().getJobIdsForGroup("planning")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_join_of_tables_that_share_every_name(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "id INT, name STRING")
+    right = spark.createDataFrame([(1, "x"), (3, "y")], "id INT, name STRING")
+    joined = relational.join_keys(left, right, "id", "id")
+    got = joined.select(*relational.qualified("l", ["id", "name"]), F.col("r.name").alias("other"))
+    assert rows(got) == [(1, "a", "x")]
+
+
+def test_sorted_rows_of_a_hot_group(spark):
+    df = spark.range(0, 6000, numPartitions=7).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 5).alias("g"), (F.col("id") * 37 % 1001).alias("v"))
+    got = rows(relational.sorted_rows_by(df, "g", "v"))
+    by = {}
+    for g, v in rows(df):
+        by.setdefault(g, []).append(v)
+    want = [(g, i + 1, v) for g, vs in by.items() for i, v in enumerate(sorted(vs))]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert rows(relational.sorted_rows_by(df.limit(0), "g", "v")) == []
 
 
 def test_top_n_per_group_hot_group(spark):
@@ -75,3 +112,8 @@ def test_mean_and_sums(spark):
     assert dict(rows(relational.mean_by(df, ["k"], "v"))) == {"a": 1.875, "b": None}
     got = dict(rows(relational.sum_by(df, ["k"], "v", "s", money=True)))
     assert float(got["a"]) == 3.75 and got["b"] is None
+
+
+def test_mean_of_large_integers(spark):
+    df = spark.createDataFrame([("a", 2 ** 62)] * 3 + [("b", -5)], "k STRING, v LONG")
+    assert dict(rows(relational.mean_by(df, ["k"], "v"))) == {"a": 2.0 ** 62, "b": -5.0}

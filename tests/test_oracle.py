@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import TESTDATA
+from tessera.plans import registry
 
 SF = f"{TESTDATA}/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -31,7 +32,8 @@ def _norm(v):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(registry.ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -39,11 +41,11 @@ def test_entry_smoke(spark):
     assert df.columns == ["year", "month", "n", "rank"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = registry.QUERIES[name](spark, SF)
     got = df.collect()
-    res = duck.execute(entry.oracle_sql()[name])
+    res = duck.execute(registry.ORACLE[name])
     d_cols = [d[0] for d in res.description]
     d_types = dict(zip(d_cols, [str(d[1]) for d in res.description]))
     want = res.fetchall()

@@ -28,14 +28,11 @@ def test_lowest_paid(spark, staff):
 
 
 def test_top_in_dimension(spark, staff, deps):
-    d = deps.withColumnRenamed("id", "dep_key")
-    want = [(3, "Mary T", 2100), (4, "George T", 2100), (1, "George R", 2000)]
-    got = payroll.top_in_dimension(staff, d, "dep_id", "dep_key", "department", "Dep A", 3,
-                                   cols=["id", "name", "salary"])
-    assert rows(got) == want
-    got_sql = payroll.top_in_dimension_sql(spark, staff, d, "dep_id", "dep_key", "department",
-                                           "Dep A", 3, cols=["id", "name", "salary"])
-    assert rows(got_sql) == want
+    want = [(3, "Mary T", 2100, "Dep A"), (4, "George T", 2100, "Dep A"), (1, "George R", 2000, "Dep A")]
+    cols = {"cols": ["id", "name", "salary"], "dim_cols": ["department"]}
+    args = ("dep_id", "id", "department", "Dep A", 3)
+    assert rows(payroll.top_in_dimension(staff, deps, *args, **cols)) == want
+    assert rows(payroll.top_in_dimension_sql(spark, staff, deps, *args, **cols)) == want
 
 
 YEARLY = [("Vasilios D", 49000), ("Antonis T", 35000), ("George K", 35000),
@@ -61,16 +58,14 @@ def test_udf_null_in_null_out(spark):
 
 
 def test_sum_per_dimension(staff, deps):
-    d = deps.withColumnRenamed("id", "dep_key")
-    got = payroll.sum_per_dimension(staff, d, "dep_id", "dep_key", "department", "salary")
+    got = payroll.sum_per_dimension(staff, deps, "dep_id", "id", "department", "salary")
     assert rows(got) == [("Dep A", 8700), ("Dep B", 7050), ("Dep C", 4050)]
 
 
 @pytest.mark.parametrize("strategy", ["auto", "broadcast", "merge", "shuffle_hash",
                                       "shuffle_replicate_nl"])
 def test_count_per_dimension_strategies(staff, deps, strategy):
-    d = deps.withColumnRenamed("id", "dep_key")
-    got = payroll.count_per_dimension(staff, d, "dep_id", "dep_key", "department", strategy)
+    got = payroll.count_per_dimension(staff, deps, "dep_id", "id", "department", strategy)
     assert sorted(rows(got)) == [("Dep A", 5), ("Dep B", 4), ("Dep C", 2)]
 
 

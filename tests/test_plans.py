@@ -58,21 +58,40 @@ def test_join_hints(spark, strategy, node):
     assert node in plan(df)
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle_replicate_nl"])
-def test_replication_refused_beyond_bound(spark, strategy):
-    c = spark.read.parquet(f"{SF}/customer.parquet")
-    n = spark.read.parquet(f"{SF}/nation.parquet")
-    df = relational.join(c, n, F.col("c_nationkey") == F.col("n_nationkey"), "inner", strategy,
-                         max_broadcast_rows=10, max_nested_loop_rows=10)
-    p = plan(df)
-    assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p and "CartesianProduct" not in p
+@pytest.fixture()
+def large_sides(spark):
+    """Both sides planned as if too large to be copied."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_intersect_is_one_aggregate(spark, large_sides):
+    p = plan(registry.QUERIES["intersect_keys"](spark, SF))
+    assert "Join" not in p and "partial_bit_or" in p
+    assert p.count("Exchange hashpartitioning") == 1
 
 
-def test_intersect_dedups_before_join(spark):
-    p = plan(registry.QUERIES["intersect_keys"](spark, SF))
-    join_at = p.index("LeftSemi")
-    # the left input's partial distinct sits below (after, in the text) the semi join
-    assert "partial_count" in p[join_at:] and "HashAggregate" not in p[:join_at]
+def test_shuffle_hash_hashes_the_small_side(spark, large_sides):
+    assert "BuildRight" in plan(registry.QUERIES["join_shuffle_hash"](spark, SF))
+    assert "BuildRight" in plan(registry.QUERIES["join_shuffle_hash_sql"](spark, SF))
+
+
+def test_revenue_joins_one_row_per_product(spark, large_sides):
+    p = plan(registry.QUERIES["revenue_by_category"](spark, SF))
+    assert p.count("Exchange hashpartitioning") == 3  # per product, its join side, per category
+
+
+def test_appended_files_are_seen(spark, scratch):
+    path = scratch("sf")
+    spark.range(10).select(F.col("id").alias("p_partkey")).write.parquet(f"{path}/part.parquet")
+    assert registry.QUERIES["global_sum"](spark, path).first()[0] == 45
+    spark.range(10, 15).select(F.col("id").alias("p_partkey")).write.mode("append").parquet(f"{path}/part.parquet")
+    assert registry.QUERIES["global_sum"](spark, path).first()[0] == 105
 
 
 def test_accumulated_mean_has_no_grouped_python_aggregate(spark):
@@ -80,15 +99,6 @@ def test_accumulated_mean_has_no_grouped_python_aggregate(spark):
     assert "MapInPandas" in p and "AggregateInPandas" not in p and "partial_sum" in p
 
 
-def test_spread_only_when_input_is_narrow(spark):
-    from tessera.operators.partitioning import spread
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert spread(narrow, ["id"]).rdd.getNumPartitions() == \
-        spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, numPartitions=spark.sparkContext.defaultParallelism)
-    assert "Exchange" not in plan(spread(wide, ["id"]))
-
-
 PYTHON_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapCoGroupsInPandas",
                 "AggregateInPandas", "FlatMapGroupsInPandas", "WindowInPandas")
 UDF_TWINS = {"yearly_income_udf", "share_by_part_of_day_udf", "grouped_udf_mean",
@@ -105,7 +115,7 @@ def test_plan_lint(spark, name):
         assert not any(node in p for node in PYTHON_NODES), name
     # nested loops only where a bounded nested loop was requested explicitly
     assert "BroadcastNestedLoopJoin" not in p
-    if name != "join_shuffle_nl":
+    if name not in ("join_shuffle_nl", "join_shuffle_nl_sql"):
         assert "CartesianProduct" not in p
 
 

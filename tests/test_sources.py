@@ -2,13 +2,16 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import fixture, rows
-from tessera.sources import (drop_header_line, format_lines, from_rows, load, parse_lines,
+from tessera.sources import (HeaderClash, drop_header_line, format_lines, from_rows, load, parse_lines,
                              read_back_count, read_csv, read_csv_checked, read_features,
-                             read_lines, row_count, write_collections, write_csv,
-                             write_parquet, write_text)
+                             read_header_csv_union, read_lines, read_trimmed, row_count,
+                             write_collections, write_csv, write_parquet, write_raw_lines,
+                             write_text)
 
 BAD = """id,label,amount
 1,"a, b",1.5
@@ -98,23 +101,93 @@ def test_single_file_opt_in(spark, scratch):
     assert len(parts) == 1
 
 
-def test_geojson_writer_bounded_documents(spark, scratch):
-    from pyspark.sql import types as T
-    df = spark.range(0, 50, numPartitions=5).select(
-        F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+def _numbers(spark):
+    df = spark.range(0, 50, numPartitions=5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    point = F.struct(F.lit("Point").alias("type"), F.array(F.col("k").cast("double"), F.lit(0.0)).alias("coordinates"))
+    return df, point
+
+
+@pytest.mark.parametrize("layout", ["document_per_line", "feature_per_line"])
+def test_geojson_writer_bounded_documents(spark, scratch, layout):
+    df, point = _numbers(spark)
     out = scratch("gj")
-    write_collections(df, out, ["k", "v"],
-                      F.struct(F.lit("Point").alias("type"),
-                               F.array(F.col("k").cast("double"), F.lit(0.0)).alias("coordinates")),
-                      features_per_doc=4)
-    docs = [d for d in os.listdir(out) if d.startswith("doc=")]
-    assert 10 <= len(docs) <= 13  # 50 rows / 4 per document -> 13 hash buckets
-    props = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType())])
-    feats = read_features(spark, out, props)
+    write_collections(df, out, ["k", "v"], point, features_per_doc=4)
+    assert read_lines(spark, out).count() == 15  # 5 partitions of 10 rows, 4 + 4 + 2 each
+    assert not [d for d in os.listdir(out) if os.path.isdir(os.path.join(out, d))]
+    feats = read_features(spark, out, T.StructType.fromDDL("k LONG, v LONG"), layout=layout)
     assert feats.count() == 50
     assert rows(feats.agg(F.sum("properties.v"))) == [(2450,)]
 
 
+FEATURE = '{"type": "Feature", "properties": {"k": %d, "v": 0}, "geometry": {"type": "Point", "coordinates": [1, 2]}}'
+
+
+@pytest.mark.parametrize("text", [
+    '{"type": "FeatureCollection", "features": [' + FEATURE % 1 + ", " + FEATURE % 2 + "]}",
+    '{"type": "FeatureCollection", "features": [' + FEATURE % 1 + ",\n" + FEATURE % 2 + "\n]}",
+    '{\n"type": "FeatureCollection",\n"name": "x",\n"crs": {"type": "name"},\n"features": [\n' + FEATURE % 1 + ",\n" + FEATURE % 2 + "\n]\n}",
+    FEATURE % 1 + ",\n" + FEATURE % 2 + "]}\n\n",
+])
+def test_features_on_any_line(spark, tmp_path, text):
+    p = _write(str(tmp_path / "gj" / "a.json"), text)
+    feats = read_features(spark, p, T.StructType.fromDDL("k LONG, v LONG"), layout="feature_per_line")
+    assert sorted(r[0] for r in feats.select("properties.k").collect()) == [1, 2]
+    if text.startswith("{\n") or text.startswith('{"type": "FeatureC'):
+        whole = read_features(spark, p, T.StructType.fromDDL("k LONG, v LONG"), layout="document")
+        assert whole.count() == 2
+
+
+@pytest.mark.parametrize("line", ["garbage", '{"type": "Feature", "properties": {"k": 1', '[1, 2]x'])
+def test_lines_that_are_no_features_stop_the_read(spark, tmp_path, line):
+    p = _write(str(tmp_path / "gj" / "a.json"), '{"type": "FeatureCollection", "features": [\n' + line + "\n]}")
+    with pytest.raises(Exception, match="not a GeoJSON feature line"):
+        read_features(spark, p, T.StructType.fromDDL("k LONG, v LONG"), layout="feature_per_line").collect()
+
+
+TRICKY = ["plain", "", None, " s ", 'say "hi", ok', '"', '""', "a,b", "line\nbreak", "tab\t", "\\", '\\"', "é"]
+
+
+def test_csv_text_comes_back_unchanged(spark, scratch):
+    import csv
+    df = spark.createDataFrame(list(enumerate(TRICKY)), "i INT, t STRING").coalesce(1)
+    out = scratch("tricky")
+    write_csv(df, out)
+    back = read_csv(spark, out, "i INT, t STRING", multi_line=True)
+    assert [r["t"] for r in back.orderBy("i").collect()] == TRICKY
+    part = next(f for f in os.listdir(out) if f.startswith("part-"))
+    with open(os.path.join(out, part), newline="") as f:
+        assert [r[1] for r in csv.reader(f)] == [t or "" for t in TRICKY]
+
+
+def test_doubled_quotes_are_good_rows(spark, tmp_path):
+    p = _write(str(tmp_path / "q" / "q.csv"), 'id,label,amount\n1,"say ""hi"", ok",2.5\n2,x,1\n')
+    schema = "id INT, label STRING, amount DOUBLE"
+    want = [(1, 'say "hi", ok', 2.5), (2, "x", 1.0)]
+    assert sorted(rows(read_csv_checked(spark, p, schema))) == want
+    assert sorted(rows(read_csv(spark, p, schema, header=True))) == want
+
+
+def test_raw_lines_carry_a_header_in_every_file(spark, scratch):
+    out = scratch("raw")
+    lines = spark.range(0, 4, numPartitions=2).select(F.concat(F.col("id"), F.lit(',"a ""q""", ')).alias("value"))
+    write_raw_lines(lines, out, "x,y")
+    got = sorted(r[0] for r in read_lines(spark, out).collect())
+    assert got == ['0,"a ""q""", ', '1,"a ""q""", ', '2,"a ""q""", ', '3,"a ""q""", ', "x,y", "x,y"]
+
+
+def test_header_drift_and_clash(spark, tmp_path):
+    a = _write(str(tmp_path / "h" / "a.csv"), "id, name \n1,x\n")
+    b = _write(str(tmp_path / "h" / "b.csv"), "name,extra\ny,2\n")
+    drift = {}
+    got = read_header_csv_union(spark, [a, b], drift=drift)
+    assert got.columns == ["id", "name", "extra"]
+    assert sorted(rows(got), key=str) == sorted([("1", "x", None), (None, "y", "2")], key=str)
+    assert drift == {a: ["extra"], b: ["id"]}
+    c = _write(str(tmp_path / "h" / "c.csv"), "id,id \n1,2\n")
+    with pytest.raises(HeaderClash):
+        read_trimmed(spark, c)
+
+
 def test_checked_csv_columns_by_header_name(spark, tmp_path):
     text = ('DR_NO,Premis Desc,TIME OCC\n1,"STREET, MAIN",1350\n2,ALLEY,0045\n'
             'x,broken\n3,PARK,abc\n')

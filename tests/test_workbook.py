@@ -66,11 +66,28 @@ def test_high_value(sales):
 
 
 def test_revenue_by_category(sales, products):
-    p = products.withColumnRenamed("product_id", "pid")
-    got = workbook.revenue_by_category(sales, p, "product_id", "pid", "qty", "price", "category")
+    got = workbook.revenue_by_category(sales, products, "product_id", "product_id", "qty", "price", "category")
     assert rows(got) == [("Electronics", 129.0), ("Stationery", 37.0), ("Beverages", 36.0)]
 
 
+def test_revenue_keeps_all_decimals_until_the_end(spark):
+    sales = spark.createDataFrame([("p", 3, 0.335), ("q", 1, 0.005), ("q", 1, 0.005)], "product_id STRING, qty INT, price DOUBLE")
+    products = spark.createDataFrame([("p", "a"), ("q", "b")], "product_id STRING, category STRING")
+    got = workbook.revenue_by_category(sales, products, "product_id", "product_id", "qty", "price", "category")
+    assert rows(got) == [("a", 1.01), ("b", 0.01)]
+
+
+def test_accumulated_mean_of_decimals_and_large_integers(spark):
+    from decimal import Decimal
+    import pytest
+    df = spark.createDataFrame([("a", Decimal("1.50")), ("a", Decimal("2.25")), ("b", None)], "k STRING, v DECIMAL(10,2)")
+    assert dict(rows(workbook.mean_per_key_accumulated(df, "k", "v"))) == {"a": 1.88, "b": None}
+    big = spark.createDataFrame([("a", 2 ** 62)] * 3 + [("b", -7), ("b", -8)], "k STRING, v LONG")
+    assert dict(rows(workbook.mean_per_key_accumulated(big, "k", "v"))) == {"a": 2.0 ** 62, "b": -7.5}
+    with pytest.raises(TypeError):
+        workbook.mean_per_key_accumulated(df, "v", "k")
+
+
 def test_mean_per_course_both_forms(spark):
     scores = read_csv(spark, fixture("scores.csv"), "student STRING, course STRING, score INT")
     want = [("Spark", 8.33), ("Databases", 7.75), ("Python", 7.67)]
@@ -105,23 +122,23 @@ def test_cogroup_join_matches_plain_join_with_forced_hot_keys(spark):
     right = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "z")], "k INT, tag STRING")
     fn = grouped.pandas_inner_join("k", "k", ["id", "k", "tag"])
     got = grouped.cogroup_apply(left, right, ["k"], ["k"], fn, "id int, k int, tag string",
-                                target_rows=7, sample_fraction=1.0)
+                                max_pairs=49)
     want = left.join(right, "k").select("id", "k", "tag")
     assert sorted(rows(got)) == sorted(rows(want))
 
 
-def test_salt_grid_cells_are_bounded(spark):
+def test_cells_bound_the_pairs(spark):
     from tessera.operators import skew
-    left = spark.createDataFrame([(i, 1) for i in range(100)], "id INT, k INT")
-    right = spark.createDataFrame([(j, 1) for j in range(30)], "rid INT, k INT")
-    lft, rgt, cell = skew.salt_grid(left, right, ["k"], ["k"], target_rows=10,
-                                    sample_fraction=1.0)
-    lsz = lft.groupBy("k", *cell).count().agg(F.max("count")).first()[0]
-    rsz = rgt.groupBy("k", *cell).count().agg(F.max("count")).first()[0]
-    assert lsz <= 40 and rsz <= 20  # ~target per cell (hash buckets are not exact)
+    left = spark.createDataFrame([(7, 1)] * 20_000 + [(i, 2) for i in range(10)], "id INT, k INT")  # one row, again and again
+    right = spark.createDataFrame([(j, 1) for j in range(30)] + [(1, 2)], "rid INT, k INT")
+    hot = skew.hot_keys(left, right, ["k"], ["k"], max_pairs=30_000)
+    assert [r["_k0"] for r in hot.collect()] == [1]
+    lft, rgt = skew.cells(left, right, ["k"], ["k"], hot)
+    sizes = (lft.groupBy("k", *skew.CELL).agg(F.count("*").alias("n")).join(
+        rgt.groupBy("k", *skew.CELL).agg(F.count("*").alias("m")), ["k", *skew.CELL]))
+    assert sizes.agg(F.max(F.col("n") * F.col("m"))).first()[0] <= 1.2 * 30_000
     # every (left, right) pair meets exactly once
-    pairs = lft.join(rgt, ["k", *cell]).count()
-    assert pairs == 100 * 30
+    assert lft.join(rgt, ["k", *skew.CELL]).count() == 20_000 * 30 + 10
 
 
 def test_custom_aggregate_contract(spark):
@@ -145,8 +162,7 @@ def test_cogroup_join_on_test_tables_with_every_key_hot(spark):
     got = grouped.cogroup_apply(c, n, ["c_nationkey"], ["n_nationkey"],
                                 grouped.pandas_inner_join("c_nationkey", "n_nationkey", cols),
                                 "c_custkey bigint, c_name string, c_nationkey int, n_name string",
-                                target_rows=20,  # ~60 customers per nation -> 3-4 cells each
-                                sample_fraction=1.0)
+                                max_pairs=20)  # ~60 customers per nation -> 3-4 cells each
     want = c.join(n, c.c_nationkey == n.n_nationkey).select(*cols)
     assert got.count() == want.count() == 1500
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -162,14 +178,6 @@ def test_word_count_splits_like_python(spark):
     assert dict(rows(workbook.word_count(df))) == want
 
 
-def test_sampled_hot_key_estimate(spark):
-    from tessera.operators import skew
-    df = spark.range(0, 200_000).select((F.col("id") % 4 == 0).cast("int").alias("k"))
-    hot = dict(rows(skew.hot_keys(df, ["k"], 40_000, "b", sample_fraction=0.05)))
-    # true counts: k=0 -> 150,000 (4 buckets), k=1 -> 50,000 (2 buckets)
-    assert hot.get(0) in (3, 4, 5) and hot.get(1) in (1, 2, 3)
-
-
 def test_cogroup_join_null_keys_never_match(spark):
     left = spark.createDataFrame([(1, 1), (2, None), (3, None)], "id INT, k INT")
     right = spark.createDataFrame([(1, "a"), (None, "n")], "k INT, tag STRING")
@@ -209,8 +217,7 @@ def test_cogroup_calls_stay_bounded_with_a_third_of_rows_on_one_key(spark):
                              "pairs": [len(a) * len(b)]})
 
     out = grouped.cogroup_apply(left, right, ["k"], ["k"], sizes,
-                                "na long, nb long, pairs long", target_rows=target,
-                                sample_fraction=0.05)
+                                "na long, nb long, pairs long", max_pairs=target)
     stats = out.agg(F.max("na"), F.sum("pairs")).first()
     assert stats[0] <= 2 * target           # the 100,000-row key was split into ~10 cells
     assert stats[1] == n                    # every left row met its one right row exactly once
