@@ -23,6 +23,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_warc_fixity": warc.OP2_SQL,
+    "op5_repeat_index": repeats.OP5_SQL,
     "op6_quality_rules": quality.OP6_SQL,
+    "op8_secret_scan": secrets.OP8_SQL,
     "op10_source_mix": mixing.OP10_SQL,
 }

@@ -335,3 +335,22 @@ def op5_repeat_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cut(documents(spark, sf_dir))
     return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
                        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+n AS (SELECT r, doc_id, b, octet_length(b) AS n FROM d),
+w AS (SELECT r, i, md5(b[i:i + 399]) AS h FROM (
+        SELECT r, b, unnest(range(1, n - 398)) AS i FROM n WHERE n >= 400)),
+twice AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+starts AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM w SEMI JOIN twice USING (h)),
+runs AS (SELECT r, i, sum(CASE WHEN before IS NULL OR i - before > 400 THEN 1 ELSE 0 END)
+                       OVER (PARTITION BY r ORDER BY i) AS run FROM starts),
+spans AS (SELECT r, run, min(i) AS lo, max(i) + 400 AS hi FROM runs GROUP BY r, run),
+cuts AS (SELECT r, list(lo ORDER BY lo) AS los, list(hi ORDER BY lo) AS his, sum(hi - lo) AS gone FROM spans GROUP BY r)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(len(los), 0)::BIGINT AS n_spans,
+       sha256(CASE WHEN los IS NULL THEN b ELSE list_reduce(
+           [b[(CASE WHEN k = 1 THEN 1 ELSE his[k - 1] END):(CASE WHEN k > len(los) THEN n ELSE los[k] - 1 END)]
+            for k in range(1, len(los) + 2)], lambda x, y: x || y) END) AS kept_sha256
+FROM n LEFT JOIN cuts USING (r)
+"""

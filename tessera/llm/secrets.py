@@ -162,3 +162,38 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
         F.sha2(sorted_spans(F.col("_base"), KINDS, by_kind=False), 256).alias("base_sha256"),
         sorted_spans(F.concat("_base", "_added"), KINDS, by_kind=False).alias("spans"))
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS s FROM documents),
+p(rank, kind, re) AS (VALUES
+    (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+'),
+    (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]+'), (3, 'entropy', '[A-Za-z0-9+/_=-]+')),
+m AS (SELECT r, rank, kind, regexp_extract_all(s, re) AS hit, string_split_regex(s, re) AS gap FROM d, p),
+h AS (SELECT r, rank, kind, unnest(hit) AS hit, unnest(gap[:len(hit)]) AS gap, unnest(range(1, len(hit) + 1)) AS k FROM m),
+l AS (SELECT r, rank, kind, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY r, rank ORDER BY k) AS hi FROM h),
+base AS (
+    SELECT r, rank, kind, (hi - length(hit))::BIGINT AS lo, hi::BIGINT AS hi FROM l
+    WHERE (rank = 0 AND length(regexp_replace(hit, '^(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?', '')) >= 6)
+       OR (rank = 1 AND length(hit) >= 20) OR (rank = 2 AND length(hit) >= 24)),
+cand AS (
+    SELECT r, hit, hi - length(hit) AS pos,
+           CASE WHEN regexp_full_match(hit, '[0-9a-f]+|[0-9A-F]+') THEN 3.0 ELSE 3.75 END AS bits
+    FROM l WHERE rank = 3 AND length(hit) >= 20 AND regexp_matches(hit, '[A-Za-z]') AND regexp_matches(hit, '[0-9]')
+      AND NOT regexp_full_match(hit, '[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}')
+      AND NOT regexp_matches(lower(hit), 'abcdefghij|0123456789|1234567890|example|sample|dummy|placeholder|changeme|redacted')),
+win AS (
+    SELECT r, pos, bits, i, list_aggregate(string_split(substr(hit, i, 20), ''), 'entropy') AS e
+    FROM (SELECT *, unnest(range(1, length(hit) - 18)) AS i FROM cand)),
+high AS (SELECT r, (pos + min(i) - 1)::BIGINT AS lo, (pos + max(i) + 19)::BIGINT AS hi FROM win WHERE e >= bits - 1e-6 GROUP BY r, pos),
+added AS (SELECT r, 3 AS rank, 'entropy' AS kind, lo, hi FROM high
+          WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = high.r AND b.lo < high.hi AND high.lo < b.hi)),
+b AS (SELECT r, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+             count(*) FILTER (rank = 2) AS n_hex,
+             string_agg(kind || ':' || lo || ':' || hi, ',' ORDER BY lo, rank) AS t FROM base GROUP BY r),
+a AS (SELECT r, string_agg(kind || ':' || lo || ':' || hi, ',' ORDER BY lo, rank) AS t
+      FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(b.t, '')) AS base_sha256, coalesce(a.t, '') AS spans
+FROM d LEFT JOIN b USING (r) LEFT JOIN a USING (r)
+"""
