@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE_CHARS, documents, prepare
+from tessera.llm.common import SPACE_CHARS, documents, prepare, stored
 
 BINS = 1024
 MAX_REPEAT = 3
@@ -146,21 +146,24 @@ def take_mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as ``mix`` takes it, with its own columns.
 
     A document's copies are found by id; rows of a repeated id take the copies of their own place
-    among the id's rows (in order of size and text)."""
-    chosen = mix(docs, **options).where("copies > 0").select(
+    among the id's rows (in order of size and text). Column names that start with an underscore are
+    this module's."""
+    chosen = mix(docs, **options).select(
         F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    per_key = chosen.groupBy("_id", "_size").agg(F.sum("_copies").alias("_total"),
-                                                 F.count("*").alias("_rows"))
+    per_key = stored(chosen.groupBy("_id", "_size").agg(
+        F.sum("_copies").alias("_total"), F.count("*").alias("_rows")).where("_total > 0"), "copies")
     sized = docs.withColumn("_n", word_count(F.col(options.get("text_col", "text"))))
     id_col = options.get("id_col", "doc_id")
     joined = sized.join(per_key, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_size")))
-    once = joined.where("_rows = 1").withColumn("_k", F.col("_total"))
-    order = Window.partitionBy(id_col, "_n").orderBy(F.xxhash64(options.get("text_col", "text")))
-    more = (joined.where("_rows > 1").withColumn("_at", F.row_number().over(order) - 1)
-            .withColumn("_k", F.floor(F.col("_total") / F.col("_rows"))
-                        + (F.col("_at") < F.col("_total") % F.col("_rows")).cast("long"))
-            .drop("_at"))
-    return (once.unionByName(more).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))))
+    copied = joined.where("_rows = 1").withColumn("_k", F.col("_total"))
+    if not per_key.where("_rows > 1").isEmpty():  # ids that occur again: their rows share the copies
+        order = Window.partitionBy(id_col, "_n").orderBy(F.xxhash64(options.get("text_col", "text")))
+        more = (joined.where("_rows > 1").withColumn("_at", F.row_number().over(order) - 1)
+                .withColumn("_k", F.floor(F.col("_total") / F.col("_rows"))
+                            + (F.col("_at") < F.col("_total") % F.col("_rows")).cast("long"))
+                .drop("_at"))
+        copied = copied.unionByName(more)
+    return (copied.where("_k > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))))
             .select(*docs.columns))
 
 

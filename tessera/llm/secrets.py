@@ -126,7 +126,7 @@ def scan(docs: DataFrame, text_col: str = "text", bounds: dict[str, float] | Non
     the kind's place in ``KINDS``. Matches of a kind are leftmost and do not overlap.
 
     Null and empty texts have no spans; null ids, repeated rows and other columns are kept as they
-    are; an empty table stays empty."""
+    are; an empty table stays empty. Column names that start with an underscore are this module's."""
     nothing = F.array().cast("array<struct<start:int,end:int,text:string>>")
     rows = docs.withColumn("_t", F.coalesce(F.col(text_col), F.lit("")))
     text, low = F.col("_t"), F.lower("_t")
