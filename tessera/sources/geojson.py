@@ -8,12 +8,15 @@ error for any line that is neither a feature nor part of the collection's frame.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import ship_package
+
 POINT = T.StructType([T.StructField("type", T.StringType()),
                       T.StructField("coordinates", T.ArrayType(T.DoubleType()))])
 POLYGON = T.StructType([T.StructField("type", T.StringType()),
@@ -78,24 +81,43 @@ def flatten_properties(features: DataFrame, keep_geometry: bool = True) -> DataF
     return features.select(*cols)
 
 
+def _feature_json(properties: Sequence[str], geometry: Column) -> Column:
+    return F.to_json(F.struct(F.lit("Feature").alias("type"),
+                              F.struct(*[F.col(p) for p in properties]).alias("properties"),
+                              geometry.alias("geometry")))
+
+
 def write_collections(df: DataFrame, path: str, properties: Sequence[str],
                       geometry: Column, features_per_doc: int = 1_000) -> None:
     """Write ``df`` as GeoJSON FeatureCollections of up to ``features_per_doc`` features, one
-    collection per line. Rows that follow each other in a partition share a collection, so a
-    collection's list is bounded and no row count is needed. An empty table writes no collection."""
-    feature = F.struct(F.lit("Feature").alias("type"),
-                       F.struct(*[F.col(p) for p in properties]).alias("properties"),
-                       geometry.alias("geometry"))
-    rows = df.select(feature.alias("f"), F.floor(F.monotonically_increasing_id() / features_per_doc).alias("doc"))
-    docs = rows.groupBy("doc").agg(F.collect_list("f").alias("features"))
-    docs.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features"))
-                .alias("value")).write.mode("overwrite").text(path)
+    collection per line.
+
+    Features are made by built-in functions; a task then strings its own rows together as they come
+    (Arrow batches), so nothing is shuffled or counted, no more than one collection is held, and a task
+    that runs again writes its file anew. An empty partition writes no collection."""
+    ship_package(df.sparkSession)
+
+    def collections(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] = []
+        for batch in batches:
+            held.extend(batch.column("value").to_pylist())
+            full = len(held) - len(held) % features_per_doc
+            yield _as_documents(held[:full], features_per_doc)
+            held = held[full:]
+        yield _as_documents(held, features_per_doc)
+
+    (df.select(_feature_json(properties, geometry).alias("value"))
+     .mapInArrow(collections, "value string").write.mode("overwrite").text(path))
+
+
+def _as_documents(features: list[str], per_doc: int) -> pa.RecordBatch:
+    lines = ['{"type":"FeatureCollection","features":[' + ",".join(features[i:i + per_doc]) + "]}"
+             for i in range(0, len(features), per_doc)]
+    return pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
 
 
 def write_feature_lines(df: DataFrame, path: str, properties: Sequence[str], geometry: Column) -> None:
     """Write ``df`` with one feature per line, separated by commas; the frame is left to who joins the
     files (``feature_per_line`` reads them with or without it)."""
-    feature = F.struct(F.lit("Feature").alias("type"),
-                       F.struct(*[F.col(p) for p in properties]).alias("properties"),
-                       geometry.alias("geometry"))
-    df.select(F.concat(F.to_json(feature), F.lit(",")).alias("value")).write.mode("overwrite").text(path)
+    line = F.concat(_feature_json(properties, geometry), F.lit(","))
+    df.select(line.alias("value")).write.mode("overwrite").text(path)
