@@ -51,7 +51,7 @@ def duplicate_lines(text: Column) -> Column:
 def repeated_words(words: Column, window: int = 3) -> Column:
     """Words that lie in ``window``-word windows found at least twice in the text.
 
-    ``words`` must be a plain column (the windows index into it). Window starts are sorted by the
+    ``words`` must be a column or a bound value, not an expression (the windows index into it). Window starts are sorted by the
     window's words, equal neighbours are kept, and their starts, in text order again, are laid out
     as intervals of ``window`` words whose overlaps count once."""
     n = F.size(words)
@@ -61,8 +61,8 @@ def repeated_words(words: Column, window: int = 3) -> Column:
         return F.concat_ws(" ", *[F.get(words, i + k) for k in range(window)])
 
     keyed = F.sort_array(F.transform(starts, lambda i: F.struct(key(i).alias("k"), i.alias("at"))))
-    pairs = F.zip_with(keyed, F.slice(keyed, 2, F.greatest(n, F.lit(1))), lambda a, b: F.when(
-        a["k"] == b["k"], F.array(a["at"], b["at"])))
+    pairs = bound(keyed, lambda s: F.zip_with(s, F.slice(s, 2, F.greatest(F.size(s), F.lit(1))), lambda a, b: F.when(
+        a["k"] == b["k"], F.array(a["at"], b["at"]))))
     return _covered(F.array_sort(F.array_distinct(F.flatten(F.array_compact(pairs)))), window)
 
 
@@ -134,6 +134,11 @@ def text_rules(text: Column) -> list[Rule]:
     ]
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once per row, however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def cascade_order(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """``rules`` by rejection per cost, both estimated on up to ``sample_rows`` rows (the first
     that Spark finds; the order changes the work, not the result). Ties and an empty sample keep
