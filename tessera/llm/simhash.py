@@ -194,13 +194,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed:
     fingerprint zero and link like any other; repeated rows give repeated rows; rows without an id
     are outside the comparison; an empty table gives an empty result; other columns are ignored."""
     prints = stored(fingerprints(docs, shingle, seed, id_col, text_col), "simhash")
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    nodes = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-prints")
     roots = components(near_links(nodes, max_bits)).toDF("fp", "root")
     linked = nodes.join(roots, "fp")
     heads = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     merged = linked.join(heads, "root").select("fp", "component_id")
-    of = nodes.join(merged, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id"))
+    # written before the join, which can then split the rows of a fingerprint with many copies over tasks
+    of = stored(nodes.join(merged, "fp", "left").select(
+        "fp", F.coalesce("component_id", "least").alias("component_id")), "components")
     return prints.join(of, "fp").select(
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id")
