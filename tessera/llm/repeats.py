@@ -249,9 +249,12 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, shard
                    shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(id, check, spans array<struct<lo, hi>>) for the rows of ``texts`` (id, check, body) that hold
     repeated windows; spans may overlap."""
+    spark = texts.sparkSession
     found = stored(anchor_rows(texts, width, gram), "anchors")
-    grams = (found.groupBy("gram").agg(F.count("*").alias("n"), F.min("chunk").alias("c0"), F.max("chunk").alias("c1"))
-             .where("n > 1").select("gram", (F.col("c0") != F.col("c1")).alias("mixed")))
+    # written before the join, which can then split the rows of a hot gram over tasks
+    grams = stored(found.groupBy("gram").agg(
+        F.count("*").alias("n"), F.min("chunk").alias("c0"), F.max("chunk").alias("c1"))
+        .where("n > 1").select("gram", (F.col("c0") != F.col("c1")).alias("mixed")), "grams")
     again = stored(found.join(grams, "gram"), "repeated-anchors")
     span = ["id", "check", "lo", (F.col("lo") + F.col("size")).alias("hi")]
     spans = again.where("NOT mixed").select(*span)
@@ -277,12 +280,15 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, shard
                       F.expr("substring(body, c.lo + 1, c.size)").alias("body")))
     chunks = stored(chunks, "variants")
     quiet = chunks.where("NOT crowded").withColumn("shard", F.pmod("gram", F.lit(shards)))
-    spans = spans.union(quiet.select("shard", "id", "check", "lo", "alone", "body").groupBy("shard").applyInArrow(
-        _shard_spans(width), SPANS))
-
-    windows = chunks.where("crowded").select("id", "check", "gram", "lo", "alone", "body").mapInArrow(
-        _window_hashes(width), "id long, check int, gram long, alone boolean, window long, lo int")
-    twice = windows.groupBy("gram", "window").agg(F.count("*").alias("n")).where("n > 1").select("gram", "window")
+    # a fixed number of tasks: near copies shrink so well in a shuffle that its bytes say little of the work
+    tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 16))
+    spans = spans.union(quiet.select("shard", "id", "check", "lo", "alone", "body").repartition(tasks, "shard")
+                        .groupBy("shard").applyInArrow(_shard_spans(width), SPANS))
+
+    windows = stored(chunks.where("crowded").select("id", "check", "gram", "lo", "alone", "body").mapInArrow(
+        _window_hashes(width), "id long, check int, gram long, alone boolean, window long, lo int"), "windows")
+    twice = stored(windows.groupBy("gram", "window").agg(F.count("*").alias("n")).where("n > 1")
+                   .select("gram", "window"), "repeated-windows")
     spans = spans.union(windows.where("alone").join(twice, ["gram", "window"], "left_semi").select(
         "id", "check", "lo", (F.col("lo") + width).alias("hi")))
     return spans.groupBy("id", "check").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
