@@ -112,24 +112,17 @@ def default_rules(q: Column) -> list[Rule]:
     ]
 
 
-def text_rules(text: Column) -> list[Rule]:
-    """The same rules straight on a text column, each computing only what it needs: what a filter
-    uses, where a rule that is not asked is not computed."""
+def text_rules(text: Column, words: Column) -> list[Rule]:
+    """The same rules straight on a text and its words, each computing only what it needs: what a
+    filter uses, where a rule that is not asked is not computed."""
     full = F.coalesce(text, F.lit(""))
-    words = words_of(text)
     n = F.greatest(F.size(words), F.lit(1))
     chars = F.length(without(full, SPACE_CHARS))
-    lines = duplicate_lines(full)
-    # a text column cannot index into its words: carry them through a one-element array
-    repeated = F.get(F.transform(F.array(words), lambda w: F.struct(
-        repeated_words(w).alias("r"), F.size(w).alias("n"))), 0)
     return [
         Rule("few_words", F.size(words) < MIN_WORDS),
-        Rule("repeated_words", F.get(F.transform(F.array(repeated), lambda s: (
-            100 * s["r"] > MAX_REPEAT_PERCENT * s["n"])), 0)),
+        Rule("repeated_words", 100 * repeated_words(words) > MAX_REPEAT_PERCENT * F.size(words)),
         Rule("symbols", 10 * (F.length(full) - F.length(without(full, SYMBOLS))) > n),
-        Rule("duplicate_lines", F.get(F.transform(F.array(lines), lambda s: (
-            2 * s["dup"] > s["lines"])), 0)),
+        Rule("duplicate_lines", bound(duplicate_lines(full), lambda s: 2 * s["dup"] > s["lines"])),
         Rule("word_length", (2 * chars < 5 * n) | (chars > 12 * n)),
     ]
 
@@ -139,22 +132,29 @@ def bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def cascade_order(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """``rules`` by rejection per cost, both estimated on up to ``sample_rows`` rows (the first
-    that Spark finds; the order changes the work, not the result). Ties and an empty sample keep
-    the given order. A rule nothing in the sample fails goes last, the cheapest first."""
-    sample = docs.limit(sample_rows).persist()
+def cascade_order(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[str]:
+    """Names of the rules by rejection per cost, both estimated on up to ``sample_rows`` rows (the
+    first that Spark finds; the order changes the work, not the result). Ties and an empty sample
+    keep the rules' own order; rules that nothing in the sample fails go last."""
+    text = F.col(text_col)
+    names = [r.name for r in text_rules(text, text)]
+    sample = docs.select(text_col).limit(sample_rows).persist()
     try:
         total = sample.count()
         rated = []
-        for place, rule in enumerate(rules):
+        for place, name in enumerate(names):
+            verdict = bound(words_of(text), lambda w: text_rules(text, w)[place].rejects)
             began = time.perf_counter()
-            rejected = sample.agg(F.count_if(F.coalesce(rule.rejects, F.lit(False)))).first()[0]
+            rejected = sample.agg(F.count_if(F.coalesce(verdict, F.lit(False)))).first()[0]
             cost = time.perf_counter() - began
-            rated.append((-(rejected / max(total, 1)) / cost, cost if total else 0, place, rule))
+            rated.append((-rejected / cost, place, name))
     finally:
         sample.unpersist()
-    return [r[-1] for r in sorted(rated, key=lambda r: r[:3])] if total else list(rules)
+    return [r[-1] for r in sorted(rated)] if total else names
+
+
+def in_order(rules: list[Rule], names: list[str]) -> list[Rule]:
+    return sorted(rules, key=lambda r: names.index(r.name))
 
 
 def first_failed(rules: list[Rule]) -> Column:
@@ -170,19 +170,17 @@ def judge(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROW
     """``docs`` with ``_q`` (see ``measured``) and ``kept``, the cascade's verdict.
 
     Null, empty and blank texts have zero words and are rejected; repeated rows are judged alike;
-    an empty table stays empty; columns named like the measures are not touched."""
-    text = F.col(text_col)
-    order = {r.name: i for i, r in enumerate(cascade_order(docs, text_rules(text), sample_rows))}
+    an empty table stays empty. Column names that start with an underscore are this module's."""
+    order = cascade_order(docs, text_col, sample_rows)
     rows = measured(docs, text_col)
-    rules = sorted(default_rules(F.col("_q")), key=lambda r: order[r.name])
-    return rows.withColumn("_kept", first_failed(rules).isNull())
+    return rows.withColumn("_kept", first_failed(in_order(default_rules(F.col("_q")), order)).isNull())
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` without the documents that a rule rejects; a rule runs only on rows that the rules
     before it let pass. Columns are those of ``docs``."""
-    rules = cascade_order(docs, text_rules(F.col(text_col)), sample_rows)
-    return docs.where(first_failed(rules).isNull())
+    text, order = F.col(text_col), cascade_order(docs, text_col, sample_rows)
+    return docs.where(bound(words_of(text), lambda w: first_failed(in_order(text_rules(text, w), order)).isNull()))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -252,14 +252,27 @@ def test_mix_of_a_hot_source(spark):
     assert {r["target"] > 0 for r in weighted.collect()} == {True, False}
 
 
+def test_rows_of_a_repeated_id_share_its_copies(spark):
+    rows = [(1, "a", f"w{i} x y") for i in range(40)] + [(100 + i, "b", "one two") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    chosen = mixing.mix(docs)
+    taken = mixing.take_mix(docs)
+    assert 0 < chosen.where("doc_id = 1 AND copies > 0").count() < 40  # less than one copy each
+    for where in ("doc_id = 1", "doc_id > 1"):
+        assert taken.where(where).count() == sum(r["copies"] for r in chosen.where(where).collect())
+    # no row more often than its share, rounded up
+    assert taken.groupBy("doc_id", "text").count().where("doc_id = 1").agg(F.max("count")).first()[0] == 1
+
+
 def test_cascade_order(spark):
     docs = spark.createDataFrame([(i, "word " * (i % 100)) for i in range(200)], "doc_id long, text string")
-    rules = quality.text_rules(F.col("text"))
-    order = quality.cascade_order(docs, rules)
-    assert sorted(r.name for r in order) == sorted(r.name for r in rules)
-    assert order[-1].name in ("symbols", "word_length", "duplicate_lines")  # nothing here fails these
-    for chosen in (order, order[::-1]):
-        kept = docs.where(quality.first_failed(chosen).isNull())
+    order = quality.cascade_order(docs)
+    assert sorted(order) == sorted(r.name for r in quality.default_rules(F.col("text")))
+    assert order[-1] in ("symbols", "word_length", "duplicate_lines")  # nothing here fails these
+    text = F.col("text")
+    for names in (order, order[::-1]):
+        kept = docs.where(quality.bound(quality.words_of(text), lambda w: quality.first_failed(
+            quality.in_order(quality.text_rules(text, w), names)).isNull()))
         assert sorted(r["doc_id"] for r in kept.collect()) == [i for i in range(200) if brute.quality("word " * (i % 100))[-1]]
 
 
