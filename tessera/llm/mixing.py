@@ -8,7 +8,8 @@ per-document factor), smallest first, while they fit into the source's remaining
 number of words: the last place goes to the document, among those not chosen, whose size is nearest
 to the words still missing, if that brings the source nearer to its target.
 
-The random number of a document is a hash of its id and the seed, so reruns agree. No source is
+The random number of a document is a hash of its id and the seed, so reruns agree; for a row
+without an id, of its source, text and place among its copies. No source is
 ever sorted: ranks are cut into ``BINS`` bins per source, the words of whole bins are summed, and
 only the bin in which a target falls is put in order.
 """
@@ -69,25 +70,54 @@ def uniform(key: Column, seed: str) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
-def mix(docs: DataFrame, max_repeat: int = MAX_REPEAT, seed: str = SEED, bins: int = BINS,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: DataFrame | None = None, factor: Column | None = None) -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken) of every row of ``docs``.
+def identity(*columns: Column) -> Column:
+    """128 bits (hex) that stand for the values of ``columns``; null differs from the empty text."""
+    return F.md5(F.concat(*[F.coalesce(F.md5(c.cast("string")), F.lit("-")) for c in columns]))
+
+
+def numbered(rows: DataFrame, key: str, row: str) -> DataFrame:
+    """``rows`` with ``_at``, a row's place from 0 among those of equal ``key``, by ``row`` (made by
+    monotonically_increasing_id and written since). Rows are numbered within each partition of that
+    writing and the partitions' counts added up, so that a hot key is not numbered in one task."""
+    rows = rows.withColumn("_part", F.shiftright(row, 33))
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(key, "_part").agg(F.count("*").alias("_n")).select(
+        key, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    local = F.row_number().over(Window.partitionBy(key, "_part").orderBy(row)) - 1
+    return (rows.withColumn("_at", local).join(parts, [key, "_part"])
+            .withColumn("_at", F.col("_at") + F.col("_before")).drop("_part", "_before"))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, size, source_size, target, copies, taken) of every row of ``docs``; ``options`` are
+    those of ``decide``."""
+    return decide(docs, **options).drop("same")
+
+
+def decide(docs: DataFrame, max_repeat: int = MAX_REPEAT, seed: str = SEED, bins: int = BINS,
+           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+           weights: DataFrame | None = None, factor: Column | None = None) -> DataFrame:
+    """``mix`` with ``same``, the ``identity`` of a row's id, source, text and factor.
 
     ``weights`` (source, weight) replaces the cyclic weights; a source that it lacks weighs 0.
     ``factor`` multiplies a document's inclusion probability. Null texts have size 0, null ids and
     null sources are values like any other; a document without words is never taken. Rows that
-    share an id share a random number and are ordered by size and text hash; repeated rows are
-    ordered arbitrarily among themselves, which gives the same result rows. An empty table gives
-    an empty result. Other columns are ignored."""
+    share an id share a random number and are ordered by size and text hash; each row without an id
+    has its own; repeated rows are ordered arbitrarily among themselves, which gives the same result
+    rows. An empty table gives an empty result. Other columns are ignored."""
     prepare(docs)
     text = F.col(text_col)
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        word_count(text).alias("size"), F.xxhash64(text).alias("tie"),
-        uniform(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), seed).alias("u"),
+        word_count(text).alias("size"), _same(id_col, source_col, text_col, factor).alias("same"),
+        uniform(F.col(id_col).cast("string"), seed).alias("u"),
         (F.lit(1.0) if factor is None else factor.cast("double")).alias("factor"),
         F.monotonically_increasing_id().alias("row")).checkpoint()
+    nameless = rows.where("doc_id IS NULL")
+    if not nameless.isEmpty():
+        place = F.concat(F.lit("-"), F.col("same"), F.lit(":"), F.col("_at").cast("string"))
+        own = numbered(nameless, "same", "row").withColumn("u", uniform(place, seed)).drop("_at")
+        rows = rows.where("doc_id IS NOT NULL").unionByName(own).checkpoint()
     known = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     if weights is None:
         known = cyclic_weights(known)
@@ -119,7 +149,7 @@ def mix(docs: DataFrame, max_repeat: int = MAX_REPEAT, seed: str = SEED, bins: i
     rows = rows.join(edge, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
 
     # in the bin where a target falls: rows in order, while they fit
-    order = (Window.partitionBy("source").orderBy("rank", "doc_id", "size", "tie", "row")
+    order = (Window.partitionBy("source").orderBy("rank", "doc_id", "size", "same", "row")
              .rowsBetween(Window.unboundedPreceding, 0))
     at_edge = F.coalesce(F.col("bin") == F.col("edge"), F.lit(False))
     last = (rows.where(at_edge).withColumn("sum", F.col("done") + F.sum("size").over(order))
@@ -133,36 +163,38 @@ def mix(docs: DataFrame, max_repeat: int = MAX_REPEAT, seed: str = SEED, bins: i
         .select(F.col("source").alias("_s"), "gap"))
     both = both.join(gaps, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     fills = (both.where("extra = 0 AND rank IS NOT NULL AND size < 2 * gap").groupBy("source")
-             .agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")), "rank", "doc_id", "tie", "row"))
+             .agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")), "rank", "doc_id", "same", "row"))
                   .alias("best")).select(F.col("best.row").alias("row"), F.lit(1).alias("fill")))
     both = both.join(fills, "row", "left")
     extra = F.col("extra") + F.coalesce("fill", F.lit(0))
     copies = F.when(F.col("size") > 0, F.col("whole") + extra).otherwise(0).cast("long")
     return both.select("doc_id", "size", "source_size", "target", copies.alias("copies"),
-                       (copies * F.col("size")).alias("taken"))
+                       (copies * F.col("size")).alias("taken"), "same")
+
+
+def _same(id_col: str, source_col: str, text_col: str, factor: Column | None) -> Column:
+    return identity(F.col(id_col), F.col(source_col), F.col(text_col), *([] if factor is None else [factor]))
 
 
-def take_mix(docs: DataFrame, **options) -> DataFrame:
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             factor: Column | None = None, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as ``mix`` takes it, with its own columns.
 
-    A document's copies are found by id; rows of a repeated id take the copies of their own place
-    among the id's rows (in order of size and text). Column names that start with an underscore are
-    this module's."""
-    chosen = mix(docs, **options).select(
-        F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    per_key = stored(chosen.groupBy("_id", "_size").agg(
-        F.sum("_copies").alias("_total"), F.count("*").alias("_rows")).where("_total > 0"), "copies")
-    sized = docs.withColumn("_n", word_count(F.col(options.get("text_col", "text"))))
-    id_col = options.get("id_col", "doc_id")
-    joined = sized.join(per_key, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_size")))
-    copied = joined.where("_rows = 1").withColumn("_k", F.col("_total"))
-    if not per_key.where("_rows > 1").isEmpty():  # ids that occur again: their rows share the copies
-        order = Window.partitionBy(id_col, "_n").orderBy(F.xxhash64(options.get("text_col", "text")))
-        more = (joined.where("_rows > 1").withColumn("_at", F.row_number().over(order) - 1)
-                .withColumn("_k", F.floor(F.col("_total") / F.col("_rows"))
-                            + (F.col("_at") < F.col("_total") % F.col("_rows")).cast("long"))
-                .drop("_at"))
-        copied = copied.unionByName(more)
+    A row's copies are found by the identity of its id, source, text and factor. Rows that are equal
+    in all of these are one document to the mix: where it takes some of them once more than the
+    others, as many of them are taken once more. Column names that start with an underscore are this
+    module's."""
+    columns = {"id_col": id_col, "text_col": text_col, "source_col": source_col, "factor": factor}
+    per_key = stored(decide(docs, **columns, **options).groupBy(F.col("same").alias("_same")).agg(
+        F.min("copies").alias("_least"), F.max("copies").alias("_most"),
+        (F.sum("copies") - F.count("*") * F.min("copies")).alias("_more")).where("_most > 0"), "copies")
+    joined = docs.withColumn("_same", _same(id_col, source_col, text_col, factor)).join(per_key, "_same")
+    copied = joined.where("_least = _most").withColumn("_k", F.col("_least"))
+    if not per_key.where("_least < _most").isEmpty():
+        some = stored(joined.where("_least < _most").withColumn("_row", F.monotonically_increasing_id()), "shared")
+        some = numbered(some, "_same", "_row").withColumn(
+            "_k", F.col("_least") + (F.col("_at") < F.col("_more")).cast("long"))
+        copied = copied.unionByName(some.drop("_row", "_at"))
     return (copied.where("_k > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))))
             .select(*docs.columns))
 

@@ -264,6 +264,29 @@ def test_rows_of_a_repeated_id_share_its_copies(spark):
     assert taken.groupBy("doc_id", "text").count().where("doc_id = 1").agg(F.max("count")).first()[0] == 1
 
 
+def test_copies_go_to_the_source_they_were_made_for(spark):
+    # null ids, and ids that occur in several sources, with equal numbers of words
+    rows = [(None, s, f"{s} w{i // k} x") for s, n, k in (("a", 30, 1), ("b", 50, 3), ("c", 70, 7)) for i in range(n)]
+    rows += [(i, s, f"{s} w{i} x") for s, n in (("a", 31), ("b", 53), ("c", 71)) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    weights = spark.createDataFrame([("a", 5.0), ("b", 3.0), ("c", 1.0)], "source string, weight double")
+    chosen = mixing.mix(docs, weights=weights).groupBy("source_size").agg(F.sum("copies"), F.max("target")).collect()
+    got = dict(mixing.take_mix(docs, weights=weights).groupBy("source").count().collect())
+    assert sorted(got[s] for s in got) == sorted(r[1] for r in chosen)
+    assert all(abs(3 * r[1] - r[2]) <= 1.5 for r in chosen)
+    again = mixing.take_mix(docs.repartition(3), weights=weights)
+    assert sorted(map(str, again.collect())) == sorted(map(str, mixing.take_mix(docs, weights=weights).collect()))
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    docs = spark.createDataFrame([(None, s, "word " * (i % 40 + 1)) for i in range(400) for s in "ab"],
+                                 "doc_id long, source string, text string")
+    weights = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "source string, weight double")
+    rows = mixing.mix(docs, weights=weights).where("copies = 0").collect()
+    assert 150 < len(rows) < 250  # half of a, and not its longest
+    assert len({r["size"] for r in rows}) > 30
+
+
 def test_cascade_order(spark):
     docs = spark.createDataFrame([(i, "word " * (i % 100)) for i in range(200)], "doc_id long, text string")
     order = quality.cascade_order(docs)
