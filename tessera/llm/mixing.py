@@ -4,8 +4,8 @@ A source's target is its weight's share of all words, at most ``max_repeat`` tim
 what it cannot take is shared again by weight. A document of a source with target / size = r is
 taken whole ``floor(r)`` times; one further copy goes to documents in Pareto order: by their random
 odds divided by the odds of their inclusion probability (the fraction of r, times an optional
-per-document factor), smallest first, while they fit into the source's remaining words. The size that is fixed is the
-number of words: the last place goes to the document, among those not chosen, whose size is nearest
+per-document factor), smallest first, up to the first that does not fit into the source's remaining words. The size that
+is fixed is the number of words: the last place goes to the document, among those not chosen, whose size is nearest
 to the words still missing, if that brings the source nearer to its target.
 
 The random number of a document is a hash of its id and the seed, so reruns agree; for a row
