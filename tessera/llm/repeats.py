@@ -18,7 +18,8 @@ marked. Texts are UTF-8 bytes, matches never cross texts, and the input is judge
    would fill a shard: their windows are counted by hash instead, which is exact as well and has
    no groups.
 
-Hashes of chunks and windows are 64 bits of XXH3, taken together with the gram's own hash.
+Hashes of chunks and windows are 64 bits of XXH3, taken together with the gram's own hash. A text is
+known by its MD5, whatever its id: rows of equal texts share their spans.
 """
 
 from __future__ import annotations
@@ -90,16 +91,15 @@ def anchors(text: bytes, width: int = WIDTH, gram: int = GRAM) -> tuple[np.ndarr
     return at[first], grams[at[first]], first, last
 
 
-ANCHORS = "id long, check int, gram long, chunk long, lo int, size int"
+ANCHORS = "key binary, gram long, chunk long, lo int, size int"
 
 
 def anchor_rows(texts: DataFrame, width: int, gram: int) -> DataFrame:
-    """One row per anchor of ``texts`` (id, check, body): its gram, its chunk's hash, and the chunk's
+    """One row per anchor of ``texts`` (key, body): its gram, its chunk's hash, and the chunk's
     place (lo, size)."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "body", 2 << 20):
-            ids, checks = batch.column("id").to_pylist(), batch.column("check").to_pylist()
             parts, owner = [], []
             for i, text in enumerate(batch.column("body").to_pylist()):
                 at, own, first, last = anchors(text, width, gram)
@@ -115,10 +115,9 @@ def anchor_rows(texts: DataFrame, width: int, gram: int) -> DataFrame:
             own, chunk, lo, size = (np.concatenate(c) for c in zip(*parts))
             take = pa.array(owner, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()).take(take), pa.array(checks, pa.int32()).take(take),
-                 pa.array(own.view(np.int64)), pa.array(chunk.view(np.int64)),
+                [batch.column("key").take(take), pa.array(own.view(np.int64)), pa.array(chunk.view(np.int64)),
                  pa.array(lo.astype(np.int32)), pa.array(size.astype(np.int32))],
-                names=["id", "check", "gram", "chunk", "lo", "size"])
+                names=["key", "gram", "chunk", "lo", "size"])
 
     return texts.mapInArrow(work, ANCHORS)
 
@@ -205,21 +204,20 @@ def _runs(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
     return list(zip(first.tolist(), (last + width).tolist()))
 
 
-SPANS = "id long, check int, lo int, hi int"
+SPANS = "key binary, lo int, hi int"
 
 
 def _shard_spans(width: int):
     def work(table: pa.Table) -> pa.Table:
         starts = repeated_starts(table.column("body").to_pylist(), width)
-        ids, checks, los, his = [], [], [], []
+        rows, los, his = [], [], []
         for i, (found, alone, lo) in enumerate(zip(starts, table.column("alone").to_pylist(),
                                                    table.column("lo").to_pylist())):
             for first, end in _runs(found, width) if alone else ():
-                ids.append(i)
+                rows.append(i)
                 los.append(lo + first)
                 his.append(lo + end)
-        take = pa.array(ids, pa.int64())
-        return pa.table({"id": table.column("id").take(take), "check": table.column("check").take(take),
+        return pa.table({"key": table.column("key").take(pa.array(rows, pa.int64())),
                          "lo": pa.array(los, pa.int32()), "hi": pa.array(his, pa.int32())})
 
     return work
@@ -237,18 +235,17 @@ def _window_hashes(width: int):
             take = pa.array(owner, pa.int32())
             lo = pc.add(batch.column("lo").take(take), pa.array(at, pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(take), batch.column("check").take(take),
-                 batch.column("gram").take(take), batch.column("alone").take(take),
+                [batch.column("key").take(take), batch.column("gram").take(take), batch.column("alone").take(take),
                  pa.array(np.array(hashes, np.uint64).view(np.int64)), lo],
-                names=["id", "check", "gram", "alone", "window", "lo"])
+                names=["key", "gram", "alone", "window", "lo"])
 
     return work
 
 
 def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, shard_chunks: int = SHARD_CHUNKS,
                    shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(id, check, spans array<struct<lo, hi>>) for the rows of ``texts`` (id, check, body) that hold
-    repeated windows; spans may overlap."""
+    """(key, spans array<struct<lo, hi>>) for the distinct ``key`` of ``texts`` (key, body) whose body
+    holds repeated windows; spans may overlap. Equal bodies have equal keys and no others."""
     spark = texts.sparkSession
     found = stored(anchor_rows(texts, width, gram), "anchors")
     # written before the join, which can then split the rows of a hot gram over tasks
@@ -256,12 +253,12 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, shard
         F.count("*").alias("n"), F.min("chunk").alias("c0"), F.max("chunk").alias("c1"))
         .where("n > 1").select("gram", (F.col("c0") != F.col("c1")).alias("mixed")), "grams")
     again = stored(found.join(grams, "gram"), "repeated-anchors")
-    span = ["id", "check", "lo", (F.col("lo") + F.col("size")).alias("hi")]
+    span = ["key", "lo", (F.col("lo") + F.col("size")).alias("hi")]
     spans = again.where("NOT mixed").select(*span)
 
     mixed = again.where("mixed")
     kinds = stored(mixed.groupBy("gram", "chunk").agg(
-        F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "check", "lo", "size")).alias("at")),
+        F.count("*").alias("n"), F.min(F.struct("key", "lo", "size")).alias("at")),
         "chunks")
     spans = spans.union(mixed.join(kinds.where("n > 1").select("gram", "chunk"), ["gram", "chunk"], "left_semi").select(*span))
 
@@ -270,28 +267,34 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, shard
     shards = max(1, -(-total // shard_bytes))
     # chunks of grams whose chunks all recur are settled
     wanted = kinds.join(variants.where("least = 1"), "gram").select(
-        "at.id", "at.check", F.struct("gram", F.col("n").cast("int").alias("n"), F.col("at.lo").alias("lo"),
+        "at.key", F.struct("gram", F.col("n").cast("int").alias("n"), F.col("at.lo").alias("lo"),
                                       F.col("at.size").alias("size"),
                                       (F.col("variants") > shard_chunks).alias("crowded")).alias("c"))
-    wanted = wanted.groupBy(F.col("id").alias("_id"), F.col("check").alias("_check")).agg(F.collect_list("c").alias("cs"))
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("check") == F.col("_check"))
-    chunks = (texts.join(wanted, same).select("id", "check", "body", F.explode("cs").alias("c"))
-              .select("id", "check", "c.gram", "c.lo", (F.col("c.n") == 1).alias("alone"), "c.crowded",
-                      F.expr("substring(body, c.lo + 1, c.size)").alias("body")))
+    # a text with a chunk of its own has no copies
+    wanted = wanted.groupBy("key").agg(F.collect_list("c").alias("cs"), (F.min("c.n") == 1).alias("unique"))
+
+    def bodies(of: DataFrame) -> DataFrame:
+        return (texts.join(of, "key").select("key", "body", F.explode("cs").alias("c"))
+                .select("key", "c.gram", "c.lo", (F.col("c.n") == 1).alias("alone"), "c.crowded",
+                        F.expr("substring(body, c.lo + 1, c.size)").alias("body")))
+
+    # one body for each chunk, however many copies its text has
+    chunks = bodies(wanted.where("unique")).union(
+        bodies(wanted.where("NOT unique")).dropDuplicates(["key", "gram", "lo"]))
     chunks = stored(chunks, "variants")
     quiet = chunks.where("NOT crowded").withColumn("shard", F.pmod("gram", F.lit(shards)))
     # a fixed number of tasks: near copies shrink so well in a shuffle that its bytes say little of the work
     tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 16))
-    spans = spans.union(quiet.select("shard", "id", "check", "lo", "alone", "body").repartition(tasks, "shard")
+    spans = spans.union(quiet.select("shard", "key", "lo", "alone", "body").repartition(tasks, "shard")
                         .groupBy("shard").applyInArrow(_shard_spans(width), SPANS))
 
-    windows = stored(chunks.where("crowded").select("id", "check", "gram", "lo", "alone", "body").mapInArrow(
-        _window_hashes(width), "id long, check int, gram long, alone boolean, window long, lo int"), "windows")
+    windows = stored(chunks.where("crowded").select("key", "gram", "lo", "alone", "body").mapInArrow(
+        _window_hashes(width), "key binary, gram long, alone boolean, window long, lo int"), "windows")
     twice = stored(windows.groupBy("gram", "window").agg(F.count("*").alias("n")).where("n > 1")
                    .select("gram", "window"), "repeated-windows")
     spans = spans.union(windows.where("alone").join(twice, ["gram", "window"], "left_semi").select(
-        "id", "check", "lo", (F.col("lo") + width).alias("hi")))
-    return spans.groupBy("id", "check").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+        "key", "lo", (F.col("lo") + width).alias("hi")))
+    return spans.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
 
 def merged(spans: Iterable[dict]) -> list[tuple[int, int]]:
@@ -314,11 +317,9 @@ def cut(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: s
     empty result; other columns are ignored."""
     prepare(docs)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), utf8(F.col(text_col)).alias("body")).select(
-        "id", (F.crc32("body") - (1 << 31)).cast("int").alias("check"), "body")
-    found = repeated_spans(texts, width, **options).select(
-        F.col("id").alias("_id"), F.col("check").alias("_check"), "spans")
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("check") == F.col("_check"))
-    rows = texts.join(found, same, "left").select("id", "body", "spans")
+        "id", F.unhex(F.md5("body")).alias("key"), "body")
+    found = repeated_spans(texts.select("key", "body"), width, **options)
+    rows = texts.join(found, "key", "left").select("id", "body", "spans")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))

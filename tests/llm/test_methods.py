@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -165,6 +166,20 @@ def test_repeats_with_crowded_grams(spark, shard_chunks):
     assert got == [(i, *w) for i, w in enumerate(brute.removed(texts, 40))]
 
 
+def test_texts_without_an_id_and_with_equal_checksums(spark):
+    rng = random.Random(7)
+    one, two = ("".join(rng.choice("abcdefgh ") for _ in range(700)) for _ in range(2))
+    sums = {zlib.crc32(t.encode()): t for t in (f"{one} {rng.getrandbits(64):x}" for _ in range(200_000))}
+    clash = next(t for t in (f"{two} {rng.getrandbits(64):x}" for _ in range(1_000_000)) if zlib.crc32(t.encode()) in sums)
+    texts = [sums[zlib.crc32(clash.encode())], clash, one[:600] + "tail", "other " + one[:300],
+             *["copied " + two[:90] * 8] * 5]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(3)
+    for options in ({}, {"shard_chunks": 1}):
+        got = repeats.cut(docs, **options).select(
+            "n_bytes", F.col("n_bytes") - F.length("kept"), F.size("removed"), F.sha2("kept", 256))
+        assert sorted(map(tuple, got.collect())) == sorted(brute.removed(texts, 400))
+
+
 def test_gradients_through_time():
     net, rng = langid.Network(["a", "b", "c"], 4), np.random.default_rng(0)
     net.weights = {k: w.astype(np.float64) for k, w in net.weights.items()}
