@@ -208,14 +208,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed:
 
 
 def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``docs`` with one document of each group of near copies: the one of the smallest ``doc_id``.
-
-    Repeated rows of a kept id are one document. Rows without an id cannot be told apart by it and
-    stay. Columns are those of ``docs``."""
-    kept = near_duplicates(docs, shingle, max_bits).where("doc_id = component_id")
-    kept = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    first = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.where("doc_id IS NULL"))
+    """``docs`` with one row of each group of near copies: the one of the smallest ``doc_id``, then of
+    the smallest text hash; a row without an id only where no row of its group has one.
+
+    Rows are compared one by one, whatever their ids. Columns are those of ``docs``; names that start
+    with an underscore are this module's."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows, shingle, max_bits, id_col="_row").select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.md5("text").alias("hash"), "_row")
+    kept = (rows.select("_row", order.alias("_order")).join(groups, "_row")
+            .groupBy("_group").agg(F.min("_order").alias("_first")).select(F.col("_first._row").alias("_row")))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

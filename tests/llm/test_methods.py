@@ -39,6 +39,15 @@ def test_links_of_crowded_shards(spark, bits, shard_rows):
     assert brute.components(links, prints) == brute.components(near, prints)
 
 
+def test_near_copies_without_an_id_or_with_a_shared_one(spark):
+    rng = random.Random(9)
+    one, two, three = (" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(80)) for _ in range(3))
+    rows = [(None, one)] * 3 + [(None, two)] * 2 + [(5, two), (5, three), (4, two), (6, three)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(str, map(tuple, simhash.keep_first(docs).collect())))
+    assert got == sorted(map(str, [(None, one), (4, two), (5, three)]))
+
+
 def test_tiles_are_the_greedy_ones():
     rng = random.Random(5)
     for _ in range(150):
