@@ -4,7 +4,7 @@ Layout
 ------
 sources/    readers (typed / header / delimited CSV, text lines, GeoJSON, Parquet) and sinks
 functions/  Column -> Column expression builders and their Arrow UDF twins
-operators/  DataFrame -> DataFrame relational, ranking, set, grouped and skew helpers
+operators/  DataFrame -> DataFrame relational, ranking, set, grouped and streaming helpers
 plans/      end-to-end pipelines and the registry of named queries over the test tables
 streaming/  intentionally empty: every job in scope is batch
 

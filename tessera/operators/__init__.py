@@ -1,3 +1,3 @@
 """DataFrame -> DataFrame operators."""
 
-from tessera.operators import grouped, ranking, relational, setops, skew  # noqa: F401
+from tessera.operators import grouped, quantiles, ranking, relational, setops, streams  # noqa: F401

@@ -11,16 +11,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import sorted_values
+from tessera.operators import streams
 
 MAX_BROADCAST_BYTES = 512 << 20    # estimated size up to which an explicit broadcast is made
 MAX_NESTED_LOOP_BYTES = 16 << 20   # the same for the replicated side of a nested loop
-EXACT = "decimal(28,6)"            # exact type for summing amounts stored as double
-
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
 
 
@@ -123,13 +122,22 @@ def exact(df: DataFrame, col: str | Column) -> Column:
     return column.cast("decimal(38,0)") if isinstance(kind, T.IntegralType) else column
 
 
+def exact_amount(value: Column, digits: int = 6, precision: int = 28) -> Column:
+    """An amount stored as double as the decimal that its shortest text says. One with more than ``digits``
+    decimals, or too large for ``precision`` places, stops the job: nothing is cut in silence."""
+    number = value.cast("double")
+    exact = number.try_cast(f"decimal({precision},{digits})")
+    return F.when(number.isNull() | (exact.cast("double") == number), exact).otherwise(F.raise_error(F.concat(
+        F.lit(f"not an amount of up to {digits} decimals: "), number.cast("string"))))
+
+
 def sum_by(df: DataFrame, keys: Sequence[str | Column], col: str | Column, alias: str,
            money: bool = False) -> DataFrame:
     """A1: one sum per group (partial sums per task before the shuffle).
 
-    ``money`` sums amounts stored as double exactly, with six decimals: the result does not depend
+    ``money`` sums amounts stored as double exactly (``exact_amount``): the result does not depend
     on the order in which rows reach the sum."""
-    value = _c(col).cast(EXACT) if money else _c(col)
+    value = exact_amount(_c(col)) if money else _c(col)
     return df.groupBy(*keys).agg(F.sum(value).alias(alias))
 
 
@@ -168,21 +176,11 @@ def mean_by(df: DataFrame, keys: Sequence[str | Column], col: str | Column,
 def sorted_rows_by(df: DataFrame, group: str, value: str, position: str = "position") -> DataFrame:
     """The values of each group in order, as rows (group, position, value), positions from 1.
 
-    Rows are range-partitioned on (group, value), so a group of any size is spread over many tasks.
-    A row's position is its place within its partition plus the group's rows in the partitions before;
-    only counts per (partition, group) meet. The sorted rows are checkpointed: both steps see the
-    same ones. Equal values follow each other in any order; nulls come first."""
-    ordered = (df.select(F.col(group), F.col(value)).repartitionByRange(group, value)
-               .sortWithinPartitions(group, value)
-               .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at"))
-               .checkpoint())
-    counts = ordered.groupBy(group, "_part").agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
-    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), "_first",
-                           F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    same = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p"))
-    return ordered.join(counts, same).select(
-        group, (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias(position), value)
+    A group of any size is spread over many tasks, and so is a value that makes up most of it: rows are
+    range-partitioned on group, value and a number of their own, and placed by the counts of the
+    runs before (``streams.numbered``). Equal values follow each other in any order; nulls come first."""
+    return streams.numbered(df.select(F.col(group), F.col(value)), [group], [F.col(value)], position).select(
+        group, position, value)
 
 
 def sorted_list_by(df: DataFrame, key: str, value: str, alias: str = "values",

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import (TEXT_TIMESTAMP_PATTERN, clock_text, fixed_text, hhmm_to_hour,
                                money_to_double, parse_timestamp, safe_long)
-from tessera.operators import grouped, relational, setops
+from tessera.operators import relational, setops, streams
 from tessera.plans import city, payroll, workbook
 from tessera.session import scratch_path, ship_package
 from tessera.sources import (drop_header_line, flatten_properties, format_lines, global_sum,
@@ -292,13 +292,75 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def q_cogroup_udf_join(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    cols = ["c_custkey", "c_name", "c_nationkey", "n_name"]
-    return grouped.cogroup_apply(
-        c, n, ["c_nationkey"], ["n_nationkey"],
-        grouped.pandas_inner_join("c_nationkey", "n_nationkey", cols),
+    return streams.stream_cogroup(n, c, "n_nationkey", "c_nationkey", workbook.paired(
+        ["c_custkey", "c_name", "c_nationkey"], ["n_name"]),
         "c_custkey bigint, c_name string, c_nationkey int, n_name string")
 
 
+FUNNEL_SQL = """WITH paths AS (SELECT user_id, count(*) AS events,
+string_agg(CASE event_type WHEN 'signup' THEN 's' WHEN 'error' THEN 'e' WHEN 'purchase' THEN 'p' ELSE '-' END, ''
+ORDER BY ts, event_id) AS path FROM events GROUP BY user_id)
+SELECT user_id, events, CAST(len(regexp_extract_all(path, 's-*p')) AS BIGINT) AS funnels,
+CAST(coalesce(list_max(list_transform(regexp_extract_all(path, 's-*p'), lambda m: length(m))), 0) AS BIGINT) AS longest,
+CAST(len(regexp_extract_all(path, 's-*e')) AS BIGINT) AS broken FROM paths"""
+
+
+@query("funnels_per_user", FUNNEL_SQL)
+def q_funnels_per_user(spark, sf_dir):
+    """D-4: a state machine over each user's events in time order: a funnel opens at a signup and closes at
+    the next purchase; an error breaks it, another signup starts it anew."""
+    machine = workbook.funnel("event_type", "signup", "purchase", "error")
+    return streams.stream_groups(table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type"),
+                                 ["user_id"], machine, "user_id bigint, events bigint, funnels bigint, "
+                                 "longest bigint, broken bigint", ["ts", "event_id"])
+
+
+EXCHANGE_SQL = """WITH paths AS (SELECT conv_id, count(*) AS events,
+string_agg(CASE role WHEN 'user' THEN 's' WHEN 'system' THEN 'e' WHEN 'assistant' THEN 'p' ELSE '-' END, ''
+ORDER BY turn NULLS FIRST, role, text) AS path FROM conversations GROUP BY conv_id)
+SELECT conv_id, events, CAST(len(regexp_extract_all(path, 's-*p')) AS BIGINT) AS funnels,
+CAST(coalesce(list_max(list_transform(regexp_extract_all(path, 's-*p'), lambda m: length(m))), 0) AS BIGINT) AS longest,
+CAST(len(regexp_extract_all(path, 's-*e')) AS BIGINT) AS broken FROM paths"""
+
+
+@query("exchanges_per_conversation", EXCHANGE_SQL)
+def q_exchanges_per_conversation(spark, sf_dir):
+    """The same machine over the turns of conversations: questions that the assistant answers."""
+    machine = workbook.funnel("role", "user", "assistant", "system")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return streams.stream_groups(turns, ["conv_id"], machine, "conv_id bigint, events bigint, funnels bigint, "
+                                 "longest bigint, broken bigint", ["turn", "role", "text"])
+
+
+QUANTILE_SQL = """SELECT l_returnflag, q, count(l_extendedprice) AS n, true AS within FROM lineitem,
+(VALUES (0.1::DOUBLE), (0.5::DOUBLE), (0.9::DOUBLE)) AS wanted(q) GROUP BY l_returnflag, q"""
+
+
+@query("quantiles_per_key", QUANTILE_SQL)
+def q_quantiles_per_key(spark, sf_dir):
+    """D-3 with a state that no built-in has: mergeable quantile summaries of prices, whose answers are then
+    ranked in the whole table: ``within`` says whether the error that each summary states holds."""
+    lines = table(spark, sf_dir, "lineitem")
+    found = workbook.quantiles_per_key(lines, "l_returnflag", "l_extendedprice", [0.1, 0.5, 0.9], size=256)
+    return workbook.ranked_quantiles(lines, "l_returnflag", "l_extendedprice", found).select(
+        "l_returnflag", "q", "n", "within")
+
+
+NESTED_SQL = """SELECT c_nationkey AS k, c_custkey, c_name, n_name AS other_name FROM customer
+JOIN nation ON c_nationkey = n_nationkey"""
+
+
+@query("reduce_side_join_nested", NESTED_SQL)
+def q_reduce_side_join_nested(spark, sf_dir):
+    """J6 in the shape (k, (left, right)); both sides name their columns ``id`` and ``name``."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("name"),
+                                                F.col("c_nationkey").alias("id"))
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    pairs = workbook.reduce_side_join(c, n, "id", "id", "k")
+    return pairs.select("k", "left.c_custkey", F.col("left.name").alias("c_name"),
+                        F.col("right.name").alias("other_name"))
+
+
 # ---- join strategies (J8-J11) ---------------------------------------------------------------
 
 JOIN_COUNT_SQL = """SELECT c_mktsegment, count(*) AS n FROM orders

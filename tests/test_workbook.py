@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import fixture, rows
-from tessera.operators import grouped
+from tessera.operators import grouped, streams
 from tessera.plans import workbook
 from tessera.sources import from_rows, global_sum, int_range, read_csv, read_lines
 
@@ -116,29 +116,22 @@ def test_reduce_side_join_in_memory(spark):
     assert "SortMergeJoin" in plan
 
 
-def test_cogroup_join_matches_plain_join_with_forced_hot_keys(spark):
-    # one key holds most rows; a tiny cell target forces the grid split on both sides
+def paired_join(held, streamed, schema, cols, other, **more):
+    return streams.stream_cogroup(held, streamed, "k", "k", workbook.paired(cols, other), schema, **more)
+
+
+@pytest.mark.parametrize("spread", [1, 5])
+def test_cogroup_join_matches_plain_join_with_a_hot_key(spark, spread):
     left = spark.createDataFrame([(i, 1 if i % 10 else 2) for i in range(200)], "id INT, k INT")
-    right = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "z")], "k INT, tag STRING")
-    fn = grouped.pandas_inner_join("k", "k", ["id", "k", "tag"])
-    got = grouped.cogroup_apply(left, right, ["k"], ["k"], fn, "id int, k int, tag string",
-                                max_pairs=49)
-    want = left.join(right, "k").select("id", "k", "tag")
-    assert sorted(rows(got)) == sorted(rows(want))
-
-
-def test_cells_bound_the_pairs(spark):
-    from tessera.operators import skew
-    left = spark.createDataFrame([(7, 1)] * 20_000 + [(i, 2) for i in range(10)], "id INT, k INT")  # one row, again and again
-    right = spark.createDataFrame([(j, 1) for j in range(30)] + [(1, 2)], "rid INT, k INT")
-    hot = skew.hot_keys(left, right, ["k"], ["k"], max_pairs=30_000)
-    assert [r["_k0"] for r in hot.collect()] == [1]
-    lft, rgt = skew.cells(left, right, ["k"], ["k"], hot)
-    sizes = (lft.groupBy("k", *skew.CELL).agg(F.count("*").alias("n")).join(
-        rgt.groupBy("k", *skew.CELL).agg(F.count("*").alias("m")), ["k", *skew.CELL]))
-    assert sizes.agg(F.max(F.col("n") * F.col("m"))).first()[0] <= 1.2 * 30_000
-    # every (left, right) pair meets exactly once
-    assert lft.join(rgt, ["k", *skew.CELL]).count() == 20_000 * 30 + 10
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "z"), (9, "alone")], "k INT, tag STRING")
+    got = paired_join(right, left, "id int, k int, tag string", ["id", "k"], ["tag"], spread=spread)
+    assert sorted(rows(got)) == sorted(rows(left.join(right, "k").select("id", "k", "tag")))
+
+
+def test_cogroup_refuses_to_hold_a_long_side(spark):
+    left = spark.range(50).select(F.col("id"), F.lit(1).alias("k"))
+    with pytest.raises(Exception, match="more than 49 rows on the held side"):
+        paired_join(left, left, "id long, other long", ["id"], ["id"], max_held=49).collect()
 
 
 def test_custom_aggregate_contract(spark):
@@ -153,17 +146,14 @@ def test_custom_aggregate_contract(spark):
     assert sorted(rows(got)) == [("x", 6), ("y", 0)]
 
 
-def test_cogroup_join_on_test_tables_with_every_key_hot(spark):
+def test_cogroup_join_on_test_tables(spark):
     from conftest import TESTDATA
+    from tessera.plans import registry
     sf = f"{TESTDATA}/sf0.01"
     c = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", "c_name", "c_nationkey")
     n = spark.read.parquet(f"{sf}/nation.parquet").select("n_nationkey", "n_name")
-    cols = ["c_custkey", "c_name", "c_nationkey", "n_name"]
-    got = grouped.cogroup_apply(c, n, ["c_nationkey"], ["n_nationkey"],
-                                grouped.pandas_inner_join("c_nationkey", "n_nationkey", cols),
-                                "c_custkey bigint, c_name string, c_nationkey int, n_name string",
-                                max_pairs=20)  # ~60 customers per nation -> 3-4 cells each
-    want = c.join(n, c.c_nationkey == n.n_nationkey).select(*cols)
+    got = registry.QUERIES["cogroup_udf_join"](spark, sf)
+    want = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", "c_name", "c_nationkey", "n_name")
     assert got.count() == want.count() == 1500
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
@@ -181,8 +171,7 @@ def test_word_count_splits_like_python(spark):
 def test_cogroup_join_null_keys_never_match(spark):
     left = spark.createDataFrame([(1, 1), (2, None), (3, None)], "id INT, k INT")
     right = spark.createDataFrame([(1, "a"), (None, "n")], "k INT, tag STRING")
-    fn = grouped.pandas_inner_join("k", "k", ["id", "k", "tag"])
-    got = grouped.cogroup_apply(left, right, ["k"], ["k"], fn, "id int, k int, tag string")
+    got = paired_join(right, left, "id int, k int, tag string", ["id", "k"], ["tag"])
     assert rows(got) == [(1, 1, "a")]
 
 
@@ -203,24 +192,18 @@ def test_custom_aggregate_with_pandas_comb(spark):
     assert sorted(rows(got)) == [(0, 999, 996), (1, 997, 994), (2, 998, 995)]
 
 
-def test_cogroup_calls_stay_bounded_with_a_third_of_rows_on_one_key(spark):
-    import pandas as pd
-    n, target = 300_000, 10_000
+def test_cogroup_spreads_a_third_of_rows_on_one_key(spark):
+    n = 300_000
     left = spark.range(0, n, numPartitions=8).select(
-        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000 + 1).alias("k"),
-        F.col("id"))
-    right = spark.range(0, 1001).select(F.col("id").cast("long").alias("k"),
-                                        (F.col("id") * 10).alias("w"))
-
-    def sizes(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"na": [len(a)], "nb": [len(b)],
-                             "pairs": [len(a) * len(b)]})
-
-    out = grouped.cogroup_apply(left, right, ["k"], ["k"], sizes,
-                                "na long, nb long, pairs long", max_pairs=target)
-    stats = out.agg(F.max("na"), F.sum("pairs")).first()
-    assert stats[0] <= 2 * target           # the 100,000-row key was split into ~10 cells
-    assert stats[1] == n                    # every left row met its one right row exactly once
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000 + 1).alias("k"), F.col("id"))
+    right = spark.range(0, 1001).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+
+    def sizes(key, held, batches):
+        yield len(held), sum(b.num_rows for b in batches)
+
+    out = streams.stream_cogroup(right, left, "k", "k", sizes, "held long, seen long", spread=10)
+    stats = out.agg(F.max("held"), F.max("seen"), F.sum("seen")).first()
+    assert stats[0] == 1 and stats[1] <= 12_000 and stats[2] == n
 
 
 def test_reduce_side_join_hot_key_is_split_by_aqe(spark):
