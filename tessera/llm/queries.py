@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, mixing, pii, quality, repeats, secrets, simhash, tokens, warc
+from tessera.llm import decontaminate, langid, mixing, pii, quality, repeats, secrets, simhash, tokens, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": secrets.op8_secret_scan,
     "op9_token_records": tokens.op9_token_records,
     "op10_source_mix": mixing.op10_source_mix,
+    "op12_exact_topk": topk.op12_exact_topk,
 }
 
 ORACLE: dict[str, str] = {
@@ -27,4 +28,5 @@ ORACLE: dict[str, str] = {
     "op6_quality_rules": quality.OP6_SQL,
     "op8_secret_scan": secrets.OP8_SQL,
     "op10_source_mix": mixing.OP10_SQL,
+    "op12_exact_topk": topk.OP12_SQL,
 }
