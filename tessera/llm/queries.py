@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, mixing, pii, quality, repeats, secrets, simhash, tokens, topk, warc
+from tessera.llm import (conversations, decontaminate, langid, manifest, mixing, pii, quality, repeats, secrets,
+                         simhash, tokens, topk, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
@@ -19,7 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": secrets.op8_secret_scan,
     "op9_token_records": tokens.op9_token_records,
     "op10_source_mix": mixing.op10_source_mix,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
     "op12_exact_topk": topk.op12_exact_topk,
+    "op13_merkle_manifest": manifest.op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
@@ -29,4 +32,5 @@ ORACLE: dict[str, str] = {
     "op8_secret_scan": secrets.OP8_SQL,
     "op10_source_mix": mixing.OP10_SQL,
     "op12_exact_topk": topk.OP12_SQL,
+    "op13_merkle_manifest": manifest.OP13_SQL,
 }
