@@ -2,7 +2,7 @@
 
 Rows are leaves of one tree per group (source), in the order of their ids; the group roots are the leaves of a
 tree of their own. Leaves are not sorted: tasks build compressed bitmaps of the ids that they see (a container
-of 2**16 ids is an array of its set places, or a bitmap once that is smaller), the containers of all
+of 2**12 ids is an array of its set places, or a bitmap once that is smaller), the containers of all
 tasks are merged, and a directory counts the ids before each container. A leaf's place in its tree is a
 rank query: the count before its container, plus the set bits before its id by a popcount
 directory of the container's words. Ids that repeat, and null ids, which come first, carry their counts; their
@@ -29,8 +29,9 @@ from tessera.operators import streams
 
 FAN = 3              # fixed by the query's contract
 LEVELS = 6           # levels that one shuffle reduces: blocks of 3**6 nodes
-LOW_BITS = 16        # ids of a container
-ARRAY_MOST = 4096    # ids up to which an array of 16-bit places is smaller than a bitmap
+LOW_BITS = 12        # ids of a container: 2**12 rows are little work for the task that gets it
+ARRAY_MOST = (1 << LOW_BITS) // 16  # ids up to which an array of 16-bit places is smaller than a bitmap
+SALTS = 8            # tasks over which the rows of a container are dealt, each with a copy of it
 HELD_ROWS = 1 << 20  # rows that a task gathers before it emits containers
 
 CONTAINERS = "source string, hi long, bits binary, extra_at binary, extra_n binary, n long"
@@ -56,7 +57,7 @@ def leaf(values: Sequence[Column]) -> Column:
 # -- containers of ids ------------------------------------------------------------------------------------
 
 def packed_bits(counts: np.ndarray) -> tuple[bytes, bytes, bytes]:
-    """A container from the number of rows at each of its 2**16 places: the places that are set, as an array or a
+    """A container from the number of rows at each of its places: the places that are set, as an array or a
     bitmap, and those of more than one row with the number of further ones."""
     at = np.flatnonzero(counts)
     bits = at.astype("<u2") if len(at) <= ARRAY_MOST else np.packbits(counts > 0, bitorder="little")
@@ -159,12 +160,13 @@ def directory(found: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def ranked(leaves: DataFrame, where: DataFrame) -> DataFrame:
     """``PLACED``: each leaf with its tree and its place there. A container and the leaves whose ids it holds
-    meet as a stream, the container first; copies of an id share its first place, and are then dealt the
-    places behind it in the order of leaf hashes."""
+    meet as a stream, the container first; an id of many rows is dealt over ``SALTS`` such streams. Copies of an id share
+    its first place, and are then dealt the places behind it in the order of leaf hashes."""
     nothing = {"bits": "binary", "extra_at": "binary", "extra_n": "binary", "before": "long", "tree": "long", "size": "long"}
-    first = where.select("source", "hi", F.lit(0).alias("side"), *nothing, F.lit(None).cast("long").alias("doc_id"),
+    first = where.select("source", "hi", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(0).alias("side"), *nothing, F.lit(None).cast("long").alias("doc_id"),
                          F.lit(None).cast("binary").alias("leaf"), F.lit(None).cast("binary").alias("bad"), "n")
-    rows = leaves.select("source", F.shiftright("doc_id", LOW_BITS).alias("hi"), F.lit(1).alias("side"),
+    salt = F.pmod(F.xxhash64("leaf", "doc_id"), F.lit(SALTS)).cast("int")
+    rows = leaves.select("source", F.shiftright("doc_id", LOW_BITS).alias("hi"), salt.alias("salt"), F.lit(1).alias("side"),
                          *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()], "doc_id", "leaf", "bad",
                          F.lit(None).cast("long").alias("n"))
 
@@ -184,7 +186,7 @@ def ranked(leaves: DataFrame, where: DataFrame) -> DataFrame:
             for at, n, doc, a, b in zip(places, copies, ids.to_pylist(), good.to_pylist(), bad.to_pylist()):
                 yield container["tree"], container["size"], at, n, doc, a, b
 
-    placed = stored(streams.stream_groups(first.union(rows), ["source", "hi"], place, PLACED, ["side"]), "ranked")
+    placed = stored(streams.stream_groups(first.union(rows), ["source", "hi", "salt"], place, PLACED, ["side"]), "ranked")
     copies = streams.numbered(placed.where("copies > 1"), ["tree", "place"], [F.col("leaf")], "copy")
     return placed.where("copies = 1").select("tree", "n", "place", "doc_id", "leaf", "bad").union(
         copies.select("tree", "n", (F.col("place") + F.col("copy") - 1).alias("place"), "doc_id", "leaf", "bad"))

@@ -26,7 +26,8 @@ def run(spark, name):
     return sorted((tuple(r) for r in entry.queries()[name](spark, SF).collect()), key=lambda r: r[0])
 
 
-@pytest.mark.parametrize("name", ["op2_warc_fixity", "op5_repeat_index", "op6_quality_rules", "op8_secret_scan", "op10_source_mix"])
+@pytest.mark.parametrize("name", ["op2_warc_fixity", "op5_repeat_index", "op6_quality_rules", "op8_secret_scan", "op10_source_mix",
+                                  "op12_exact_topk", "op13_merkle_manifest"])
 def test_against_sql(spark, name):
     con = duckdb.connect()
     for path in glob.glob(f"{SF}/*.parquet"):
