@@ -5,21 +5,19 @@ shingles. Fingerprints are linked when they differ in at most ``max_bits`` bits.
 
 * Only distinct fingerprints are compared: exact copies meet in a grouped minimum.
 * Distinct fingerprints are dealt into shards by pigeonhole: cut into ``max_bits + 1`` blocks, two
-  fingerprints within ``max_bits`` bits agree on a whole block. Each shard (block, value) of up to
-  ``SHARD_ROWS`` fingerprints gets a BK-tree: a child hangs under its parent by their Hamming
-  distance, and a search follows only the edges within the radius. The tree is built where the
-  shard's queries are: the fingerprints of a corpus have no bounded size, so a tree is sent to no
-  one else.
-* Larger shards (a crowd of near copies) are exact without a tree: each fingerprint lists the
-  centres within half the radius; fingerprints within ``max_bits`` share a centre, and a centre has
-  a bounded number of them.
+  fingerprints within ``max_bits`` bits agree on a whole block. A shard of more than ``SHARD_ROWS``
+  fingerprints is dealt again in the same way, by blocks of the bits that its members need not agree on,
+  until it is small or so few bits are open that it holds at most ``2 ** OPEN_BITS``.
+* Each shard gets a BK-tree: a child hangs under its parent by their Hamming distance, and a search
+  follows only the edges within the radius. The tree is built where the shard's queries are: the
+  fingerprints of a corpus have no bounded size, so a tree is sent to no one else.
 * Links, reduced to a spanning forest in each shard, go to ``components``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import combinations, groupby
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +27,11 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import documents, prepare, slices, stored, utf8
 from tessera.llm.components import components
+from tessera.operators.streams import free_name
 
 BITS = 64
 SHARD_ROWS = 1024
+OPEN_BITS = 13  # a shard with no more open bits than this is not dealt again
 
 
 def fingerprint(text: bytes, shingle: int, seed: int) -> int:
@@ -59,7 +59,7 @@ def fingerprint(text: bytes, shingle: int, seed: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(id, fp bigint) for every document with an id; a null text has no words."""
+    """(id, fp bigint) for every document; a null text has no words."""
     prepare(docs)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str
                 [batch.column("id"), pa.array(prints, pa.int64())], names=["id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), utf8(F.col(text_col)).alias("body"))
-    return rows.where("id IS NOT NULL").mapInArrow(work, "id long, fp long")
+    return rows.mapInArrow(work, "id long, fp long")
 
 
 class BKTree:
@@ -134,11 +134,11 @@ def _shard_trees(radius: int):
     mask = (1 << BITS) - 1
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((k, fp & mask) for b in batches
-                for k, fp in zip(b.column("shard").to_pylist(), b.column("fp").to_pylist()))
+        rows = ((path, shard, fp & mask) for b in batches
+                for path, shard, fp in zip(*(b.column(c).to_pylist() for c in range(3))))
         out: list[tuple[int, int]] = []
-        for _, group in groupby(rows, key=lambda r: r[0]):  # sorted by shard, at most SHARD_ROWS each
-            out.extend(_forest([fp for _, fp in group], radius))
+        for _, group in groupby(rows, key=lambda r: r[:2]):  # sorted by shard, of bounded size
+            out.extend(_forest([fp for *_, fp in group], radius))
             if len(out) >= 50_000:
                 yield _links(out)
                 out = []
@@ -152,47 +152,67 @@ def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1])], names=["src", "dst"])
 
 
-def _blocks(max_bits: int) -> list[tuple[int, int]]:
-    """(shift, width) of ``max_bits + 1`` blocks that cover the fingerprint."""
-    cuts = [round(i * BITS / (max_bits + 1)) for i in range(max_bits + 2)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
-
-
-def near_links(prints: DataFrame, max_bits: int = 2, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(src, dst): links that connect all distinct ``fp`` within ``max_bits`` bits."""
-    shards = F.array(*[
-        F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", a)
-                 .bitwiseAND(F.lit((1 << w) - 1)).alias("value"))
-        for i, (a, w) in enumerate(_blocks(max_bits))])
-    dealt = prints.select("fp", F.explode(shards).alias("s")).select(
-        "fp", (F.col("s.value") * (max_bits + 1) + F.col("s.block")).alias("shard"))
-    sizes = dealt.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1")
-    small = dealt.join(sizes.where(F.col("n") <= shard_rows), "shard", "left_semi")
-    trees = (small.repartition("shard").sortWithinPartitions("shard")
-             .mapInArrow(_shard_trees(max_bits), "src long, dst long"))
-    large = dealt.join(sizes.where(F.col("n") > shard_rows), "shard", "left_semi").select("fp").distinct()
-    half = (max_bits + 1) // 2
-    masks = [sum(1 << b for b in bits) for r in range(half + 1) for bits in combinations(range(BITS), r)]
-    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
-    near = (large.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in signed])).alias("m"))
-            .groupBy(F.col("fp").bitwiseXOR(F.col("m")).alias("centre"))
-            .agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1))
-    if max_bits % 2:  # an odd radius: sharing a centre allows one bit too many
-        near = near.select(F.explode("fps").alias("src"), "fps").select(
-            "src", F.explode(F.filter("fps", lambda x: F.bit_count(
-                x.bitwiseXOR(F.col("src"))) <= max_bits)).alias("dst"))
-    else:
-        near = near.select(F.array_min("fps").alias("src"), F.explode("fps").alias("dst"))
-    return trees.union(near.where("src <> dst").select("src", "dst"))
+def _blocks(open_: list[int], max_bits: int) -> list[list[int]]:
+    """The bits ``open_`` cut into ``max_bits + 1`` blocks."""
+    cuts = [round(i * len(open_) / (max_bits + 1)) for i in range(max_bits + 2)]
+    return [open_[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def _signed(bits: list[int]) -> int:
+    mask = sum(1 << b for b in bits)
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+
+
+def _deal(rows: DataFrame, paths: dict[int, list[int]], max_bits: int) -> tuple[DataFrame, dict[int, list[int]]]:
+    """``rows`` (path, fp) in every shard of the next level, (path, shard, fp), and its paths. A path is a choice of
+    blocks; the bits that it leaves open are its value in ``paths``. A shard is the fingerprint in all chosen blocks."""
+    below: dict[int, list[int]] = {}
+    choices = []
+    for path, open_ in paths.items():
+        for block in _blocks(open_, max_bits):
+            left = [b for b in open_ if b not in block]
+            choices.append((path, len(below), _signed([b for b in range(BITS) if b not in left])))
+            below[len(below)] = left
+    # a few rows, as many as there are paths
+    table = rows.sparkSession.createDataFrame(choices, "path int, own int, shared long")
+    dealt = rows.join(F.broadcast(table), "path")
+    return dealt.select(F.col("own").alias("path"), F.col("fp").bitwiseAND(F.col("shared")).alias("shard"), "fp"), below
+
+
+def near_links(prints: DataFrame, max_bits: int = 2, shard_rows: int = SHARD_ROWS, open_bits: int = OPEN_BITS) -> DataFrame:
+    """(src, dst): links that connect all distinct ``fp`` within ``max_bits`` bits.
+
+    A shard that is dealt again sends each of its fingerprints to ``max_bits + 1`` smaller ones; its pairs within
+    the radius meet in one of them at least, since they agree on a block of the open bits as well."""
+    prepare(prints)
+    paths: dict[int, list[int]] = {0: list(range(BITS))}
+    rows = prints.select(F.lit(0).alias("path"), "fp")
+    ready: list[DataFrame] = []
+    while True:
+        dealt, paths = _deal(rows, paths, max_bits)
+        dealt = dealt.checkpoint()
+        sizes = dealt.groupBy("path", "shard").agg(F.count("*").alias("n")).where("n > 1")
+        last = max(map(len, paths.values())) <= open_bits
+        small = sizes if last else sizes.where(F.col("n") <= shard_rows)
+        ready.append(dealt.join(small.drop("n"), ["path", "shard"], "left_semi"))
+        large = sizes.where(F.col("n") > shard_rows).drop("n")
+        if last or large.isEmpty():
+            break
+        rows = dealt.join(large, ["path", "shard"], "left_semi").select("path", "fp").distinct()
+    every = ready[0]
+    for more in ready[1:]:
+        every = every.union(more)
+    return (every.select("path", "shard", "fp").repartition("path", "shard").sortWithinPartitions("path", "shard")
+            .mapInArrow(_shard_trees(max_bits), "src long, dst long"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed: int = 42,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every document with an id.
+    """(doc_id, fingerprint, component_id) for every document.
 
-    ``component_id`` is the smallest id that is reachable over links. Null and blank texts have
-    fingerprint zero and link like any other; repeated rows give repeated rows; rows without an id
-    are outside the comparison; an empty table gives an empty result; other columns are ignored."""
+    ``component_id`` is the smallest id that is reachable over links: that of a row without an id too, and null
+    only where no row of a component has one. Null and blank texts have fingerprint zero and link like any
+    other; repeated rows give repeated rows; an empty table gives an empty result; other columns are ignored."""
     prints = stored(fingerprints(docs, shingle, seed, id_col, text_col), "simhash")
     nodes = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-prints")
     roots = components(near_links(nodes, max_bits)).toDF("fp", "root")
@@ -211,15 +231,15 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFram
     """``docs`` with one row of each group of near copies: the one of the smallest ``doc_id``, then of
     the smallest text hash; a row without an id only where no row of its group has one.
 
-    Rows are compared one by one, whatever their ids. Columns are those of ``docs``; names that start
-    with an underscore are this module's."""
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    groups = near_duplicates(rows, shingle, max_bits, id_col="_row").select(
-        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.md5("text").alias("hash"), "_row")
-    kept = (rows.select("_row", order.alias("_order")).join(groups, "_row")
-            .groupBy("_group").agg(F.min("_order").alias("_first")).select(F.col("_first._row").alias("_row")))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    Rows are compared one by one, whatever their ids. Columns are those of ``docs``, whatever their names."""
+    row = free_name("_row", docs.columns)
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows, shingle, max_bits, id_col=row).select(
+        F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.md5("text").alias("hash"), F.col(row).alias("row"))
+    kept = (rows.select(F.col(row).alias("row"), order.alias("order")).join(groups, "row")
+            .groupBy("group").agg(F.min("order").alias("first")).select(F.col("first.row").alias(row)))
+    return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
