@@ -2,16 +2,20 @@
 
 A source's target is its weight's share of all words, at most ``max_repeat`` times its own words;
 what it cannot take is shared again by weight. A document of a source with target / size = r is
-taken whole ``floor(r)`` times; one further copy goes to documents in Pareto order: by their random
-odds divided by the odds of their inclusion probability (the fraction of r, times an optional
-per-document factor), smallest first, up to the first that does not fit into the source's remaining words. The size that
-is fixed is the number of words: the last place goes to the document, among those not chosen, whose size is nearest
-to the words still missing, if that brings the source nearer to its target.
+taken whole ``floor(r)`` times. The words that then remain are filled with one further copy of some documents. Their
+inclusion probabilities follow their sizes, capped at 1, and add up to the remaining words; or they are the
+fraction of r times a ``factor`` of the caller's. Documents are ranked by their random odds divided by the odds of that
+probability and taken in this Pareto order, smallest first, while they fit into the words that remain: one that
+is too long is passed over, and the order goes on behind it, until no document left would fit. The last place goes to
+the document whose size is nearest to the words still missing, if that brings the source nearer to its target. So a source
+misses its target by less than the shortest document that it leaves out.
 
 The random number of a document is a hash of its id and the seed, so reruns agree; for a row
-without an id, of its source, text and place among its copies. No source is
-ever sorted: ranks are cut into ``BINS`` bins per source, the words of whole bins are summed, and
-only the bin in which a target falls is put in order.
+without an id, of its source, text and place among its copies. No source is ever sorted. The documents that fit up to the
+next one that does not are a stretch of the order: ranks are cut into bins per source, the words of whole bins
+are summed, and only the bin in which the words run out is put in order. A stretch is three values per source (the most
+words that fitted, where it starts and ends); stretches are found one after another, for all sources at a time, each from
+documents shorter than the one that ended the last.
 """
 
 from __future__ import annotations
@@ -20,8 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import SPACE_CHARS, documents, prepare, stored
+from tessera.operators.streams import free_name
 
-BINS = 1024
+BIN_ROWS = 16_384  # rows of the largest source that a bin should hold, about
+BINS = 1024        # bins of a source at least
 MAX_REPEAT = 3
 SEED = "mix-1"
 
@@ -75,17 +81,20 @@ def identity(*columns: Column) -> Column:
     return F.md5(F.concat(*[F.coalesce(F.md5(c.cast("string")), F.lit("-")) for c in columns]))
 
 
-def numbered(rows: DataFrame, key: str, row: str) -> DataFrame:
-    """``rows`` with ``_at``, a row's place from 0 among those of equal ``key``, by ``row`` (made by
+def numbered(rows: DataFrame, key: str, row: str, place: str) -> DataFrame:
+    """``rows`` with a row's ``place`` from 0 among those of equal ``key``, by ``row`` (made by
     monotonically_increasing_id and written since). Rows are numbered within each partition of that
     writing and the partitions' counts added up, so that a hot key is not numbered in one task."""
-    rows = rows.withColumn("_part", F.shiftright(row, 33))
-    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = rows.groupBy(key, "_part").agg(F.count("*").alias("_n")).select(
-        key, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    local = F.row_number().over(Window.partitionBy(key, "_part").orderBy(row)) - 1
-    return (rows.withColumn("_at", local).join(parts, [key, "_part"])
-            .withColumn("_at", F.col("_at") + F.col("_before")).drop("_part", "_before"))
+    part = free_name("part", rows.columns, [place])
+    rows = rows.withColumn(part, F.shiftright(row, 33))
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(F.col(key).alias("key"), F.col(part).alias("part")).agg(F.count("*").alias("n")).select(
+        "key", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    local = F.row_number().over(Window.partitionBy(key, part).orderBy(row)) - 1
+    same = (F.col(f"l.{key}") == F.col("r.key")) & (F.col(f"l.{part}") == F.col("r.part"))
+    return (rows.withColumn(place, local).alias("l").join(parts.alias("r"), same)
+            .select(*[F.col(f"l.`{c}`").alias(c) for c in rows.columns if c != part],
+                    (F.col(f"l.{place}") + F.col("r.before")).alias(place)))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -94,13 +103,13 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     return decide(docs, **options).drop("same")
 
 
-def decide(docs: DataFrame, max_repeat: int = MAX_REPEAT, seed: str = SEED, bins: int = BINS,
+def decide(docs: DataFrame, max_repeat: int = MAX_REPEAT, seed: str = SEED, bins: int | None = None,
            id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
            weights: DataFrame | None = None, factor: Column | None = None) -> DataFrame:
     """``mix`` with ``same``, the ``identity`` of a row's id, source, text and factor.
 
     ``weights`` (source, weight) replaces the cyclic weights; a source that it lacks weighs 0.
-    ``factor`` multiplies a document's inclusion probability. Null texts have size 0, null ids and
+    ``factor`` times the fraction of r replaces the inclusion probabilities by size. Null texts have size 0, null ids and
     null sources are values like any other; a document without words is never taken. Rows that
     share an id share a random number and are ordered by size and text hash; each row without an id
     has its own; repeated rows are ordered arbitrarily among themselves, which gives the same result
@@ -111,60 +120,58 @@ def decide(docs: DataFrame, max_repeat: int = MAX_REPEAT, seed: str = SEED, bins
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         word_count(text).alias("size"), _same(id_col, source_col, text_col, factor).alias("same"),
         uniform(F.col(id_col).cast("string"), seed).alias("u"),
-        (F.lit(1.0) if factor is None else factor.cast("double")).alias("factor"),
+        (F.lit(None) if factor is None else factor).cast("double").alias("factor"),
         F.monotonically_increasing_id().alias("row")).checkpoint()
     nameless = rows.where("doc_id IS NULL")
     if not nameless.isEmpty():
-        place = F.concat(F.lit("-"), F.col("same"), F.lit(":"), F.col("_at").cast("string"))
-        own = numbered(nameless, "same", "row").withColumn("u", uniform(place, seed)).drop("_at")
+        place = F.concat(F.lit("-"), F.col("same"), F.lit(":"), F.col("at").cast("string"))
+        own = numbered(nameless, "same", "row", "at").withColumn("u", uniform(place, seed)).drop("at")
         rows = rows.where("doc_id IS NOT NULL").unionByName(own).checkpoint()
-    known = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    known = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     if weights is None:
         known = cyclic_weights(known)
     else:
         known = known.join(weights.select(F.col("source").alias("_s"), "weight"),
                            F.col("source").eqNullSafe(F.col("_s")), "left").select(
-            "source", "source_size", F.coalesce("weight", F.lit(0.0)).cast("double").alias("weight"))
+            "source", "source_size", "rows", F.coalesce("weight", F.lit(0.0)).cast("double").alias("weight"))
     plan = targets(known, max_repeat)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = (plan.withColumn("whole", F.floor(ratio)).withColumn("chance", ratio - F.col("whole"))
-            .withColumn("words", F.col("target") - F.col("whole") * F.col("source_size"))
-            .withColumnRenamed("source", "_s").checkpoint())
-    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-
-    p = F.least(F.col("chance") * F.col("factor"), F.lit(1.0 - 1e-9))
+            .withColumn("words", F.col("target") - F.col("whole") * F.col("source_size")))
+    plan = plan.withColumnRenamed("source", "_s").checkpoint()
+    if bins is None:
+        bins = max(BINS, (plan.agg(F.max("rows")).first()[0] or 0) // BIN_ROWS)
+    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "rows", "weight")
+    if factor is None:
+        by_size = _by_size(rows).select(F.col("source").alias("_s"), "per_word")
+        rows = rows.join(by_size, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+        p = F.coalesce("per_word", F.lit(0.0)) * F.col("size")
+    else:
+        p = F.col("chance") * F.col("factor")
+    p = F.least(p, F.lit(1.0 - 1e-9))
     odds = (F.col("u") / (1 - F.col("u"))) / (p / (1 - p))
-    open_ = (F.col("size") > 0) & (p > 0)
+    open_ = (F.col("size") > 0) & (p > 0) & (F.col("words") > 0)
     # rank in (0, 1): the same order as the odds
-    rows = rows.withColumn("rank", F.when(open_, odds / (1 + odds)))
-    rows = rows.withColumn("bin", F.least(F.floor(F.col("rank") * bins), F.lit(bins - 1)).cast("int"))
-
-    by_bin = rows.where("bin IS NOT NULL").groupBy("source", "bin").agg(
-        F.sum("size").alias("bin_size"), F.first("words").alias("words"))
-    run = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    edge = (by_bin.withColumn("upto", F.sum("bin_size").over(run)).where("upto >= words")
-            .groupBy("source").agg(F.min(F.struct("bin", (F.col("upto") - F.col("bin_size")).alias("done")))
-                                   .alias("e"))
-            .select(F.col("source").alias("_s"), F.col("e.bin").alias("edge"), F.col("e.done").alias("done")))
-    rows = rows.join(edge, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-
-    # in the bin where a target falls: rows in order, while they fit
-    order = (Window.partitionBy("source").orderBy("rank", "doc_id", "size", "same", "row")
-             .rowsBetween(Window.unboundedPreceding, 0))
-    at_edge = F.coalesce(F.col("bin") == F.col("edge"), F.lit(False))
-    last = (rows.where(at_edge).withColumn("sum", F.col("done") + F.sum("size").over(order))
-            .withColumn("extra", (F.col("sum") <= F.col("words")).cast("int")).drop("sum"))
-    rest = rows.where(~at_edge).withColumn("extra", F.coalesce(
-        F.col("bin") < F.coalesce("edge", F.lit(bins)), F.lit(False)).cast("int"))
-    both = rest.unionByName(last)
-
-    gaps = (both.where("rank IS NOT NULL").groupBy("source").agg(
+    rank = F.when(open_, odds / (1 + odds))
+    place = F.struct(F.col("rank"), "doc_id", "size", "same", "row")
+    rows = (rows.withColumn("rank", rank)
+            .withColumn("bin", F.least(F.floor(F.col("rank") * bins), F.lit(bins - 1)).cast("int"))
+            .withColumn("at", F.when(F.col("rank").isNotNull(), place))
+            .select("doc_id", "source", "size", "source_size", "target", "whole", "words", "same", "row", "bin", "at").checkpoint())
+
+    stretches = _stretches(rows.where("at IS NOT NULL").select("source", "size", "words", "bin", "at"))
+    both = rows.join(stretches, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+    fits = F.exists("stretches", lambda x: (F.col("size") <= x["gap"]) & (x["start"].isNull() | (F.col("at") > x["start"]))
+                    & (x["end"].isNull() | (F.col("at") < x["end"])))
+    both = both.withColumn("extra", F.coalesce(F.col("at").isNotNull() & fits, F.lit(False)).cast("int")).drop("stretches")
+
+    gaps = (both.where("at IS NOT NULL").groupBy("source").agg(
         (F.first("words") - F.sum(F.col("size") * F.col("extra"))).alias("gap"))
         .select(F.col("source").alias("_s"), "gap"))
     both = both.join(gaps, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    fills = (both.where("extra = 0 AND rank IS NOT NULL AND size < 2 * gap").groupBy("source")
-             .agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")), "rank", "doc_id", "same", "row"))
-                  .alias("best")).select(F.col("best.row").alias("row"), F.lit(1).alias("fill")))
+    fills = (both.where("extra = 0 AND at IS NOT NULL AND size < 2 * gap").groupBy("source")
+             .agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")), "at")).alias("best"))
+             .select(F.col("best.at.row").alias("row"), F.lit(1).alias("fill")))
     both = both.join(fills, "row", "left")
     extra = F.col("extra") + F.coalesce("fill", F.lit(0))
     copies = F.when(F.col("size") > 0, F.col("whole") + extra).otherwise(0).cast("long")
@@ -172,6 +179,59 @@ def decide(docs: DataFrame, max_repeat: int = MAX_REPEAT, seed: str = SEED, bins
                        (copies * F.col("size")).alias("taken"), "same")
 
 
+def _by_size(rows: DataFrame) -> DataFrame:
+    """(source, per_word): the inclusion probability of a word, so that ``min(1, per_word * size)`` copies of all documents
+    hold the source's remaining words. In order of size, largest first, the documents that are certain come first:
+    the first size that is not shows the number. Only one row per (source, size) is put in order."""
+    sizes = rows.where("size > 0 AND words > 0").groupBy("source", "size").agg(
+        F.count("*").alias("n"), F.first("words").alias("words"))
+    longer = Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    shorter = Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(0, Window.unboundedFollowing)
+    wide = F.col("size").cast("decimal(19,0)")
+    held = F.col("words") - F.coalesce(F.sum(F.col("n") * F.col("size")).over(longer), F.lit(0)).cast("double")
+    per_word = held / F.sum((wide * wide * F.col("n")).cast("decimal(38,0)")).over(shorter).cast("double")
+    found = sizes.withColumn("per_word", per_word).where(F.col("per_word") * F.col("size") <= 1)
+    return found.groupBy("source").agg(F.greatest(F.max_by("per_word", "size"), F.lit(0.0)).alias("per_word"))
+
+
+def _stretches(rows: DataFrame) -> DataFrame:
+    """(_s, stretches): the stretches of Pareto order (``at``) in which all documents of up to ``gap`` words are taken,
+    between ``start`` and ``end`` (null: from the first, to the last), of every source.
+
+    A stretch ends at the first document of up to ``gap`` words that does not fit any more; what is behind it and
+    fits is the next one's. Every stretch ends at a shorter document than the one before, so there are few."""
+    kind = next(f.dataType for f in rows.schema.fields if f.name == "at")
+    state = (rows.groupBy(F.col("source").alias("_s")).agg(F.first("words").alias("words"))
+             .withColumn("taken", F.lit(0).cast("long")).withColumn("start", F.lit(None).cast(kind))
+             .withColumn("n", F.lit(0))).checkpoint()
+    found: list[DataFrame] = []
+    while not state.isEmpty():
+        gap = F.col("words") - F.col("taken")
+        fitting = (rows.drop("words").join(F.broadcast(state) if found else state, F.col("source").eqNullSafe(F.col("_s")))
+                   .where((F.col("size") <= gap) & (F.col("start").isNull() | (F.col("at") > F.col("start")))))
+        by_bin = fitting.groupBy("_s", "bin").agg(F.sum("size").alias("bin_size"), F.first(gap).alias("gap"))
+        run = Window.partitionBy("_s").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        edge = (by_bin.withColumn("upto", F.sum("bin_size").over(run)).where("upto > gap").groupBy(F.col("_s").alias("_e"))
+                .agg(F.min(F.struct("bin", (F.col("upto") - F.col("bin_size")).alias("done"))).alias("e"))
+                .select("_e", F.col("e.bin").alias("edge"), F.col("e.done").alias("done")))
+        # only in the bin where the words run out are documents put in order
+        order = Window.partitionBy("_s").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+        inside = (fitting.join(edge, F.col("_s").eqNullSafe(F.col("_e")) & (F.col("bin") == F.col("edge")))
+                  .withColumn("upto", F.col("done") + F.sum("size").over(order)).where(F.col("upto") > gap))
+        ends = inside.groupBy(F.col("_s").alias("_e")).agg(
+            F.min("at").alias("end"), F.min_by(F.col("upto") - F.col("size"), "at").alias("held"))
+        done = (state.join(ends, F.col("_s").eqNullSafe(F.col("_e")), "left")
+                .select("_s", "words", "taken", "start", "end", "held", "n").checkpoint())
+        found.append(done.select("_s", F.struct("n", (F.col("words") - F.col("taken")).alias("gap"), "start", "end").alias("x")))
+        state = done.where("end IS NOT NULL").select(
+            "_s", "words", (F.col("taken") + F.col("held")).alias("taken"), F.col("end").alias("start"),
+            (F.col("n") + 1).alias("n")).where("words - taken >= 1")
+    every = found[0] if found else state.select("_s", F.struct("n", F.col("words").alias("gap"), "start", F.col("start").alias("end")).alias("x"))
+    for more in found[1:]:
+        every = every.union(more)
+    return every.groupBy("_s").agg(F.collect_list("x").alias("stretches"))
+
+
 def _same(id_col: str, source_col: str, text_col: str, factor: Column | None) -> Column:
     return identity(F.col(id_col), F.col(source_col), F.col(text_col), *([] if factor is None else [factor]))
 
@@ -182,21 +242,22 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
     A row's copies are found by the identity of its id, source, text and factor. Rows that are equal
     in all of these are one document to the mix: where it takes some of them once more than the
-    others, as many of them are taken once more. Column names that start with an underscore are this
-    module's."""
+    others, as many of them are taken once more. Columns are those of ``docs``, whatever their names."""
     columns = {"id_col": id_col, "text_col": text_col, "source_col": source_col, "factor": factor}
-    per_key = stored(decide(docs, **columns, **options).groupBy(F.col("same").alias("_same")).agg(
-        F.min("copies").alias("_least"), F.max("copies").alias("_most"),
-        (F.sum("copies") - F.count("*") * F.min("copies")).alias("_more")).where("_most > 0"), "copies")
-    joined = docs.withColumn("_same", _same(id_col, source_col, text_col, factor)).join(per_key, "_same")
-    copied = joined.where("_least = _most").withColumn("_k", F.col("_least"))
-    if not per_key.where("_least < _most").isEmpty():
-        some = stored(joined.where("_least < _most").withColumn("_row", F.monotonically_increasing_id()), "shared")
-        some = numbered(some, "_same", "_row").withColumn(
-            "_k", F.col("_least") + (F.col("_at") < F.col("_more")).cast("long"))
-        copied = copied.unionByName(some.drop("_row", "_at"))
-    return (copied.where("_k > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))))
-            .select(*docs.columns))
+    same, row, at, least, most, more, copies, copy = (
+        free_name(n, docs.columns) for n in ("_same", "_row", "_at", "_least", "_most", "_more", "_copies", "_copy"))
+    per_key = stored(decide(docs, **columns, **options).groupBy(F.col("same").alias(same)).agg(
+        F.min("copies").alias(least), F.max("copies").alias(most),
+        (F.sum("copies") - F.count("*") * F.min("copies")).alias(more)).where(F.col(most) > 0), "copies")
+    joined = docs.withColumn(same, _same(id_col, source_col, text_col, factor)).join(per_key, same)
+    copied = joined.where(F.col(least) == F.col(most)).withColumn(copies, F.col(least))
+    if not per_key.where(F.col(least) < F.col(most)).isEmpty():
+        some = stored(joined.where(F.col(least) < F.col(most)).withColumn(row, F.monotonically_increasing_id()), "shared")
+        some = numbered(some, same, row, at).withColumn(copies, F.col(least) + (F.col(at) < F.col(more)).cast("long"))
+        copied = copied.unionByName(some.drop(row, at))
+    return (copied.where(F.col(copies) > 0)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,26 +289,42 @@ p AS (
     SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
            CASE WHEN source_size > 0 THEN target / source_size - floor(target / source_size) ELSE 0 END AS chance
     FROM t),
+h AS (
+    SELECT d.source AS source, size, count(*) AS n, any_value(target - whole * source_size) AS words
+    FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+    WHERE size > 0 AND target - whole * source_size > 0 GROUP BY d.source, size),
+k AS (
+    SELECT source, size,
+           (words - coalesce(sum(n * size) OVER (PARTITION BY source ORDER BY size DESC
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+           / (sum(n * size * size) OVER (PARTITION BY source ORDER BY size DESC
+                             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS per_word
+    FROM h),
+c AS (
+    SELECT source, greatest(arg_max(per_word, size), 0.0::DOUBLE) AS per_word FROM k WHERE per_word * size <= 1 GROUP BY source),
+q AS (
+    SELECT doc_id, size, u, source_size, target, whole, target - whole * source_size AS words, d.source AS source,
+           least(coalesce(per_word, 0.0::DOUBLE) * size, (1.0 - 1e-9)::DOUBLE) AS chance
+    FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN c ON d.source IS NOT DISTINCT FROM c.source),
 j AS (
-    SELECT doc_id, size, source_size, target, whole, target - whole * source_size AS words, d.source AS source,
-           CASE WHEN size > 0 AND chance > 0
-                THEN (u / (1 - u)) / (least(chance, 1.0 - 1e-9) / (1 - least(chance, 1.0 - 1e-9))) END AS odds
-    FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
-r AS (
-    SELECT *, sum(size) OVER (PARTITION BY source ORDER BY odds / (1 + odds), doc_id
-                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
-    FROM j WHERE odds IS NOT NULL
-    UNION ALL SELECT *, NULL FROM j WHERE odds IS NULL),
-g AS (
-    SELECT source AS gap_source, max(words) - coalesce(sum(size) FILTER (upto <= words), 0) AS gap
-    FROM r WHERE odds IS NOT NULL GROUP BY source),
+    SELECT *, CASE WHEN size > 0 AND chance > 0 AND words > 0
+                   THEN (u / (1 - u)) / (chance / (1 - chance)) END AS odds
+    FROM q),
+f AS (
+    SELECT source AS fit_source, any_value(words) AS fit_words, list_reduce(
+        list({'doc': doc_id, 'size': size} ORDER BY odds / (1 + odds), doc_id),
+        lambda a, x: CASE WHEN x.size <= any_words - a.sum
+                          THEN {'sum': a.sum + x.size, 'docs': list_append(a.docs, x.doc)} ELSE a END,
+        {'sum': 0::BIGINT, 'docs': []::BIGINT[]}) AS fit
+    FROM (SELECT *, words AS any_words FROM j WHERE odds IS NOT NULL) GROUP BY source, any_words),
+e AS (
+    SELECT j.*, coalesce(list_contains(fit.docs, doc_id), false) AS taken_once, fit_words - fit.sum AS gap
+    FROM j LEFT JOIN f ON source IS NOT DISTINCT FROM fit_source),
 b AS (
     SELECT source AS best_source, arg_min(doc_id, (abs(size - gap), odds / (1 + odds), doc_id)) AS best
-    FROM r JOIN g ON source IS NOT DISTINCT FROM gap_source
-    WHERE odds IS NOT NULL AND upto > words AND size < 2 * gap GROUP BY source)
+    FROM e WHERE odds IS NOT NULL AND NOT taken_once AND size < 2 * gap GROUP BY source)
 SELECT doc_id, size, source_size, target,
        CASE WHEN size = 0 THEN 0
-            ELSE (whole + CASE WHEN coalesce(upto <= words, false) OR coalesce(doc_id = best, false)
-                               THEN 1 ELSE 0 END)::BIGINT * size END AS taken
-FROM r LEFT JOIN b ON source IS NOT DISTINCT FROM best_source
+            ELSE (whole + CASE WHEN taken_once OR coalesce(doc_id = best, false) THEN 1 ELSE 0 END)::BIGINT * size END AS taken
+FROM e LEFT JOIN b ON source IS NOT DISTINCT FROM best_source
 """

@@ -41,14 +41,16 @@ def fingerprint(text, k=3):
 
 
 def near_duplicates(docs, bits=2):
-    """docs: (doc_id, text) -> sorted (doc_id, fingerprint, component)"""
+    """docs: (doc_id, text) -> (doc_id, fingerprint, component), null ids last; a component's id is its least one"""
     prints = [fingerprint(t) for _, t in docs]
     links = [(i, j) for i in range(len(docs)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= bits]
     group = components(links, range(len(docs)))
     least = {}
     for i, (d, _) in enumerate(docs):
-        least[group[i]] = min(d, least.get(group[i], d))
-    return sorted((d, f"{prints[i]:016x}", least[group[i]]) for i, (d, _) in enumerate(docs))
+        if d is not None:
+            least[group[i]] = min(d, least.get(group[i], d))
+    rows = [(d, f"{prints[i]:016x}", least.get(group[i])) for i, (d, _) in enumerate(docs)]
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, str(r)))
 
 
 def quality(text):
@@ -124,6 +126,22 @@ def targets(sizes, weights, cap=3):
     return out
 
 
+def inclusion(sizes, words):
+    """c with sum(min(1, c * size) * size) = words, by trying every number of certain documents"""
+    sizes = sorted(sizes, reverse=True)
+    for certain in range(len(sizes)):
+        c = (words - float(sum(sizes[:certain]))) / float(sum(n * n for n in sizes[certain:]))
+        # documents of one size are certain together
+        if c * sizes[certain] <= 1 and (certain == 0 or sizes[certain - 1] != sizes[certain]):
+            return max(c, 0.0)
+    return 0.0
+
+
+def pareto(u, p):
+    odds = (u / (1 - u)) / (p / (1 - p))
+    return odds / (1 + odds)
+
+
 def mix(docs):
     """docs: (doc_id, text, source) -> [(doc_id, size, source_size, target, copies)] in order of docs."""
     sizes = defaultdict(int)
@@ -134,23 +152,24 @@ def mix(docs):
     copies = [0] * len(docs)
     for s in order:
         ratio = goal[s] / sizes[s] if sizes[s] else 0.0
-        whole = math.floor(ratio + 1e-12)
-        chance = max(ratio - whole, 0.0)
-        rows = [(uniform(d), d, len(words(t)), i) for i, (d, t, x) in enumerate(docs) if x == s and words(t)]
+        whole = math.floor(ratio)
+        left = goal[s] - whole * sizes[s]
+        rows = [(d, len(words(t)), i) for i, (d, t, x) in enumerate(docs) if x == s and words(t)]
         for r in rows:
-            copies[r[3]] = whole
-        if chance <= 1e-12:
+            copies[r[2]] = whole
+        if left <= 0 or not rows:
             continue
-        left, rest = goal[s] - whole * sizes[s], []
-        upto = 0
-        for u, d, n, i in sorted(rows):
-            upto += n
-            if upto <= left:
+        per_word = inclusion([n for _, n, _ in rows], left)
+        order = sorted((pareto(uniform(d), min(per_word * n, 1 - 1e-9)), d, n, i) for d, n, i in rows if per_word > 0)
+        taken, rest = 0, []
+        for rank, d, n, i in order:
+            if n <= left - taken:
+                taken += n
                 copies[i] += 1
             else:
-                rest.append((n, u, d, i))
-        gap = left - sum(n for u, d, n, i in rows if copies[i] > whole)
-        near = [(abs(n - gap), u, d, i) for n, u, d, i in rest if n < 2 * gap]
+                rest.append((abs(n - (left - taken)), rank, d, n, i))
+        gap = left - taken
+        near = [(abs(n - gap), rank, d, i) for _, rank, d, n, i in rest if n < 2 * gap]
         if near:
             copies[min(near)[3]] += 1
     return [(d, len(words(t)), sizes[s], goal[s], c) for (d, t, s), c in zip(docs, copies)]

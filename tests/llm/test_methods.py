@@ -39,6 +39,35 @@ def test_links_of_crowded_shards(spark, bits, shard_rows):
     assert brute.components(links, prints) == brute.components(near, prints)
 
 
+def test_every_row_has_a_component(spark):
+    """A row without an id takes the least id of its component, and none where no row has one."""
+    rng = random.Random(4)
+    one, two = (" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(80)) for _ in range(2))
+    rows = [(None, one), (7, one), (None, one), (3, one), (None, two), (None, two)]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=str) == sorted(
+        [(None, 3), (7, 3), (None, 3), (3, 3), (None, None), (None, None)], key=str)
+    assert len({r["fingerprint"] for r in got}) == 2
+
+
+def test_large_shards_are_dealt_until_trees_are_small(spark, monkeypatch):
+    """A crowd that shares most of its bits gets trees, none larger than the open bits allow."""
+    rng = random.Random(2)
+    crowd = sorted({rng.getrandbits(12) | (0x5A5A << 40) for _ in range(1500)})
+    seen = spark.sparkContext.accumulator(0)
+    real = simhash._forest
+
+    def counted(values, radius):
+        seen.add(len(values) > 1 << 9)
+        return real(values, radius)
+
+    monkeypatch.setattr(simhash, "_forest", counted)
+    links = simhash.near_links(spark.createDataFrame([(p,) for p in crowd], "fp long"), 2, 64, open_bits=9).collect()
+    assert seen.value == 0
+    near = [(a, b) for a in crowd for b in crowd if a < b and (a ^ b).bit_count() <= 2]
+    assert brute.components([tuple(r) for r in links], crowd) == brute.components(near, crowd)
+
+
 def test_near_copies_without_an_id_or_with_a_shared_one(spark):
     rng = random.Random(9)
     one, two, three = (" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(80)) for _ in range(3))
@@ -276,6 +305,47 @@ def test_mix_of_a_hot_source(spark):
     assert {r["target"] > 0 for r in weighted.collect()} == {True, False}
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_every_source_comes_near_its_target(spark, sf):
+    """A source misses its target by less than the shortest document that could still be taken once more: the contract's
+    "near its target", whatever long documents stand in the order."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    by = {}
+    for r in mixing.mix(docs).collect():
+        by.setdefault(r["source_size"], []).append(r)
+    for size, rows in by.items():
+        target, taken = rows[0]["target"], sum(r["taken"] for r in rows)
+        whole = math.floor(target / size)
+        left = [r["size"] for r in rows if r["size"] and r["copies"] == whole]
+        assert abs(target - taken) < (min(left) if left else 1)
+        assert all(r["taken"] <= 3 * r["size"] for r in rows)
+
+
+def test_a_long_document_does_not_end_the_fill(spark):
+    """Documents of 90 words in front of many short ones."""
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 100, "a").otherwise("b").alias("source"),
+                                   F.repeat(F.lit("w "), F.when(F.col("id") % 100 < 3, 90).otherwise(F.col("id") % 7 + 1).cast("int")).alias("text"))
+    weights = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "source string, weight double")
+    for factor in (None, F.lit(1.0), F.when(F.col("doc_id") % 100 < 3, 1.9).otherwise(0.1)):
+        rows = mixing.mix(docs, weights=weights, factor=factor, bins=3).collect()
+        for source in (0, 1):
+            mine = [r for r in rows if (r["doc_id"] >= 100) == bool(source)]
+            assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) < 7
+
+
+def test_inclusion_by_size(spark):
+    rng = random.Random(3)
+    rows = [("s", rng.randint(1, 60), 700.5) for _ in range(60)] + [("one", 10, 4.0), ("t", 5, 0.0)] + [("u", 9, 26.9)] * 3
+    got = {r["source"]: r["per_word"] for r in mixing._by_size(
+        spark.createDataFrame(rows, "source string, size long, words double")).collect()}
+    assert "t" not in got
+    for source, c in got.items():
+        sizes = [r[1] for r in rows if r[0] == source]
+        words = next(r[2] for r in rows if r[0] == source)
+        assert sum(min(1, c * n) * n for n in sizes) == pytest.approx(words)
+        assert c == brute.inclusion(sizes, words)
+
+
 def test_rows_of_a_repeated_id_share_its_copies(spark):
     rows = [(1, "a", f"w{i} x y") for i in range(40)] + [(100 + i, "b", "one two") for i in range(3)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
