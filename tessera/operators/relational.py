@@ -3,13 +3,14 @@
 Joins leave the strategy to Catalyst + AQE by default: AQE re-plans a sort-merge join into a
 broadcast join only after it has *measured* the materialised side. An explicit strategy is a
 request and is honoured as given or refused with an error; it is never replaced. Sizes come from
-the optimizer's statistics, in bytes, while the plan is built: no job runs for a join to be made.
+the optimizer's statistics, in bytes, while the plan is built; a side that these call too large is measured.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import sorted_values
 from tessera.operators import streams
+from tessera.session import scratch_path
 
 MAX_BROADCAST_BYTES = 512 << 20    # estimated size up to which an explicit broadcast is made
 MAX_NESTED_LOOP_BYTES = 16 << 20   # the same for the replicated side of a nested loop
@@ -42,19 +44,55 @@ def with_product(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df`` (from file sizes and plan statistics; planning only,
-    no job). An unknown size is estimated as very large."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    no job). An unknown size, or one that the session cannot tell, is estimated as very large."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:  # a session without a JVM beside it
+        return 1 << 62
+
+
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    """About the bytes of a value in memory: 8 of its slot, and what it holds beside."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        more = F.octet_length(value).cast("long")
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        more = F.octet_length(F.to_json(F.struct(value))).cast("long")
+    elif isinstance(kind, T.DecimalType) and kind.precision > 18:
+        more = F.lit(16).cast("long")
+    else:
+        return F.lit(8).cast("long")
+    return F.coalesce(more, F.lit(0)) + 8
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """About the bytes that the rows of ``df`` take in memory, counted by a job that reads them and keeps none."""
+    row = functools.reduce(lambda a, b: a + b, (_value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields),
+                           F.lit(16).cast("long"))
+    return int(df.agg(F.coalesce(F.sum(row.cast("decimal(38,0)")), F.lit(0))).first()[0])
 
 
 def check_strategy(copied: DataFrame, strategy: str, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-                   max_nested_loop_bytes: int = MAX_NESTED_LOOP_BYTES) -> None:
-    """Refuses a copying strategy for a side that is estimated above its bound."""
+                   max_nested_loop_bytes: int = MAX_NESTED_LOOP_BYTES, keep: bool = False) -> DataFrame:
+    """The side that a copying strategy may copy, or ``SideTooLarge``.
+
+    A side that is estimated within the bound is taken as it is, and no job runs. An estimate knows neither filters
+    nor groups, so a side above it is measured: one that is really small is written once, and that table, whose
+    size is known, is what the join copies. With ``keep`` it is only measured: a join condition may name columns
+    of the side itself."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}")
     bound = {"broadcast": max_broadcast_bytes, "shuffle_replicate_nl": max_nested_loop_bytes}.get(strategy)
-    if bound is not None and (size := estimated_bytes(copied)) > bound:
-        raise SideTooLarge(f"{strategy} join: the copied side is estimated at {size} bytes, the bound is "
+    if bound is None or estimated_bytes(copied) <= bound:
+        return copied
+    size = measured_bytes(copied)
+    if size > bound:
+        raise SideTooLarge(f"{strategy} join: the copied side takes {size} bytes, the bound is "
                            f"{bound}; ask for 'merge', 'shuffle_hash' or 'auto' instead")
+    if keep:
+        return copied
+    path = scratch_path(copied.sparkSession, "side")
+    copied.write.parquet(path)
+    return copied.sparkSession.read.schema(copied.schema).parquet(path)
 
 
 # -- filters ---------------------------------------------------------------------------------------
@@ -88,8 +126,8 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "inner", strategy: st
     * ``shuffle_replicate_nl`` -- nested loop over all pairs of partitions: a cross join with a
       condition, made only because it was asked for
 
-    ``SideTooLarge`` is raised when ``right`` is estimated above the bound of a copying strategy."""
-    check_strategy(right, strategy, max_broadcast_bytes, max_nested_loop_bytes)
+    ``SideTooLarge`` is raised when ``right`` is above the bound of a copying strategy (see ``check_strategy``)."""
+    right = check_strategy(right, strategy, max_broadcast_bytes, max_nested_loop_bytes, keep=isinstance(on, Column))
     return left.join(right if strategy == "auto" else right.hint(strategy), on, how)
 
 
@@ -98,7 +136,8 @@ def join_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     """Equi join of two tables whose columns may share names (J1, J4, P2): the sides are aliased
     ``l`` and ``r``, so every column stays reachable as ``l.name`` or ``r.name``."""
     on = F.col(f"l.`{left_key}`") == F.col(f"r.`{right_key}`")
-    return join(left.alias("l"), right.alias("r"), on, how, strategy, **bounds)
+    right = check_strategy(right, strategy, **bounds).alias("r")
+    return left.alias("l").join(right if strategy == "auto" else right.hint(strategy), on, how)
 
 
 def qualified(side: str, cols: Sequence[str]) -> list[Column]:
@@ -112,6 +151,33 @@ def join_filtered_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: s
     return join_keys(fact, dim.where(dim_filter), fact_key, dim_key, how)
 
 
+def theta_join(left: DataFrame, right: DataFrame, condition: Callable[[str, str], Column], cells: int = 256,
+               shape: tuple[int, int] | None = None) -> DataFrame:
+    """Inner join under any condition (J11), by a matrix over the space of pairs: sides ``l`` and ``r``, as in
+    ``join_keys``; ``condition`` is made of the two aliases, e.g. ``lambda l, r: F.col(f"{l}.a") < F.col(f"{r}.b")``.
+
+    A left row goes to one random row of the matrix and is copied to all its cells, a right row to one random
+    column; so every pair of rows meets in exactly one cell, cells hold equal shares whatever the values, and a
+    side is copied about the square root of ``cells`` times. ``shape`` (rows, columns) sets the matrix: (n, 1) copies
+    only the right side. The cell is an equi-join key, so Spark joins by sort or hash and tests the condition on the
+    pairs of a cell; no cartesian product is planned. Equal rows are dealt apart, and the same way when a
+    task runs again."""
+    rows, columns = shape or (max(1, round(cells ** 0.5)),) * 2
+
+    def dealt(df: DataFrame, own: int, other: int, cell: Column, names: tuple[str, str]) -> DataFrame:
+        place = F.pmod(F.xxhash64(F.monotonically_increasing_id(), *[F.col(f"`{c}`") for c in df.columns]), F.lit(own))
+        return (df.withColumn(names[0], place.cast("int"))
+                .withColumn(names[1], F.explode(F.sequence(F.lit(0), F.lit(other - 1))))
+                .select(*[F.col(f"`{c}`") for c in df.columns], cell.alias(key)))
+
+    a, b, key = (streams.free_name(n, left.columns, right.columns) for n in ("_row", "_column", "_cell"))
+    cell = F.col(a) * columns + F.col(b)
+    sides = (dealt(left, rows, columns, cell, (a, b)).alias("l"), dealt(right, columns, rows, cell, (b, a)).alias("r"))
+    # a cell's pairs are as many under either order of the sides; the hash of the smaller one would not spill
+    joined = sides[0].hint("merge").join(sides[1], (F.col(f"l.{key}") == F.col(f"r.{key}")) & condition("l", "r"))
+    return joined.drop(F.col(f"l.{key}"), F.col(f"r.{key}"))
+
+
 # -- aggregates -----------------------------------------------------------------------------------
 
 def exact(df: DataFrame, col: str | Column) -> Column:

@@ -23,8 +23,8 @@ from tessera.sources import (drop_header_line, flatten_properties, format_lines,
                              int_range, join_lines, load, parse_lines, read_csv,
                              read_csv_checked, read_csv_strings, read_features,
                              read_header_csv_union, read_lines, read_parquet, row_count,
-                             write_collections, write_csv, write_feature_lines, write_parquet,
-                             write_raw_lines, write_text)
+                             convert_checked, read_ordered, write_collections, write_csv, write_documents,
+                             write_feature_lines, write_ordered, write_parquet, write_raw_lines, write_text)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -276,6 +276,62 @@ def q_grouped_udf_mean(spark, sf_dir):
                                              "l_quantity")
 
 
+@query("join_theta", """SELECT c_custkey, s_suppkey FROM customer JOIN supplier
+ON c_acctbal BETWEEN s_acctbal - 50 AND s_acctbal + 50 AND c_nationkey <> s_nationkey""")
+def q_join_theta(spark, sf_dir):
+    """J11 for conditions that no equality helps: customers and suppliers of other nations with nearly the same balance."""
+    def near(c: str, s: str):
+        return (F.col(f"{c}.c_acctbal").between(F.col(f"{s}.s_acctbal") - 50, F.col(f"{s}.s_acctbal") + 50)
+                & (F.col(f"{c}.c_nationkey") != F.col(f"{s}.s_nationkey")))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
+    return relational.theta_join(customers, suppliers, near, cells=64).select("c_custkey", "s_suppkey")
+
+
+@query("join_broadcast_aggregate", """SELECT o_orderpriority, count(*) AS above FROM orders JOIN
+(SELECT o_orderpriority AS p, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total, count(*) AS n FROM orders GROUP BY 1) AS m
+ON o_orderpriority = p WHERE CAST(o_totalprice AS DECIMAL(18,2)) * n > total GROUP BY 1""")
+def q_join_broadcast_aggregate(spark, sf_dir):
+    """J8 with a side that is small only once it is computed: an estimate takes it for as large as all orders, so it
+    is measured. Orders above the mean of their priority."""
+    orders = table(spark, sf_dir, "orders")
+    price = relational.exact_amount(F.col("o_totalprice"), digits=2, precision=18)
+    means = orders.groupBy(F.col("o_orderpriority").alias("p")).agg(F.sum(price).alias("total"), F.count("*").alias("n"))
+    joined = relational.join_keys(orders.select("o_orderpriority", price.alias("price")), means, "o_orderpriority", "p",
+                                  strategy="broadcast", max_broadcast_bytes=16 << 10)
+    return (joined.where(F.col("price") * F.col("n") > F.col("total")).groupBy("o_orderpriority")
+            .agg(F.count("*").alias("above")))
+
+
+@query("ordered_output", """SELECT c_custkey, c_name, c_acctbal, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey)
+AS position FROM customer""")
+def q_ordered_output(spark, sf_dir):
+    """O2 as output: customers by balance in many ordered CSV files, read back with their place in the order."""
+    path = scratch_path(spark, "customers_ordered")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    write_ordered(rows, path, [("c_acctbal", False), ("c_custkey", True)], "csv")
+    return read_ordered(spark, path, rows.schema, "csv")
+
+
+@query("ordered_text_output", """SELECT doc_id, position FROM (SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id)
+AS position FROM documents)""")
+def q_ordered_text_output(spark, sf_dir):
+    """Whole documents, the longest first, in ordered Parquet files."""
+    path = scratch_path(spark, "documents_ordered")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "text")
+    write_ordered(docs, path, [("n_chars", False), ("doc_id", True)])
+    return read_ordered(spark, path, docs.schema).select("doc_id", "position")
+
+
+@query("csv_to_parquet_checked", "SELECT doc_id, text, lang, n_chars FROM documents")
+def q_csv_to_parquet_checked(spark, sf_dir):
+    """QP17 with a check of its values (K5): whole documents as CSV, converted to Parquet, compared by fingerprints."""
+    path = scratch_path(spark, "documents_csv")
+    write_csv(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars"), path)
+    rows = read_csv(spark, path, "doc_id BIGINT, text STRING, lang STRING, n_chars BIGINT", multi_line=True)
+    return convert_checked(rows, scratch_path(spark, "documents_parquet"))
+
+
 JOIN_ROWS_SQL = """SELECT c_nationkey AS k, c_custkey, c_name, c_nationkey, n_nationkey, n_name
 FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 
@@ -810,6 +866,7 @@ def _customers_as_features(write, layout: str):
     return run
 
 
+query("geojson_documents", GEOJSON_SQL)(_customers_as_features(write_documents, "document"))
 query("geojson_flatten", GEOJSON_SQL)(_customers_as_features(write_collections, "document_per_line"))
 query("geojson_feature_lines", GEOJSON_SQL)(_customers_as_features(write_feature_lines, "feature_per_line"))
 query("geojson_one_line_documents", GEOJSON_SQL)(_customers_as_features(write_collections, "feature_per_line"))

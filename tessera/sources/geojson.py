@@ -1,9 +1,9 @@
 """GeoJSON FeatureCollection source and sink.
 
-A document that spans lines must be parsed whole, so it is read by one task per file. The writer
-therefore puts a whole collection on one line and many collections into a file: line-delimited JSON,
-which is read in parallel. Files with one feature per line are read as splittable text, with an
-error for any line that is neither a feature nor part of the collection's frame.
+The writer puts a whole collection on one line and many collections into a file: line-delimited JSON,
+which is read in parallel. A document over many lines is cut at the borders of its features from byte
+ranges (``splits``), so one large file is read by many tasks too. Files with one feature per line are read as
+splittable text, with an error for any line that is neither a feature nor part of the collection's frame.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.session import ship_package
+from tessera.sources.splits import json_features
 
 POINT = T.StructType([T.StructField("type", T.StringType()),
                       T.StructField("coordinates", T.ArrayType(T.DoubleType()))])
@@ -58,12 +59,18 @@ def read_features(spark: SparkSession, path: str, properties: T.StructType,
                   geometry: T.DataType = POINT, layout: str = "document_per_line") -> DataFrame:
     """One row per feature with columns ``type, properties, geometry`` (explode of S9/P13).
 
-    ``layout``: ``document_per_line`` (a collection on each line, what the writer makes), ``document``
-    (a file is one collection over any lines) or ``feature_per_line``."""
-    if layout in ("document", "document_per_line"):
+    ``layout``: ``document_per_line`` (a collection on each line, what the writer makes; any other line stops the
+    job), ``document`` (collections over any lines: files of any size are cut at feature borders and read by
+    many tasks, see ``splits``) or ``feature_per_line``."""
+    if layout == "document":
+        found = F.from_json("text", feature_schema(properties, geometry))
+        return json_features(spark, path).select(found.alias("f")).select("f.*")
+    if layout == "document_per_line":
         docs = (spark.read.schema(collection_schema(properties, geometry))
-                .option("multiLine", layout == "document").option("recursiveFileLookup", True).json(path))
-        return docs.select(F.explode("features").alias("features")).select("features.*")
+                .option("recursiveFileLookup", True).json(path))
+        held = F.when(F.col("features").isNotNull(), F.col("features")).otherwise(F.raise_error(F.lit(
+            "a line is no whole FeatureCollection; collections over several lines need layout='document'")))
+        return docs.select(F.explode(held).alias("features")).select("features.*")
     if layout == "feature_per_line":
         lines = spark.read.option("recursiveFileLookup", True).text(path)
         found = _line_features(F.col("value"), feature_schema(properties, geometry))
@@ -81,10 +88,10 @@ def flatten_properties(features: DataFrame, keep_geometry: bool = True) -> DataF
     return features.select(*cols)
 
 
-def _feature_json(properties: Sequence[str], geometry: Column) -> Column:
+def _feature_json(properties: Sequence[str], geometry: Column, options: dict[str, str] | None = None) -> Column:
     return F.to_json(F.struct(F.lit("Feature").alias("type"),
                               F.struct(*[F.col(p) for p in properties]).alias("properties"),
-                              geometry.alias("geometry")))
+                              geometry.alias("geometry")), options)
 
 
 def write_collections(df: DataFrame, path: str, properties: Sequence[str],
@@ -121,3 +128,23 @@ def write_feature_lines(df: DataFrame, path: str, properties: Sequence[str], geo
     files (``feature_per_line`` reads them with or without it)."""
     line = F.concat(_feature_json(properties, geometry), F.lit(","))
     df.select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def write_documents(df: DataFrame, path: str, properties: Sequence[str], geometry: Column) -> None:
+    """Write ``df`` as GeoJSON documents over many lines, one per task: a file is one FeatureCollection with every
+    member on a line of its own. Nothing is held; an empty partition writes an empty file."""
+    ship_package(df.sparkSession)
+    one = _feature_json(properties, geometry, {"pretty": "true"})
+
+    def framed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: str | None = None
+        for batch in batches:
+            lines = []
+            for text in batch.column("value").to_pylist():
+                lines.append('{\n"type": "FeatureCollection",\n"features": [' if last is None else f"{last},")
+                last = text
+            yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+        if last is not None:
+            yield pa.RecordBatch.from_pydict({"value": pa.array([f"{last}\n]\n}}"], pa.string())})
+
+    df.select(one.alias("value")).mapInArrow(framed, "value string").write.mode("overwrite").text(path)

@@ -1,20 +1,29 @@
 """File and in-memory sources.
 
-All readers are lazy (no schema inference pass, no ``first()`` to find a header): a schema or
-the header option describes the file, and Catalyst prunes columns / pushes filters into the scan.
+Readers are lazy (no schema inference pass): a schema or the header option describes the file, and Catalyst
+prunes columns / pushes filters into the scan. Two run small jobs while the plan is built: differing headers of
+many files are read first, and records with line breaks are surveyed for where they begin.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 import uuid
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.setops import union_all
+from tessera.operators import streams
+from tessera.operators.setops import union_by_name
+from tessera.session import ship_package
+from tessera.sources import splits
 
 CORRUPT_COL = "_corrupt_record"
 
@@ -39,10 +48,26 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     """Headerless (S1) or header (S4, any separator) CSV read with a fixed schema.
 
     Bad fields become null in PERMISSIVE mode; ``mode="DROPMALFORMED"`` drops the row instead.
-    ``multi_line`` reads fields that hold line breaks; a file is then read by one task."""
-    return (spark.read.schema(_as_schema(schema)).options(**CSV_TEXT).option("sep", sep)
-            .option("header", header).option("mode", mode).option("multiLine", multi_line)
-            .options(**options).csv(path))
+    ``multi_line`` reads quoted fields that hold line breaks (quotes in them doubled): records are cut from byte
+    ranges (``splits.csv_records``), so a large file is still read by many tasks, and parsed by Spark."""
+    if not multi_line:
+        return (spark.read.schema(_as_schema(schema)).options(**CSV_TEXT).option("sep", sep)
+                .option("header", header).option("mode", mode).options(**options).csv(path))
+    schema = _as_schema(schema)
+    records = splits.csv_records(spark, path if isinstance(path, str) else list(path), sep)
+    if header:
+        records = records.where(~F.col("first"))
+    fields = list(schema.fields)
+    drop = mode == "DROPMALFORMED"
+    if drop:
+        fields.append(T.StructField(options.setdefault("columnNameOfCorruptRecord", "corrupt record"), T.StringType()))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parse = {**CSV_TEXT, "sep": sep, "multiLine": True, **options, "mode": "PERMISSIVE" if drop else mode}
+    parsed = records.where("text <> ''").select(F.from_csv(
+        F.col("text"), ddl, {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in parse.items()}).alias("r"))
+    if drop:
+        parsed = parsed.where(F.col("r").getField(options["columnNameOfCorruptRecord"]).isNull())
+    return parsed.select(*[F.col("r").getField(n).alias(n) for n in schema.fieldNames()])
 
 
 # -- S2 / S3: header CSV read as all strings, header names normalised ------------------------
@@ -58,16 +83,69 @@ class HeaderClash(ValueError):
     """Two columns of one file have the same name once blanks are trimmed."""
 
 
-def read_trimmed(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """A header CSV as strings with blanks around its column names removed (S3)."""
-    table = read_csv_strings(spark, path, sep=sep)
+def trimmed_names(header: Sequence[str], path: str) -> list[str]:
+    """Column names without the blanks around them (S3)."""
     by_name: dict[str, list[str]] = {}
-    for raw in table.columns:
+    for raw in header:
         by_name.setdefault(raw.strip(), []).append(raw)
     clashes = [raws for raws in by_name.values() if len(raws) > 1]
     if clashes:
         raise HeaderClash(f"{path}: {clashes} are the same column after trimming")
-    return table.toDF(*by_name)
+    return list(by_name)
+
+
+def read_trimmed(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """A header CSV as strings with blanks around its column names removed (S3)."""
+    table = read_csv_strings(spark, path, sep=sep)
+    return table.toDF(*trimmed_names(table.columns, path))
+
+
+def _header_record(text: Iterable[str], sep: str) -> list[str]:
+    """The fields of the first record of a file, given as lines; quoted names may hold line breaks."""
+    kind, held, quoted = splits.CsvRecords(sep), [], False
+    for line in text:
+        held.append(line)
+        quoted = kind.open_after(line, quoted)
+        if not quoted:
+            break
+    return next(csv.reader(io.StringIO("\n".join(held).removesuffix("\r"), newline=""), delimiter=sep), [])
+
+
+def file_headers(spark: SparkSession, files: Sequence[str], sep: str = ",") -> dict[str, tuple[str, ...]]:
+    """The header fields of every file (listed paths, escaped as in URIs), read by a distributed job; a file without a
+    line has none.
+
+    Tasks open the files and read their first lines. A store that only Spark's readers reach is read by a
+    text scan instead, of which each file's first range counts."""
+    ship_package(spark)
+    out = "path string, header array<string>"
+    try:
+        fs.FileSystem.from_uri(files[0])
+        reached = True
+    except (OSError, ValueError, pa.ArrowException):
+        reached = False
+    if reached:
+        def read(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+            for batch in batches:
+                paths = batch.column(0).to_pylist()
+                headers = []
+                for path in paths:
+                    store, base = fs.FileSystem.from_uri(path)
+                    with store.open_input_stream(base) as source:
+                        lines = io.TextIOWrapper(source, "utf-8", newline="\n")
+                        headers.append(_header_record((line.removesuffix("\n") for line in lines), sep))
+                yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(headers, pa.list_(pa.string()))], names=["path", "header"])
+
+        tasks = max(1, min(len(files) // 16, 4 * spark.sparkContext.defaultParallelism))
+        rows = spark.createDataFrame([(f,) for f in files], "path string").repartition(tasks).mapInArrow(read, out)
+    else:
+        def first(key: tuple, batches: Iterable[pa.RecordBatch]) -> Iterable[tuple]:
+            if key[1] == 0:
+                yield key[0], _header_record((v for b in batches for v in b.column("value").to_pylist()), sep)
+
+        rows = streams.stream_sorted(splits.ranges(spark, [unquote(f) for f in files], "\n"), ["path", "block"], first, out)
+    found = {r["path"]: tuple(r["header"]) for r in rows.collect()}  # a row per file, as the caller's list
+    return {f: found.get(f, ()) for f in files}
 
 
 def read_header_csv_union(spark: SparkSession, paths: Sequence[str], sep: str = ",",
@@ -75,17 +153,41 @@ def read_header_csv_union(spark: SparkSession, paths: Sequence[str], sep: str =
     """Header CSV files whose headers differ, as one table of strings (S2 + S3 + U2): columns by
     trimmed name, in order of first appearance, null where a file lacks one.
 
-    ``drift``, a dict, receives for every such file the names that it lacks."""
-    tables = {p: read_trimmed(spark, p, sep) for p in paths}
-    every = list(dict.fromkeys(name for t in tables.values() for name in t.columns))
-    aligned = []
-    for path, table in tables.items():
-        lacks = [name for name in every if name not in table.columns]
-        if lacks and drift is not None:
-            drift[path] = lacks
-        aligned.append(table.select(*[
-            F.lit(None).cast("string").alias(name) if name in lacks else F.col(f"`{name}`") for name in every]))
-    return union_all(aligned)
+    ``paths`` are files or folders. The headers are read by one distributed job, files are grouped by what their
+    header says, and the plan has one scan per distinct header, however many files there are. Files without
+    a line are passed over. ``drift``, a dict, receives the names that a path lacks (in any of its files)."""
+    listed = spark.read.text(list(paths)).inputFiles()
+    headers = file_headers(spark, listed, sep) if listed else {}
+    given = {_plain_path(p): p for p in paths}
+    place = {p: i for i, p in enumerate(paths)}
+
+    def origin(file: str) -> str:
+        at = _plain_path(file)
+        while at not in given and "/" in at:
+            at = at.rpartition("/")[0]
+        return given.get(at, file)
+
+    files = sorted((f for f in listed if headers[f]), key=lambda f: (place.get(origin(f), len(place)), f))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        groups.setdefault(tuple(trimmed_names(headers[file], file)), []).append(file)
+    if not groups:
+        raise ValueError(f"no header in {list(paths)}")
+    every = list(dict.fromkeys(name for names in groups for name in names))
+    if drift is not None:
+        for names, members in groups.items():
+            lacks = [name for name in every if name not in names]
+            for file in members if lacks else ():
+                held = drift.setdefault(origin(file), [])
+                held += [name for name in lacks if name not in held]
+    return union_by_name([
+        read_csv(spark, [unquote(m) for m in members], T.StructType([T.StructField(name, T.StringType()) for name in names]), sep, header=True)
+        for names, members in groups.items()]).select(*[F.col(f"`{name}`") for name in every])
+
+
+def _plain_path(path: str) -> str:
+    """A path without scheme and escapes, to compare given paths with listed files."""
+    return unquote(re.sub(r"^[a-z0-9]+:(//[^/]*)?", "", path)).rstrip("/") if ":" in path else path.rstrip("/")
 
 
 # -- S6: quote-aware CSV with bad-row handling -------------------------------------------------

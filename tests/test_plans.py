@@ -102,7 +102,7 @@ def test_accumulated_mean_has_no_grouped_python_aggregate(spark):
 PYTHON_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapCoGroupsInPandas",
                 "AggregateInPandas", "FlatMapGroupsInPandas", "WindowInPandas")
 UDF_TWINS = {"yearly_income_udf", "share_by_part_of_day_udf", "grouped_udf_mean", "quantiles_per_key",
-             "funnels_per_user", "exchanges_per_conversation",
+             "funnels_per_user", "exchanges_per_conversation", "csv_text_round_trip", "geojson_documents",
              "cogroup_udf_join"}
 
 
