@@ -19,7 +19,9 @@ add spans where no base span lies.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -47,7 +49,6 @@ LEAD = re.compile(r"(?:\x20?(?:number|no\.?|nr\.?|id))?\x20?[:#=]?\x20?", re.I).
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])").match
 SSN = re.compile(r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9])").match
 IDENT = re.compile(r"[A-Z0-9](?:-?[A-Z0-9]){5,17}(?![A-Za-z0-9])").match
-SPELLED_LEFT = re.compile(r"([A-Za-z0-9._%+-]+)\x20?[\[(]\x20?$")
 SPELLED_RIGHT = re.compile(r"\x20?[\])]\x20?[A-Za-z0-9-]+(?:\x20?[\[(]\x20?dot\x20?[\])]\x20?[A-Za-z0-9-]+)+", re.I).match
 
 Span = tuple[int, int, int]  # place of the kind in KINDS, start, end
@@ -99,6 +100,16 @@ def _email(text: str, at: int, floor: int) -> tuple[int, int] | None:
     return (start, host.end()) if host else None
 
 
+def _user(text: str, bracket: int) -> int | None:
+    """Where the user name in front of a bracket, and of one blank at most, begins. Brackets end names, so a text's names
+    are read once."""
+    end = bracket - (bracket > 0 and text[bracket - 1] == " ")
+    start = end
+    while start and text[start - 1] in LOCAL:
+        start -= 1
+    return start if start < end else None
+
+
 def _identifier(text: str, end: int, cue: str) -> tuple[int, int] | None:
     at = LEAD(text, end).end()
     if cue == "iban":
@@ -146,10 +157,9 @@ def find(text: str) -> list[Span]:
             if m := USER_INFO(text, last + 1):
                 added.append((4, start, m.end()))
         elif kind == "spelled":
-            left = SPELLED_LEFT.search(text, max(0, start - 64), start + 1)
-            right = SPELLED_RIGHT(text, last)
-            if left and right:
-                added.append((0, left.start(), right.end()))
+            user, right = _user(text, start), SPELLED_RIGHT(text, last)
+            if user is not None and right:
+                added.append((0, user, right.end()))
         elif not (start and (text[start - 1].isalnum() or text[start - 1] == "_")):
             if found := _identifier(text, last + 1, kind):
                 added.append((5, *found))
@@ -157,11 +167,17 @@ def find(text: str) -> list[Span]:
 
 
 def _merge(spans: list[Span], added: list[Span]) -> list[Span]:
-    taken = sorted((s, e) for _, s, e in spans)
+    """``spans`` and those of ``added``, the first and longest first, that touch neither them nor one another: a sweep in order
+    of places, with the furthest end of all base spans that start before one."""
+    base = sorted((s, e) for _, s, e in spans)
+    starts = [s for s, _ in base]
+    furthest = list(itertools.accumulate((e for _, e in base), max))
+    end = 0
     for span in sorted(added, key=lambda s: (s[1], -s[2], s[0])):
-        if not any(s < span[2] and span[1] < e for s, e in taken):
+        before = bisect.bisect_left(starts, span[2])
+        if span[1] >= end and not (before and furthest[before - 1] > span[1]):
             spans.append(span)
-            taken.append(span[1:])
+            end = span[2]
     return sorted(spans)
 
 
