@@ -42,23 +42,44 @@ ALLOW = [
     "(?i)example|sample|dummy|placeholder|changeme|redacted",
 ]
 SCALE = 1 << 20
+PLACED = 128  # matches that are placed together
 
 
 def located(text: Column, pattern: str) -> Column:
     """array<struct<start int, end int, text string>> of a pattern's matches, in code points.
-    The pattern must not match the empty string."""
+    The pattern must not match the empty string.
+
+    Places are running sums over the matches and the pieces between them. They are made in blocks of ``PLACED``
+    matches and the blocks then moved to theirs, since an array that grows match by match is copied at each."""
+    kind = "array<struct<start:int,end:int,text:string>>"
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    placed = F.aggregate(
-        F.zip_with(found, F.split(text, pattern), lambda m, gap: F.struct(m.alias("m"), gap.alias("gap"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("out")),
-        lambda acc, x: F.when(x["m"].isNull(), acc).otherwise(F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.length(x["m"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + F.length(x["gap"])).alias("start"),
-                (acc["at"] + F.length(x["gap"]) + F.length(x["m"])).alias("end"),
-                x["m"].alias("text")))).alias("out"))),
-        lambda acc: acc["out"])
-    return placed
+    pairs = F.filter(F.zip_with(found, F.split(text, pattern), lambda m, gap: F.struct(m.alias("m"), gap.alias("gap"))),
+                     lambda x: x["m"].isNotNull())
+
+    def grow(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        end = start + F.length(x["m"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
+            start.alias("start"), end.alias("end"), x["m"].alias("text")))).alias("out"))
+
+    def block(matches: Column) -> Column:
+        return F.aggregate(matches, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), grow)
+
+    def moved(blocks: Column) -> Column:
+        ends = F.aggregate(blocks, F.array(F.lit(0)), lambda acc, x: F.concat(
+            acc, F.array(F.element_at(acc, -1) + x["at"])))
+        return F.flatten(F.zip_with(blocks, F.slice(ends, F.lit(1), F.size(blocks)), lambda x, by: F.transform(
+            x["out"], lambda m: F.struct((m["start"] + by).alias("start"), (m["end"] + by).alias("end"),
+                                         m["text"].alias("text")))))
+
+    def placed(matches: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / PLACED).cast("int")),
+                          lambda i: block(F.slice(matches, i * PLACED + 1, F.lit(PLACED))))
+        # through one-element arrays, so that nothing is worked out twice
+        return F.when(F.size(matches) == 0, F.array().cast(kind)).when(
+            F.size(matches) <= PLACED, block(matches)["out"]).otherwise(F.get(F.transform(F.array(cut), moved), 0))
+
+    return F.get(F.transform(F.array(pairs), placed), 0)
 
 
 def _costs(window: int) -> Column:
