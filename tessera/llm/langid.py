@@ -7,9 +7,10 @@ probabilities are the mean over its positions. Windows do not share state, so a
 needs the memory of a few thousand windows, and every byte of it is read.
 
 The network is trained in numpy by backpropagation through time, on the driver, from windows of a
-bounded sample: per language up to ``TRAIN_DOCS`` documents in hash order, of each up to
-``DOC_WINDOWS`` windows drawn over its whole text, for up to ``MAX_LANGS`` languages (the most
-frequent). Only text and language are read; identifiers choose the sample and nothing else.
+bounded sample: ``SAMPLE_DOCS`` documents shared by all languages, up to ``TRAIN_DOCS`` of each, in hash
+order, and of each document up to ``DOC_WINDOWS`` windows drawn over its whole text. Every language is
+learned; with their number grow the hidden units and the training steps. Only text and language are read;
+identifiers choose the sample and nothing else.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ WINDOW = 64
 HIDDEN = 8
 TRAIN_DOCS = 400
 DOC_WINDOWS = 12
-MAX_LANGS = 128
+SAMPLE_DOCS = 51_200  # documents of the sample, at least one of each language
 STEPS = 400
 BATCH = 256
 CHUNK = 4096  # windows that are read at once
@@ -195,16 +196,26 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_windows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int,
-                     doc_windows: int, max_langs: int) -> DataFrame:
-    """(lang, window binary): windows from the bounded sample of labelled documents."""
+                     doc_windows: int, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """(lang, window binary): windows from the bounded sample of labelled documents.
+
+    The documents of each language are counted first. One passes if its hash is below the share of its language that is
+    wanted, with a margin of a few deviations, so about as many as are wanted are ranked per language, however many
+    there are. Equal rows are one document, for the counts, the ranks and the windows."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
                        utf8(F.col(text_col)).alias("body"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).select("lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id")), "id")
-    chosen = (rows.select("id", "lang").join(F.broadcast(langs), "lang")  # at most max_langs rows
-              .withColumn("place", F.row_number().over(order)).where(F.col("place") <= train_docs)
-              .select("id").distinct())
+    rows = rows.withColumn("hash", F.xxhash64("id", "body"))
+    known = rows.select("lang", "id", "hash").distinct().checkpoint()
+    counts = known.groupBy("lang").count()
+    langs = counts.count()
+    each = max(1, min(train_docs, sample_docs // max(1, langs)))
+    part = F.pmod("hash", F.lit(1 << 32)).cast("double") / F.lit(float(1 << 32))
+    order = Window.partitionBy("lang").orderBy("hash", "id")
+    passing = each + 4 * each ** 0.5 + 8
+    chosen = (known.join(counts, "lang").where(part < passing / F.col("count"))
+              .withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
+              .select("id", "hash"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "body"):
@@ -220,21 +231,25 @@ def training_windows(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
             yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()),
                                               "window": pa.array(windows, pa.binary())})
 
-    # at most max_langs * train_docs ids
-    return rows.join(F.broadcast(chosen), "id", "left_semi").mapInArrow(cut, "lang string, window binary")
+    # at most sample_docs ids, or one of each language
+    found = rows.join(F.broadcast(chosen), ["id", "hash"], "left_semi").select("id", "lang", "body")
+    return found.mapInArrow(cut, "lang string, window binary").distinct()
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        train_docs: int = TRAIN_DOCS, doc_windows: int = DOC_WINDOWS, max_langs: int = MAX_LANGS,
-        steps: int = STEPS, hidden: int = HIDDEN) -> Network | None:
+        train_docs: int = TRAIN_DOCS, doc_windows: int = DOC_WINDOWS, sample_docs: int = SAMPLE_DOCS,
+        steps: int | None = None, hidden: int | None = None) -> Network | None:
     """A network for the languages of ``docs``; None if there is nothing to learn from."""
     prepare(docs)
     rows = sorted((r[0], bytes(r[1])) for r in training_windows(
-        docs, id_col, text_col, lang_col, train_docs, doc_windows, max_langs).collect())
+        docs, id_col, text_col, lang_col, train_docs, doc_windows, sample_docs).collect())
     if not rows:
         return None
     langs = sorted({r[0] for r in rows})
-    network = Network(langs, hidden)
+    # as for up to 8 languages, and with the root of their number, or with it, beyond
+    more = max(1.0, len(langs) / 8)
+    network = Network(langs, hidden or round(HIDDEN * more ** 0.5))
+    steps = steps or round(STEPS * more)
     place = {lang: i for i, lang in enumerate(langs)}
     data = np.zeros((len(rows), WINDOW), np.uint8)
     for i, (_, window) in enumerate(rows):
