@@ -121,7 +121,7 @@ def count_per_dimension_sql(spark: SparkSession, facts: DataFrame, dims: DataFra
                             alias: str = "n") -> DataFrame:
     """The SQL form of ``count_per_dimension``: the strategy becomes a ``/*+ HINT(d) */`` comment,
     under the same bounds."""
-    relational.check_strategy(dims.select(dim_key, dim_name), strategy)
+    relational.check_strategy(dims.select(dim_key, dim_name), strategy, keep=True)
     hint = f"/*+ {SQL_HINTS[strategy]}(d) */ " if strategy in SQL_HINTS else ""
     with temp_views(facts=facts, dims=dims) as v:
         return spark.sql(f"""
