@@ -11,11 +11,9 @@ the document whose size is nearest to the words still missing, if that brings th
 misses its target by less than the shortest document that it leaves out.
 
 The random number of a document is a hash of its id and the seed, so reruns agree; for a row
-without an id, of its source, text and place among its copies. No source is ever sorted. The documents that fit up to the
-next one that does not are a stretch of the order: ranks are cut into bins per source, the words of whole bins
-are summed, and only the bin in which the words run out is put in order. A stretch is three values per source (the most
-words that fitted, where it starts and ends); stretches are found one after another, for all sources at a time, each from
-documents shorter than the one that ended the last.
+without an id, of its source, text and place among its copies. No source is ever sorted: ranks are cut into bins per source,
+the words of whole bins are summed, and only the bin in which the words run out is put in order; behind the
+first document that does not fit only the next ``NEXT`` that may are looked at, one step of the loop after another.
 """
 
 from __future__ import annotations
@@ -28,6 +26,7 @@ from tessera.operators.streams import free_name
 
 BIN_ROWS = 16_384  # rows of the largest source that a bin should hold, about
 BINS = 1024        # bins of a source at least
+NEXT = 1024        # documents that are looked at together behind the first that does not fit
 MAX_REPEAT = 3
 SEED = "mix-1"
 
@@ -159,11 +158,12 @@ def decide(docs: DataFrame, max_repeat: int = MAX_REPEAT, seed: str = SEED, bins
             .withColumn("at", F.when(F.col("rank").isNotNull(), place))
             .select("doc_id", "source", "size", "source_size", "target", "whole", "words", "same", "row", "bin", "at").checkpoint())
 
-    stretches = _stretches(rows.where("at IS NOT NULL").select("source", "size", "words", "bin", "at"))
-    both = rows.join(stretches, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    fits = F.exists("stretches", lambda x: (F.col("size") <= x["gap"]) & (x["start"].isNull() | (F.col("at") > x["start"]))
-                    & (x["end"].isNull() | (F.col("at") < x["end"])))
-    both = both.withColumn("extra", F.coalesce(F.col("at").isNotNull() & fits, F.lit(False)).cast("int")).drop("stretches")
+    stretch, behind = _first_fit(rows.where("at IS NOT NULL").select("source", "size", "words", "bin", "at"))
+    both = (rows.join(stretch, F.col("source").eqNullSafe(F.col("_s")), "left")
+            .join(behind.withColumn("fits", F.lit(True)), "row", "left"))
+    before = (F.col("size") <= F.col("gap")) & (F.col("end").isNull() | (F.col("at") < F.col("end")))
+    extra = F.col("at").isNotNull() & (F.coalesce(before, F.lit(False)) | F.coalesce("fits", F.lit(False)))
+    both = both.withColumn("extra", extra.cast("int")).drop("_s", "gap", "end", "fits")
 
     gaps = (both.where("at IS NOT NULL").groupBy("source").agg(
         (F.first("words") - F.sum(F.col("size") * F.col("extra"))).alias("gap"))
@@ -194,42 +194,53 @@ def _by_size(rows: DataFrame) -> DataFrame:
     return found.groupBy("source").agg(F.greatest(F.max_by("per_word", "size"), F.lit(0.0)).alias("per_word"))
 
 
-def _stretches(rows: DataFrame) -> DataFrame:
-    """(_s, stretches): the stretches of Pareto order (``at``) in which all documents of up to ``gap`` words are taken,
-    between ``start`` and ``end`` (null: from the first, to the last), of every source.
-
-    A stretch ends at the first document of up to ``gap`` words that does not fit any more; what is behind it and
-    fits is the next one's. Every stretch ends at a shorter document than the one before, so there are few."""
-    kind = next(f.dataType for f in rows.schema.fields if f.name == "at")
-    state = (rows.groupBy(F.col("source").alias("_s")).agg(F.first("words").alias("words"))
-             .withColumn("taken", F.lit(0).cast("long")).withColumn("start", F.lit(None).cast(kind))
-             .withColumn("n", F.lit(0))).checkpoint()
-    found: list[DataFrame] = []
-    while not state.isEmpty():
-        gap = F.col("words") - F.col("taken")
-        fitting = (rows.drop("words").join(F.broadcast(state) if found else state, F.col("source").eqNullSafe(F.col("_s")))
-                   .where((F.col("size") <= gap) & (F.col("start").isNull() | (F.col("at") > F.col("start")))))
-        by_bin = fitting.groupBy("_s", "bin").agg(F.sum("size").alias("bin_size"), F.first(gap).alias("gap"))
-        run = Window.partitionBy("_s").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-        edge = (by_bin.withColumn("upto", F.sum("bin_size").over(run)).where("upto > gap").groupBy(F.col("_s").alias("_e"))
-                .agg(F.min(F.struct("bin", (F.col("upto") - F.col("bin_size")).alias("done"))).alias("e"))
-                .select("_e", F.col("e.bin").alias("edge"), F.col("e.done").alias("done")))
-        # only in the bin where the words run out are documents put in order
-        order = Window.partitionBy("_s").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-        inside = (fitting.join(edge, F.col("_s").eqNullSafe(F.col("_e")) & (F.col("bin") == F.col("edge")))
-                  .withColumn("upto", F.col("done") + F.sum("size").over(order)).where(F.col("upto") > gap))
-        ends = inside.groupBy(F.col("_s").alias("_e")).agg(
-            F.min("at").alias("end"), F.min_by(F.col("upto") - F.col("size"), "at").alias("held"))
-        done = (state.join(ends, F.col("_s").eqNullSafe(F.col("_e")), "left")
-                .select("_s", "words", "taken", "start", "end", "held", "n").checkpoint())
-        found.append(done.select("_s", F.struct("n", (F.col("words") - F.col("taken")).alias("gap"), "start", "end").alias("x")))
-        state = done.where("end IS NOT NULL").select(
-            "_s", "words", (F.col("taken") + F.col("held")).alias("taken"), F.col("end").alias("start"),
-            (F.col("n") + 1).alias("n")).where("words - taken >= 1")
-    every = found[0] if found else state.select("_s", F.struct("n", F.col("words").alias("gap"), "start", F.col("start").alias("end")).alias("x"))
-    for more in found[1:]:
-        every = every.union(more)
-    return every.groupBy("_s").agg(F.collect_list("x").alias("stretches"))
+def _first_fit(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Which documents fit, in Pareto order (``at``): (_s, gap, end) per source -- all of up to ``gap`` words in front of ``end``
+    (null: all) -- and (row) of those that fit behind it.
+
+    The first document that does not fit ends the stretch that bins find. What is behind it and fits is found from
+    the next ``NEXT`` documents that may, in order, and again from where these end while words are left."""
+    state = rows.groupBy(F.col("source").alias("_s")).agg(F.first("words").alias("words"))
+    fitting = rows.where(F.col("size") <= F.col("words"))
+    by_bin = fitting.groupBy(F.col("source").alias("_s"), "bin").agg(F.sum("size").alias("bin_size"), F.first("words").alias("words"))
+    run = Window.partitionBy("_s").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    edge = (by_bin.withColumn("upto", F.sum("bin_size").over(run)).where("upto > words").groupBy("_s")
+            .agg(F.min(F.struct("bin", (F.col("upto") - F.col("bin_size")).alias("done"))).alias("e"))
+            .select("_s", F.col("e.bin").alias("edge"), F.col("e.done").alias("done")))
+    # only in the bin where the words run out are documents put in order
+    order = Window.partitionBy("source").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    inside = (fitting.join(edge, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("edge")))
+              .withColumn("upto", F.col("done") + F.sum("size").over(order)).where("upto > words"))
+    ends = inside.groupBy(F.col("source").alias("_e")).agg(
+        F.min("at").alias("end"), F.min_by(F.col("upto") - F.col("size"), "at").alias("taken"))
+    first = state.join(ends, F.col("_s").eqNullSafe(F.col("_e")), "left").select("_s", "words", "end", "taken").checkpoint()
+
+    state = first.where("end IS NOT NULL").select("_s", "words", "taken", F.col("end").alias("start"))
+    chosen = first.select(F.col("end.row").alias("row")).limit(0)
+    while True:
+        state = state.where("words - taken >= 1")
+        if state.isEmpty():
+            return first.select("_s", F.col("words").alias("gap"), "end"), chosen
+        left = F.col("words") - F.col("taken")
+        fitting = (rows.drop("words").join(state, F.col("source").eqNullSafe(F.col("_s")))
+                   .where((F.col("size") <= left) & (F.col("at") > F.col("start"))))
+        place = F.row_number().over(Window.partitionBy("_s").orderBy("at"))
+        following = (fitting.withColumn("place", place).where(F.col("place") <= NEXT).groupBy("_s")
+                     .agg(F.first("words").alias("words"), F.first("taken").alias("taken"),
+                          F.sort_array(F.collect_list(F.struct("at", "size"))).alias("docs")))
+
+        def take(acc: Column, x: Column) -> Column:
+            fits = x["size"] <= acc["words"] - acc["taken"]
+            return F.when(fits, F.struct(acc["words"].alias("words"), (acc["taken"] + x["size"]).alias("taken"),
+                                         F.concat(acc["rows"], F.array(x["at"]["row"])).alias("rows"))).otherwise(acc)
+
+        begin = F.struct(F.col("words").alias("words"), F.col("taken").alias("taken"),
+                         F.array().cast("array<bigint>").alias("rows"))
+        done = following.select("_s", F.size("docs").alias("n"), F.element_at("docs", -1)["at"].alias("last"),
+                                F.aggregate("docs", begin, take).alias("got")).checkpoint()
+        chosen = chosen.union(done.select(F.explode("got.rows").alias("row")))
+        state = done.where(F.col("n") == NEXT).select("_s", F.col("got.words").alias("words"),
+                                                      F.col("got.taken").alias("taken"), F.col("last").alias("start"))
 
 
 def _same(id_col: str, source_col: str, text_col: str, factor: Column | None) -> Column:

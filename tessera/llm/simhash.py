@@ -173,9 +173,12 @@ def _deal(rows: DataFrame, paths: dict[int, list[int]], max_bits: int) -> tuple[
             left = [b for b in open_ if b not in block]
             choices.append((path, len(below), _signed([b for b in range(BITS) if b not in left])))
             below[len(below)] = left
-    # a few rows, as many as there are paths
-    table = rows.sparkSession.createDataFrame(choices, "path int, own int, shared long")
-    dealt = rows.join(F.broadcast(table), "path")
+    if len(paths) == 1:  # a join on a constant would be a cross join
+        each = F.array(*[F.struct(F.lit(own).alias("own"), F.lit(shared).cast("long").alias("shared")) for _, own, shared in choices])
+        dealt = rows.select("fp", F.explode(each).alias("c")).select("fp", "c.own", "c.shared")
+    else:  # a few rows, max_bits + 1 for each path
+        table = rows.sparkSession.createDataFrame(choices, "path int, own int, shared long")
+        dealt = rows.join(F.broadcast(table), "path")
     return dealt.select(F.col("own").alias("path"), F.col("fp").bitwiseAND(F.col("shared")).alias("shard"), "fp"), below
 
 

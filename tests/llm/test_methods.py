@@ -3,6 +3,8 @@
 import hashlib
 import math
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -218,6 +220,102 @@ def test_texts_without_an_id_and_with_equal_checksums(spark):
         assert sorted(map(tuple, got.collect())) == sorted(brute.removed(texts, 400))
 
 
+def plain_probabilities(net, text):
+    """Per position and language, byte by byte and number by number."""
+    def sigmoid(v):
+        return 1 / (1 + math.exp(-v))
+
+    n, w = net.hidden, {k: v.astype(float) for k, v in net.weights.items()}
+    states = {}
+    for d, places in (("f", range(len(text))), ("b", range(len(text) - 1, -1, -1))):
+        h = [0.0] * n
+        for t in places:
+            seen = [w[f"{d}_in"][text[t]][j] for j in range(3 * n)]
+            back = [sum(h[i] * w[f"{d}_rec"][i][j] for i in range(n)) for j in range(3 * n)]
+            new = []
+            for j in range(n):
+                z, r = sigmoid(seen[j] + back[j]), sigmoid(seen[n + j] + back[n + j])
+                c = math.tanh(seen[2 * n + j] + r * back[2 * n + j])
+                new.append(z * h[j] + (1 - z) * c)
+            h = new
+            states[d, t] = h
+    out = []
+    for t in range(len(text)):
+        scores = [w["bias"][k] + sum(states[d, t][i] * w[f"{d}_out"][i][k] for d in "fb" for i in range(n))
+                  for k in range(len(net.langs))]
+        top = [math.exp(x - max(scores)) for x in scores]
+        out.append([x / sum(top) for x in top])
+    return out
+
+
+@pytest.mark.parametrize("length", [1, 40, 64, 65, 130, 192])
+def test_network_equals_plain_loops(length):
+    net = langid.Network(["a", "b", "c"], hidden=3, seed=5)
+    rng = random.Random(length)
+    text = bytes(rng.randrange(256) for _ in range(length))
+    # windows of 64 bytes; the last ends with the text, and only its new positions count
+    windows = [(s, s) for s in range(0, length - 63, 64)]
+    if length < 64:
+        windows = [(0, 0)]
+    elif length % 64:
+        windows.append((length - 64, length - length % 64))
+    sums = [0.0] * 3
+    for start, new in windows:
+        window = text[start:start + 64]
+        padded = window + bytes(64 - len(window))
+        for t, p in list(enumerate(plain_probabilities(net, padded)))[new - start:len(window)]:
+            sums = [a + b for a, b in zip(sums, p)]
+    assert net.pooled([text])[0] == pytest.approx([s / length for s in sums], rel=1e-4)
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any fixed number, one of them with a third of the rows, one document repeated all over."""
+    docs = spark.range(0, 6000, numPartitions=4).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("l"), F.col("id") % 140)).alias("lang"),
+        F.concat(F.lit("text "), F.col("id")).alias("text"))
+    again = spark.range(0, 3000, numPartitions=3).select(F.lit(1).cast("long").alias("doc_id"), F.lit("l1").alias("lang"), F.lit("text 1").alias("text"))
+    windows = langid.training_windows(docs.union(again), "doc_id", "text", "lang", 400, 12, 600)
+    per = {r[0]: r[1] for r in windows.groupBy("lang").count().collect()}
+    assert len(per) == 141 and max(per.values()) <= 4 * 12  # 600 documents shared by 141 languages
+    net = langid.fit(docs, steps=2)
+    assert len(net.langs) == 141 and net.hidden > langid.HIDDEN
+
+
+def test_spelled_names_of_any_length_and_many_spans():
+    text = "x" * 100 + " [at] host [dot] com"
+    assert pii.find(text) == [(0, 0, len(text))]
+    assert pii.find("a.b (at) c (dot) d") == [(0, 0, 18)] and pii.find("[at] host [dot] com") == []
+    many = "u [at] h [dot] c, " * 8000
+    t = time.perf_counter()
+    found = pii.find(many)
+    assert len(found) == 8000 and time.perf_counter() - t < 3
+
+
+def test_added_spans_never_touch_others():
+    rng = random.Random(8)
+    for _ in range(300):
+        spans = [(rng.randrange(4), s, s + rng.randint(1, 9)) for s in (rng.randrange(60) for _ in range(rng.randint(0, 6)))]
+        added = [(rng.choice([0, 4, 5]), s, s + rng.randint(1, 9)) for s in (rng.randrange(60) for _ in range(rng.randint(0, 8)))]
+        want = list(spans)
+        for span in sorted(added, key=lambda s: (s[1], -s[2], s[0])):
+            if not any(s < span[2] and span[1] < e for _, s, e in want):
+                want.append(span)
+        assert pii._merge(list(spans), list(added)) == sorted(want)
+
+
+def test_places_of_many_matches(spark):
+    """Places of matches by blocks, and 30,000 of them in one text in seconds."""
+    texts = ["", "x", "ab", "é ab\U0001F600ab", "ab" * 128, " ab" * 129, "ab " * 700 + "é", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(secrets.located(F.col("t"), "ab").alias("f")).collect()
+    for t, r in zip(texts, got):
+        if t is not None:
+            assert [tuple(x) for x in r["f"]] == [(m.start(), m.end(), "ab") for m in re.finditer("ab", t)]
+    long = spark.range(1).select(F.repeat(F.lit("password=secret1 "), 30_000).alias("text"))
+    t = time.perf_counter()
+    found = secrets.scan(long).select(F.size("_base")).first()[0]
+    assert found == 30_000 and time.perf_counter() - t < 10
+
+
 def test_gradients_through_time():
     net, rng = langid.Network(["a", "b", "c"], 4), np.random.default_rng(0)
     net.weights = {k: w.astype(np.float64) for k, w in net.weights.items()}
@@ -333,6 +431,18 @@ def test_a_long_document_does_not_end_the_fill(spark):
             assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) < 7
 
 
+@pytest.mark.parametrize("following", [1, 2, 5])
+def test_fill_in_steps_of_any_size(spark, monkeypatch, following):
+    """The fill behind the first document that does not fit, looked at a few documents at a time, is the plain one."""
+    monkeypatch.setattr(mixing, "NEXT", following)
+    rng = random.Random(following)
+    rows = [(i, rng.choice("ab"), " ".join(["w"] * rng.choice([1, 2, 3, 30, 60, 61, 200]))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    want = [(d, n, t, c) for d, n, t, _, c in brute.mix([(d, x, s) for d, s, x in rows])]
+    got = [(r["doc_id"], r["size"], r["source_size"], r["copies"]) for r in mixing.mix(docs, bins=4).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_inclusion_by_size(spark):
     rng = random.Random(3)
     rows = [("s", rng.randint(1, 60), 700.5) for _ in range(60)] + [("one", 10, 4.0), ("t", 5, 0.0)] + [("u", 9, 26.9)] * 3
