@@ -151,8 +151,14 @@ def join_filtered_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: s
     return join_keys(fact, dim.where(dim_filter), fact_key, dim_key, how)
 
 
+def _band(value: Column, width: float) -> Column:
+    """The number of the band that a value lies in: never less for a greater value, NaN being the greatest."""
+    return F.when(F.isnan(value), F.lit((1 << 63) - 1)).otherwise(F.floor(value.cast("double") / F.lit(float(width))))
+
+
 def theta_join(left: DataFrame, right: DataFrame, condition: Callable[[str, str], Column], cells: int = 256,
-               shape: tuple[int, int] | None = None) -> DataFrame:
+               shape: tuple[int, int] | None = None,
+               band: tuple[Column, Column, Column, float] | None = None) -> DataFrame:
     """Inner join under any condition (J11), by a matrix over the space of pairs: sides ``l`` and ``r``, as in
     ``join_keys``; ``condition`` is made of the two aliases, e.g. ``lambda l, r: F.col(f"{l}.a") < F.col(f"{r}.b")``.
 
@@ -161,21 +167,37 @@ def theta_join(left: DataFrame, right: DataFrame, condition: Callable[[str, str]
     side is copied about the square root of ``cells`` times. ``shape`` (rows, columns) sets the matrix: (n, 1) copies
     only the right side. The cell is an equi-join key, so Spark joins by sort or hash and tests the condition on the
     pairs of a cell; no cartesian product is planned. Equal rows are dealt apart, and the same way when a
-    task runs again."""
+    task runs again.
+
+    All pairs are tested, so the work is the product of the sides. ``band`` (value, low, high, width) is for a
+    condition that holds only where a number of the left row lies from ``low`` to ``high``, both of the right row and
+    in the units of the condition: the numbers are cut into bands of ``width``, a left row is in the band of its value,
+    a right row is copied to those from ``low`` to ``high`` (so these lie some widths apart at most), and only
+    rows of the same band and cell are tested. The matrix still deals out a band that holds most of the rows."""
     rows, columns = shape or (max(1, round(cells ** 0.5)),) * 2
 
-    def dealt(df: DataFrame, own: int, other: int, cell: Column, names: tuple[str, str]) -> DataFrame:
+    def dealt(df: DataFrame, own: int, other: int, cell: Column, names: tuple[str, str], bands: Column) -> DataFrame:
         place = F.pmod(F.xxhash64(F.monotonically_increasing_id(), *[F.col(f"`{c}`") for c in df.columns]), F.lit(own))
-        return (df.withColumn(names[0], place.cast("int"))
+        return (df.withColumns({names[0]: place.cast("int"), part: bands})
+                .withColumn(part, F.explode(part))
                 .withColumn(names[1], F.explode(F.sequence(F.lit(0), F.lit(other - 1))))
-                .select(*[F.col(f"`{c}`") for c in df.columns], cell.alias(key)))
+                .select(*[F.col(f"`{c}`") for c in df.columns], F.col(part), cell.alias(key))
+                .repartition(tasks, part, key))
 
-    a, b, key = (streams.free_name(n, left.columns, right.columns) for n in ("_row", "_column", "_cell"))
+    a, b, part, key = (streams.free_name(n, left.columns, right.columns) for n in ("_row", "_column", "_band", "_cell"))
     cell = F.col(a) * columns + F.col(b)
-    sides = (dealt(left, rows, columns, cell, (a, b)).alias("l"), dealt(right, columns, rows, cell, (b, a)).alias("r"))
+    # a fixed number of tasks: the bytes of the sides say little of their pairs
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = reach = F.array(F.lit(0).cast("long"))
+    if band:
+        value, low, high, width = band
+        own, reach = F.array(_band(value, width)), F.sequence(_band(low, width), _band(high, width))
+    sides = (dealt(left, rows, columns, cell, (a, b), own).alias("l"),
+             dealt(right, columns, rows, cell, (b, a), reach).alias("r"))
     # a cell's pairs are as many under either order of the sides; the hash of the smaller one would not spill
-    joined = sides[0].hint("merge").join(sides[1], (F.col(f"l.{key}") == F.col(f"r.{key}")) & condition("l", "r"))
-    return joined.drop(F.col(f"l.{key}"), F.col(f"r.{key}"))
+    same = (F.col(f"l.{part}") == F.col(f"r.{part}")) & (F.col(f"l.{key}") == F.col(f"r.{key}"))
+    joined = sides[0].hint("merge").join(sides[1], same & condition("l", "r"))
+    return joined.drop(*[F.col(f"{s}.{c}") for s in "lr" for c in (part, key)])
 
 
 # -- aggregates -----------------------------------------------------------------------------------

@@ -323,6 +323,60 @@ def test_theta_join_spreads_equal_rows(spark):
     assert len(sizes) >= 4 and max(sizes) < 0.5 * 30_000 * 64
 
 
+def _near(x, y):
+    return F.col(f"{x}.v").between(F.col(f"{y}.v") - 5, F.col(f"{y}.v") + 5) & (F.col(f"{x}._band") != F.col(f"{y}._cell"))
+
+
+@pytest.mark.parametrize("more", [{"cells": 1}, {"cells": 9}, {"shape": (3, 2)}])
+@pytest.mark.parametrize("width", [0.7, 5, 1000])
+def test_theta_join_in_bands_equals_the_nested_loop(spark, more, width):
+    odd = [None, float("nan"), float("inf"), float("-inf"), -0.0, 0.0, 4.999999999999999, -5.0, 5.0, 10.0, 1e300, -1e300, 2.0 ** 53 + 2]
+    draw = random.Random(7)
+    values = odd + [round(draw.uniform(-30, 30), draw.choice([0, 1, 15])) for _ in range(80)] + [7.0] * 40
+    a, b = (spark.createDataFrame([(v, i % n) for i, v in enumerate(values)], f"v DOUBLE, {name} LONG")
+            for n, name in ((3, "_band"), (2, "_cell")))
+    got = relational.theta_join(a, b, _near, band=(F.col("v"), F.col("v") - 5, F.col("v") + 5, width), **more)
+    assert got.columns == ["v", "_band", "v", "_cell"]
+    want = relational.join(a.alias("l"), b.alias("r"), _near("l", "r"), strategy="shuffle_replicate_nl")
+    assert sorted(map(repr, rows(got))) == sorted(map(repr, rows(want))) and got.count() > 1000
+
+
+def test_theta_join_in_bands_of_whole_numbers(spark):
+    """Numbers that are equal as doubles."""
+    a, b = (spark.range(9).select((F.col("id") * step + (1 << 60)).alias("v")) for step in (1, 150))
+    band = (F.col("v"), F.col("v") - 3, F.col("v") + 3, 2)
+    got = relational.theta_join(a, b, lambda x, y: F.col(f"{x}.v").between(F.col(f"{y}.v") - 3, F.col(f"{y}.v") + 3), band=band)
+    assert got.count() == 4
+
+
+def test_theta_join_in_bands_tests_few_pairs(spark):
+    a = spark.range(0, 4000, numPartitions=3).select((F.col("id") * 2.5).alias("v"))
+    b = spark.range(0, 400, numPartitions=2).select((F.col("id") * 25.0).alias("w"))
+    reach = (F.col("w") - 50, F.col("w") + 50)
+    found = relational.theta_join(a, b, lambda x, y: F.col(f"{x}.v").between(F.col(f"{y}.w") - 50, F.col(f"{y}.w") + 50),
+                                  band=(F.col("v"), *reach, 50)).count()
+    tested = relational.theta_join(a, b, lambda x, y: F.lit(True), band=(F.col("v"), *reach, 50)).count()
+    assert 16_000 < found <= tested < 1.7 * found < 4000 * 400 / 50
+
+
+def test_customers_and_suppliers_are_joined_in_bands(spark, scratch):
+    from tessera.plans import registry
+
+    path, draw = scratch("balances"), random.Random(3)
+    customers, suppliers = ([(i, round(draw.uniform(-999, 9999), 2), draw.randrange(5)) for i in range(n)] for n in (600, 80))
+    customers += [(1, 100.0, 0), (1, 100.0, 0), (None, 200.0, 1), (9, None, 1), (9, 100.0, None)]
+    suppliers += [(1, 150.0, 1), (1, 150.0, 1), (2, 50.0, 0), (3, None, 2), (4, 100.0, None)]
+    for name, data, columns in (("customer", customers, "c_custkey LONG, c_acctbal DOUBLE, c_nationkey INT"),
+                                ("supplier", suppliers, "s_suppkey LONG, s_acctbal DOUBLE, s_nationkey INT")):
+        spark.createDataFrame(data, columns).write.parquet(f"{path}/{name}.parquet")
+    got = registry.QUERIES["join_theta"](spark, path)
+    want = [(c, s) for c, x, m in customers for s, y, n in suppliers
+            if None not in (x, y, m, n) and y - 50 <= x <= y + 50 and m != n]
+    assert sorted(map(repr, rows(got))) == sorted(map(repr, want)) and len(want) > 100
+    joins = [x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in x]
+    assert joins and all("_band" in x.partition("Inner")[0] for x in joins)
+
+
 def test_small_results_of_large_tables_may_be_broadcast(spark, scratch):
     path = scratch("large")
     spark.range(0, 200_000).select("id", (F.col("id") % 5).alias("g")).write.parquet(path)
