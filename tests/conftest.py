@@ -3,6 +3,7 @@ import sys
 import tempfile
 
 import pytest
+from hypothesis import HealthCheck, settings
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -10,6 +11,10 @@ sys.path.insert(0, ROOT)
 FIXTURES = os.path.join(ROOT, "tests", "fixtures")
 TESTDATA = "/root/testdata"
 
+# floats(width=16) refuses what overflows 16 bits, and by chance so often that Hypothesis gives up
+settings.register_profile("tessera", suppress_health_check=[HealthCheck.filter_too_much])
+settings.load_profile("tessera")
+
 
 @pytest.fixture(scope="session")
 def spark():
